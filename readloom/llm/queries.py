@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from readloom.llm.exact_dedup import exact_dedup
 from readloom.llm.mixing import mix
+from readloom.llm.near_dedup import near_classes
 from readloom.llm.shared import read_table
 from readloom.llm.token_counts import count_tokens
 from readloom.llm.word_bpe import compile_lexicon, encode_documents
@@ -19,6 +20,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), PIECES)
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op3_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return encode_documents(docs, WORDS, compile_lexicon(docs, WORDS))
@@ -33,7 +38,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_word_bpe, op7_mixing, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_word_bpe, op7_mixing, op10_exact_dedup)}
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
