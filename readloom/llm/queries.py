@@ -10,6 +10,7 @@ from readloom.llm.mixing import mix
 from readloom.llm.near_dedup import near_classes
 from readloom.llm.shared import read_table
 from readloom.llm.token_counts import count_tokens
+from readloom.llm.token_shards import shard_round_trip
 from readloom.llm.word_bpe import compile_lexicon, encode_documents
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -34,11 +35,15 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_round_trip(read_table(spark, sf_dir, "documents"), WORDS)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_word_bpe, op7_mixing, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_word_bpe, op7_mixing, op8_token_shards, op10_exact_dedup)}
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
