@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from readloom.llm.exact_dedup import exact_dedup
+from readloom.llm.lattice_lm import lm_scores
 from readloom.llm.mixing import mix
 from readloom.llm.near_dedup import near_classes
 from readloom.llm.shared import read_table
 from readloom.llm.token_counts import count_tokens
 from readloom.llm.token_shards import shard_round_trip
+from readloom.llm.toxicity import fit_toxicity, score_toxicity, training_labels
 from readloom.llm.word_bpe import compile_lexicon, encode_documents
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -30,6 +32,16 @@ def op3_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(docs, WORDS, compile_lexicon(docs, WORDS))
 
 
+def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read_table(spark, sf_dir, "documents"), PIECES)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, training_labels(read_table(spark, sf_dir, "labels")))
+    return score_toxicity(docs, model)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -43,7 +55,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_word_bpe, op7_mixing, op8_token_shards, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_word_bpe, op5_lattice_lm, op6_toxicity, op7_mixing, op8_token_shards, op10_exact_dedup)}
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
