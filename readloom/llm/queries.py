@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from readloom.llm.exact_dedup import exact_dedup
 from readloom.llm.lattice_lm import lm_scores
 from readloom.llm.mixing import mix
 from readloom.llm.near_dedup import near_classes
+from readloom.llm.pii import pii_digest
 from readloom.llm.shared import read_table
 from readloom.llm.token_counts import count_tokens
 from readloom.llm.token_shards import shard_round_trip
+from readloom.llm.topk import exact_top_k
 from readloom.llm.toxicity import fit_toxicity, score_toxicity, training_labels
 from readloom.llm.word_bpe import compile_lexicon, encode_documents
 
@@ -32,6 +35,10 @@ def op3_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(docs, WORDS, compile_lexicon(docs, WORDS))
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(read_table(spark, sf_dir, "documents"), PIECES)
 
@@ -51,15 +58,26 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_round_trip(read_table(spark, sf_dir, "documents"), WORDS)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_word_bpe, op5_lattice_lm, op6_toxicity, op7_mixing, op8_token_shards, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_word_bpe, op4_top_k, op5_lattice_lm, op6_toxicity, op7_mixing, op8_token_shards, op9_pii, op10_exact_dedup)}
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
 ORACLES = {
+    "op4_top_k": """
+        with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v from embeddings
+                   where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+              from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id),
+        r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from s)
+        select query_id, rank, vec_id, score from r where rank <= 10""",
     "op10_exact_dedup": f"""
         with d as (select doc_id, {_NORM} t from documents),
         g as (select t, min(doc_id) keep_id, count(*) group_size from d group by t)

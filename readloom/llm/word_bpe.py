@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words of the lexicon; it only saves time, results don't depend on it.
 LEXICON_WORDS = 60_000
@@ -434,3 +435,23 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, lexicon: str | None =
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * keep
     return texts_of(docs, id_col, text_col).mapInArrow(run, schema)
+
+
+def encode_columns(docs: DataFrame, tokenizer_path: str, lexicon: str | None = None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with ``token_ids`` (little-endian unsigned 32-bit, binary), ``n_tokens`` and ``decoded`` put in place of columns of these names."""
+    own = [c for c in docs.columns if c not in ("token_ids", "n_tokens", "decoded")]
+    at = own.index(text_col)
+    kept = docs.select(*own)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = encoder(tokenizer_path, SparkFiles.get(lexicon) if lexicon else None, with_text=True)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1500):
+                part = batch.slice(start, 1500)
+                cut = e.encode_all([t or "" for t in part.column(at).to_pylist()])
+                raw = [e.ids(words) for words in cut]
+                new = [pa.array(raw, pa.binary()), pa.array([len(r) // 4 for r in raw], pa.int64()), pa.array([e.decoded(words) for words in cut], pa.string())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], [*own, "token_ids", "n_tokens", "decoded"])
+
+    added = [T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.StringType())]
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *added]))
