@@ -1,8 +1,5 @@
 """Registered queries and their SQL oracles."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-
-
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from readloom.plans import calibration, detection, reporting, scanning, scoring, signals, sinks, streams, training  # noqa: F401
+from readloom.plans.detection import flagship  # noqa: F401
+from readloom.plans.registry import ORACLES, QUERIES  # noqa: F401
