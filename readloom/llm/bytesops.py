@@ -14,7 +14,7 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 SPACES = b" \t\n\x0b\x0c\r"
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that no piece holds more than ``max_bytes`` of text (one row at least)."""
     sizes = np.diff(text_offsets(batch.column(column)))
     start, held = 0, 0

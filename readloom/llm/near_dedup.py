@@ -16,7 +16,7 @@ Jaccard similarity.
    others are compared on their full sets.
 5. Buckets whose members are still in several components are then searched
    completely: members outside the bucket's main component against all others,
-   in blocks, again by likelihood and full sets.  So no link between bucket
+   in blocks, again by likelihood and full sets, each pair at most once.  So no link between bucket
    mates is lost to the choice of pivots.
 
 A pair at exactly 0.8 shares no bucket with probability (1 - 0.8**5)**32, three
@@ -31,6 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -160,13 +161,15 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(ok))
 
 
+def linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= 80 * (len(x) + len(y) - both)
+
+
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ok = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            ok.append(100 * both >= 80 * (len(x) + len(y) - both))
+        ok = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
@@ -179,21 +182,37 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([raw[a:b] for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())], ["cls", "items"])
 
 
-def _search_block(key, block):
-    """All pairs of a bucket's outsiders (one block of them) with one block of its members that likelihood doesn't exclude."""
-    out = block[block["side"] == 0]
-    rest = block[block["side"] == 1]
-    ra, rb = (np.frombuffer(b"".join(x["regs"]), np.uint16).reshape(len(x), REGISTERS) for x in (out, rest))
-    found = []
-    comp, ids, sizes = rest["comp"].to_numpy(), rest["cls"].to_numpy(), rest["n"].to_numpy()
-    for i in range(len(out)):
-        other = np.flatnonzero(comp != out["comp"].iloc[i])
-        if len(other):
-            ok = maybe_linked(np.broadcast_to(ra[i], (len(other), REGISTERS)), rb[other], np.full(len(other), out["n"].iloc[i]), sizes[other])
-            found += [(min(x, y), max(x, y)) for x, y in zip([out["cls"].iloc[i]] * int(ok.sum()), ids[other][ok].tolist(), strict=True)]
-    import pandas as pd
+def _search_block(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
+    """Links between a bucket's outsiders (one block of them) and one block of its members.
 
-    return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
+    A pair is looked at in the first bucket that it shares, and only while its
+    components are apart; likelihood decides whether the full sets are compared.
+    """
+    out, rest = block[block["side"] == 0], block[block["side"] == 1]
+    ra, rb = (np.frombuffer(b"".join(x["regs"]), np.uint16).reshape(len(x), REGISTERS) for x in (out, rest))
+    comp, ids, sizes, items = rest["comp"].to_numpy(), rest["cls"].to_numpy(), rest["n"].to_numpy(), rest["items"].to_list()
+    root: dict[int, int] = {}
+    links = []
+
+    def top(c: int) -> int:
+        while c in root:
+            c = root[c]
+        return c
+
+    for i, (cls, own, n, raw) in enumerate(zip(out["cls"], out["comp"], out["n"], out["items"], strict=True)):
+        same = ra[i] == rb
+        near = np.flatnonzero((comp != own) & (same.sum(axis=1) >= REGISTERS // 2))
+        near = near[same[near].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == (key[0] & (BANDS - 1))]
+        if not len(near):
+            continue
+        near = near[maybe_linked(np.broadcast_to(ra[i], (len(near), REGISTERS)), rb[near], np.full(len(near), n), sizes[near])]
+        x = np.frombuffer(raw, np.uint64)
+        for j in near[np.argsort(-same[near].sum(axis=1), kind="stable")].tolist():
+            a, b = top(own), top(int(comp[j]))
+            if a != b and linked(x, np.frombuffer(items[j], np.uint64)):
+                root[max(a, b)] = min(a, b)
+                links.append((int(cls), int(ids[j])))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -235,16 +254,16 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     span = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     live = stored(members.join(span, "key"), "near-live")
     main = live.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.max(F.struct("k", F.col("comp").alias("main"))).alias("m"), F.sum("k").alias("k")).select("key", F.col("m.main").alias("main"), (F.col("k") - F.col("m.k")).alias("out"), "k")
-    rows = live.join(main, "key").join(sketch, "cls")
+    rows = live.join(main, "key").join(sketch, "cls").join(sets, "cls")
     blocks, outs = F.ceil(F.col("k") / BLOCK), F.ceil(F.col("out") / BLOCK)
     mine = F.pmod(F.xxhash64("cls"), F.greatest(blocks, F.lit(1)))
     outsider = F.col("comp") != F.col("main")
-    wide = "key long, cls long, comp long, n long, regs binary, side int, oblock long, block long"
+    wide = "key long, cls long, comp long, n long, regs binary, items binary, side int, oblock long, block long"
     cols = [c.split()[0] for c in wide.split(", ")]
     left = rows.filter(outsider).withColumns({"side": F.lit(0), "oblock": F.pmod(F.xxhash64("cls", F.lit(1)), outs), "block": F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))})
     right = rows.withColumns({"side": F.lit(1), "block": mine, "oblock": F.explode(F.sequence(F.lit(0).cast("long"), outs - 1))})
     found = left.select(*cols).unionByName(right.select(*cols)).groupBy("key", "oblock", "block").applyInPandas(_search_block, "a long, b long")
-    comp = merged(comp, verified(found.distinct()))
+    comp = merged(comp, found)
 
     ids = classes.join(comp, "cls", "left").select("n", "f1", "f2", F.coalesce("comp", "cls").alias("component_id"))
     out = sketched.select("doc_id", "n", "f1", "f2").join(ids, ["n", "f1", "f2"], "left")
