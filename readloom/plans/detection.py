@@ -112,7 +112,7 @@ def pa_inspect_window(spark, sf):
     return polya.inspect_window(_segments(spark, sf), lengths)
 
 
-@query("select read_id, k, mean between 108.95 - 2 * 2.55 and 108.95 + 2 * 2.55 as is_a from v_evt")
+@query("select read_id, k, mean between cast(108.95 as double) - 2 * cast(2.55 as double) and cast(108.95 as double) + 2 * cast(2.55 as double) as is_a from v_evt")
 def pa_classify(spark, sf):
     return polya.classify(b.events(spark, sf)).select("read_id", "k", "is_a")
 
@@ -123,7 +123,7 @@ _BEST = """, v as (select *, case when is_a then length else cast(trunc(length *
   t as (select *, sum(c) over (partition by read_id order by k) island from (select *, case when coalesce(lag(away) over (partition by read_id order by k), 0) > 110 then 1 else 0 end c from g where is_a)),
   p as (select a.read_id, b.s - a.s + a.v as score, a.k as "first", b.k as "last" from t a join t b on a.read_id = b.read_id and a.island = b.island and a.k <= b.k),
   best as (select read_id, score, "first", "last" from (select *, row_number() over (partition by read_id order by score desc, "first", "last") n from p) where n = 1 and score > 0)"""
-_A = "with e as (select *, mean between 108.95 - 2 * 2.55 and 108.95 + 2 * 2.55 as is_a from v_evt)"
+_A = "with e as (select *, mean between cast(108.95 as double) - 2 * cast(2.55 as double) and cast(108.95 as double) + 2 * cast(2.55 as double) as is_a from v_evt)"
 
 
 @query(_A + _BEST + ' select read_id, cast(score as bigint) as score, "first", "last" from best')
@@ -148,7 +148,7 @@ def pa_extend_open(spark, sf):
   fine as (select read_id from lv where abs(lev - 108.95) <= 1.7 * 2.55 and cast(read_id as bigint) % 3 <> 0),
   ad as (select read_id, max(start + length) adapter_end from v_evt where k <= 20 group by 1),
   nr as (select e.read_id, sum(length) n, sum(mean * length) / sum(length) c from e join ad using (read_id) where start + length > adapter_end and start <= adapter_end + 100 and stdv < 5 group by 1),
-  e2 as (select e.* exclude (is_a), mean between c - 2 * 2.55 and c + 2 * 2.55 as is_a from e join nr using (read_id) where n >= 750 and read_id not in (select read_id from fine))"""
+  e2 as (select e.* exclude (is_a), mean between c - 2 * cast(2.55 as double) and c + 2 * cast(2.55 as double) as is_a from e join nr using (read_id) where n >= 750 and read_id not in (select read_id from fine))"""
   + _BEST.replace("from e)", "from e2)").replace("v as (", "v2 as (").replace("from v)", "from v2)").replace("g as (", "g2 as (").replace("from g where", "from g2 where").replace("t as (", "t2 as (").replace("t a join t b", "t2 a join t2 b").replace("p as (", "p2 as (").replace("from p)", "from p2)").replace("best as (", "best2 as (")
   + """ select read_id, cast(score as bigint) as score, "first", "last", false as recalibrated from best where read_id in (select read_id from fine)
   union all select read_id, cast(score as bigint), "first", "last", true from best2""")
