@@ -20,9 +20,9 @@ import hashlib
 import heapq
 import json
 import os
-import re
 import tempfile
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,14 +33,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from readloom.llm.bytesops import span_hashes
+from readloom.llm.shared import stored
+
 #: Words of the lexicon; it only saves time, results don't depend on it.
 LEXICON_WORDS = 60_000
-#: White-space separated stretches that a worker remembers before it starts afresh.
-MEMO = 600_000
+#: Stretches that a worker remembers before it starts afresh (about 60 bytes each); texts encoded at once.
+MEMO, ROWS = 600_000, 250
+#: Different stretches that a worker counts before it passes the counts on.
+COUNTED = 200_000
 WIDE = 48
 _ENCODERS: dict[tuple, WordEncoder] = {}
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indexes of the stretches ``starts[i] .. starts[i] + sizes[i]``, one after the other."""
+    ahead = np.cumsum(sizes) - sizes
+    return np.repeat(starts - ahead, sizes) + np.arange(int(sizes.sum()))
+
+
 class Lexicon:
     """Minimal acyclic automaton over byte strings, with a row of token ids for each word."""
 
@@ -56,7 +67,7 @@ class Lexicon:
         self._key = np.repeat(np.arange(len(self.first) - 1, dtype=np.int64), np.diff(self.first)) << 8 | self.label
 
     @staticmethod
-    def build(path: str, words: list[bytes], outputs: list[bytes]) -> None:
+    def build(path: str, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         """Compile sorted, distinct words: each state is registered by its edges once it can't change any more."""
         nodes: list[tuple[int, tuple]] = []
         register: dict[tuple, int] = {}
@@ -93,22 +104,18 @@ class Lexicon:
                 n += words_below[to]
             words_below[i] = n
             first.append(len(label))
-        starts = np.concatenate(([0], np.cumsum([len(o) // 4 for o in outputs]))) if outputs else np.zeros(1)
-        arrays = [first, label, target, before, [f for f, _ in nodes], starts, np.frombuffer(b"".join(outputs), "<u4")]
+        arrays = [first, label, target, before, [f for f, _ in nodes], np.concatenate(([0], np.cumsum(sizes))), ids]
         with open(path, "wb") as out:
             np.array([root, *map(len, arrays)], np.int64).tofile(out)
             for a in arrays:
                 np.asarray(a, np.int32).tofile(out)
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        """The number of each word in sorted order, -1 for words it lacks; all words walk one byte a step."""
-        out = np.full(len(words), -1, np.int64)
-        if not len(self._key) or not words:
+    def numbers(self, data: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The number in sorted order of the word at each place of ``data``, -1 for words it lacks; all words walk one byte a step."""
+        out = np.full(len(at), -1, np.int64)
+        if not len(self._key) or not len(at):
             return out
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        data = np.frombuffer(b"".join(words), np.uint8)
-        at = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        rows, node, number = np.arange(len(words)), np.full(len(words), len(self.first) - 2), np.zeros(len(words), np.int64)
+        rows, node, number = np.arange(len(at)), np.full(len(at), len(self.first) - 2), np.zeros(len(at), np.int64)
         for step in range(int(sizes.max()) + 1):
             end = sizes[rows] == step
             if end.any():
@@ -117,7 +124,7 @@ class Lexicon:
                 rows, node, number = rows[~end], node[~end], number[~end]
             if not len(rows):
                 break
-            key = node << 8 | data[at[rows] + step]
+            key = node << 8 | data[at[rows] + step].astype(np.int64)
             edge = np.searchsorted(self._key, key)
             edge[edge == len(self._key)] = 0
             ok = self._key[edge] == key
@@ -125,15 +132,16 @@ class Lexicon:
             node, number = self.target[edge].astype(np.int64), number + self.before[edge]
         return out
 
-    def output(self, number: int) -> bytes:
-        """Token ids of a word as little-endian unsigned 32-bit integers."""
-        return self.ids[self.starts[number] : self.starts[number + 1]].tobytes()
+    def outputs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of several words, one after the other, and how many each has."""
+        starts, sizes = self.starts[numbers].astype(np.int64), (self.starts[numbers + 1] - self.starts[numbers]).astype(np.int64)
+        return self.ids[spread(starts, sizes)].astype(np.uint32), sizes
 
 
 class WordEncoder:
     """Encodes and decodes texts as the ``tokenizers`` library does with one vocabulary file."""
 
-    def __init__(self, path: str, lexicon: str | None = None, with_text: bool = True):
+    def __init__(self, path: str, lexicon: str | None = None):
         import regex
 
         spec = json.load(open(path, encoding="utf-8"))
@@ -159,10 +167,18 @@ class WordEncoder:
         self._key, self._rank, self._made = key[by], np.arange(len(key))[by], made[by]
         self._some = np.zeros(1 << 20, bool)  # whether any merge has this hash
         self._some[self._slot(key)] = True
-        self._pair = dict(zip(key.tolist(), zip(range(len(key)), made.tolist(), strict=True), strict=True))
-        self.lexicon, self.with_text = Lexicon(lexicon) if lexicon else None, with_text
-        self._memo: dict[str, bytes] = {}
-        self._text: dict[str, str] = {}
+        self._pair: dict[int, tuple[int, int]] | None = None
+        self.lexicon = Lexicon(lexicon) if lexicon else None
+        names = [(self.names.get(i, "") + " ").encode() for i in range(max(self.names) + 1)]
+        self._name_size = np.fromiter(map(len, names), np.int64, len(names))
+        self._name_at = np.cumsum(self._name_size) - self._name_size
+        self._name_bytes = np.frombuffer(b"".join(names), np.uint8)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Stretches known so far: sorted hashes with their entry, and every entry's ids in one array."""
+        self._hash, self._entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self._at, self._size, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     @staticmethod
     def _slot(key: np.ndarray) -> np.ndarray:
@@ -182,13 +198,15 @@ class WordEncoder:
         rank[hit], made[hit] = self._rank[at], self._made[at]
         return rank, made
 
-    def _merge_same_length(self, words: list[bytes]) -> list[bytes]:
-        """Merge words of one byte length side by side: each step does every word's best merge, leftmost on ties."""
-        n, size = len(words), len(words[0])
-        data = np.frombuffer(b"".join(words), np.uint8).reshape(n, size)
+    def _merge_same_length(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merge words of one byte length (rows of ``data``) side by side: each step does every word's best merge, leftmost on ties.
+
+        Returns the ids of all words, one after the other, and how many each has.
+        """
+        n, size = data.shape
         ids = self._inner[data]
         ids[:, -1] = self._outer[data[:, -1]]
-        out: list = [None] * n
+        out, sizes = np.zeros((n, size), np.uint32), np.zeros(n, np.int64)
         rows = np.arange(n)
         if size > 1:
             rank, made = (x.reshape(n, size - 1) for x in self._lookup(ids[:, :-1].ravel(), ids[:, 1:].ravel()))
@@ -197,7 +215,7 @@ class WordEncoder:
             each = np.arange(len(rows))
             done = rank[each, j] >= 1 << 40
             if done.any():
-                self._give(out, rows[done], ids[done])
+                out[rows[done], :size], sizes[rows[done]] = ids[done], size
                 rows, ids, rank, made, j = rows[~done], ids[~done], rank[~done], made[~done], j[~done]
                 each = np.arange(len(rows))
             if not len(rows):
@@ -217,17 +235,13 @@ class WordEncoder:
             rank[left, j[left] - 1], made[left, j[left] - 1] = self._lookup(ids[left, j[left] - 1], ids[left, j[left]])
             right = np.flatnonzero(j < size - 1)
             rank[right, j[right]], made[right, j[right]] = self._lookup(ids[right, j[right]], ids[right, j[right] + 1])
-        self._give(out, rows, ids)
-        return out
-
-    @staticmethod
-    def _give(out: list, rows: np.ndarray, ids: np.ndarray) -> None:
-        raw, step = ids.astype("<u4").tobytes(), 4 * ids.shape[1]
-        for k, r in enumerate(rows.tolist()):
-            out[r] = raw[k * step : (k + 1) * step]
+        out[rows, : ids.shape[1]], sizes[rows] = ids, ids.shape[1]
+        return out[np.arange(out.shape[1]) < sizes[:, None]], sizes
 
-    def _merge_long(self, word: bytes) -> bytes:
+    def _merge_long(self, word: bytes) -> np.ndarray:
         """The same for one long word, with a heap and linked symbols."""
+        if self._pair is None:
+            self._pair = dict(zip(self._key.tolist(), zip(self._rank.tolist(), self._made.tolist(), strict=True), strict=True))
         ids = self._inner[np.frombuffer(word, np.uint8)].tolist()
         ids[-1] = int(self._outer[word[-1]])
         after, ahead = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
@@ -252,21 +266,42 @@ class WordEncoder:
             offer(i)
             if ahead[i] >= 0:
                 offer(ahead[i])
-        return np.array([x for x in ids if x >= 0], "<u4").tobytes()
-
-    def merge_words(self, words: list[bytes]) -> list[bytes]:
-        """Token ids of distinct pre-split words by exact merging."""
-        out: list = [None] * len(words)
-        by: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            if len(w) > WIDE:
-                out[i] = self._merge_long(w)
+        return np.array([x for x in ids if x >= 0], np.uint32)
+
+    def word_ids(self, data: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of words at places of ``data``: from the lexicon, or merged exactly; with the number of each."""
+        n = len(at)
+        number = self.lexicon.numbers(data, at, sizes) if self.lexicon else np.full(n, -1)
+        groups, parts, counts = [np.flatnonzero(number >= 0)], [], []
+        if len(groups[0]):
+            ids, count = self.lexicon.outputs(number[groups[0]])
+            parts.append(ids)
+            counts.append(count)
+        else:
+            groups = []
+        unseen = np.flatnonzero(number < 0)
+        for size in np.unique(sizes[unseen]).tolist():
+            own = unseen[sizes[unseen] == size]
+            if size > WIDE:
+                each = [self._merge_long(data[a : a + size].tobytes()) for a in at[own].tolist()]
+                ids, count = np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))
             else:
-                by.setdefault(len(w), []).append(i)
-        for rows in by.values():
-            for i, x in zip(rows, self._merge_same_length([words[i] for i in rows]), strict=True):
-                out[i] = x
-        return out
+                ids, count = self._merge_same_length(data[at[own][:, None] + np.arange(size)])
+            groups.append(own)
+            parts.append(ids)
+            counts.append(count)
+        if not groups:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        order, ids, count = np.concatenate(groups), np.concatenate(parts), np.concatenate(counts)
+        starts = np.cumsum(count) - count
+        back = np.empty(n, np.int64)
+        back[order] = np.arange(n)
+        return ids[spread(starts[back], count[back])], count[back]
+
+    def merge_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``word_ids`` of a list of words."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        return self.word_ids(np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes) - sizes, sizes)
 
     # texts
 
@@ -274,17 +309,40 @@ class WordEncoder:
         """Split a normalised stretch without white space into words."""
         return [stretch] if stretch.isalpha() else self._words(stretch)
 
-    def learn(self, stretches: list[str]) -> None:
-        parts = [self.pieces(s) for s in stretches]
+    def _learn(self, data: np.ndarray, alpha: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> None:
+        """Remember new stretches (with sorted hashes): words of plain letters as they are, others split first."""
+        others = np.concatenate(([0], np.cumsum(~alpha)))
+        plain = others[end] == others[start]
+        one, many = np.flatnonzero(plain), np.flatnonzero(~plain)
+        ids, sizes = self.word_ids(data, start[one], end[one] - start[one])
+        parts: list[list[bytes]] = []
+        marked: dict[int, int] = {}
+        for k, (a, b) in enumerate(zip(start[many].tolist(), end[many].tolist(), strict=True)):
+            raw = data[a:b].tobytes()
+            if raw[0] == 0xFF:
+                marked[k] = int(raw[1:])
+                parts.append([])
+            else:
+                parts.append([w.encode("utf-8", "surrogatepass") for w in self.pieces(raw.decode("utf-8", "surrogatepass"))])
         words = list({w for p in parts for w in p})
-        raw = [w.encode("utf-8", "surrogatepass") for w in words]
-        known = self.lexicon.numbers(raw) if self.lexicon else np.full(len(raw), -1)
-        unseen = np.flatnonzero(known < 0).tolist()
-        ids = {words[i]: self.lexicon.output(known[i]) for i in np.flatnonzero(known >= 0).tolist()}
-        ids.update(zip((words[i] for i in unseen), self.merge_words([raw[i] for i in unseen]), strict=True))
-        self._memo.update((s, ids[p[0]] if len(p) == 1 else b"".join(map(ids.__getitem__, p))) for s, p in zip(stretches, parts, strict=True))
-        if self.with_text:
-            self._text.update((s, self.decode(self._memo[s])) for s in stretches)
+        flat, count = self.merge_words(words)
+        at = dict(zip(words, range(len(words)), strict=True))
+        index = np.fromiter((at[w] for p in parts for w in p), np.int64)
+        owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        more = flat[spread((np.cumsum(count) - count)[index], count[index])] if len(index) else np.zeros(0, np.uint32)
+        each = np.bincount(owner, count[index], len(parts)).astype(np.int64) if len(index) else np.zeros(len(parts), np.int64)
+        base = np.cumsum(each) - each
+        special = np.fromiter(marked.values(), np.uint32, len(marked))
+        spot = np.fromiter(marked.keys(), np.int64, len(marked))
+        begin, size = np.empty(len(start), np.int64), np.empty(len(start), np.int64)
+        begin[one], size[one] = len(self._ids) + np.cumsum(sizes) - sizes, sizes
+        begin[many], size[many] = len(self._ids) + len(ids) + base, each
+        begin[many[spot]], size[many[spot]] = len(self._ids) + len(ids) + len(more) + np.arange(len(spot)), 1
+        place = np.searchsorted(self._hash, hashes)
+        self._hash = np.insert(self._hash, place, hashes)
+        self._entry = np.insert(self._entry, place, len(self._at) + np.arange(len(hashes)))
+        self._at, self._size = np.concatenate((self._at, begin)), np.concatenate((self._size, size))
+        self._ids = np.concatenate((self._ids, ids, more, special))
 
     def _normal(self, text: str) -> str:
         """NFC and lower case, character by character."""
@@ -294,73 +352,90 @@ class WordEncoder:
             text = unicodedata.normalize("NFC", text)
         return "".join(c.lower() for c in text) if "\u03a3" in text else text.lower()
 
-    def _cut(self, text: str) -> list[str]:
-        """White-space separated stretches; special strings are stretches of their own."""
+    def _flat(self, text: str) -> bytes:
+        """Normalised text; special strings become marks that no UTF-8 text can hold."""
         if self._specials is not None and "<|" in text and self._specials.search(text):
-            return [w for k, part in enumerate(self._specials.split(text)) for w in ([part] if k % 2 else self._cut(part))]
+            return b" ".join(b"\xff%d" % self.special[part] if k % 2 else self._flat(part) for k, part in enumerate(self._specials.split(text)))
         text = self._normal(text)
-        control, loose = _look(text)
-        if control:  # the library doesn't take these for white space, as split() does
-            return [w for w in self._space.split(text) if w]
-        if loose:
-            text = text.replace(".", " . ").replace(",", " , ")
-        return text.split()
-
-    def encode_all(self, texts: list[str]) -> list[list[str]]:
-        """Each text as its stretches, all of which are then known to ``ids`` and ``decoded``."""
-        cut = [self._cut(t) for t in texts]
-        need: set[str] = set().union(*cut)
-        new = need - self._memo.keys()
-        if len(self._memo) + len(new) > MEMO:
-            self._memo.clear()
-            self._text.clear()
-            new = need
-        for s in new & self.special.keys():
-            self._memo[s], self._text[s] = np.array([self.special[s]], "<u4").tobytes(), s
-        self.learn(list(new - self.special.keys()))
-        return cut
-
-    def ids(self, stretches: list[str]) -> bytes:
-        """Token ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self._memo.__getitem__, stretches))
-
-    def decoded(self, stretches: list[str]) -> str:
-        return " ".join(map(self._text.__getitem__, stretches))
-
-    def decode(self, ids: bytes) -> str:
-        """Without a decoder in the file the library joins the tokens by spaces."""
-        return " ".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
-
-# 1: symbols and bytes of characters that may be symbols, 2: full stop and comma, 3: controls that split() takes for white space
+        if not text.isascii():
+            odd = any(c in text for c in "\x1c\x1d\x1e\x1f")  # split() takes these for white space, the library doesn't
+            text = " ".join(self._space.split(text) if odd else text.split())
+        return text.encode("utf-8", "surrogatepass")
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all texts, one after the other, and the offset of each text in them."""
+        raw = [self._flat(t) for t in texts]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
+        row_at = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b" ".join(raw) + b" ", np.uint8) if raw else np.zeros(0, np.uint8)
+        kind, alpha, body = _CLASS[data], _ALPHA[data], ~_SPACE[data]
+        letter = np.flatnonzero(data == 0xC3)  # U+00C0 to U+00FF are letters, but for two signs
+        letter = letter[(data[letter + 1] != 0x97) & (data[letter + 1] != 0xB7)]
+        for at in (letter, letter + 1):
+            kind[at], alpha[at] = 0, True
+        # a full stop or comma beside no symbol is a word of its own; so it stands apart in texts where all are such
+        mark = kind == 2
+        sign = kind > 0
+        beside = np.flatnonzero((mark[1:] & sign[:-1]) | (mark[:-1] & sign[1:]))
+        tight = np.zeros(len(raw), bool)
+        tight[np.searchsorted(row_at, beside, side="right") - 1] = True
+        lone = np.flatnonzero(mark)
+        lone = lone[~tight[np.searchsorted(row_at, lone, side="right") - 1]]
+        apart = np.zeros(len(data), bool)
+        apart[lone] = True
+        first, last = body.copy(), body.copy()
+        first[1:] &= ~body[:-1] | apart[:-1] | apart[1:]
+        last[:-1] &= ~body[1:] | apart[1:] | apart[:-1]
+        start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        hashes, where, index = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
+        new = np.ones(len(hashes), bool)
+        if len(self._hash):
+            at = np.searchsorted(self._hash, hashes)
+            at[at == len(self._hash)] = 0
+            new = self._hash[at] != hashes
+            if len(self._hash) + int(new.sum()) > MEMO:
+                self._forget()
+                new[:] = True
+        if new.any():
+            self._learn(data, alpha, start[where[new]], end[where[new]], hashes[new])
+        entry = self._entry[np.searchsorted(self._hash, hashes)][index] if len(hashes) else np.zeros(0, np.int64)
+        size = self._size[entry]
+        ids = self._ids[spread(self._at[entry], size)]
+        per = np.bincount(np.searchsorted(row_at, start, side="right") - 1, size, len(raw)).astype(np.int64)
+        return ids, np.concatenate(([0], np.cumsum(per)))
+
+    def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """The texts of encoded rows in UTF-8: without a decoder in the file the library joins the tokens by spaces."""
+        size = self._name_size[ids]
+        raw = self._name_bytes[spread(self._name_at[ids], size)].tobytes()
+        at = np.concatenate(([0], np.cumsum(size)))[offsets].tolist()
+        return [raw[a : max(a, b - 1)] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+# 1: symbols and bytes of characters that may be symbols, 2: full stop and comma
 _CLASS = np.ones(256, np.uint8)
-_CLASS[[*b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 \t\n\x0b\x0c\r"]] = 0
+_CLASS[[*b"abcdefghijklmnopqrstuvwxyz0123456789 \t\n\x0b\x0c\r"]] = 0
 _CLASS[[*b".,"]] = 2
-_CLASS[0x1C:0x20] = 3
-
-
-def _look(text: str) -> tuple[bool, bool]:
-    """Whether it has odd controls; whether all stops and commas stand beside no symbol, so that each is a word of its own."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    kind = _CLASS[data]
-    if not text.isascii():  # U+00C0 to U+00FF are letters, but for two signs
-        letter = np.flatnonzero(data == 0xC3)
-        letter = letter[(data[letter + 1] != 0x97) & (data[letter + 1] != 0xB7)]
-        kind[letter] = kind[letter + 1] = 0
-    mark = kind == 2
-    body = kind > 0
-    return bool((kind == 3).any()), not ((mark[1:] & body[:-1]).any() or (mark[:-1] & body[1:]).any())
+_ALPHA = np.zeros(256, bool)
+_ALPHA[[*b"abcdefghijklmnopqrstuvwxyz"]] = True
+_SPACE = np.zeros(256, bool)
+_SPACE[[*b" \t\n\x0b\x0c\r"]] = True
 
 
-def encoder(path: str, lexicon: str | None = None, with_text: bool = False) -> WordEncoder:
+def encoder(path: str, lexicon: str | None = None) -> WordEncoder:
     """The encoder of a file, loaded once per worker."""
-    key = (path, lexicon, with_text)
+    key = (path, lexicon)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = WordEncoder(path, lexicon, with_text)
+        _ENCODERS[key] = WordEncoder(path, lexicon)
     return _ENCODERS[key]
 
 
+def release() -> None:
+    """Let go of a worker's encoder before work that doesn't need it."""
+    _ENCODERS.clear()
+
+
 def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
 
@@ -380,16 +455,23 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, most: int = LEXICON_WOR
             return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], ["word", "n"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if text:
-                    seen.update(e._cut(text))
-            if len(seen) > MEMO:
+            for text in batch.column(0):
+                if text.is_valid:
+                    seen.update(e._flat(text.as_py()).decode("utf-8", "replace").split())
+            if len(seen) > COUNTED:
                 yield pack()
                 seen.clear()
         yield pack()
 
     counts = docs.select(docs[text_col].cast("string").alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r[0] for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+    # a histogram of counts gives the least count that at most so many words reach; only those come to the driver
+    counts = stored(counts.filter("n > 1").withColumn("level", F.floor(F.log2("n") * 16).cast("int")), "word-counts")
+    total, level = 0, None
+    for r in sorted(counts.groupBy("level").count().collect(), reverse=True):
+        if total + r["count"] > most:
+            break
+        total, level = total + r["count"], r["level"]
+    return [] if level is None else [r[0] for r in counts.filter(F.col("level") >= level).select("word").collect()]
 
 
 def compile_lexicon(docs: DataFrame, tokenizer_path: str, most: int = LEXICON_WORDS, text_col: str = "text") -> str:
@@ -399,11 +481,10 @@ def compile_lexicon(docs: DataFrame, tokenizer_path: str, most: int = LEXICON_WO
     executors that join later.
     """
     words = sorted({w.encode("utf-8", "surrogatepass") for w in frequent_words(docs, tokenizer_path, most, text_col)})
-    outputs = encoder(tokenizer_path).merge_words(words)
+    ids, sizes = encoder(tokenizer_path).merge_words(words)
     folder = tempfile.mkdtemp(prefix="readloom-lexicon-")
-    digest = hashlib.sha256(b"\n".join(words) + tokenizer_path.encode()).hexdigest()[:16]
-    path = os.path.join(folder, f"lexicon-{digest}.bin")
-    Lexicon.build(path, words, outputs)
+    path = os.path.join(folder, f"lexicon-{uuid.uuid4().hex}.bin")
+    Lexicon.build(path, words, ids, sizes)
     docs.sparkSession.sparkContext.addFile(path)
     return os.path.basename(path)
 
@@ -412,26 +493,21 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, lexicon: str | None =
     """Per document ``doc_id, n_tokens, ids_sha256, decoded_sha256``; ``keep`` adds ``ids`` (binary) and ``decoded``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(tokenizer_path, SparkFiles.get(lexicon) if lexicon else None, with_text=True)
+        e = encoder(tokenizer_path, SparkFiles.get(lexicon) if lexicon else None)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1500):
-                part = batch.slice(at, 1500)
-                cut = e.encode_all([t or "" for t in part.column(1).to_pylist()])
-                n, sha, text_sha, ids, decoded = [], [], [], [], []
-                for words in cut:
-                    raw, text = e.ids(words), e.decoded(words)
-                    n.append(len(raw) // 4)
-                    sha.append(hashlib.sha256(raw).hexdigest())
-                    text_sha.append(hashlib.sha256(text.encode()).hexdigest())
-                    if keep:
-                        ids.append(raw)
-                        decoded.append(text)
-                cols = [part.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(text_sha, pa.string())]
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                ids, offsets = e.encode_all([t or "" for t in part.column(1).to_pylist()])
+                texts = e.decode_all(ids, offsets)
+                whole, places = ids.astype("<u4").tobytes(), (4 * offsets).tolist()
+                raw = [whole[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
+                cols = [part.column(0), pa.array(np.diff(offsets)), pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string()), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep:
-                    cols += [pa.array(ids, pa.binary()), pa.array(decoded, pa.string())]
+                    cols += [pa.array(raw, pa.binary()), pa.array(texts, pa.string())]
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(cols, names)
+            pa.default_memory_pool().release_unused()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * keep
     return texts_of(docs, id_col, text_col).mapInArrow(run, schema)
@@ -444,14 +520,15 @@ def encode_columns(docs: DataFrame, tokenizer_path: str, lexicon: str | None = N
     kept = docs.select(*own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(tokenizer_path, SparkFiles.get(lexicon) if lexicon else None, with_text=True)
+        e = encoder(tokenizer_path, SparkFiles.get(lexicon) if lexicon else None)
         for batch in batches:
-            for start in range(0, batch.num_rows, 1500):
-                part = batch.slice(start, 1500)
-                cut = e.encode_all([t or "" for t in part.column(at).to_pylist()])
-                raw = [e.ids(words) for words in cut]
-                new = [pa.array(raw, pa.binary()), pa.array([len(r) // 4 for r in raw], pa.int64()), pa.array([e.decoded(words) for words in cut], pa.string())]
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                ids, offsets = e.encode_all([t or "" for t in part.column(at).to_pylist()])
+                whole, places = ids.astype("<u4").tobytes(), (4 * offsets).tolist()
+                new = [pa.array([whole[a:b] for a, b in zip(places[:-1], places[1:], strict=True)], pa.binary()), pa.array(np.diff(offsets)), pa.array(e.decode_all(ids, offsets), pa.string())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], [*own, "token_ids", "n_tokens", "decoded"])
+            pa.default_memory_pool().release_unused()
 
     added = [T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.StringType())]
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *added]))
