@@ -4,7 +4,7 @@ Documents are encoded, sorted by ``doc_id`` and packed into shards.  A shard is
 one row of a Parquet table, so any store Spark can write to will do:
 
 ``shard`` (range, sequence), ``first_id``/``last_id``, ``docs``, ``tokens``,
-``payload`` (all ids, little-endian unsigned 32-bit, without gaps) and an index
+``payload`` (all ids, little-endian unsigned integers of ``width`` bytes, without gaps) and an index
 for keyed access: a minimal perfect hash over the document keys, and for each
 of its values a 32-bit fingerprint, the offset and the length in the payload.
 
@@ -31,15 +31,20 @@ from pyspark.sql import functions as F
 
 from readloom.llm.bytesops import mix64
 from readloom.llm.shared import new_path
-from readloom.llm.word_bpe import encoder, texts_of
+from readloom.llm.word_bpe import ROWS, encoder, release, texts_of
 
 #: Bytes of ids in a shard, unless one document has more.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 #: Documents of one key range (the unit that a task sorts).
 RANGE_DOCS = 8192
 LEVELS = 24
+#: Shards whose offsets may be sent to all executors (24 bytes each); beyond it they are joined by a shuffle.
+OFFSETS = 200_000
 
-SHARD = "range int, shard int, first_id long, last_id long, docs int, tokens long, payload binary, doc_ids binary, lengths binary, bits binary, level_sizes binary, prints binary, slots binary"
+#: Payloads are written without a dictionary and in small row groups, so that neither writing nor reading holds many of them.
+FILES = {"compression": "lz4_raw", "parquet.enable.dictionary": "false", "parquet.block.size": str(8 << 20)}
+
+SHARD = "range int, shard int, first_id long, last_id long, docs int, tokens long, width int, payload binary, doc_ids binary, lengths binary, bits binary, level_sizes binary, prints binary, slots binary"
 
 
 def _spot(keys: np.ndarray, level: int, size: int) -> np.ndarray:
@@ -84,10 +89,10 @@ class PerfectHash:
         return out
 
 
-def _shard_row(rng: int, seq: int, rows: list[tuple]) -> dict:
+def _shard_row(rng: int, seq: int, rows: list[tuple], width: int) -> dict:
     ids = np.array([r[0] if r[0] is not None else 0 for r in rows], np.int64)
     real = np.array([r[0] is not None for r in rows])
-    lengths = np.array([len(r[1]) // 4 for r in rows], np.int64)
+    lengths = np.array([len(r[1]) // width for r in rows], np.int64)
     start = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     new = real.copy()
     new[1:] &= (ids[1:] != ids[:-1]) | ~real[:-1]
@@ -100,30 +105,45 @@ def _shard_row(rng: int, seq: int, rows: list[tuple]) -> dict:
     prints[order] = fingerprint(keys)
     slots[order] = np.column_stack((start[heads], heads, many))
     return {
-        "range": rng, "shard": seq, "first_id": rows[0][0], "last_id": rows[-1][0], "docs": len(rows), "tokens": int(lengths.sum()),
+        "range": rng, "shard": seq, "first_id": rows[0][0], "last_id": rows[-1][0], "docs": len(rows), "tokens": int(lengths.sum()), "width": width,
         "payload": b"".join(r[1] for r in rows), "doc_ids": np.where(real, ids, 0).tobytes() + real.tobytes(), "lengths": lengths.tobytes(),
         "bits": np.packbits(h.bits).tobytes(), "level_sizes": h.sizes.tobytes(), "prints": prints.tobytes(), "slots": slots.tobytes(),
     }
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()] + [pa.binary()] * 7
+def _packer(small: str):
+    """Packs rows that arrive in order; ``small`` is the width of the ids on their way."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _pack(batches, small)
+
+    return run
+
+
+def _pack(batches: Iterator[pa.RecordBatch], small: str) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()] + [pa.binary()] * 7
+    release()
+    width = np.dtype(small).itemsize
     now, seq, held, size = None, 0, [], 0
 
     def out() -> pa.RecordBatch:
-        row = _shard_row(now, seq, held)
+        row = _shard_row(now, seq, held, width)
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), kinds, strict=True)], list(row))
 
-    for batch in batches:
-        for rng, doc_id, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            # rows of one doc_id stay in one shard
-            if held and (rng != now or (size + len(raw) > SHARD_BYTES and held[-1][0] != doc_id)):
-                yield out()
-                seq = seq + 1 if rng == now else 0
-                held, size = [], 0
-            now = rng
-            held.append((doc_id, raw))
-            size += len(raw)
+    def documents() -> Iterator[tuple]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                yield from zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True)
+
+    for rng, doc_id, raw in documents():
+        # rows of one doc_id stay in one shard
+        if held and (rng != now or (size + len(raw) > SHARD_BYTES and held[-1][0] != doc_id)):
+            yield out()
+            seq = seq + 1 if rng == now else 0
+            held, size = [], 0
+        now = rng
+        held.append((doc_id, raw))
+        size += len(raw)
     if held:
         yield out()
 
@@ -136,19 +156,23 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
     cuts = [float(c) for c in np.arange(1, parts) / parts]
     bounds = ids.agg(F.percentile_approx("doc_id", cuts, 20 * parts)).first()[0] if cuts else []
     bounds = np.unique(np.array(bounds or [], np.int64))
+    small = "<u2" if max(end_id, *encoder(tokenizer_path).names) < 1 << 16 else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(tokenizer_path)
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                raw = [e.ids(words) + end for words in e.encode_all([t or "" for t in part.column(1).to_pylist()])]
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                ids, offsets = e.encode_all([t or "" for t in part.column(1).to_pylist()])
+                whole = np.insert(ids, offsets[1:], end_id).astype(small).tobytes()
+                places = ((offsets + np.arange(len(offsets))) * np.dtype(small).itemsize).tolist()
+                raw = [whole[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
                 key = np.searchsorted(bounds, np.asarray(part.column(0).fill_null(np.iinfo(np.int64).min)), side="left")
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.int32()), part.column(0), pa.array(raw, pa.binary())], ["range", "doc_id", "ids"])
+            pa.default_memory_pool().release_unused()
 
     encoded = texts_of(docs, id_col, text_col).mapInArrow(run, "range int, doc_id long, ids binary")
-    encoded.repartition(F.col("range")).sortWithinPartitions("range", F.col("doc_id").asc_nulls_first(), "ids").mapInArrow(_pack, SHARD).write.option("compression", "lz4_raw").parquet(path)
+    encoded.repartition(F.col("range")).sortWithinPartitions("range", F.col("doc_id").asc_nulls_first(), "ids").mapInArrow(_packer(small), SHARD).write.options(**FILES).parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -157,12 +181,17 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     before = F.sum("tokens").over(Window.orderBy("range", "shard").rowsBetween(Window.unboundedPreceding, -1))
     offsets = shards.select("range", "shard", "tokens").withColumn("before", F.coalesce(before, F.lit(0).cast("long"))).select("range", "shard", "before")
 
+    if shards.count() <= OFFSETS:
+        offsets = F.broadcast(offsets)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 ids, real, lengths = _documents(row)
                 start = np.concatenate(([0], np.cumsum(lengths)))
-                raw = row["payload"]
+                raw = _wide(row["payload"], row["width"])
                 crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(start[:-1].tolist(), start[1:].tolist(), strict=True)]
                 found = locate(row, ids)
                 keyed = ~real | ((found[:, 0] <= start[:-1]) & (found[:, 1] <= np.arange(len(ids))) & (np.arange(len(ids)) < found[:, 1] + found[:, 2]))
@@ -170,10 +199,16 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(ids, mask=~real), pa.array(start[:-1] + row["before"]), pa.array(lengths), pa.array(crc, pa.int64()), pa.array(keyed)],
                     ["doc_id", "start", "n_tokens", "ids_crc32", "keyed"],
                 )
+            pa.default_memory_pool().release_unused()
 
     return shards.join(offsets, ["range", "shard"]).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, keyed boolean")
 
 
+def _wide(raw: bytes, width: int) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return raw if width == 4 else np.frombuffer(raw, f"<u{width}").astype("<u4").tobytes()
+
+
 def _documents(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = row["docs"]
     return np.frombuffer(row["doc_ids"][: 8 * n], np.int64), np.frombuffer(row["doc_ids"][8 * n :], bool), np.frombuffer(row["lengths"], np.int64)
@@ -211,12 +246,12 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame, id_col: str = "doc_i
             for row in batch.to_pylist():
                 k = np.array(row["ks"], np.int64)
                 _, _, lengths = _documents(row)
-                start = np.concatenate(([0], np.cumsum(lengths))) * 4
+                start = np.concatenate(([0], np.cumsum(lengths))) * row["width"]
                 ids, raw = [], []
                 for key, (_, first, many) in zip(k.tolist(), locate(row, k).tolist(), strict=True):
                     for d in range(first, first + many):
                         ids.append(key)
-                        raw.append(row["payload"][start[d] : start[d + 1]])
+                        raw.append(_wide(row["payload"][start[d] : start[d + 1]], row["width"]))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(raw, pa.binary())], ["doc_id", "ids"])
 
     return shards.join(dealt, ["range", "shard"]).mapInArrow(run, "doc_id long, ids binary")
