@@ -33,6 +33,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: Share of base spans among like candidates from which a candidate is added.
 LEAST = 0.6
 TREES, RATE, LEAVES = 30, 0.3, 4
+#: Matches whose starts are summed up together.
+CHUNK = 64
 
 # Same matches as the plain patterns; look-behinds only keep long runs from being scanned again from every character.
 BASE = {
@@ -81,13 +83,39 @@ def _plausible(kind: str, s: Column) -> Column:
     return _valid(kind, s)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _matches(text: Column, pattern: str, needs: str) -> Column:
-    """Array of ``s, at, b, a``: match, start, and the stretches before and after it (one character each)."""
-    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    steps = F.transform(found, lambda m, i: F.struct(m.alias("s"), F.length(F.get(between, i)).alias("gap"), F.substring(F.get(between, i), -1, 1).alias("b"), F.substring(F.get(between, i + 1), 1, 1).alias("a")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:string,at:int,b:string,a:string>>").alias("out"))
-    placed = F.aggregate(steps, start, lambda acc, m: F.struct((acc["at"] + m["gap"] + F.length(m["s"])).alias("at"), F.concat(acc["out"], F.array(F.struct(m["s"].alias("s"), (acc["at"] + m["gap"]).alias("at"), m["b"].alias("b"), m["a"].alias("a")))).alias("out")), lambda acc: acc["out"])
-    return F.when(text.rlike(needs), placed).otherwise(F.array().cast("array<struct<s:string,at:int,b:string,a:string>>"))
+    """Array of ``s, at, b, a``: match, start, and the stretches before and after it (one character each).
+
+    Starts are running sums, taken within chunks of ``CHUNK`` matches and over
+    the chunks, so texts with very many matches stay cheap.
+    """
+    kind = "array<struct<s:string,at:int,b:string,a:string>>"
+    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("f"), F.split(text, pattern, -1).alias("g"))
+
+    def steps(p: Column) -> Column:
+        return F.transform(p["f"], lambda m, i: F.struct(m.alias("s"), F.length(F.get(p["g"], i)).alias("gap"), F.length(m).alias("size"), F.substring(F.get(p["g"], i), -1, 1).alias("b"), F.substring(F.get(p["g"], i + 1), 1, 1).alias("a")))
+
+    def chunked(st: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(st) / CHUNK) - 1, F.lit(0)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(st, c * CHUNK + 1, CHUNK))
+
+    def bases(ch: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        sums = F.transform(ch, lambda part: F.aggregate(part, F.lit(0), lambda t, m: t + m["gap"] + m["size"]))
+        return F.aggregate(sums, start, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    def placed(part: Column, base: Column) -> Column:
+        start = F.struct(base.alias("at"), F.array().cast(kind).alias("out"))
+        one = lambda acc, m: F.array(F.struct(m["s"].alias("s"), (acc["at"] + m["gap"]).alias("at"), m["b"].alias("b"), m["a"].alias("a")))
+        return F.aggregate(part, start, lambda acc, m: F.struct((acc["at"] + m["gap"] + m["size"]).alias("at"), F.concat(acc["out"], one(acc, m)).alias("out")), lambda acc: acc["out"])
+
+    found = _let(_let(both, lambda p: _let(steps(p), chunked)), lambda ch: F.flatten(F.zip_with(ch, bases(ch), placed)))
+    return F.when(text.rlike(needs), found).otherwise(F.array().cast(kind))
 
 
 def _kind_of(c: Column) -> Column:
