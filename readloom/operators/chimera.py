@@ -62,7 +62,7 @@ def leader_adapters(windows: DataFrame, sampling_rate: float, model: StateModel
                     cut_all, cut_adapter = PRESET.chimera_cut_head if near else PRESET.chimera_cut
                     if last - first > cut_all * sampling_rate and last - int(starts[a]) > cut_adapter * sampling_rate:
                         out.append((rid, window, first, last + 1))
-            yield pd.DataFrame(out, columns=["read_id", "window", "first", "last"])
+            yield pd.DataFrame(out, columns=["read_id", "window", "first", "last"]).astype({"window": "int64", "first": "int64", "last": "int64"})
 
     return windows.select("read_id", "window", "begin", "starts", "ends", "means").mapInPandas(run, "read_id string, window long, first long, last long")
 

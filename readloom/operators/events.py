@@ -86,7 +86,7 @@ def peak_boundaries(stats: DataFrame, windows: tuple[int, int] = (PRESET.window_
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("i")
         at = peak_positions(group["t_short"].to_numpy(), group["t_long"].to_numpy(), windows, thresholds, height)
-        return pd.DataFrame({"read_id": [key[0]] * len(at), "boundary": group["i"].to_numpy()[at] if at else []})
+        return pd.DataFrame({"read_id": pd.Series([key[0]] * len(at), dtype=object), "boundary": group["i"].to_numpy()[at].astype("int64") if at else np.zeros(0, "int64")})
 
     return stats.groupBy("read_id").applyInPandas(run, "read_id string, boundary long")
 
