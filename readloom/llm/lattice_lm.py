@@ -2,7 +2,9 @@
 
 A word's lattice has an edge for every vocabulary piece that matches a stretch
 of it; the forward recursion in log space adds up all segmentations, so a word
-gets its marginal probability rather than that of one best split.  Piece
+gets its marginal probability rather than that of one best split.  Any
+character can also be spelled by its UTF-8 bytes, one edge probability for each
+byte, so all words together never get more than one.  Piece
 probabilities start from the vocabulary's own score order and are re-estimated
 from the training words by expectation maximisation (one distributed pass over
 the distinct words per step; only one number per piece comes back).
@@ -63,6 +65,8 @@ class Lattice:
         self.n = len(self.pieces)
         # numbering: pieces, then word start alone, 256 bytes, word end
         self.start, self.byte, self.stop = self.n, self.n + 1, self.n + 257
+        #: fills rows of byte numbers up; costs nothing
+        self.none = self.n + 258
         first = np.array([p.startswith("▁") for p in self.pieces] + [True] + [False] * 257)
         weight = np.concatenate((1.0 / (rank + 10.0), [0.05], np.full(256, 1e-5), [0.5]))
         self.first = first
@@ -90,8 +94,18 @@ class Lattice:
         weight = weight + 1e-7
         return np.log(np.where(self.first, weight / weight[self.first].sum(), weight / weight[~self.first].sum()))
 
+    def _spelled(self, c: np.ndarray) -> np.ndarray:
+        """Numbers of the UTF-8 bytes of characters: one each if all are ASCII, else rows of four, filled up with ``none``."""
+        c = c.astype(np.int64)
+        if (c < 128).all():
+            return self.byte + c
+        size = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
+        lead = np.where(size == 1, 0, (0xF00 >> size) & 0xFF) | c >> 6 * (size - 1)
+        tail = [np.where(size > k, self.byte + (0x80 | c >> 6 * (k - 1) & 63), self.none) for k in (3, 2, 1)]
+        return np.column_stack((self.byte + lead, *tail))
+
     def _edges(self, words: list[str], size: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-        """Edges of words of one length (with their start mark): from, to, rows, piece."""
+        """Edges of words of one length (with their start mark): from, to, rows, piece (or the bytes of a character)."""
         n = len(words)
         points = np.frombuffer("".join("▁" + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size + 1)
         code = self._code[points]
@@ -112,17 +126,16 @@ class Lattice:
                 real = self._keys[at] == key[rows]
                 if real.any():
                     edges.append((i - length, i, rows[real], self._ids[at[real]]))
-            if i > 1:  # any character can be spelled in bytes, at the price of its first byte for each
-                lead = np.where(points[:, i - 1] < 128, points[:, i - 1], 128 + points[:, i - 1] % 128).astype(np.int64)
-                edges.append((i - 1, i, all_rows, self.byte + lead))
+            if i > 1:  # any character can be spelled in bytes
+                edges.append((i - 1, i, all_rows, self._spelled(points[:, i - 1])))
         return edges
 
     def _run(self, words: list[str], size: int, logp: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
-        edges = self._edges(words, size)
+        edges, cost = self._edges(words, size), np.append(logp, 0.0)
         alpha = np.full((size + 2, len(words)), -np.inf)
         alpha[0] = 0
         for a, b, rows, ids in edges:
-            alpha[b, rows] = np.logaddexp(alpha[b, rows], alpha[a, rows] + logp[ids])
+            alpha[b, rows] = np.logaddexp(alpha[b, rows], alpha[a, rows] + (cost[ids] if ids.ndim == 1 else cost[ids].sum(axis=1)))
         return alpha[size + 1] + logp[self.stop], alpha, edges
 
     def _groups(self, words: list[str]) -> Iterator[tuple[int, np.ndarray]]:
@@ -152,13 +165,12 @@ class Lattice:
                 if t is not None:
                     alpha[i] = np.logaddexp(alpha[i], alpha[i - length] + logp[t])
             if i > 1:
-                c = ord(s[i - 1])
-                alpha[i] = np.logaddexp(alpha[i], alpha[i - 1] + logp[self.byte + (c if c < 128 else 128 + c % 128)])
+                alpha[i] = np.logaddexp(alpha[i], alpha[i - 1] + sum(logp[self.byte + c] for c in s[i - 1].encode("utf-8", "surrogatepass")))
         return float(alpha[-1] + logp[self.stop])
 
     def expected(self, words: list[str], logp: np.ndarray) -> np.ndarray:
         """Expected uses of every piece over all segmentations of words up to ``WIDE`` characters (short enough for plain products)."""
-        out, prob = np.zeros(len(logp)), np.exp(logp)
+        out, prob = np.zeros(len(logp) + 1), np.append(np.exp(logp), 1.0)
         for size, rows in self._groups(words):
             if size > WIDE:
                 continue
@@ -166,14 +178,15 @@ class Lattice:
             alpha, beta = np.zeros((size + 2, len(rows))), np.zeros((size + 2, len(rows)))
             alpha[0], beta[size + 1] = 1, prob[self.stop]
             for a, b, r, ids in edges:
-                alpha[b, r] += alpha[a, r] * prob[ids]
+                alpha[b, r] += alpha[a, r] * (prob[ids] if ids.ndim == 1 else prob[ids].prod(axis=1))
             total = alpha[size + 1] * prob[self.stop]
             for a, b, r, ids in reversed(edges):
-                back = prob[ids] * beta[b, r]
+                back = (prob[ids] if ids.ndim == 1 else prob[ids].prod(axis=1)) * beta[b, r]
                 beta[a, r] += back
-                out += np.bincount(ids, alpha[a, r] * back / total[r], len(out))
+                uses = alpha[a, r] * back / total[r]
+                out += np.bincount(ids.ravel(), uses if ids.ndim == 1 else np.repeat(uses, ids.shape[1]), len(out))
             out[self.stop] += len(rows)
-        return out
+        return out[:-1]
 
 
 def lattice(path: str) -> Lattice:
@@ -260,10 +273,10 @@ def lm_scores(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col
     def word_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = lattice(model_path)
         for batch in batches:
-            c = np.asarray(batch.column(1)).astype(float)
-            novel = np.exp(np.maximum(lat.log_prob(_texts(batch.column(0)), final), -600.0))
-            log10 = np.log10(np.maximum(c - discount, 0) / max(n, 1) + max(discount * v, 1) / max(n, 1) * novel)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(log10)], ["word", "c", "lp"])
+            seen = np.maximum(np.asarray(batch.column(1)).astype(float) - discount, 0) / max(n, 1)
+            novel = np.log(max(discount * v, 1) / max(n, 1)) + lat.log_prob(_texts(batch.column(0)), final)
+            log = np.logaddexp(np.log(seen, out=np.full(len(seen), -np.inf), where=seen > 0), novel)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(log / np.log(10))], ["word", "c", "lp"])
 
     scored = words.mapInArrow(word_scores, "word binary, c long, lp double")
     answers = used.select("block", "at", "word").join(scored, "word").select("block", "at", "c", "lp")
