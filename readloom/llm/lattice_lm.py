@@ -5,9 +5,12 @@ of it; the forward recursion in log space adds up all segmentations, so a word
 gets its marginal probability rather than that of one best split.  Any
 character can also be spelled by its UTF-8 bytes, one edge probability for each
 byte, so all words together never get more than one.  Piece
-probabilities start from the vocabulary's own score order and are re-estimated
-from the training words by expectation maximisation (one distributed pass over
-the distinct words per step; only one number per piece comes back).
+probabilities start from the vocabulary's own score order (the vocabulary is a
+BPE model, whose scores are merge ranks, so a piece starts at 1 / (rank + 10))
+and are re-estimated from all training words of any length by ``STEPS`` steps of
+expectation maximisation (one distributed pass over the distinct words per step;
+only one number per piece comes back).  Each distinct word counts once, because
+absolute discounting hands the lattice the same mass D for each.
 
 The lattice models words unseen so far, and a word seen ``c`` times in ``N``
 training tokens gets
@@ -27,7 +30,9 @@ Null text counts as empty: one end token.  Rows that repeat are scored each.
 
 from __future__ import annotations
 
+import math
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +45,9 @@ from readloom.llm.bytesops import lower_ascii, slices, span_hashes, text_bytes,
 from readloom.llm.shared import stored
 
 #: Bytes of text in a block; steps of re-estimation; longest word in vectorised groups.
-BLOCK_BYTES, STEPS, WIDE = 6 << 20, 2, 32
+BLOCK_BYTES, STEPS, WIDE = 6 << 20, 4, 32
+#: Word probability under which plain products lose digits.
+TINY = 1e-200
 _LATTICES: dict[str, Lattice] = {}
 
 
@@ -148,31 +155,59 @@ class Lattice:
 
     def log_prob(self, words: list[str], logp: np.ndarray) -> np.ndarray:
         """Natural log of the marginal probability of every word."""
-        out = np.zeros(len(words))
+        out, cost = np.zeros(len(words)), logp.tolist()
         for size, rows in self._groups(words):
             own = [words[i] for i in rows.tolist()]
-            out[rows] = [self._long(w, logp) for w in own] if size > WIDE else self._run(own, size, logp)[0]
+            out[rows] = [self._long(w, cost) for w in own] if size > WIDE else self._run(own, size, logp)[0]
         return out
 
-    def _long(self, word: str, logp: np.ndarray) -> float:
+    def _into(self, s: str, i: int, cost: list[float]) -> list[tuple[int, tuple[int, ...], float]]:
+        """Edges into position ``i`` of one marked word: from, pieces (or the bytes of a character), log probability."""
+        edges = []
+        for length in range(1, min(i, self.longest) + 1):
+            t = self.index.get(s[i - length : i])
+            if t is not None:
+                edges.append((i - length, (t,), cost[t]))
+        spelled = (self.start,) if i == 1 else tuple(self.byte + c for c in s[i - 1].encode("utf-8", "surrogatepass"))
+        edges.append((i - 1, spelled, sum(cost[t] for t in spelled)))
+        return edges
+
+    def _forward(self, s: str, cost: list[float]) -> array:
+        alpha = array("d", [0.0])
+        for i in range(1, len(s) + 1):
+            sums = [alpha[a] + w for a, _, w in self._into(s, i, cost)]
+            top = max(sums)
+            alpha.append(top + math.log(sum(math.exp(x - top) for x in sums)))
+        return alpha
+
+    def _long(self, word: str, logp: np.ndarray | list[float]) -> float:
         """The same recursion for one long word."""
+        return float(self._forward("▁" + word, logp)[-1] + logp[self.stop])
+
+    def _long_expected(self, word: str, cost: list[float], out: np.ndarray) -> None:
+        """Add one word's expected uses, in log space, so for any length."""
         s = "▁" + word
-        alpha = np.full(len(s) + 1, -np.inf)
-        alpha[0], alpha[1] = 0, logp[self.start]
-        for i in range(1, len(s) + 1):
-            for length in range(1, min(i, self.longest) + 1):
-                t = self.index.get(s[i - length : i])
-                if t is not None:
-                    alpha[i] = np.logaddexp(alpha[i], alpha[i - length] + logp[t])
-            if i > 1:
-                alpha[i] = np.logaddexp(alpha[i], alpha[i - 1] + sum(logp[self.byte + c] for c in s[i - 1].encode("utf-8", "surrogatepass")))
-        return float(alpha[-1] + logp[self.stop])
+        alpha = self._forward(s, cost)
+        total = alpha[-1] + cost[self.stop]
+        beta = array("d", [-math.inf]) * (len(s) + 1)
+        beta[-1] = cost[self.stop]
+        for i in range(len(s), 0, -1):
+            for a, ids, w in self._into(s, i, cost):
+                back = w + beta[i]
+                top = max(beta[a], back)
+                beta[a] = top + math.log(math.exp(beta[a] - top) + math.exp(back - top))
+                use = math.exp(min(alpha[a] + back - total, 0.0))
+                for t in ids:
+                    out[t] += use
+        out[self.stop] += 1
 
     def expected(self, words: list[str], logp: np.ndarray) -> np.ndarray:
-        """Expected uses of every piece over all segmentations of words up to ``WIDE`` characters (short enough for plain products)."""
-        out, prob = np.zeros(len(logp) + 1), np.append(np.exp(logp), 1.0)
+        """Expected uses of every piece over all segmentations: plain products up to ``WIDE`` characters, log space for longer words and where products vanish."""
+        out, prob, cost = np.zeros(len(logp) + 1), np.append(np.exp(logp), 1.0), logp.tolist()
         for size, rows in self._groups(words):
             if size > WIDE:
+                for i in rows.tolist():
+                    self._long_expected(words[i], cost, out)
                 continue
             edges = self._edges([words[i] for i in rows.tolist()], size)
             alpha, beta = np.zeros((size + 2, len(rows))), np.zeros((size + 2, len(rows)))
@@ -180,12 +215,16 @@ class Lattice:
             for a, b, r, ids in edges:
                 alpha[b, r] += alpha[a, r] * (prob[ids] if ids.ndim == 1 else prob[ids].prod(axis=1))
             total = alpha[size + 1] * prob[self.stop]
+            tiny = total < TINY
+            for i in rows[tiny].tolist():
+                self._long_expected(words[i], cost, out)
+            share = np.where(tiny, 0.0, 1.0 / np.where(tiny, 1.0, total))
             for a, b, r, ids in reversed(edges):
                 back = (prob[ids] if ids.ndim == 1 else prob[ids].prod(axis=1)) * beta[b, r]
                 beta[a, r] += back
-                uses = alpha[a, r] * back / total[r]
+                uses = alpha[a, r] * back * share[r]
                 out += np.bincount(ids.ravel(), uses if ids.ndim == 1 else np.repeat(uses, ids.shape[1]), len(out))
-            out[self.stop] += len(rows)
+            out[self.stop] += len(rows) - tiny.sum()
         return out[:-1]
 
 
