@@ -9,8 +9,9 @@ An exception phrase takes back the hits it contains.
 Entries and weights (log odds of appearing in toxic against clean documents),
 exception phrases and the calibration from hit weight and hit weight per length
 to a probability are learned from ``SAMPLE`` labelled documents at most, chosen
-by a hash of the id; of near copies among them only one counts.  Scores depend
-on nothing but the text.  Null and empty texts have no hits.  Documents
+by a hash of the id; of near copies among them (the classes of ``near_classes``)
+with the same label only the one with the smallest id counts, and so do blank
+texts.  Scores depend on nothing but the text.  Null and empty texts have no hits.  Documents
 repeated in the input are scored each; labels repeated for an id count once.
 """
 
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.near_dedup import shingle_sets
+from readloom.llm.near_dedup import near_classes
 from readloom.llm.shared import stored
 
 #: Labelled documents that the model is fitted on, at most.
@@ -108,10 +109,7 @@ class ToxicModel:
 
 def _fold_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, hashes = shingle_sets(batch, 0)
-        least = np.full(batch.num_rows, np.iinfo(np.uint64).max, np.uint64)
-        np.minimum.at(least, rows, hashes)
-        yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64)), batch.column(1), pa.array([fold(t or "") for t in batch.column(0).to_pylist()])], ["least", "toxic", "folded"])
+        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([fold(t or "") for t in batch.column(0).to_pylist()], pa.string())], ["toxic", "folded"])
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,8 +158,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, excep
     """Learn lexicon, exceptions and calibration from labelled documents (``doc_id, toxic``)."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).withColumnRenamed("doc_id", "_id")
-    texts = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(F.col(text_col).cast("string").alias("text"), "toxic")
-    held = stored(texts.mapInArrow(_fold_sample, "least long, toxic int, folded string").dropDuplicates(["least", "toxic"]).select("toxic", "folded"), "toxic-sample")
+    texts = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select("_id", F.col(text_col).cast("string").alias("text"), "toxic")
+    texts = stored(texts.withColumn("_row", F.xxhash64("_id", "text")).dropDuplicates(["_row"]), "toxic-texts")
+    classes = near_classes(texts, "_row", "text").select(F.col("doc_id").alias("_row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("cls"))
+    once = texts.join(classes, "_row").groupBy("cls", "toxic").agg(F.min(F.struct("_id", "_row", "text")).alias("one")).select("one.text", "toxic")
+    held = stored(once.mapInArrow(_fold_sample, "toxic int, folded string"), "toxic-sample")
     bad, good = held.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1)) - F.coalesce(F.sum("toxic"), F.lit(0))).first()
     words = held.mapInArrow(_word_counts, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     stems = words.select(F.explode(F.array_distinct(F.array("word", *(F.substring("word", 1, k) for k in STEMS)))).alias("stem"), "bad", "good")
