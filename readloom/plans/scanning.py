@@ -61,8 +61,8 @@ def src_moves_to_events(spark, sf):
     e = b.events(spark, sf).withColumn("move", F.expr("case when k = 1 then 1 else move end"))
     reads = e.groupBy("read_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "move"))), lambda x: x["move"].cast("long")).alias("moves"))
     total = "aggregate(moves, 0l, (s, m) -> s + m)"
-    reads = reads.withColumns({"seq": F.expr(f"substring(repeat('ACGUUGCAGU', 1000), 1, cast({total} + 4 as int))"), "qual": F.expr(f"substring(repeat('5?I+#', 2000), 1, cast({total} + 4 as int))")})
-    return src.moves_to_events(reads).withColumn("p", F.round("p", 9))
+    reads = reads.withColumns({"seq": F.expr(f"substring(repeat('ACGUUGCAGU', cast(ceil(({total} + 4) / 10) as int)), 1, cast({total} + 4 as int))"), "qual": F.expr(f"substring(repeat('5?I+#', cast(ceil(({total} + 4) / 5) as int)), 1, cast({total} + 4 as int))")})
+    return src.moves_to_events(reads)[0].withColumn("p", F.round("p", 9))
 
 
 @query("""with f as (select read_id, i, list_sort([coalesce(lag(x, 2) over w, 0), coalesce(lag(x) over w, 0), x, coalesce(lead(x) over w, 0), coalesce(lead(x, 2) over w, 0)])[3] m

@@ -49,23 +49,25 @@ def event_variants(full: DataFrame, block: DataFrame) -> DataFrame:
     return full.unionByName(block, allowMissingColumns=True)
 
 
-def moves_to_events(reads: DataFrame) -> DataFrame:
-    """Expand ``read_id, seq, qual, moves``: one row per block with position, 5-mer and probability.
+def moves_to_events(reads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Expand ``read_id, seq, qual, moves``: one row per block with position, 5-mer and probability; and the status rows.
 
     The sequence is reversed but the qualities are not, as the tables expect.
     Reads whose k (sequence length less the moves, plus one) is neither 1 nor 5
-    are an error and give status rows without events.
+    are an error: they give no events but a row ``read_id, k, status``.
     """
     total = F.aggregate("moves", F.lit(0).cast("long"), lambda s, m: s + m)
     k = (F.length("seq") - total + 1).cast("int")
     dna = F.reverse(fn.to_dna(F.col("seq")))
     shift = F.when(k == 5, 2).when(k == 1, 0)
-    wide = reads.withColumns({"klen": k, "padded": F.when(k == 1, F.concat(F.lit("__"), dna, F.lit("__"))).otherwise(dna), "shift": shift}).filter("shift is not null")
-    rows = wide.select("read_id", "padded", "qual", "shift", F.posexplode("moves").alias("i", "move"))
+    wide = reads.withColumns({"klen": k, "padded": F.when(k == 1, F.concat(F.lit("__"), dna, F.lit("__"))).otherwise(dna), "shift": shift})
+    wrong = wide.filter("shift is null").select("read_id", F.col("klen").alias("k"), F.lit("irregular_moves").alias("status"))
+    rows = wide.filter("shift is not null").select("read_id", "padded", "qual", "shift", F.posexplode("moves").alias("i", "move"))
     pos = F.sum("move").over(Window.partitionBy("read_id").orderBy("i")) - 1
     rows = rows.withColumn("pos", pos)
     q = F.ascii(F.expr("substring(qual, pos + shift + 1, 1)")) - 33
-    return rows.select("read_id", F.col("i").cast("long").alias("i"), F.col("pos").cast("long").alias("pos"), F.expr("substring(padded, pos + 1, 5)").alias("kmer"), (1 - F.pow(F.lit(10.0), -q / 10.0)).alias("p"))
+    events = rows.select("read_id", F.col("i").cast("long").alias("i"), F.col("pos").cast("long").alias("pos"), F.expr("substring(padded, pos + 1, 5)").alias("kmer"), (1 - F.pow(F.lit(10.0), -q / 10.0)).alias("p"))
+    return events, wrong
 
 
 def block_events(df: DataFrame, first: int, stride: int, signal: str = "signal") -> DataFrame:
