@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 SPACES = b" \t\n\x0b\x0c\r"
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that no piece holds more than ``max_bytes`` of text (one row at least)."""
     sizes = np.diff(text_offsets(batch.column(column)))
     start, held = 0, 0
@@ -83,29 +84,78 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_P = 0x9E3779B97F4A7C15 | 1
-_P_INV = pow(_P, -1, 1 << 64)
-_POWERS: dict[int, np.ndarray] = {}
+#: Spans above this size are hashed one by one.
+_LONG = 512
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    have = _POWERS.get(base)
-    if have is None or len(have) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
-        out = np.full(size, base, np.uint64)
-        out[0] = 1
-        have = np.multiply.accumulate(out)
-        if size <= 1 << 23:
-            _POWERS[base] = have
-    return have[:n]
+def _windows(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on, as one integer each; zeros behind the end."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span, from one prefix sum over the batch."""
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0x51) -> np.ndarray:
+    """64-bit hash of each byte span: eight bytes at a time are mixed into a state, one step after the other.
+
+    A step is no polynomial of the bytes, so spans that differ by a pattern
+    don't meet.  Where a hash stands for a span, compare bytes (``same_spans``).
+    """
+    size = (end - start).astype(np.int64)
+    state = mix64(size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
     if not len(start):
-        return np.zeros(0, np.uint64)
-    terms = (mix64(data.astype(np.uint64) + np.uint64(0x51)) if len(data) < 256 else mix64(np.arange(256, dtype=np.uint64) + np.uint64(0x51))[data]) * _powers(_P, len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(terms, out=total[1:])
-    raw = (total[end] - total[start]) * _powers(_P_INV, len(data) + 1)[start]
-    return mix64(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        return state
+    window = _windows(data)
+    rows = np.flatnonzero(size <= _LONG)
+    at, left, own = start[rows], size[rows], state[rows]
+    while len(rows):
+        own = mix64((own ^ (window[at] & _MASK[np.minimum(left, 8)])) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x7F4A7C15))
+        more = left > 8
+        state[rows] = own
+        rows, at, left, own = rows[more], at[more] + 8, left[more] - 8, own[more]
+    for i in np.flatnonzero(size > _LONG).tolist():
+        state[i] = int.from_bytes(blake2b(data[start[i] : end[i]].tobytes(), digest_size=8, salt=seed.to_bytes(16, "little")).digest(), "little")
+    return state
+
+
+def same_spans(a: np.ndarray, a_start: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_start: np.ndarray, b_size: np.ndarray) -> np.ndarray:
+    """Whether each span of ``a`` holds the same bytes as its partner in ``b``."""
+    out = a_size == b_size
+    rows = np.flatnonzero(out)
+    if not len(rows):
+        return out
+    wa, wb = _windows(a), _windows(b)
+    short = rows[a_size[rows] <= _LONG]
+    done = 0
+    while len(short):
+        mask = _MASK[np.minimum(a_size[short] - done, 8)]
+        ok = (wa[a_start[short] + done] ^ wb[b_start[short] + done]) & mask == 0
+        out[short[~ok]] = False
+        done += 8
+        short = short[ok & (a_size[short] > done)]
+    for i in rows[a_size[rows] > _LONG].tolist():
+        n = int(a_size[i])
+        out[i] = bool((a[a_start[i] : a_start[i] + n] == b[b_start[i] : b_start[i] + n]).all())
+    return out
+
+
+def distinct_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of one span for each distinct content, each span's index into them, and their hashes; bytes decide, not hashes.
+
+    Hashes ascend, but for spans at the end that share theirs with another.
+    """
+    hashes, first, index = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
+    rep, size = first[index], end - start
+    odd = np.flatnonzero(~same_spans(data, start, size, data, start[rep], size[rep])) if len(start) else np.zeros(0, np.int64)
+    if len(odd):  # different spans under one hash
+        more: dict[bytes, int] = {}
+        extra = []
+        for i in odd.tolist():
+            word = data[start[i] : end[i]].tobytes()
+            if word not in more:
+                more[word] = len(first) + len(extra)
+                extra.append(i)
+            index[i] = more[word]
+        first, hashes = np.concatenate((first, np.array(extra, first.dtype))), np.concatenate((hashes, span_hashes(data, start[extra], end[extra])))
+    return first, index, hashes

@@ -20,9 +20,7 @@ import hashlib
 import heapq
 import json
 import os
-import tempfile
 import unicodedata
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,13 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from readloom.llm.bytesops import span_hashes
-from readloom.llm.shared import stored
+from readloom.llm.bytesops import distinct_spans, same_spans, slices
+from readloom.llm.shared import new_path, stored
 
 #: Words of the lexicon; it only saves time, results don't depend on it.
 LEXICON_WORDS = 60_000
-#: Stretches that a worker remembers before it starts afresh (about 60 bytes each); texts encoded at once.
-MEMO, ROWS = 600_000, 250
+#: Stretches that a worker remembers before it starts afresh (about 80 bytes each); bytes of texts encoded at once.
+MEMO, AT_ONCE = 600_000, 1 << 20
 #: Different stretches that a worker counts before it passes the counts on.
 COUNTED = 200_000
 WIDE = 48
@@ -67,8 +65,8 @@ class Lexicon:
         self._key = np.repeat(np.arange(len(self.first) - 1, dtype=np.int64), np.diff(self.first)) << 8 | self.label
 
     @staticmethod
-    def build(path: str, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        """Compile sorted, distinct words: each state is registered by its edges once it can't change any more."""
+    def build(words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> bytes:
+        """The file of sorted, distinct words: each state is registered by its edges once it can't change any more."""
         nodes: list[tuple[int, tuple]] = []
         register: dict[tuple, int] = {}
 
@@ -105,10 +103,7 @@ class Lexicon:
             words_below[i] = n
             first.append(len(label))
         arrays = [first, label, target, before, [f for f, _ in nodes], np.concatenate(([0], np.cumsum(sizes))), ids]
-        with open(path, "wb") as out:
-            np.array([root, *map(len, arrays)], np.int64).tofile(out)
-            for a in arrays:
-                np.asarray(a, np.int32).tofile(out)
+        return np.array([root, *map(len, arrays)], np.int64).tobytes() + b"".join(np.asarray(a, np.int32).tobytes() for a in arrays)
 
     def numbers(self, data: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The number in sorted order of the word at each place of ``data``, -1 for words it lacks; all words walk one byte a step."""
@@ -176,9 +171,10 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        """Stretches known so far: sorted hashes with their entry, and every entry's ids in one array."""
+        """Stretches known so far: sorted hashes with their entry, and every entry's bytes and ids."""
         self._hash, self._entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self._at, self._size, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self._raw, self._raw_at, self._raw_size = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     @staticmethod
     def _slot(key: np.ndarray) -> np.ndarray:
@@ -309,8 +305,8 @@ class WordEncoder:
         """Split a normalised stretch without white space into words."""
         return [stretch] if stretch.isalpha() else self._words(stretch)
 
-    def _learn(self, data: np.ndarray, alpha: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> None:
-        """Remember new stretches (with sorted hashes): words of plain letters as they are, others split first."""
+    def _learn(self, data: np.ndarray, alpha: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Remember stretches and give their entries: words of plain letters as they are, others split first."""
         others = np.concatenate(([0], np.cumsum(~alpha)))
         plain = others[end] == others[start]
         one, many = np.flatnonzero(plain), np.flatnonzero(~plain)
@@ -338,11 +334,14 @@ class WordEncoder:
         begin[one], size[one] = len(self._ids) + np.cumsum(sizes) - sizes, sizes
         begin[many], size[many] = len(self._ids) + len(ids) + base, each
         begin[many[spot]], size[many[spot]] = len(self._ids) + len(ids) + len(more) + np.arange(len(spot)), 1
-        place = np.searchsorted(self._hash, hashes)
-        self._hash = np.insert(self._hash, place, hashes)
-        self._entry = np.insert(self._entry, place, len(self._at) + np.arange(len(hashes)))
+        entries = len(self._at) + np.arange(len(start))
         self._at, self._size = np.concatenate((self._at, begin)), np.concatenate((self._size, size))
         self._ids = np.concatenate((self._ids, ids, more, special))
+        length = end - start
+        self._raw_at = np.concatenate((self._raw_at, len(self._raw) + np.cumsum(length) - length))
+        self._raw_size = np.concatenate((self._raw_size, length))
+        self._raw = np.concatenate((self._raw, data[spread(start, length)]))
+        return entries
 
     def _normal(self, text: str) -> str:
         """NFC and lower case, character by character."""
@@ -387,18 +386,26 @@ class WordEncoder:
         first[1:] &= ~body[:-1] | apart[:-1] | apart[1:]
         last[:-1] &= ~body[1:] | apart[1:] | apart[:-1]
         start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-        hashes, where, index = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
-        new = np.ones(len(hashes), bool)
-        if len(self._hash):
-            at = np.searchsorted(self._hash, hashes)
-            at[at == len(self._hash)] = 0
-            new = self._hash[at] != hashes
-            if len(self._hash) + int(new.sum()) > MEMO:
-                self._forget()
-                new[:] = True
-        if new.any():
-            self._learn(data, alpha, start[where[new]], end[where[new]], hashes[new])
-        entry = self._entry[np.searchsorted(self._hash, hashes)][index] if len(hashes) else np.zeros(0, np.int64)
+        where, index, hashes = distinct_spans(data, start, end)
+        begin, length = start[where], end[where] - start[where]
+        if len(self._at) + len(where) > MEMO:
+            self._forget()
+        at = np.searchsorted(self._hash, hashes)
+        at[at == len(self._hash)] = 0
+        met = self._hash[at] == hashes if len(self._hash) else np.zeros(len(hashes), bool)
+        entry = np.full(len(hashes), -1)
+        entry[met] = self._entry[at[met]]
+        # a hash only finds the entry; its bytes tell whether it is the stretch
+        own = np.flatnonzero(met)
+        entry[own[~same_spans(data, begin[own], length[own], self._raw, self._raw_at[entry[own]], self._raw_size[entry[own]])]] = -1
+        new = np.flatnonzero(entry < 0)
+        if len(new):
+            entry[new] = self._learn(data, alpha, begin[new], begin[new] + length[new])
+            fresh = new[~met[new]]
+            keep, first = np.unique(hashes[fresh], return_index=True)
+            place = np.searchsorted(self._hash, keep)
+            self._hash, self._entry = np.insert(self._hash, place, keep), np.insert(self._entry, place, entry[fresh[first]])
+        entry = entry[index] if len(index) else np.zeros(0, np.int64)
         size = self._size[entry]
         ids = self._ids[spread(self._at[entry], size)]
         per = np.bincount(np.searchsorted(row_at, start, side="right") - 1, size, len(raw)).astype(np.int64)
@@ -475,18 +482,21 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, most: int = LEXICON_WOR
 
 
 def compile_lexicon(docs: DataFrame, tokenizer_path: str, most: int = LEXICON_WORDS, text_col: str = "text") -> str:
-    """Build the transducer of the frequent words and hand its file to all executors; returns the file's name.
+    """Build the transducer of the frequent words as a file in the shared folder, from which Spark hands it to all executors; returns the file's name.
 
     The driver holds ``most`` words.  ``SparkContext.addFile`` also serves
     executors that join later.
     """
     words = sorted({w.encode("utf-8", "surrogatepass") for w in frequent_words(docs, tokenizer_path, most, text_col)})
     ids, sizes = encoder(tokenizer_path).merge_words(words)
-    folder = tempfile.mkdtemp(prefix="readloom-lexicon-")
-    path = os.path.join(folder, f"lexicon-{uuid.uuid4().hex}.bin")
-    Lexicon.build(path, words, ids, sizes)
-    docs.sparkSession.sparkContext.addFile(path)
-    return os.path.basename(path)
+    sc = docs.sparkSession.sparkContext
+    path = new_path(docs.sparkSession, "lexicon") + ".bin"
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(Lexicon.build(words, ids, sizes)))
+    out.close()
+    sc.addFile(path)
+    return path.rsplit("/", 1)[1]
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, lexicon: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
@@ -495,8 +505,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, lexicon: str | None =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(tokenizer_path, SparkFiles.get(lexicon) if lexicon else None)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
+            for part in slices(batch, "text", AT_ONCE):
                 ids, offsets = e.encode_all([t or "" for t in part.column(1).to_pylist()])
                 texts = e.decode_all(ids, offsets)
                 whole, places = ids.astype("<u4").tobytes(), (4 * offsets).tolist()
@@ -522,8 +531,7 @@ def encode_columns(docs: DataFrame, tokenizer_path: str, lexicon: str | None = N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(tokenizer_path, SparkFiles.get(lexicon) if lexicon else None)
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
+            for part in slices(batch, at, AT_ONCE):
                 ids, offsets = e.encode_all([t or "" for t in part.column(at).to_pylist()])
                 whole, places = ids.astype("<u4").tobytes(), (4 * offsets).tolist()
                 new = [pa.array([whole[a:b] for a, b in zip(places[:-1], places[1:], strict=True)], pa.binary()), pa.array(np.diff(offsets)), pa.array(e.decode_all(ids, offsets), pa.string())]
