@@ -24,24 +24,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def small_batches(spark: SparkSession, rows: str = "2000") -> None:
-    """Documents are long: where a session keeps Spark's default of 10,000 rows for an Arrow batch, take fewer, so that batches stay in megabytes."""
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/readloom/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the reader of what was written."""
-    small_batches(df.sparkSession)
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -69,7 +69,7 @@ def test_transducer(tmp_path):
     e = word_bpe.WordEncoder(WORDS)
     words = sorted({w.encode() for w in "the then them other mother brother a ab abc tion nation ration".split()})
     ids, sizes = e.merge_words(words)
-    word_bpe.Lexicon.build(str(tmp_path / "lex"), words, ids, sizes)
+    (tmp_path / "lex").write_bytes(word_bpe.Lexicon.build(words, ids, sizes))
     lex = word_bpe.Lexicon(str(tmp_path / "lex"))
 
     def numbers(words):
@@ -117,6 +117,7 @@ def test_perfect_hash():
 def test_shards(spark, monkeypatch, size):
     monkeypatch.setattr(token_shards, "SHARD_BYTES", size)
     monkeypatch.setattr(token_shards, "RANGE_DOCS", 4)
+    monkeypatch.setattr(token_shards, "LEAST_DOCS", 3)
     docs, empty, odd = tables_of(spark)
     path = new_path(spark, "t")
     token_shards.write_shards(docs, WORDS, path)
@@ -125,7 +126,7 @@ def test_shards(spark, monkeypatch, size):
     start, want = 0, []
     for i, ids in rows:
         raw = np.array([*ids, 1], "<u4").tobytes()
-        want.append((i, start, len(ids) + 1, zlib.crc32(raw), True))
+        want.append((i, start, len(ids) + 1, zlib.crc32(raw)))
         start += len(ids) + 1
     assert got == want
     keys = spark.createDataFrame([(15,), (6,), (99,), (-5,), (None,)], "doc_id long")
@@ -135,3 +136,56 @@ def test_shards(spark, monkeypatch, size):
     assert token_shards.shard_round_trip(empty, WORDS).count() == 0
     back = [tuple(r)[:3] for r in token_shards.shard_round_trip(odd, WORDS).orderBy("start").collect()]
     assert back[0][:2] == (None, 0) and back[1] == (1, back[0][2], 1)
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [8, 1024, 4096])
+def test_complementary_words_stay_apart(spark, n):
+    one = thue_morse(n)
+    two = one.translate({97: "b", 98: "a"})
+    texts = [f"{one} x", f"{two} x", f"{one} {two}"]
+    ids, offsets = word_bpe.WordEncoder(WORDS).encode_all(texts)
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == lib_ids(texts)
+    docs = documents(spark, list(enumerate(texts)))
+    back = [r["ids_crc32"] for r in token_shards.shard_round_trip(docs, WORDS).orderBy("start").collect()]
+    assert back == [zlib.crc32(np.array([*i, 1], "<u4").tobytes()) for i in lib_ids(texts)]
+
+
+def test_hashes_only_find_words(monkeypatch):
+    """All spans under one hash: bytes must decide."""
+    from readloom.llm import bytesops
+
+    monkeypatch.setattr(bytesops, "span_hashes", lambda data, start, end, seed=0: np.full(len(start), 7, np.uint64))
+    e = word_bpe.WordEncoder(WORDS)
+    for _ in range(2):
+        ids, offsets = e.encode_all(TEXTS)
+        assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == lib_ids(TEXTS)
+
+
+def test_one_id_on_ten_thousand_rows(spark, monkeypatch):
+    monkeypatch.setattr(token_shards, "RANGE_DOCS", 1000)
+    monkeypatch.setattr(token_shards, "SHARD_BYTES", 2000)
+    rows = [(None if i % 3 == 0 else 7, f"w{i % 500} and {i % 7}") for i in range(10_000)] + [(8, "last one"), (1, "first")]
+    docs = documents(spark, rows)
+    path = new_path(spark, "hot")
+    token_shards.write_shards(docs, WORDS, path)
+    heads = spark.read.parquet(path).select("range", "docs").collect()
+    held = {}
+    for r in heads:
+        held[r["range"]] = held.get(r["range"], 0) + r["docs"]
+    assert len(held) > 4 and max(held.values()) < 3000
+    got = token_shards.read_shards(spark, path).orderBy("start").collect()
+    ids = lib_ids([t for _, t in rows])
+    assert sorted((r["doc_id"] or -1, r["ids_crc32"]) for r in got) == sorted((d or -1, zlib.crc32(np.array([*i, 1], "<u4").tobytes())) for (d, _), i in zip(rows, ids, strict=True))
+    total, keys = 0, []
+    for r in got:
+        assert r["start"] == total
+        total += r["n_tokens"]
+        keys.append(-1 if r["doc_id"] is None else r["doc_id"])
+    assert keys == sorted(keys)
+    want = spark.createDataFrame([(7,), (8,), (3,), (None,)], "doc_id long")
+    found = token_shards.lookup(spark, path, want).groupBy("doc_id").count().collect()
+    assert {tuple(r) for r in found} == {(7, sum(d == 7 for d, _ in rows)), (8, 1)}
