@@ -4,32 +4,38 @@ A word's lattice has an edge for every vocabulary piece that matches a stretch
 of it; the forward recursion in log space adds up all segmentations, so a word
 gets its marginal probability rather than that of one best split.  Any
 character can also be spelled by its UTF-8 bytes, one edge probability for each
-byte, so all words together never get more than one.  Piece
-probabilities start from the vocabulary's own score order (the vocabulary is a
-BPE model, whose scores are merge ranks, so a piece starts at 1 / (rank + 10))
-and are re-estimated from all training words of any length by ``STEPS`` steps of
-expectation maximisation (one distributed pass over the distinct words per step;
-only one number per piece comes back).  Each distinct word counts once, because
-absolute discounting hands the lattice the same mass D for each.
+byte, so all words together never get more than one.  Edges are weighted by the
+vocabulary's scores.  The vocabulary is a BPE model, whose scores are merge
+ranks and no log probabilities, so a piece starts at 1 / (rank + 10) and
+``STEPS`` steps of expectation maximisation over all distinct training words,
+of any length, turn the scores into unigram probabilities (one distributed pass
+for each step; only one number for each piece comes back).
 
-The lattice models words unseen so far, and a word seen ``c`` times in ``N``
-training tokens gets
+The lattice weighs every word.  Whole training words are further edges of it: a
+word seen ``c`` times in ``N`` training tokens gets
 
     (c - D) / N + D * V / N * lattice(word),
 
-absolute discounting with the lattice as the lower order: whole training words
-act as further edges.  D is estimated from the words seen once and twice.  The end of a document is a token that is always known.
-
-Words are looked up by block: a block of documents is reduced to its distinct
-words, these travel to the corpus counts and back, and the documents are
-scored against their block's answers.  So a word moves once per block instead
-of once per occurrence, and no table is sent to all executors.
-
-Null text counts as empty: one end token.  Rows that repeat are scored each.
+absolute discounting with the lattice as the lower order; so each distinct word
+hands the lattice the same mass D and counts once in the expectations.  D is
+estimated from the words seen once and twice.  The end of a document is a token
+that is always known.
+
+Words move in packs.  A block of documents is reduced to its distinct words,
+dealt to groups by a hash; a group adds up its words' counts over all blocks,
+scores each distinct word once, and sends a block one pack of answers.  So a
+word moves once for each block instead of once for each occurrence, no table is
+sent to all executors, and a frequent word weighs no more than its blocks.
+
+Results: null and empty texts are one end token.  Rows that repeat, and equal
+ids on several texts, are scored each; a null id is a training document.  An
+empty table gives an empty one.  Texts and words of any length are scored
+whole.  Further columns are not read.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from array import array
@@ -41,11 +47,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.bytesops import lower_ascii, slices, span_hashes, text_bytes, word_spans
+from readloom.llm.bytesops import distinct_spans, lower_ascii, slices, text_bytes, word_spans
 from readloom.llm.shared import stored
 
-#: Bytes of text in a block; steps of re-estimation; longest word in vectorised groups.
-BLOCK_BYTES, STEPS, WIDE = 6 << 20, 4, 32
+#: Bytes of text in a block and behind a group of words; steps of re-estimation; longest word in vectorised groups.
+BLOCK_BYTES, GROUP_BYTES, STEPS, WIDE = 8 << 20, 16 << 20, 2, 32
+#: Groups of words at least.
+LEAST_GROUPS = 24
 #: Word probability under which plain products lose digits.
 TINY = 1e-200
 _LATTICES: dict[str, Lattice] = {}
@@ -238,56 +246,106 @@ def _in_training(doc_id: int | None) -> bool:
     return doc_id is None or zlib.crc32(str(doc_id).encode()) % 5 != 1
 
 
-_BLOCK = "block long, doc_ids binary, sizes binary, words binary, vocabulary array<binary>, counts array<long>"
+_BLOCK = "block long, part int, docs int, train int, ids binary, held binary, sizes binary, words binary, raw binary, lengths binary, counts binary, at binary"
+_WORDS = "distinct long, known long, total long, once long, twice long, raw binary, lengths binary, counts binary, blocks binary, at binary, refs binary"
+_ANSWERS = "block long, at binary, counts binary, lp binary"
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Numbers from 0 on in planes of bytes: the lowest bytes of all, then the next, as many as the largest needs."""
+    size = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T.tobytes()
+
+
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        planes = np.frombuffer(raw, np.uint8).reshape(-1, n)
+        out[:, : len(planes)] = planes.T
+    return out.reshape(-1).view("<i8")
+
+
+def _take(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> bytes:
+    """The bytes of several spans, one after the other."""
+    return data[np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))].tobytes()
+
 
+def _blocks(groups: int):
+    """Documents as indexes into their block's distinct words (one row), and those words by group with their counts in training documents."""
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()] + [pa.binary()] * 8
+    names = [c.split()[0] for c in _BLOCK.split(", ")]
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents as indexes into their block's distinct words, and how often training documents use each."""
-    number = TaskContext.get().partitionId() << 32
-    for whole in batches:
-        for batch in slices(whole, "text", BLOCK_BYTES):
-            parts, at_row, base = [], 0, 0
-            for piece in slices(batch, "text", 1 << 19):
-                data, at = text_bytes(piece.column(1))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for whole in batches:
+            for batch in slices(whole, "text", BLOCK_BYTES):
+                data, offsets = text_bytes(batch.column(1))
                 data = lower_ascii(data)
-                start, end, row = word_spans(data, at)
-                parts.append((data.tobytes(), start + base, end + base, row + at_row, span_hashes(data, start, end)))
-                at_row, base = at_row + piece.num_rows, base + len(data)
-            raw = b"".join(p[0] for p in parts)
-            start, end, row, hashes = (np.concatenate(c) for c in list(zip(*parts, strict=True))[1:])
-            _, first, index = np.unique(hashes, return_index=True, return_inverse=True)
-            vocabulary = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
-            ids = batch.column(0)
-            train = np.array([_in_training(i) for i in ids.to_pylist()], bool)
-            counts = np.bincount(index[train[row]], minlength=len(first)) if len(row) else np.zeros(0, np.int64)
-            null = np.asarray(ids.is_null())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([number], pa.int64()),
-                    pa.array([np.asarray(ids.fill_null(0)).astype(np.int64).tobytes() + null.tobytes()], pa.binary()),
-                    pa.array([np.bincount(row, minlength=batch.num_rows).astype(np.int32).tobytes()], pa.binary()),
-                    pa.array([index.astype(np.int32).tobytes()], pa.binary()),
-                    pa.array([vocabulary], pa.list_(pa.binary())),
-                    pa.array([counts.tolist()], pa.list_(pa.int64())),
-                ],
-                ["block", "doc_ids", "sizes", "words", "vocabulary", "counts"],
-            )
-            number += 1
-        pa.default_memory_pool().release_unused()
-
-
-def _texts(column: pa.Array) -> list[str]:
-    return [w.decode("utf-8", "surrogatepass") for w in column.to_pylist()]
+                start, end, row = word_spans(data, offsets)
+                first, index, hashes = distinct_spans(data, start, end)
+                often = np.argsort(-np.bincount(index, minlength=len(first)), kind="stable")  # frequent words get small numbers
+                first, hashes = first[often], hashes[often]
+                place = np.empty(len(often), np.int64)
+                place[often] = np.arange(len(often))
+                index = place[index]
+                ids = batch.column(0)
+                train = np.array([_in_training(i) for i in ids.to_pylist()], bool)
+                counts = np.bincount(index[train[row]], minlength=len(first))
+                known = np.asarray(ids.fill_null(0)).astype(np.int64).tobytes() + np.asarray(ids.is_valid()).tobytes()
+                rows: list[tuple] = [(number, -1, len(train), int(train.sum()), known, train.tobytes(), packed(np.bincount(row, minlength=batch.num_rows)), packed(index), None, None, None, None)]
+                group = ((hashes >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+                by = np.argsort(group, kind="stable")
+                edges = np.searchsorted(group[by], np.arange(groups + 1))
+                size = end[first] - start[first]
+                for g in np.flatnonzero(np.diff(edges)).tolist():
+                    own = by[edges[g] : edges[g + 1]]
+                    rows.append((number, g, len(own), 0, None, None, None, None, _take(data, start[first[own]], size[own]), packed(size[own]), packed(counts[own]), packed(np.diff(own, prepend=0))))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                number += 1
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
+def _merge_group(table: pa.Table) -> pa.Table:
+    """One group's words over all blocks: distinct words with their counts, and where each block wants them."""
+    sizes, counts, at, blocks, raw = [], [], [], [], []
+    for block, n, data, lengths, c, own in zip(*(table[x].to_pylist() for x in ("block", "docs", "raw", "lengths", "counts", "at")), strict=True):
+        raw.append(data)
+        sizes.append(unpacked(lengths, n))
+        counts.append(unpacked(c, n))
+        at.append(np.cumsum(unpacked(own, n)))
+        blocks.append(np.full(n, block))
+    data, size = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(sizes)
+    start = np.cumsum(size) - size
+    first, refs, _ = distinct_spans(data, start, start + size)
+    total = np.zeros(len(first), np.int64)
+    np.add.at(total, refs, np.concatenate(counts))
+    row = [len(first), int((total > 0).sum()), int(total.sum()), int((total == 1).sum()), int((total == 2).sum())]
+    row += [_take(data, start[first], size[first]), packed(size[first]), packed(total), np.concatenate(blocks).tobytes(), packed(np.concatenate(at)), packed(refs)]
+    return pa.table({c.split()[0]: pa.array([v], pa.int64() if c.endswith("long") else pa.binary()) for c, v in zip(_WORDS.split(", "), row, strict=True)})
+
+
+def _group_words(row: dict) -> tuple[list[str], np.ndarray]:
+    """Words of a group and their counts."""
+    n = row["distinct"]
+    size = unpacked(row["lengths"], n)
+    ends = np.cumsum(size).tolist()
+    words = [row["raw"][a:b].decode("utf-8", "surrogatepass") for a, b in zip([0, *ends[:-1]], ends, strict=True)] if n else []
+    return words, unpacked(row["counts"], n)
 
 
 def lm_scores(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    blocks = stored(plain.mapInArrow(_blocks, _BLOCK), "lm-blocks")
-    used = blocks.select("block", F.posexplode(F.arrays_zip("vocabulary", "counts")).alias("at", "w")).select("block", "at", F.col("w.vocabulary").alias("word"), F.col("w.counts").alias("n"))
-    words = stored(used.groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
-    ends = plain.select("doc_id").filter("doc_id is null or crc32(cast(doc_id as string)) % 5 <> 1").count()
-    known, total, once, twice = words.filter("c > 0").agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+    held = plain.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    groups = max(LEAST_GROUPS, -(-held // GROUP_BYTES))
+    blocks = stored(plain.mapInArrow(_blocks(groups), _BLOCK), "lm-blocks", compression="zstd")
+    merged = blocks.filter("part >= 0").select("part", "block", "docs", "raw", "lengths", "counts", "at").groupBy("part").applyInArrow(_merge_group, _WORDS)
+    words = stored(merged, "lm-words", compression="zstd")
+    ends = blocks.agg(F.coalesce(F.sum("train"), F.lit(0))).first()[0]
+    known, total, once, twice = words.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("known", "total", "once", "twice"))).first()
     discount = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
     n, v = total + ends, known + (ends > 0)
 
@@ -299,12 +357,14 @@ def lm_scores(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col
             lat = lattice(model_path)
             out = np.zeros(len(now))
             for batch in batches:
-                out += lat.expected(_texts(batch.column(0)), now)
+                for row in batch.to_pylist():
+                    own, c = _group_words(row)
+                    out += lat.expected([own[i] for i in np.flatnonzero(c).tolist()], now)
             used = np.flatnonzero(out)
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(out[used])], ["piece", "e"])
 
         weight = np.zeros(len(now))
-        for piece, e in words.filter("c > 0").select("word").mapInArrow(expect, "piece int, e double").groupBy("piece").agg(F.sum("e")).collect():
+        for piece, e in words.select("distinct", "raw", "lengths", "counts").mapInArrow(expect, "piece int, e double").groupBy("piece").agg(F.sum("e")).collect():
             weight[piece] = e
         logp = lattice(model_path).normal(weight)
     final = logp
@@ -312,29 +372,38 @@ def lm_scores(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col
     def word_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = lattice(model_path)
         for batch in batches:
-            seen = np.maximum(np.asarray(batch.column(1)).astype(float) - discount, 0) / max(n, 1)
-            novel = np.log(max(discount * v, 1) / max(n, 1)) + lat.log_prob(_texts(batch.column(0)), final)
-            log = np.logaddexp(np.log(seen, out=np.full(len(seen), -np.inf), where=seen > 0), novel)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(log / np.log(10))], ["word", "c", "lp"])
-
-    scored = words.mapInArrow(word_scores, "word binary, c long, lp double")
-    answers = used.select("block", "at", "word").join(scored, "word").select("block", "at", "c", "lp")
-
-    def score(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        c, lp = np.zeros(right.num_rows, np.int64), np.zeros(right.num_rows)
-        at = np.asarray(right["at"])
-        c[at], lp[at] = np.asarray(right["c"]), np.asarray(right["lp"])
+            for row in batch.to_pylist():
+                own, c = _group_words(row)
+                seen = np.maximum(c - discount, 0) / max(n, 1)
+                novel = np.log(max(discount * v, 1) / max(n, 1)) + lat.log_prob(own, final)
+                lp = np.logaddexp(np.log(seen, out=np.full(len(seen), -np.inf), where=seen > 0), novel) / np.log(10)
+                block = np.frombuffer(row["blocks"], np.int64)
+                at, refs = unpacked(row["at"], len(block)), unpacked(row["refs"], len(block))
+                for a, b in itertools.pairwise([0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]):
+                    r = refs[a:b]
+                    yield pa.RecordBatch.from_arrays([pa.array([int(block[a])]), *(pa.array([x], pa.binary()) for x in (packed(at[a:b]), packed(c[r]), lp[r].tobytes()))], ["block", "at", "counts", "lp"])
+
+    answers = words.select("distinct", "raw", "lengths", "counts", "blocks", "at", "refs").mapInArrow(word_scores, _ANSWERS)
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        lps = [np.frombuffer(x) for x in right["lp"].to_pylist()]
+        at = [unpacked(x, len(y)) for x, y in zip(right["at"].to_pylist(), lps, strict=True)]
+        top = max((int(x.max()) + 1 for x in at), default=0)
+        c, lp = np.zeros(top, np.int64), np.zeros(top)
+        for x, y, z in zip(at, lps, right["counts"].to_pylist(), strict=True):
+            c[x], lp[x] = unpacked(z, len(y)), y
         base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
+        end_base, end = np.log10((ends + 0.5) / (n + 0.5 * (v + 1))), np.log10(max(ends, 0.5) / max(n, 1))
         out = []
-        for ids, sizes, index in zip(left["doc_ids"].to_pylist(), left["sizes"].to_pylist(), left["words"].to_pylist(), strict=True):
-            sizes, index = np.frombuffer(sizes, np.int32), np.frombuffer(index, np.int32)
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            ids, null = np.frombuffer(ids[: 8 * len(sizes)], np.int64), np.frombuffer(ids[8 * len(sizes) :], bool)
-            sums = [np.bincount(row, x[index], len(sizes)) if len(index) else np.zeros(len(sizes)) for x in (base, lp, (c > 0).astype(float))]
-            held = np.array([not _in_training(None if z else i) for i, z in zip(ids.tolist(), null.tolist(), strict=True)], bool)
-            end_base, end = np.log10((ends + 0.5) / (n + 0.5 * (v + 1))), np.log10(max(ends, 0.5) / max(n, 1))
-            out.append(pa.table({"doc_id": pa.array(ids, mask=null), "held_out": held, "n_tokens": sizes.astype(np.int64) + 1, "n_known": sums[2].astype(np.int64) + int(ends > 0), "train_tokens": np.full(len(sizes), n, np.int64), "base_score": sums[0] + end_base, "score": sums[1] + end}))
-        return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_()), "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()), "train_tokens": pa.array([], pa.int64()), "base_score": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
-
-    packed = blocks.select(F.col("block").alias("own_block"), "doc_ids", "sizes", "words")
-    return packed.groupBy("own_block").cogroup(answers.groupBy("block")).applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        for docs, raw, train, sizes, index in zip(*(left[x].to_pylist() for x in ("docs", "ids", "held", "sizes", "words")), strict=True):
+            sizes = unpacked(sizes, docs)
+            index = unpacked(index, int(sizes.sum()))
+            row = np.repeat(np.arange(docs), sizes)
+            ids, real = np.frombuffer(raw[: 8 * docs], np.int64), np.frombuffer(raw[8 * docs :], bool)
+            sums = [np.bincount(row, x[index], docs) if len(index) else np.zeros(docs) for x in (base, lp, (c > 0).astype(float))]
+            values = [pa.array(ids, mask=~real), ~np.frombuffer(train, bool), sizes + 1, sums[2].astype(np.int64) + int(ends > 0), np.full(docs, n, np.int64), sums[0] + end_base, sums[1] + end]
+            out.append(pa.table(dict(zip([x.split()[0] for x in _SCORES.split(", ")], map(pa.array, values), strict=True))))
+        return pa.concat_tables(out)
+
+    texts = blocks.filter("part < 0").select("block", "docs", "ids", "held", "sizes", "words")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, _SCORES)

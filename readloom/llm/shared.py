@@ -28,10 +28,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/readloom/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the reader of what was written."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -61,8 +61,8 @@ def test_lattice_sums_all_segmentations():
         if i == 0:
             out += [logp[lat.start] + r for r in brute(s, 1)]
         else:
-            c = ord(s[i])
-            out += [logp[lat.byte + (c if c < 128 else 128 + c % 128)] + r for r in brute(s, i + 1)]
+            c = s[i]
+            out += [sum(logp[lat.byte + b] for b in c.encode()) + r for r in brute(s, i + 1)]
         return out
 
     words = ["the", "in", "qx", "été", "tion"]
@@ -89,6 +89,79 @@ def test_scores_and_base(spark):
     assert lattice_lm.lm_scores(odd, PIECES).count() == 2
 
 
+def segmentations(lat, logp, s, i=0):
+    """Log probabilities of all ways to spell a marked word from ``i`` on."""
+    if i == len(s):
+        return [logp[lat.stop]]
+    out = []
+    for j in range(i + 1, len(s) + 1):
+        if s[i:j] in lat.index:
+            out += [logp[lat.index[s[i:j]]] + r for r in segmentations(lat, logp, s, j)]
+    own = logp[lat.start] if i == 0 else sum(logp[lat.byte + b] for b in s[i].encode())
+    return out + [own + r for r in segmentations(lat, logp, s, i + 1)]
+
+
+def test_scores_are_sums_over_all_segmentations(spark):
+    """The whole score written out: counts, discount, two re-estimations by all segmentations, mixture."""
+    rows = [(i, t) for i, t in enumerate(["the cat sat on a mat", "A cat, the été", "on on the hat", "nice tion x", "", None, "the unseen zq Té", "cat"] * 2)]
+    train = [zlib.crc32(str(i).encode()) % 5 != 1 for i, _ in rows]
+    words = [WORD.findall(ascii_lower(t or "")) for _, t in rows]
+    c = Counter(w for ws, k in zip(words, train, strict=True) if k for w in ws)
+    ends = sum(train)
+    n, v = sum(c.values()) + ends, len(c) + 1
+    once, twice = (sum(x == k for x in c.values()) for k in (1, 2))
+    d = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+    lat = lattice_lm.Lattice(PIECES)
+    logp = lat.initial
+
+    def spellings(s, i=0):
+        if i == len(s):
+            return [(lat.stop,)]
+        out = [(lat.index[s[i:j]], *r) for j in range(i + 1, len(s) + 1) if s[i:j] in lat.index for r in spellings(s, j)]
+        own = (lat.start,) if i == 0 else tuple(lat.byte + b for b in s[i].encode())
+        return out + [(*own, *r) for r in spellings(s, i + 1)]
+
+    for _ in range(lattice_lm.STEPS):
+        uses = np.zeros(len(logp))
+        for w in c:
+            ways = spellings("\u2581" + w)
+            p = np.array([math.exp(sum(logp[x] for x in way)) for way in ways])
+            for way, q in zip(ways, p / p.sum(), strict=True):
+                for x in way:
+                    uses[x] += q
+        logp = lat.normal(uses)
+    prob = lambda w: max(c[w] - d, 0) / n + d * v / n * math.exp(np.logaddexp.reduce(segmentations(lat, logp, "\u2581" + w)))
+    want = sorted((i, round(sum(math.log10(prob(w)) for w in ws) + math.log10(ends / n), 6)) for (i, _), ws in zip(rows, words, strict=True))
+    got = lattice_lm.lm_scores(documents(spark, rows), PIECES).collect()
+    assert np.allclose([s for _, s in sorted((r["doc_id"], r["score"]) for r in got)], [s for _, s in want], atol=2e-6)
+
+
+def test_lattice_gives_all_words_one_at_most():
+    lat = lattice_lm.Lattice(PIECES)
+    p = np.exp(lat.initial)
+    assert np.isclose(p[lat.first].sum(), 1.0) and np.isclose(p[~lat.first].sum(), 1.0)
+
+
+def test_complementary_words_are_two(spark):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    rows = [(i, one) for i in range(20)] + [(100 + i, one.translate({97: "b", 98: "a"})) for i in range(20) if zlib.crc32(str(100 + i).encode()) % 5 == 1]
+    got = lattice_lm.lm_scores(documents(spark, rows), PIECES).collect()
+    assert {(r["doc_id"] < 100, r["n_known"]) for r in got} == {(True, 2), (False, 1)}
+
+
+def test_known_words_against_base(spark, sf_dir):
+    """On known words of held-out texts, with the mass for unknown words put aside, the model is no worse than the base."""
+    rows = [(r[0], WORD.findall(ascii_lower(r[1] or ""))) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    c = Counter(w for i, ws in rows if zlib.crc32(str(i).encode()) % 5 != 1 for w in ws)
+    got = {r["doc_id"]: r for r in lattice_lm.lm_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), PIECES).collect()}
+    n = next(iter(got.values()))["train_tokens"]
+    once, twice = (sum(x == k for x in c.values()) for k in (1, 2))
+    aside = once / (once + 2 * twice) * len(c) / n
+    whole = [(i, ws) for i, ws in rows if got[i]["held_out"] and all(w in c for w in ws)]
+    score, base, tokens = (sum(x) for x in zip(*((got[i]["score"], got[i]["base_score"], len(ws)) for i, ws in whole), strict=True))
+    assert tokens > 20 and score - tokens * math.log10(1 - aside) >= base - 0.01 * abs(base)
+
+
 # toxicity
 
 
