@@ -51,7 +51,7 @@ from readloom.llm.bytesops import distinct_spans, lower_ascii, slices, text_byte
 from readloom.llm.shared import stored
 
 #: Bytes of text in a block and behind a group of words; steps of re-estimation; longest word in vectorised groups.
-BLOCK_BYTES, GROUP_BYTES, STEPS, WIDE = 8 << 20, 16 << 20, 2, 32
+BLOCK_BYTES, GROUP_BYTES, STEPS, WIDE = 8 << 20, 16 << 20, 4, 32
 #: Groups of words at least.
 LEAST_GROUPS = 24
 #: Word probability under which plain products lose digits.
