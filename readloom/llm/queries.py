@@ -27,7 +27,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_classes(read_table(spark, sf_dir, "documents"))
+    return near_classes(read_table(spark, sf_dir, "documents"), width=2)
 
 
 def op3_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

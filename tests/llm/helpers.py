@@ -2,7 +2,9 @@
 
 import re
 
-EXTRA = "doc_id long, text string, lang string, source string, n_chars long, h long, rank int, ids string, n_tokens string, word string, taken string"
+#: Columns whose names clash with those that operators use inside.
+CLASHING = ("h", "rank", "ids", "n_tokens", "word", "taken", "toxic", "row", "id", "sha", "key", "low", "kept", "copies", "copy", "rk", "occ", "size", "held", "_id", "_sha", "_kept", "_kept_id", "_copies", "_rk", "_once", "_row")
+EXTRA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -23,7 +25,7 @@ def awkward():
 
 def documents(spark, rows=None, extra=True):
     rows = awkward() if rows is None else rows
-    full = [(i, t, "en" if i and i % 2 else None, None if i in (2, 9) else f"src{(i or 0) % 3}", len(t or ""), 1, 2, "x", "y", "z", "q") for i, t in rows]
+    full = [(i, t, "en" if i and i % 2 else None, None if i in (2, 9) else f"src{(i or 0) % 3}", len(t or ""), *(f"{c}{i}" for c in CLASHING)) for i, t in rows]
     df = spark.createDataFrame(full, EXTRA)
     return df if extra else df.select("doc_id", "text", "lang", "source", "n_chars")
 
