@@ -9,10 +9,17 @@ An exception phrase takes back the hits it contains.
 Entries and weights (log odds of appearing in toxic against clean documents),
 exception phrases and the calibration from hit weight and hit weight per length
 to a probability are learned from ``SAMPLE`` labelled documents at most, chosen
-by a hash of the id; of near copies among them (the classes of ``near_classes``)
-with the same label only the one with the smallest id counts, and so do blank
-texts.  Scores depend on nothing but the text.  Null and empty texts have no hits.  Documents
-repeated in the input are scored each; labels repeated for an id count once.
+by a hash of the id; of near copies among them (the classes of ``near_rows``)
+with the same label only the one with the smallest id counts.  The driver holds
+the lexicon, which is bounded by the sample's distinct words, none left out.
+
+Results: scores depend on nothing but the text.  Null and empty texts have no
+hits and get the score of a text without any; so are all texts where no label
+is given.  Documents repeated in the input are scored each; labels repeated for
+an id count once, toxic if any says so; labels of unknown or null ids don't
+count.  An id that stands on several texts lends its label to each.  An empty
+table gives an empty one.  Texts and words of any length are taken whole.
+Further columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,13 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.near_dedup import near_classes
+from readloom.llm.bytesops import slices
+from readloom.llm.near_dedup import near_rows
 from readloom.llm.shared import stored
 
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 20_000
-#: Entries of the lexicon, at most; distinct toxic documents an entry needs; its least log odds.
-ENTRIES, SUPPORT, ODDS = 4_000, 6, 2.5
+#: Distinct toxic documents an entry needs, and its least log odds.
+SUPPORT, ODDS = 6, 2.5
 STEMS = range(4, 9)
 #: Phrases that are harmless although they hold a lexicon word (fixed values; further ones are learned).
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "idiot proof", "circus clown", "clown fish", "pathetic fallacy")
@@ -116,7 +124,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = (Counter(), Counter())
     for batch in batches:
         for toxic, folded in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            seen[toxic].update({w for w in folded.split() if 3 <= len(w) <= 40})
+            seen[toxic].update({w for w in folded.split() if len(w) >= 3})
     words = list(seen[0].keys() | seen[1].keys())
     yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[1][w] for w in words], pa.int64()), pa.array([seen[0][w] for w in words], pa.int64())], ["word", "bad", "good"])
 
@@ -157,11 +165,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, exceptions: tuple[str, ...] = EXCEPTIONS, id_col: str = "doc_id", text_col: str = "text") -> ToxicModel:
     """Learn lexicon, exceptions and calibration from labelled documents (``doc_id, toxic``)."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).withColumnRenamed("doc_id", "_id")
-    texts = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select("_id", F.col(text_col).cast("string").alias("text"), "toxic")
-    texts = stored(texts.withColumn("_row", F.xxhash64("_id", "text")).dropDuplicates(["_row"]), "toxic-texts")
-    classes = near_classes(texts, "_row", "text").select(F.col("doc_id").alias("_row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("cls"))
-    once = texts.join(classes, "_row").groupBy("cls", "toxic").agg(F.min(F.struct("_id", "_row", "text")).alias("one")).select("one.text", "toxic")
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("sha"))
+    texts = stored(plain.join(F.broadcast(chosen), "doc_id"), "toxic-texts")  # chosen is bounded by the sample
+    classes = near_rows(texts).select(F.col("id").alias("doc_id"), "sha", "low").distinct()
+    once = texts.join(classes, ["doc_id", "sha"]).groupBy("low", "toxic").agg(F.min(F.struct("doc_id", "sha", "text")).alias("one")).select("one.text", "toxic")
     held = stored(once.mapInArrow(_fold_sample, "toxic int, folded string"), "toxic-sample")
     bad, good = held.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1)) - F.coalesce(F.sum("toxic"), F.lit(0))).first()
     words = held.mapInArrow(_word_counts, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
@@ -169,11 +178,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, excep
     odds = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("good") + 0.5) / (good + 1.0))
     picked = stems.groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).withColumn("w", odds).filter((F.length("stem") >= min(STEMS)) & (F.col("bad") >= SUPPORT) & (F.col("w") >= ODDS))
     model = ToxicModel(exceptions=sorted({fold(p).strip() for p in exceptions}))
-    for stem, w in sorted(picked.orderBy(F.desc("bad"), "stem").limit(ENTRIES).select("stem", "w").collect(), key=lambda r: (len(r[0]), r[0])):
+    for stem, w in sorted(picked.select("stem", "w").collect(), key=lambda r: (len(r[0]), r[0])):
         if not any(model.weights.get(stem[:k], -1) >= w - 0.5 for k in range(min(STEMS), len(stem))):
             model.weights[stem] = round(w, 6)
     learned = held.mapInArrow(_phrases(model), "phrase string, bad long, good long").groupBy("phrase").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter("bad = 0 and good >= 3")
-    model.exceptions += [r[0] for r in learned.orderBy(F.desc("good"), "phrase").limit(ENTRIES).select("phrase").collect()]
+    model.exceptions += [r[0] for r in learned.select("phrase").orderBy("phrase").collect()]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,7 +201,7 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", t
     """Per document ``doc_id, held_out, score, predicted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             scores = [model.score(t) for t in batch.column(1).to_pylist()]
             held = [i is not None and zlib.crc32(str(i).encode()) % 5 == 0 for i in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.bool_()), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], ["doc_id", "held_out", "score", "predicted"])
@@ -212,7 +221,7 @@ def drop_toxic(docs: DataFrame, model: ToxicModel, text_col: str = "text") -> Da
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, at)):
             yield batch.filter(pa.array([model.score(t) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, schema)
