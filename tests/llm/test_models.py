@@ -174,6 +174,40 @@ def test_folding_and_exceptions():
     assert m.score("idiot") > m.score("idiot " + "and much else " * 400)
 
 
+def plain_score(model, text):
+    """The score by looking for every entry and phrase at every place."""
+    folded = toxicity.fold(text or "")
+    spots = lambda e: [i for i in range(len(folded)) if folded.startswith(" " + e, i)]
+    free = [(i, i + len(e) + 1) for e in model.exceptions for i in spots(e)]
+    best = {}
+    for entry, w in model.weights.items():
+        for i in spots(entry):
+            if not any(a <= i and i + len(entry) + 1 <= b for a, b in free):
+                best[i] = max(best.get(i, 0.0), w)
+    total = sum(best.values())
+    x = model.coef[0] + model.coef[1] * math.log1p(total) + model.coef[2] * math.log1p(1000 * total / len(folded))
+    return 1 / (1 + math.exp(-max(-40.0, min(40.0, x))))
+
+
+def test_scores_equal_a_plain_scan(spark):
+    w = {toxicity.fold(e).strip(): k for e, k in (("idiot", 4.0), ("idio", 2.5), ("lazy dog", 3.0), ("dog", 1.5), ("quiet", 2.0))}
+    model = toxicity.ToxicModel(w, [toxicity.fold(p).strip() for p in ("idiot proof", "quietly mix")], (-3.0, 2.0, 0.5))
+    rows = [*awkward(), (50, "id10t idi0t-proof IDIOT proof idiots; lazy dog dogs quietly mixing quiet")]
+    rows = [(i, (t or "")[:3000]) for i, t in rows]
+    got = sorted((r["doc_id"], round(r["score"], 12)) for r in toxicity.score_toxicity(documents(spark, rows), model).collect())
+    assert got == sorted((i, round(plain_score(model, t), 12)) for i, t in rows)
+
+
+def test_no_entry_is_left_out(spark):
+    words = [f"{a}{b}{c}x" for a in "bcdfgh" for b in ("ara", "ere", "oro", "unu") for c in "klmnprstvw"]
+    rows = [(i, " ".join(words[(i * 40) % 240 :][:40])) for i in range(48)] + [(100 + i, f"plain harmless text number {i} of many about w{i} and v{i * 7}") for i in range(200)]
+    labels = spark.createDataFrame([(i, i < 100) for i, _ in rows], "doc_id long, toxic boolean")
+    words = [f"{w}{'yz'[k % 2]}{k}" for k, w in enumerate(words)]
+    rows = [(i, t if i >= 100 else t + f" own{i} more{i * 3} yet{i * 7} end{i * 11} so{i}a") for i, t in rows]
+    model = toxicity.fit_toxicity(documents(spark, rows), labels)
+    assert sum(any(f"{a}{b}{c}x"[: len(e)] == e for e in model.weights) for a in "bcdfgh" for b in ("ara", "ere", "oro", "unu") for c in "klmnprstvw") == 240
+
+
 def test_toxicity_is_learned(spark):
     rng = np.random.default_rng(3)
     words = [f"{a}{b}{c}" for a in ("the", "on", "er", "in") for b in ("ha", "nd", "st", "re") for c in ("tion", "ing", "ou", "ly")]
@@ -234,7 +268,10 @@ def test_mix(spark, monkeypatch):
     for r in first:
         assert r["source_size"] == sizes[r["source"]] and math.isclose(r["target"], want[r["source"]], rel_tol=1e-9)
     for s in sizes:
-        assert abs(taken[s] - want[s]) <= 0.02 * want[s] + 60 or want[s] > 30_000
+        own = [r["size"] for r in first if r["source"] == s and r["size"]]
+        # blocks of 16 can't take up a document that is much larger than they are; rounding to the nearer side loses half of it at most
+        stuck = max(own) / 2 if max(own) > sum(own) / 8 else 0
+        assert abs(taken[s] - want[s]) <= max(0.01 * want[s], min(own)) + stuck, s
     out = mixing.mixed_documents(docs)
     assert out.columns == docs.columns and out.count() == sum(r["copies"] for r in first)
     _, empty, odd = tables_of(spark)
@@ -242,11 +279,22 @@ def test_mix(spark, monkeypatch):
 
 
 def test_rounding_keeps_expectations():
-    sizes, fracs = [50, 40, 33, 20, 7, 3], [0.3, 0.7, 0.5, 0.2, 0.9, 0.4]
-    total = np.zeros(6)
-    for seed in range(3000):
-        total += mixing.settle(list(range(6)), sizes, fracs, seed, True)[0]
-    assert np.abs(total / 3000 - fracs).max() < 0.04
+    rng = np.random.default_rng(2)
+    sizes, fracs = sorted(rng.integers(10, 60, 40).tolist(), reverse=True), rng.uniform(0.1, 0.9, 40).tolist()
+    total, words = np.zeros(40), []
+    for seed in range(2000):
+        taken = mixing.settle([(i,) for i in range(40)], sizes, fracs, seed, True)[0]
+        total += taken
+        words.append(np.dot(taken, sizes))
+    assert np.abs(total / 2000 - fracs)[:20].max() < 0.06  # the last ones may be steered
+    assert np.abs(np.array(words) - np.dot(sizes, fracs)).max() <= sizes[-1]
+
+
+def test_targets_are_met_at_scale(spark):
+    """The sources of the test table, each within 1 % or its smallest document."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least")).collect()
+    assert len(got) > 5 and all(abs(r["taken"] - r["target"]) <= max(0.01 * r["target"], r["least"]) for r in got), got
 
 
 # personal data
