@@ -3,7 +3,9 @@
 Every stage works on all rows that its predecessor kept.  All but the last
 return the columns of ``documents``; the last adds the encoding.  Null texts
 count as empty, empty tables give empty tables, and further columns travel
-along.  The mix repeats documents, so rows after it are not unique.
+along under any names (the encoding replaces columns of its own names).  Rows
+that repeat the id and text of a document that stays, stay with it.  The mix
+repeats documents, so rows after it are not unique.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document stays of each class of near copies."""
+    """One document stays of each class of near copies: five-word shingles, similarity 0.8 or more."""
     return drop_near_copies(docs)
 
 
@@ -47,7 +49,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("toxicity", toxicity), ("exact_copies", exact_copies), ("near_copies", near_copies), ("mixing", mixing), ("encoding", encoding)]
-#: SQL can't express the stages; tests compare each with a brute-force version.
+#: SQL can't express the stages; ``tests/llm/test_pipeline.py`` compares each with a version written out in plain Python.
 ORACLE_SQL = None
 
 
