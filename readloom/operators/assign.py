@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: K-mers of all references up to which they are sent to every executor (some 60 bytes each).
+SEEDS = 2_000_000
+
 
 def kmers(seq: str, k: int) -> Column:
     """Distinct k-mers of a sequence column; a look-ahead walks the text once, where substrings by position would walk it for each."""
@@ -14,10 +17,13 @@ def kmers(seq: str, k: int) -> Column:
 def seed_assign(reads: DataFrame, refs: DataFrame, k: int = 13) -> DataFrame:
     """The reference that shares most distinct k-mers with each read (ties by name); ``*`` if none does.
 
-    Both sides are exploded and joined on the k-mer; frequent k-mers of the
-    reads are no problem, since only k-mers of references join.
+    References are counted first.  Up to ``SEEDS`` k-mers they are broadcast: a
+    read's k-mers are looked up where the read is, and only its counts are
+    shuffled.  Beyond that both sides are joined by a shuffle on the k-mer.
     """
     seeds = refs.select("name", F.explode(kmers("seq", k)).alias("kmer"))
+    if seeds.count() <= SEEDS:
+        seeds = F.broadcast(seeds)
     own = reads.select("read_id", F.explode(kmers("seq", k)).alias("kmer"))
     shared = own.join(seeds, "kmer").groupBy("read_id", "name").agg(F.count(F.lit(1)).alias("shared"))
     order = Window.partitionBy("read_id").orderBy(F.desc("shared"), "name")

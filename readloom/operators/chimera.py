@@ -37,9 +37,12 @@ def leader_adapters(windows: DataFrame, sampling_rate: float, model: StateModel
 
     ``windows`` has ``read_id, window, begin`` (payload start) and the arrays
     ``starts, ends, means`` of its events.  A stretch is a run of leader states
-    with the adapter right behind it, or an adapter alone; both must last
-    longer than the limits, which are lower near the payload start.
+    with the adapter right behind it, or an adapter alone; both must last as
+    long as the limits (whole samples) or longer.  Limits are lower near the
+    payload start.
     """
+    head = int(PRESET.chimera_head * sampling_rate)
+    limits = {near: tuple(int(x * sampling_rate) for x in cut) for near, cut in ((True, PRESET.chimera_cut_head), (False, PRESET.chimera_cut))}
     leader = {model.names.index("leader-low"), model.names.index("leader-high")}
     adapter = model.names.index("adapter")
 
@@ -58,9 +61,8 @@ def leader_adapters(windows: DataFrame, sampling_rate: float, model: StateModel
                     while i and runs[i - 1][0] in leader:
                         i -= 1
                     first, last = int(starts[runs[i][1]]), int(ends[b])
-                    near = first - begin <= PRESET.chimera_head * sampling_rate
-                    cut_all, cut_adapter = PRESET.chimera_cut_head if near else PRESET.chimera_cut
-                    if last - first > cut_all * sampling_rate and last - int(starts[a]) > cut_adapter * sampling_rate:
+                    cut_all, cut_adapter = limits[first - begin <= head]
+                    if last - first >= cut_all and last - int(starts[a]) >= cut_adapter:
                         out.append((rid, window, first, last + 1))
             yield pd.DataFrame(out, columns=["read_id", "window", "first", "last"]).astype({"window": "int64", "first": "int64", "last": "int64"})
 
@@ -91,7 +93,8 @@ def subread_counts(events: DataFrame, bounds: DataFrame, adapters: DataFrame) ->
 
 
 def chimera_flag(counts: DataFrame) -> DataFrame:
-    """``read_id, later, head, unsplit``: whether later subreads hold enough positions."""
-    sums = counts.groupBy("read_id").agg(F.sum(F.when(F.col("gap") > 0, F.col("positions")).otherwise(0)).alias("later"), F.sum(F.when(F.col("gap") == 0, F.col("positions")).otherwise(0)).alias("head"))
-    flag = (F.col("later") > 0) & ((F.col("later") > PRESET.chimera_count) | ((F.col("later") + 1) / (F.col("head") + 1) > PRESET.chimera_ratio))
-    return sums.withColumn("unsplit", flag)
+    """``read_id, later, head, unsplit``: whether an adapter was found and the subreads behind it hold enough positions, in number or beside the first one."""
+    found = F.max("gap") > 0
+    sums = counts.groupBy("read_id").agg(found.alias("found"), F.sum(F.when(F.col("gap") > 0, F.col("positions")).otherwise(0)).alias("later"), F.sum(F.when(F.col("gap") == 0, F.col("positions")).otherwise(0)).alias("head"))
+    flag = F.col("found") & ((F.col("later") > PRESET.chimera_count) | ((F.col("later") + 1) / (F.col("head") + 1) > PRESET.chimera_ratio))
+    return sums.withColumn("unsplit", flag).drop("found")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.operators.training import global_rank, hash_rank
+from readloom.operators.training import global_rank, hash_ranked
 
 
 def _hash(id_col: str, seed: int):
@@ -47,7 +47,7 @@ def theil_sen(pairs: DataFrame, x: str = "observed", y: str = "level_mean", orde
 def balanced_subsample(df: DataFrame, run: str = "run_id", id_col: str = "read_id", seed: int = 922) -> DataFrame:
     """As many random rows of every run as the smallest run has."""
     least = df.groupBy(run).agg(F.count(F.lit(1)).alias("_n")).agg(F.min("_n").alias("_least"))
-    return df.withColumn("_r", hash_rank([run], id_col, seed)).join(F.broadcast(least)).filter(F.col("_r") <= F.col("_least")).drop("_r", "_least")
+    return hash_ranked(df, [run], id_col, seed, "_r").join(F.broadcast(least)).filter(F.col("_r") <= F.col("_least")).drop("_r", "_least")
 
 
 def outlier_filter(df: DataFrame, a: str, b: str, keep: float = 0.98) -> DataFrame:

@@ -10,12 +10,26 @@ from pyspark.sql import functions as F
 from readloom.functions import match_length
 
 
-def hash_rank(keys: list[str], id_col: str, seed: int) -> Column:
-    """Rank within ``keys`` in the order of a hash of id and seed: a random order that reruns and partitioning don't change."""
-    return F.row_number().over(Window.partitionBy(*keys).orderBy(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(str(seed)))), id_col))
+def hash_ranked(df: DataFrame, keys: list[str], id_col: str, seed: int, name: str) -> DataFrame:
+    """Rank within ``keys`` in the order of a hash of id and seed: a random order that reruns and partitioning don't change.
 
-
-def global_rank(df: DataFrame, order: list[Column], name: str = "rank", parts: int = 64) -> DataFrame:
+    The leading hash digits cut each class into 256 cells.  Ranks are those
+    within a cell plus the sizes of the cells before, so a class of a third of
+    all rows is no one task's.
+    """
+    hashed = df.withColumn("_h", F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(str(seed))))).withColumn("_cell", F.substring("_h", 1, 2))
+    sizes = hashed.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_cell").alias("_c"), F.coalesce(ahead, F.lit(0)).alias("_before"))
+    own = hashed.withColumn("_own", F.row_number().over(Window.partitionBy(*keys, "_cell").orderBy("_h", id_col)))
+    same = F.col("_cell") == F.col("_c")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    ranked = own.join(sizes, same).withColumn(name, F.col("_own") + F.col("_before"))
+    return ranked.drop("_h", "_cell", "_own", "_before", "_c", *(f"_k{i}" for i in range(len(keys))))
+
+
+def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """Position in a global order, without a single-partition sort: ranks within range partitions plus their offsets.
 
     The first order column must be a string of hexadecimal digits; its leading
@@ -78,13 +92,14 @@ def select_reads(scores: DataFrame, adapters: DataFrame, summary: DataFrame, lim
 
 def class_cap_sample(df: DataFrame, cap: int, seed: int = 922, label: str = "label", id_col: str = "read_id") -> DataFrame:
     """At most ``cap`` random rows of each class."""
-    return df.withColumn("_r", hash_rank([label], id_col, seed)).filter(F.col("_r") <= cap).drop("_r")
+    return hash_ranked(df, [label], id_col, seed, "_r").filter(F.col("_r") <= cap).drop("_r")
 
 
 def stratified_split(df: DataFrame, share: float, seed: int = 923, label: str = "label", id_col: str = "read_id") -> DataFrame:
     """``is_test``: the floor of ``share`` of each class, chosen at random."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(label))
-    return df.withColumn("is_test", hash_rank([label], id_col, seed) <= F.floor(n * share))
+    n = df.groupBy(F.col(label).alias("_label")).agg(F.floor(F.count(F.lit(1)) * share).alias("_n"))
+    ranked = hash_ranked(df, [label], id_col, seed, "_r")
+    return ranked.join(n, F.col(label).eqNullSafe(F.col("_label"))).withColumn("is_test", F.col("_r") <= F.col("_n")).drop("_r", "_n", "_label")
 
 
 def with_decoys(df: DataFrame, decoys: DataFrame, label: str = "label", id_col: str = "read_id") -> DataFrame:

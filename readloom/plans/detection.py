@@ -203,11 +203,11 @@ def chi_leader_adapter(spark, sf):
     return chimera.leader_adapters(parts, _RATE)
 
 
-@query("""with i as (select state, read_id, start f, start + length * 2 l from v_evt where k % 3 = 0), m as (select *, max(l) over (partition by read_id, state order by f, l rows between unbounded preceding and 1 preceding) r from i),
+@query("""with i as (select state, read_id, start f, start + length * 2 l from v_evt), m as (select *, max(l) over (partition by read_id, state order by f, l rows between unbounded preceding and 1 preceding) r from i),
   g as (select *, sum(case when f <= r then 0 else 1 end) over (partition by read_id, state order by f, l rows unbounded preceding) n from m)
   select read_id, state, min(f) as "first", max(l) as "last" from g group by read_id, state, n""")
 def interval_union(spark, sf):
-    iv = b.events(spark, sf).filter("k % 3 = 0").selectExpr("read_id", "state", "start first", "start + length * 2 last")
+    iv = b.events(spark, sf).selectExpr("read_id", "state", "start first", "start + length * 2 last")
     return union_of(iv, ["read_id", "state"])
 
 
@@ -230,8 +230,8 @@ def chi_subread_counts(spark, sf):
     return _counts(spark, sf)
 
 
-@query(_COUNTS + """, s as (select read_id, sum(case when gap > 0 then positions else 0 end) later, sum(case when gap = 0 then positions else 0 end) head from c group by 1)
-  select read_id, cast(later as bigint) as later, cast(head as bigint) as head, later > 0 and (later > 30 or (later + 1) / (head + 1) > 0.1) as unsplit from s""")
+@query(_COUNTS + """, s as (select read_id, sum(case when gap > 0 then positions else 0 end) later, sum(case when gap = 0 then positions else 0 end) head, bool_or(gap > 0) found from c group by 1)
+  select read_id, cast(later as bigint) as later, cast(head as bigint) as head, found and (later > 30 or (later + 1) / (head + 1) > 0.1) as unsplit from s""")
 def chi_flag(spark, sf):
     return chimera.chimera_flag(_counts(spark, sf))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from readloom import bindings as b
@@ -29,20 +32,25 @@ def _collected(spark, stream, name: str):
     return spark.read.parquet(out)
 
 
+def _with_file(stream):
+    return stream.withColumn("file", F.col("_metadata.file_path"))
+
+
 @query("select read_id, filename, label, barcode, status from v_reads")
 def st_live_scan(spark, sf):
     path, schema = _arrivals(spark, sf)
     return _collected(spark, streaming.live_scan(spark, path, schema), "live").drop("batch")
 
 
-@query("select read_id, status from v_reads")
+@query("select read_id, status, true as waited from v_reads")
 def st_start_delay(spark, sf):
-    """Files are held until they are old enough, then offered again: here the delay is over at the second offer."""
+    """Batches of files that have just arrived are held until the files are old enough; each row tells whether it was."""
     path, schema = _arrivals(spark, sf)
-    batch = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path).select("*", "_metadata")
-    ready, young = streaming.old_enough(batch, 3600.0, F.current_timestamp())
-    later, _ = streaming.old_enough(young, 3600.0, F.current_timestamp() + F.expr("interval 2 hours"))
-    return ready.select("read_id", "status").unionByName(later.select("read_id", "status"))
+    out, delay = new_path(spark, "delayed"), 3.0
+    stamped = lambda batch, i: batch.withColumn("at", F.lit(time.time())).write.mode("overwrite").parquet(f"{out}/batch={i}")
+    stream = streaming.with_file_time(streaming.live_scan(spark, path, schema))
+    streaming.run_available(stream, streaming.delayed(stamped, delay), new_path(spark, "delayed-checkpoint"))
+    return spark.read.parquet(out).select("read_id", "status", (F.col("at") - F.unix_micros("file_time") / 1e6 >= delay - 0.001).alias("waited"))
 
 
 @query("""with t as (select read_id, status, case when cast(read_id as bigint) % 4 < 2 then 2 else 1 end c from v_reads)
@@ -53,17 +61,26 @@ def st_dedup(spark, sf):
     return _collected(spark, stream, "dedup").select("read_id", "status")
 
 
-@query("select label, count(*) as n from v_reads group by 1")
+@query("select cast(read_id as bigint) % 4 as part, count(*) as n, 1 as batches, 1 as files from v_reads group by 1")
 def st_microbatch(spark, sf):
+    """One file for each micro-batch: every part of the arrivals is a batch of its own."""
     path, schema = _arrivals(spark, sf)
-    return _collected(spark, streaming.live_scan(spark, path, schema, files_per_trigger=1), "micro").groupBy("label").agg(F.count("read_id").alias("n"))
+    got = _collected(spark, _with_file(streaming.live_scan(spark, path, schema, files_per_trigger=1)), "micro")
+    files = got.groupBy("batch").agg(F.count_distinct("file").alias("files"))
+    part = (F.col("read_id").cast("long") % 4).alias("part")
+    per = got.join(files, "batch").groupBy(part).agg(F.count("read_id").alias("n"), F.count_distinct("batch").alias("batches"), F.max("files").alias("files"))
+    return per
 
 
-@query("select status, count(*) as n from v_reads group by 1")
+@query("""with p as (select cast(read_id as bigint) % 4 part from v_reads), f as (select count(distinct part) + count(distinct case when part < 2 then part end) d from p),
+  t as (select count(*) + count(case when part < 2 then 1 end) n from p)
+  select cast(b as bigint) as batch, least(4, d - 4 * b) as files, n as rows_in_all from f, t, (select unnest(range(0, 4)) b) where d > 4 * b""")
 def st_stall_flush(spark, sf):
-    """A trigger takes what is there: the last, partly filled micro-batch is not held back."""
-    path, schema = _arrivals(spark, sf)
-    return _collected(spark, streaming.live_scan(spark, path, schema, files_per_trigger=4), "flush").groupBy("status").agg(F.count("read_id").alias("n"))
+    """Batches of four files; a trigger takes what is there, so the last, partly filled batch is not held back."""
+    path, schema = _arrivals(spark, sf, repeats=True)
+    got = _collected(spark, _with_file(streaming.live_scan(spark, path, schema, files_per_trigger=4)), "flush")
+    per = got.groupBy(F.col("batch").cast("long").alias("batch")).agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("n"))
+    return per.select("batch", "files", F.sum("n").over(Window.partitionBy()).alias("rows_in_all"))
 
 
 @query("select coalesce(label, 'fail') as label, barcode, status, count(*) as n from v_reads group by 1, 2, 3")

@@ -76,18 +76,19 @@ def trn_select_reads(spark, sf):
     return out.select("read_id", "sample_index", "best", "second", "adapter_length")
 
 
-@query("""with s as (select read_id, i - 48 as i, x from v_long where i >= 48 and cast(read_id as bigint) % 3 = 0), m as (select read_id, median(x) m from s group by 1), d as (select read_id, median(abs(x - m)) d from s join m using (read_id) group by 1)
+_RANK = "row_number() over (partition by {p} order by md5(concat(read_id, '|', '{s}')), read_id)"
+
+
+@query(f"""with ch as (select read_id from (select read_id, {_RANK.format(p='label', s=923)} r, count(*) over (partition by label) n from v_sig) where r <= floor(n * 0.4)),
+  s as (select read_id, i - 48 as i, x from v_long join ch using (read_id) where i >= 48), m as (select read_id, median(x) m from s group by 1), d as (select read_id, median(abs(x - m)) d from s join m using (read_id) group by 1)
   select read_id, label, i, round((x - m) / greatest(0.01, 1.4826 * d), 6) as x from s join m using (read_id) join d using (read_id) join v_sig using (read_id)""")
 def trn_signal_matrix(spark, sf):
     s = b.signals(spark, sf)
-    chosen = s.filter("cast(read_id as bigint) % 3 = 0").select("read_id")
+    chosen = training.stratified_split(s.select("read_id", "label"), 0.4).filter("is_test").select("read_id")
     m = prepare_adapters(s.join(chosen, "read_id"), 8, 1000, 16)
     return m.select("read_id", "label", F.posexplode("signal").alias("i", "x")).select("read_id", "label", F.col("i").cast("long").alias("i"), F.round("x", 6).alias("x"))
 
 
-_RANK = "row_number() over (partition by {p} order by md5(concat(read_id, '|', '{s}')), read_id)"
-
-
 @query(f"select read_id, label from (select read_id, label, {_RANK.format(p='label', s=922)} r from v_reads) where r <= 3000")
 def trn_class_cap_sample(spark, sf):
     return training.class_cap_sample(b.reads(spark, sf).select("read_id", "label"), 3000)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from readloom.operators.reports import final_counts
 
@@ -18,16 +21,43 @@ def live_scan(spark: SparkSession, path: str, schema, suffix: str = ".parquet",
     return reader.parquet(path)
 
 
-def old_enough(df: DataFrame, seconds: float, now) -> tuple[DataFrame, DataFrame]:
-    """Rows of files at least ``seconds`` old, and the others, which the caller offers again."""
-    age = F.unix_micros(now) / 1e6 - F.unix_micros(F.col("_metadata.file_modification_time")) / 1e6
-    return df.filter(age >= seconds), df.filter(age < seconds)
+def with_file_time(df: DataFrame, name: str = "file_time") -> DataFrame:
+    """Adds when a row's file was last changed."""
+    return df.withColumn(name, F.col("_metadata.file_modification_time"))
 
 
-def dedup_stream(df: DataFrame, keys: list[str]) -> DataFrame:
-    """At most one ``okay`` row per key in the stream's life; failing rows pass. State grows with the okay keys."""
-    okay = df.filter("status = 'okay'").dropDuplicates(keys)
-    return okay.unionByName(df.filter("status <> 'okay'"))
+def delayed(sink: Callable[[DataFrame, int], None], seconds: float, file_time: str = "file_time") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that holds a batch until its youngest file is ``seconds`` old."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        last = batch.agg(F.max(F.unix_micros(file_time))).first()[0]
+        if last is not None:
+            time.sleep(max(0.0, last / 1e6 + seconds - time.time()))
+        sink(batch, batch_id)
+
+    return run
+
+
+def dedup_stream(df: DataFrame, keys: list[str], arrival: str | None = None) -> DataFrame:
+    """Drop every row that comes after an ``okay`` row of its key, in the stream's life; failing rows before that may repeat.
+
+    The same rule as ``dedup_okay`` of a batch.  Rows of one micro-batch count
+    in the order of ``arrival``, if given.  State grows with the okay keys.
+    """
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(parts))
+        if state.exists:
+            return
+        if arrival:
+            rows = rows.sort_values(arrival, kind="stable")
+        okay = (rows["status"] == "okay").to_numpy()
+        if okay.any():
+            state.update((True,))
+            rows = rows.iloc[: int(okay.argmax()) + 1]
+        yield rows
+
+    return df.groupBy(*keys).applyInPandasWithState(run, df.schema, "done boolean", "append", GroupStateTimeout.NoTimeout)
 
 
 def fan_out(sinks: dict[str, Callable[[DataFrame, int], None]]) -> Callable[[DataFrame, int], None]:

@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
 from readloom import streaming
-from readloom.operators import calibration, demux, reads, scaling, training
+from readloom.operators import assign, calibration, chimera, demux, reads, scaling, training
+from readloom.operators.segmentation import WINDOW_MODEL
 from readloom.sources import sinks
 from readloom.sources.shared import ensure_checkpoints
 
@@ -69,3 +70,48 @@ def test_fastq_is_written_by_group(spark, tmp_path):
     sinks.write_text(sinks.fastq_rows(df), f"{tmp_path}/fastq")
     back = spark.read.text(f"{tmp_path}/fastq").groupBy("label", "barcode").agg(F.sort_array(F.collect_list("value")).alias("v")).collect()
     assert {(r["label"], r["barcode"]) for r in back} == {("pass", "BC1"), ("fail", "undetermined")}
+
+
+def test_stream_and_batch_drop_the_same_rows(spark, tmp_path):
+    rows = [("f", "a", "fail", 1), ("f", "a", "okay", 2), ("f", "a", "fail", 3), ("f", "a", "okay", 4), ("f", "b", "fail", 1), ("f", "b", "fail", 2), ("g", "a", "okay", 1)]
+    df = spark.createDataFrame(rows, "filename string, read_id string, status string, arrival long")
+    want = sorted(map(tuple, reads.dedup_okay(df, ["filename", "read_id"], "arrival").collect()))
+    for per_file in (1, 2, 7):
+        src, out = f"{tmp_path}/in{per_file}", f"{tmp_path}/out{per_file}"
+        for i in range(0, 7, per_file):
+            spark.createDataFrame(rows[i : i + per_file], df.schema).coalesce(1).write.parquet(f"{src}/part={i}")
+        stream = streaming.dedup_stream(streaming.live_scan(spark, src, df.schema, files_per_trigger=1), ["filename", "read_id"], "arrival")
+        streaming.run_available(stream, lambda b, i, out=out: b.write.mode("overwrite").parquet(f"{out}/batch={i}"), f"{tmp_path}/cp{per_file}")
+        assert sorted(map(tuple, spark.read.parquet(out).select(df.columns).collect())) == want
+
+
+def test_flag_needs_an_adapter_but_no_position(spark):
+    """Head 5, nothing behind the adapter: (0 + 1) / (5 + 1) is above the ratio; without an adapter there is no flag."""
+    rows = [("a", 0, 5), ("a", 1, 0), ("b", 0, 5), ("c", 0, 9), ("c", 1, 0), ("d", 0, 1000), ("d", 1, 20), ("d", 2, 11)]
+    got = {r["read_id"]: (r["later"], r["head"], r["unsplit"]) for r in chimera.chimera_flag(spark.createDataFrame(rows, "read_id string, gap long, positions long")).collect()}
+    assert got == {"a": (0, 5, True), "b": (0, 5, False), "c": (0, 9, False), "d": (31, 1000, True)}
+
+
+def test_adapters_count_from_their_limits_on(spark):
+    """An adapter alone that lasts exactly its limits in whole samples is one; a sample less is none."""
+    level = WINDOW_MODEL.emission[WINDOW_MODEL.names.index("adapter")][0][0]
+    out = {}
+    for size in (59, 60, 61):
+        starts = list(range(0, size + 1, 1))
+        df = spark.createDataFrame([("r", 0, 0, starts, starts, [float(level)] * len(starts))], "read_id string, window long, begin long, starts array<long>, ends array<long>, means array<double>")
+        out[size] = chimera.leader_adapters(df, 100.0).count()
+    assert out == {59: 0, 60: 1, 61: 1}
+
+
+def test_ranks_of_large_classes_are_whole(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("read_id"), F.when(F.col("id") % 3 == 0, None).otherwise(F.lit("x")).alias("label"))
+    got = training.hash_ranked(df, ["label"], "read_id", 1, "r").groupBy("label").agg(F.sort_array(F.collect_list("r")).alias("r")).collect()
+    assert {r["label"]: r["r"] for r in got} == {None: list(range(1, 1001)), "x": list(range(1, 2001))}
+
+
+def test_many_references_are_joined_by_a_shuffle(spark, monkeypatch):
+    refs = spark.createDataFrame([("p", "ACGUACGUUACGGAUCCA"), ("q", "GGGGGGGGGGGGGGGGGGGG")], "name string, seq string")
+    own = spark.createDataFrame([("1", "UUACGUACGUUACGGAUCCA"), ("2", "GGGGGGGGGGGGGG"), ("3", "AC")], "read_id string, seq string")
+    few = sorted(map(tuple, assign.seed_assign(own, refs).collect()))
+    monkeypatch.setattr(assign, "SEEDS", 0)
+    assert sorted(map(tuple, assign.seed_assign(own, refs).collect())) == few == [("1", "p", 6), ("2", "q", 1), ("3", "*", 0)]
