@@ -5,31 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from readloom.sources.shared import ensure_checkpoints
+
 #: Window size, least width and interval of each scale, coarse to fine.
 SCALES = ((10_000, 2_500, 3_300), (2_000, 1_000, 1_000), (1_000, 500, 500))
 STEADY = 0.02
+#: Points that carry the smoothed error curve, at most.
+SUPPORTS = 1000
 
 
 def ranked_predictions(pred: DataFrame) -> DataFrame:
-    """Predictions without decoys, ranked from 0 by falling score.
+    """Predictions without decoys, ranked from 0 by falling score; checkpointed, so that several scales share one ranking.
 
-    Ranks are computed within 1000 score ranges and shifted by the ranges'
-    sizes, so no task sorts the whole table.
+    One distributed sort, which cuts ranges by quantiles of all order columns
+    (so crowded scores are dealt out too); a rank is the place in its sorted
+    partition plus the sizes of the partitions before, one number for each task.
     """
+    ensure_checkpoints(pred.sparkSession)
     real = pred.filter((F.col("prior_label") != 0) & (F.col("pred_label") != 0))
-    ranged = real.withColumn("_g", F.least(F.floor((1 - F.col("pred_prob")) * 1000), F.lit(999)))
-    sizes = ranged.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_g", "_before")
-    own = F.row_number().over(Window.partitionBy("_g").orderBy(F.desc("pred_prob"), "read_id", "prior_label", "pred_label")) - 1
-    return ranged.withColumn("_own", own).join(F.broadcast(offsets), "_g").withColumn("rank", F.col("_own") + F.col("_before")).drop("_g", "_own", "_before")
+    placed = real.orderBy(F.desc("pred_prob"), "read_id", "prior_label", "pred_label").withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright("_at", 33)
+    ahead, before = [], 0
+    for number, n in sorted(tuple(r) for r in placed.groupBy(part.alias("part")).count().collect()):
+        ahead += [F.lit(number), F.lit(before)]
+        before += n
+    start = F.element_at(F.create_map(*ahead), part) if ahead else F.lit(0)
+    return placed.withColumn("rank", (start + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).cast("long")).drop("_at")
 
 
 def row_windows(pred: DataFrame, size: int, least: int, step: int) -> DataFrame:
-    """Error rate and score statistics of row windows: ``start, n, error_rate, high, low, mean, std``.
+    """Error rate and score statistics of row windows: ``start, n, error_rate, high, low, mean, std``."""
+    return ranked_windows(ranked_predictions(pred), size, least, step)
 
-    Every row is exploded into the windows that cover it and grouped.
-    """
-    ranked = ranked_predictions(pred)
+
+def ranked_windows(ranked: DataFrame, size: int, least: int, step: int) -> DataFrame:
+    """``row_windows`` of predictions ranked before: every row is exploded into the windows that cover it and grouped."""
     n = ranked.agg(F.count(F.lit(1)).alias("_total"))
     low = F.greatest(F.ceil((F.col("rank") - size + 1) / step), F.lit(0))
     high = F.least(F.floor(F.col("rank") / step), F.floor((F.col("_total") - least) / step))
@@ -40,9 +50,9 @@ def row_windows(pred: DataFrame, size: int, least: int, step: int) -> DataFrame:
 
 def multiscale_errors(pred: DataFrame, scales: tuple[tuple[int, int, int], ...] = SCALES, steady: float = STEADY) -> DataFrame:
     """Coarse windows with a steady score, and finer ones below the mean scores the coarser scales reach."""
-    out = None
+    out, ranked = None, ranked_predictions(pred)
     for i, (size, least, step) in enumerate(scales):
-        rows = row_windows(pred, size, least, step).withColumn("scale", F.lit(i).cast("long"))
+        rows = ranked_windows(ranked, size, least, step).withColumn("scale", F.lit(i).cast("long"))
         if i + 1 < len(scales):
             rows = rows.filter(F.col("std") < steady)
         if out is None:
@@ -64,11 +74,16 @@ def extrapolated_table(errors: DataFrame) -> DataFrame:
 
 
 def smoothed_errors(errors: DataFrame, span: float = 0.3) -> DataFrame:
-    """Local-linear smoothing with tricube weights over the nearest share ``span`` of windows: ``mean, smooth``.
+    """Local-linear smoothing with tricube weights over the nearest share ``span`` of supports: ``mean, smooth``.
 
-    Windows are few (rows of the prediction table over a window step), so each
-    carries the packed array of all.
+    Supports are the windows, or where there are more than ``SUPPORTS``, the
+    means of those in as many equal ranges of the score.  So every support can
+    carry the packed array of all, whose size is bounded by ``SUPPORTS``.
     """
+    n, low, high = errors.agg(F.count(F.lit(1)), F.min("mean"), F.max("mean")).first()
+    if n > SUPPORTS and high > low:
+        cell = F.floor((F.col("mean") - low) / (high - low) * SUPPORTS)
+        errors = errors.groupBy(cell).agg(F.avg("mean").alias("mean"), F.avg("error_rate").alias("error_rate"))
     packed = errors.agg(F.array_sort(F.collect_list(F.struct(F.col("mean").alias("x"), F.col("error_rate").alias("y")))).alias("_all"))
     k = F.greatest(F.ceil(F.size("_all") * span).cast("int"), F.lit(2))
     rows = errors.select("mean").join(F.broadcast(packed)).withColumn("_d", F.array_sort(F.transform("_all", lambda p: F.abs(p["x"] - F.col("mean")))))

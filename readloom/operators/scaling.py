@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,16 +36,74 @@ def kmer_levels(events: DataFrame, model: DataFrame, least: int = 30) -> DataFra
     return clean.join(enough, "read_id", "left_semi").join(F.broadcast(model.select("kmer", "level_mean")), "kmer")
 
 
+#: Points up to which all slopes are made at once.
+PAIRED = 1500
+
+
+def _inversions(z: np.ndarray) -> int:
+    """Pairs ``i < j`` with ``z[j] <= z[i]``, by merging sorted halves level by level."""
+    n, total, width = len(z), 0, 1
+    rank = np.searchsorted(np.sort(z), z)  # equal values get equal ranks
+    while width < n:
+        block = np.arange(n) // (2 * width)
+        right = np.arange(n) // width % 2 == 1
+        key = block * (n + 1) + rank
+        left = np.sort(key[~right])
+        # left members of the own block that are not below: all of the block less those below
+        ends = np.searchsorted(left, (block[right] + 1) * (n + 1))
+        total += int((ends - np.searchsorted(left, key[right], side="left")).sum())
+        width *= 2
+    return total
+
+
+def median_slope(x: np.ndarray, y: np.ndarray) -> float | None:
+    """Median of the slopes between all points of different ``x``; None if there is none."""
+    by = np.lexsort((y, x))
+    x, y = x[by], y[by]
+    n = len(x)
+    if n <= PAIRED:
+        a, b = np.triu_indices(n, 1)
+        dx = x[b] - x[a]
+        slopes = (y[b] - y[a])[dx != 0] / dx[dx != 0]
+        return float(np.median(slopes)) if len(slopes) else None
+    _, same_x = np.unique(x, return_counts=True)
+    _, same = np.unique(np.column_stack((x, y)), axis=0, return_counts=True)
+    pairs = lambda k: int((k * (k - 1) // 2).sum())
+    total, equal = n * (n - 1) // 2 - pairs(same_x), pairs(same)  # points of one x ascend in y, so only equal ones count as inversions
+    if not total:
+        return None
+
+    def upto(m: float) -> int:
+        return _inversions(y - m * x) - equal
+
+    gap = np.diff(np.unique(x)).min()
+    bound = 2.0 * (y.max() - y.min() + 1e-300) / gap
+
+    def kth(k: int) -> float:
+        low, high = -bound, bound  # at most k slopes are low or less, more than k are high or less
+        while True:
+            mid = (low + high) / 2
+            if not low < mid < high or high - low < 1e-13 * max(1.0, abs(mid)):
+                return high
+            low, high = (low, mid) if upto(mid) > k else (mid, high)
+
+    return (kth((total - 1) // 2) + kth(total // 2)) / 2
+
+
 def theil_sen(pairs: DataFrame, x: str = "observed", y: str = "level_mean", order: str = "pos") -> DataFrame:
     """Robust line per read: the median of all pairwise slopes, then the median of ``y - slope * x``.
 
-    A read's points are bounded by its length; they are gathered in one array
-    and paired there, so the pairs are never shuffled.
+    A read's points are one group, bounded by its length.  Few points are paired
+    outright; of more, the middle slopes are found by counting the slopes below
+    a value, so memory stays in proportion to the points.
     """
-    pts = pairs.groupBy("read_id").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(x).alias("x"), F.col(y).alias("y")))).alias("p"))
-    slopes = F.flatten(F.transform("p", lambda a: F.transform(F.filter("p", lambda b: (b["o"] > a["o"]) & (b["x"] != a["x"])), lambda b: (b["y"] - a["y"]) / (b["x"] - a["x"]))))
-    slope = pts.withColumn("s", F.explode(slopes)).groupBy("read_id").agg(F.median("s").alias("slope"))
-    return pairs.join(slope, "read_id").groupBy("read_id").agg(F.first("slope").alias("slope"), F.median(F.col(y) - F.col("slope") * F.col(x)).alias("intercept"))
+
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        slope = median_slope(group[x].to_numpy(float), group[y].to_numpy(float))
+        cut = float(np.median(group[y] - slope * group[x])) if slope is not None else None
+        return pd.DataFrame({"read_id": [key[0]], "slope": [slope], "intercept": [cut]}).astype({"slope": float, "intercept": float}).dropna()
+
+    return pairs.select("read_id", x, y).groupBy("read_id").applyInPandas(run, "read_id string, slope double, intercept double")
 
 
 def balanced_subsample(df: DataFrame, run: str = "run_id", id_col: str = "read_id", seed: int = 922) -> DataFrame:
@@ -67,10 +129,15 @@ def train_test_split(df: DataFrame, share: float, id_col: str = "read_id", seed:
     return ranked.join(F.broadcast(n)).withColumn("is_train", F.col("rank") <= F.col("_n")).drop("_n", "rank")
 
 
-def redisperse(df: DataFrame, spread: float = 1.8, seed: int = 922, signal: str = "signal") -> DataFrame:
-    """Undo each signal's own scaling and apply newly drawn parameters from the population, widened by ``spread``."""
+def redisperse(df: DataFrame, spread: float = 1.8, seed: int = 922, signal: str = "signal", id_col: str = "read_id") -> DataFrame:
+    """Undo each signal's own scaling and apply newly drawn parameters from the population, widened by ``spread``.
+
+    Normal draws come from hashes of id and seed, so partitioning doesn't change them.
+    """
     one = df.agg(*(f(c).alias(f"_{n}{c}") for c in ("scale", "shift") for n, f in (("m", F.avg), ("s", F.stddev_pop))))
-    drawn = df.join(F.broadcast(one)).withColumns({"new_scale": F.col("_mscale") + F.col("_sscale") * spread * F.randn(seed), "new_shift": F.col("_mshift") + F.col("_sshift") * spread * F.randn(seed + 1)})
+    unit = lambda k: (F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(k)), 11).cast("double") + 0.5) / float(1 << 53)
+    normal = lambda k: F.sqrt(-2 * F.log(unit(2 * k))) * F.cos(2 * math.pi * unit(2 * k + 1))
+    drawn = df.join(F.broadcast(one)).withColumns({"new_scale": F.col("_mscale") + F.col("_sscale") * spread * normal(0), "new_shift": F.col("_mshift") + F.col("_sshift") * spread * normal(1)})
     moved = F.transform(signal, lambda x: (F.col("scale") * x + F.col("shift") - F.col("new_shift")) / F.col("new_scale"))
     return drawn.withColumn(signal, moved).drop("_mscale", "_sscale", "_mshift", "_sshift")
 

@@ -1,8 +1,12 @@
+import math
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from readloom import streaming
 from readloom.operators import assign, calibration, chimera, demux, reads, scaling, training
 from readloom.operators.segmentation import WINDOW_MODEL
+from readloom.plans import QUERIES
 from readloom.sources import sinks
 from readloom.sources.shared import ensure_checkpoints
 
@@ -115,3 +119,108 @@ def test_many_references_are_joined_by_a_shuffle(spark, monkeypatch):
     few = sorted(map(tuple, assign.seed_assign(own, refs).collect()))
     monkeypatch.setattr(assign, "SEEDS", 0)
     assert sorted(map(tuple, assign.seed_assign(own, refs).collect())) == few == [("1", "p", 6), ("2", "q", 1), ("3", "*", 0)]
+
+
+def test_middle_slopes_by_counting(monkeypatch):
+    rng = np.random.default_rng(3)
+    for n in (5, 8, 61, 300):
+        for x in (rng.normal(0, 1, n), rng.integers(0, 6, n).astype(float)):
+            y = np.round(2 * x + rng.normal(0, 1, n), 1)
+            z = np.round(rng.normal(0, 1, n), 1)
+            assert scaling._inversions(z) == sum(z[j] <= z[i] for j in range(n) for i in range(j))
+            want = np.median([(y[j] - y[i]) / (x[j] - x[i]) for j in range(n) for i in range(j) if x[j] != x[i]])
+            assert np.isclose(scaling.median_slope(x, y), want, rtol=1e-12)
+            with monkeypatch.context() as m:
+                m.setattr(scaling, "PAIRED", 0)
+                assert np.isclose(scaling.median_slope(x, y), want, rtol=1e-9, atol=1e-12)
+    assert scaling.median_slope(np.ones(4), np.arange(4.0)) is None
+
+
+def written_curve(points, span=0.3):
+    """Local lines with tricube weights over the nearest share of points."""
+    k, out = max(2, math.ceil(len(points) * span)), []
+    for m, _ in points:
+        h = max(sorted(abs(x - m) for x, _ in points)[k - 1], 1e-12) * (1 + 1e-9)
+        w = np.array([(1 - (abs(x - m) / h) ** 3) ** 3 if abs(x - m) < h else 0.0 for x, _ in points])
+        x, y = np.array([x - m for x, _ in points]), np.array([y for _, y in points])
+        sw, sx, sy, sxx, sxy = w.sum(), (w * x).sum(), (w * y).sum(), (w * x * x).sum(), (w * x * y).sum()
+        det = sw * sxx - sx * sx
+        out.append((m, (sxx * sy - sx * sxy) / det if det > 1e-18 else sy / sw))
+    return out
+
+
+def test_interpolated_scores_invert_the_written_curve(spark):
+    rng = np.random.default_rng(5)
+    points = sorted((0.2 + 0.009 * i, float(max(0.002, 0.4 * (1 - 0.011 * i) ** 2 + rng.normal(0, 0.004)))) for i in range(80))
+    errors = spark.createDataFrame(points, "mean double, error_rate double")
+    curve = written_curve(points)
+    got = sorted(map(tuple, calibration.smoothed_errors(errors).collect()))
+    assert np.allclose(got, curve)
+    low = spark.createDataFrame([(i, 0.1 * i) for i in range(5)], "phred long, pred_score double")
+    want, best, previous = {}, 0.0, None
+    down = sorted(curve, reverse=True)
+    for phred in range(5, math.floor(-10 * math.log10(points[-1][1])) + 1):
+        error, found, least = 10 ** (-phred / 10), [], None
+        for (x1, y1), (x, y) in zip(down, down[1:], strict=False):
+            least = y1 if least is None else min(least, y1)
+            if y > least and least <= error <= y:
+                found.append(x1 + (x - x1) * (error - least) / (y - least))
+        best = max(best, max(found) if found else max(m for m, _ in curve))
+        want[phred] = best
+    got = {r["phred"]: r["pred_score"] for r in calibration.interpolated_table(errors, low).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+
+
+def test_the_curve_has_bounded_supports(spark, monkeypatch):
+    monkeypatch.setattr(calibration, "SUPPORTS", 50)
+    errors = spark.range(2000).select((F.col("id") / 2000).alias("mean"), (1 - F.col("id") / 2000).alias("error_rate"))
+    got = calibration.smoothed_errors(errors).collect()
+    assert 49 <= len(got) <= 51 and all(abs(r["mean"] + r["smooth"] - 1) < 1e-6 for r in got)
+
+
+def test_values_of_models_and_user_functions(spark, sf_dir):
+    """Queries without an oracle, row by row against plain Python."""
+    from readloom import bindings as b
+
+    own = {r["read_id"]: r for r in b.signals(spark, sf_dir).collect()}
+    plugged = {}
+    for r in QUERIES["udf_model_plug"](spark, sf_dir).collect():
+        plugged.setdefault(r["read_id"], {})[r["i"]] = r["x"]
+    assert plugged.keys() == own.keys()
+    for k, p in plugged.items():
+        e = np.exp((np.array(own[k]["signal"][:4]) - max(own[k]["signal"][:4])) / 5)
+        assert np.allclose([p[i] for i in range(4)], e / e.sum(), atol=2e-6)
+    for r in QUERIES["udf_batch_process"](spark, sf_dir).collect():
+        bad = own[r["read_id"]]["label"] == 3
+        assert (r["mean"] is None and r["status"] == "unknown_error") if bad else (r["status"] == "okay" and math.isclose(r["mean"], np.mean(own[r["read_id"]]["signal"]), abs_tol=1e-6))
+
+
+def test_fragments_are_stretches_of_their_signal(spark):
+    signals = {"a": [float(i) for i in range(400)], "b": [1000.0 + i for i in range(90)], "c": []}
+    df = spark.createDataFrame(list(signals.items()), "read_id string, signal array<double>")
+    got = training.fragment_slices(df, 20, 5, 60, 7).collect()
+    assert got and all(r["fragment"] == signals[r["read_id"]][r["start"] : r["start"] + r["length"]] and 5 <= r["length"] <= 60 for r in got)
+    spans = sorted((r["read_id"], r["start"], r["start"] + r["length"]) for r in got)
+    assert all(a[0] != z[0] or a[2] <= z[1] for a, z in zip(spans, spans[1:], strict=False))
+
+
+def test_redispersed_signals_keep_their_shape(spark):
+    rng = np.random.default_rng(8)
+    rows = [(str(i), 1 + 0.1 * float(z), 5 + float(z), rng.normal(0, 1, 20).tolist()) for i, z in enumerate(rng.normal(0, 1, 300))]
+    df = spark.createDataFrame(rows, "read_id string, scale double, shift double, signal array<double>")
+    out = {r["read_id"]: r for r in scaling.redisperse(df).collect()}
+    again = {r["read_id"]: r["new_scale"] for r in scaling.redisperse(df.repartition(7)).collect()}
+    for i, a, s, x in rows:
+        r = out[i]
+        assert np.allclose(np.array(r["signal"]) * r["new_scale"] + r["new_shift"], np.array(x) * a + s)
+        assert math.isclose(again[i], r["new_scale"], rel_tol=1e-9)
+    drawn, was = np.array([r["new_shift"] for r in out.values()]), np.array([r[2] for r in rows])
+    assert 1.5 < drawn.std() / was.std() < 2.1 and abs(drawn.mean() - was.mean()) < 0.5
+
+
+def test_classifier_tells_plain_classes_apart(spark):
+    classes = [("a", 0), ("b", 1)]
+    df = spark.createDataFrame([(f"r{i}", [float(label * 10), 1.0, 2.0], label, 1.0) for i in range(40) for _, label in classes], "read_id string, signal array<double>, label long, weight double")
+    model = training.fit_demux(df)
+    pred = training.prediction_table(training.predict_demux(model, df)).collect()
+    assert all(r["prior_label"] == r["pred_label"] and r["pred_prob"] > 0.5 for r in pred)
