@@ -7,17 +7,24 @@ spaced or bracketed octets, numbers of card length with other separators,
 phone numbers without a plus sign.
 
 Each candidate has a few small integer features of its format (digits, groups,
-brackets, sign) and context (kinds of the characters around it).  Boosted trees
-learn which feature combinations are base spans: all candidates of all texts
-are counted by combination in Spark, so what reaches the driver is bounded by
-the number of combinations.  The trees become nested CASE expressions; their
-scores are calibrated to the share of base spans among candidates of like
-score, and a candidate is added where that share is ``LEAST`` or more.
+brackets, sign) and context (kinds of the characters around it).  There are no
+labelled spans to learn from, so labels are weak: a candidate counts as positive
+if it is a base span, or passes its check and a word of its kind (``WORDS``)
+stands shortly before it.  The words are no feature, so the trees learn which
+formats such words announce and find them where no word does.  All candidates
+of all texts are counted by feature combination in Spark, so what reaches the
+driver is bounded by the number of combinations.  The boosted trees become
+nested CASE expressions; their scores are calibrated to the share of positives
+among candidates of like score, and a candidate is added where that share is
+``LEAST`` or more.
 
 Positions are code points, end exclusive.  A match list gives positions through
 the stretches between its matches: both come from one pattern, so their
-lengths add up.  Null text counts as empty and has no spans; rows that repeat
-are treated each; only id and text are read.
+lengths add up.
+
+Results: null and empty texts have no spans.  Rows that repeat, or share an id
+(null too), are treated each.  An empty table gives an empty one.  Texts of any
+length are searched whole.  Further columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +37,7 @@ from pyspark.sql import functions as F
 from readloom.llm.shared import stored
 
 KINDS = ("email", "ip", "card", "phone")
-#: Share of base spans among like candidates from which a candidate is added.
+#: Share of positives among like candidates from which a candidate is added.
 LEAST = 0.6
 TREES, RATE, LEAVES = 30, 0.3, 4
 #: Matches whose starts are summed up together.
@@ -44,13 +51,16 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 WIDE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:@|\x20?[\[(]at[\])]\x20?|\x20at\x20)[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?[\[(]dot[\])]\x20?|\x20dot\x20)[A-Za-z0-9-]{1,63}+)+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:@|\x20?[\[(]at[\])]\x20?|\x20at\x20)[A-Za-z0-9-]++(?:(?:\.|\x20?[\[(]dot[\])]\x20?|\x20dot\x20)[A-Za-z0-9-]++)+",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\x20?(?:\.|\[\.\])\x20?[0-9]{1,3}){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z])\+?[0-9(][0-9()\x20./-]{6,20}[0-9](?![0-9])",
 }
 #: Texts without these characters can't match, which is cheaper to see.
 NEEDS = {"email": r"@|\bat\b|[\[(]at[\])]", "ip": "[0-9]", "card": "[0-9]", "phone": "[0-9]"}
+#: Words that announce a span of a kind, and characters ahead of it that are looked at (fixed values).
+WORDS = {"email": r"mail|contact|reach|write to", "ip": r"\bip\b|host|server|addr", "card": r"card|visa|credit|debit|payment", "phone": r"phone|\btel\b|call|mobile|\bcell\b|\bfax\b|dial"}
+AHEAD = 24
 FEATURES = ("kind", "digits", "groups", "plus", "brackets", "before", "after", "size", "check")
 
 
@@ -89,7 +99,7 @@ def _let(value: Column, body) -> Column:
 
 
 def _matches(text: Column, pattern: str, needs: str) -> Column:
-    """Array of ``s, at, b, a``: match, start, and the stretches before and after it (one character each).
+    """Array of ``s, at, b, a``: match, start, and the text before (``AHEAD`` characters at most) and after it (one character).
 
     Starts are running sums, taken within chunks of ``CHUNK`` matches and over
     the chunks, so texts with very many matches stay cheap.
@@ -98,7 +108,7 @@ def _matches(text: Column, pattern: str, needs: str) -> Column:
     both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("f"), F.split(text, pattern, -1).alias("g"))
 
     def steps(p: Column) -> Column:
-        return F.transform(p["f"], lambda m, i: F.struct(m.alias("s"), F.length(F.get(p["g"], i)).alias("gap"), F.length(m).alias("size"), F.substring(F.get(p["g"], i), -1, 1).alias("b"), F.substring(F.get(p["g"], i + 1), 1, 1).alias("a")))
+        return F.transform(p["f"], lambda m, i: F.struct(m.alias("s"), F.length(F.get(p["g"], i)).alias("gap"), F.length(m).alias("size"), F.substring(F.get(p["g"], i), -AHEAD, AHEAD).alias("b"), F.substring(F.get(p["g"], i + 1), 1, 1).alias("a")))
 
     def chunked(st: Column) -> Column:
         last = F.greatest(F.ceil(F.size(st) / CHUNK) - 1, F.lit(0)).cast("int")
@@ -131,13 +141,14 @@ def _features(kind: int, m: Column, base: Column) -> Column:
         F.least(F.length(F.regexp_replace(F.regexp_replace(s, "[0-9A-Za-z]+", "x"), "[^x]", "")), F.lit(6)).alias("groups"),
         F.when(F.substring(s, 1, 1) == "+", 1).otherwise(0).alias("plus"),
         F.when(s.rlike(r"[()\[\]]"), 1).otherwise(0).alias("brackets"),
-        _kind_of(m["b"]).alias("before"),
+        _kind_of(F.substring(m["b"], -1, 1)).alias("before"),
         _kind_of(m["a"]).alias("after"),
         F.least(F.floor(F.length(s) / 4).cast("int"), F.lit(12)).alias("size"),
         _plausible(KINDS[kind], s).cast("int").alias("check"),
         m["at"].alias("at"),
         (m["at"] + F.length(s)).alias("to"),
-        F.exists(base, lambda b: (b["at"] == m["at"]) & (b["to"] == m["at"] + F.length(s))).cast("int").alias("y"),
+        F.exists(base, lambda b: (b["at"] == m["at"]) & (b["to"] == m["at"] + F.length(s))).cast("int").alias("known"),
+        (F.exists(base, lambda b: (b["at"] == m["at"]) & (b["to"] == m["at"] + F.length(s))) | (_plausible(KINDS[kind], s) & F.lower(m["b"]).rlike(WORDS[KINDS[kind]]))).cast("int").alias("y"),
     )
 
 
@@ -150,15 +161,15 @@ def _wide_spans(i: int, kind: str, text: Column) -> Column:
     return F.transform(_matches(text, WIDE[kind], NEEDS[kind]), lambda m: _features(i, m, F.col(f"b_{kind}")))
 
 
-def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: ``base`` (kind, at, to) and ``wide`` (features, at, to, whether it is a base span)."""
+def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+    """Per document: ``base`` (kind, at, to) and ``wide`` (features, at, to, whether it is a base span, its weak label)."""
     out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     text = F.col("text")
     for i, kind in enumerate(KINDS):
         out = out.withColumn(f"b_{kind}", _base_spans(i, kind, text))
     for i, kind in enumerate(KINDS):
         out = out.withColumn(f"w_{kind}", _wide_spans(i, kind, text))
-    return out.select("doc_id", F.concat(*(f"b_{k}" for k in KINDS)).alias("base"), F.concat(*(f"w_{k}" for k in KINDS)).alias("wide"))
+    return out.select("doc_id", *(["text"] if with_text else []), F.concat(*(f"b_{k}" for k in KINDS)).alias("base"), F.concat(*(f"w_{k}" for k in KINDS)).alias("wide"))
 
 
 def boost(rows: list[tuple[tuple[int, ...], int, int]]) -> list:
@@ -220,7 +231,7 @@ def tree_column(tree, m: Column) -> Column:
 
 
 def calibrated_limit(rows: list[tuple[tuple[int, ...], int, int]], trees: list) -> dict[int, float]:
-    """Per kind the least score from which the share of base spans is ``LEAST`` or more (infinite if none)."""
+    """Per kind the least score from which the share of positives is ``LEAST`` or more (infinite if none)."""
     limits = {}
     for kind in range(len(KINDS)):
         scored = sorted(((sum(leaf(t, x) for t in trees), p, n) for x, p, n in rows if x[0] == kind), reverse=True)
@@ -237,9 +248,9 @@ def calibrated_limit(rows: list[tuple[tuple[int, ...], int, int]], trees: list)
     return limits
 
 
-def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document ``doc_id, base, spans``: arrays of ``kind, at, to`` (kind by number), sorted."""
-    found = stored(find_candidates(docs, id_col, text_col), "pii-candidates")
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+    """Per document ``doc_id, base, spans``: arrays of ``kind, at, to`` (kind by number), sorted; and its ``text`` if asked for."""
+    found = stored(find_candidates(docs, id_col, text_col, with_text), "pii-candidates")
     counted = found.select(F.explode("wide").alias("w")).groupBy(*(F.col(f"w.{f}").alias(f) for f in FEATURES)).agg(F.sum("w.y").alias("p"), F.count(F.lit(1)).alias("n")).collect()
     rows = sorted((tuple(r[f] for f in FEATURES), r["p"], r["n"] - r["p"]) for r in counted)
     trees = boost(rows)
@@ -255,8 +266,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def span(m: Column) -> Column:
         return F.struct(m["kind"].alias("kind"), m["at"].alias("at"), m["to"].alias("to"))
 
-    more = F.transform(F.filter("wide", lambda m: (m["y"] == 0) & added(m)), span)
-    return found.select("doc_id", F.array_sort("base").alias("base"), F.array_sort(F.array_distinct(F.concat("base", more))).alias("spans"))
+    more = F.transform(F.filter("wide", lambda m: (m["known"] == 0) & added(m)), span)
+    return found.select("doc_id", *(["text"] if with_text else []), F.array_sort("base").alias("base"), F.array_sort(F.array_distinct(F.concat("base", more))).alias("spans"))
 
 
 def joined(spans: Column) -> Column:
@@ -266,14 +277,13 @@ def joined(spans: Column) -> Column:
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text`` with every span (overlapping ones merged) replaced by ``[kind]``."""
-    spans = personal_data(docs, id_col, text_col).select("doc_id", "spans")
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    """``doc_id, text`` of every row with every span (overlapping ones merged) replaced by ``[kind]``."""
+    found = personal_data(docs, id_col, text_col, with_text=True)
     names = F.array(*map(F.lit, KINDS))
     by_start = F.array_sort("spans", lambda a, b: F.when(a["at"] < b["at"], -1).when(a["at"] > b["at"], 1).when(a["to"] > b["to"], -1).when(a["to"] < b["to"], 1).otherwise(0))
     step = lambda acc, s: F.when(s["at"] < acc["to"], F.struct(F.greatest(acc["to"], s["to"]).alias("to"), acc["out"].alias("out"))).otherwise(F.struct(s["to"].alias("to"), F.concat(acc["out"], F.substring(F.col("text"), acc["to"] + 1, s["at"] - acc["to"]), F.lit("["), F.element_at(names, s["kind"] + 1), F.lit("]")).alias("out")))
     text = F.aggregate(by_start, F.struct(F.lit(0).alias("to"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["to"] + 1, F.length("text"))))
-    return plain.join(spans, "doc_id").select("doc_id", text.alias("text"))
+    return found.select("doc_id", text.alias("text"))
 
 
 def pii_digest(docs: DataFrame) -> DataFrame:

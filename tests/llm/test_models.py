@@ -353,5 +353,17 @@ def test_trees_separate_counted_candidates():
 
 
 def test_redaction(spark):
-    out = pii.redacted(documents(spark, [(1, "é mail a@b.cd, ip 1.2.3.4!"), (2, None)])).orderBy("doc_id").collect()
-    assert [r["text"] for r in out] == ["é mail [email], ip [ip]!", ""]
+    rows = [(1, "é mail a@b.cd, ip 1.2.3.4!"), (2, None), (3, "x@y.zz"), (3, "none"), (None, "so q@r.st"), (None, "q")]
+    out = pii.redacted(documents(spark, rows)).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in out) == [("1", "é mail [email], ip [ip]!"), ("2", ""), ("3", "[email]"), ("3", "none"), ("None", "q"), ("None", "so [email]")]
+
+
+def test_announced_notations_are_found_elsewhere(spark):
+    """Spelled-out addresses and plain phone numbers that follow such words often are found without them; other numbers are not."""
+    names = ["ann", "bo", "cy", "dee", "eli"]
+    rows = [(i, f"please mail {names[i % 5]}{i} [at] example{i} [dot] org and phone 555-{1000 + i}-{2000 + i % 7} soon") for i in range(80)]
+    rows += [(200 + i, f"the total of items {3_000_000 + 7919 * i} was {10 + i}.{i % 10} in all") for i in range(200)]
+    rows += [(500, "so cy32 [at] example32 [dot] org it is"), (501, "or 555-1234-2005 then"), (502, "items 3456789 again"), (503, "x@y.zz and jane at home")]
+    got = {r["doc_id"]: r["spans"] for r in pii.pii_digest(documents(spark, rows)).collect()}
+    assert got[500] == "email:3:32" and got[501] == "phone:3:16" and got[502] == "" and got[503] == "email:0:6"
+    assert all(got[i].count("email:") == 1 and got[i].count("phone:") == 1 for i in range(80)) and not any(got[200 + i] for i in range(200))
