@@ -180,7 +180,7 @@ def maybe_linked(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray,
     line = per_cent / 100
     at = likelihood(np.minimum(line, most))
     below = np.full(len(na), -np.inf)
-    for j in np.linspace(0, line, 41):
+    for j in np.linspace(0, line, 11):  # a coarse maximum is a lower one, so fewer pairs are dropped
         below = np.maximum(below, likelihood(np.minimum(j, most)))
     return fits & (below - at <= DOUBT)
 
@@ -250,11 +250,15 @@ def _search(width: int, per_cent: int, texts: bool):
             return _sets_of(pa.RecordBatch.from_arrays([pa.array([text], pa.string())], ["text"]), 0, width)[0]
 
         for i, (cls, own, n) in enumerate(zip(out["cls"].tolist(), out["comp"].tolist(), out["n"].tolist(), strict=True)):
-            same = ra[i] == rb
-            near = np.flatnonzero((comp != own) & (same.sum(axis=1) >= REGISTERS // 2))
-            near = near[same[near].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == (key[0] & (BANDS - 1))]
+            near = np.flatnonzero((comp != own) & (100 * np.minimum(sizes, n) >= per_cent * np.maximum(sizes, n)))
+            same = ra[i] == rb[near]
+            alike = np.count_nonzero(same, axis=1)
+            half = np.flatnonzero(alike >= REGISTERS // 2)
+            half = half[same[half].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == (key[0] & (BANDS - 1))]
+            near, alike = near[half], alike[half]
             if len(near):
-                near = near[maybe_linked(np.broadcast_to(ra[i], (len(near), REGISTERS)), rb[near], np.full(len(near), n), sizes[near], per_cent)]
+                ok = maybe_linked(np.broadcast_to(ra[i], (len(near), REGISTERS)), rb[near], np.full(len(near), n), sizes[near], per_cent)
+                near, alike = near[ok], alike[ok]
             if not len(near):
                 continue
             if not texts:
@@ -262,7 +266,7 @@ def _search(width: int, per_cent: int, texts: bool):
                 links.append(cls)
                 continue
             x = None
-            for j in near[np.argsort(-same[near].sum(axis=1), kind="stable")].tolist():
+            for j in near[np.argsort(-alike, kind="stable")].tolist():
                 a, b = top(own), top(int(comp[j]))
                 if a == b:
                     continue
@@ -289,7 +293,8 @@ def _blocks(rows: DataFrame, size: int, cols: list[str]) -> DataFrame:
     left = met.filter("comp <> main").withColumns({"side": F.lit(0), "oblock": F.pmod(F.xxhash64("cls", F.lit(1)), "outs"), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))})
     right = met.withColumns({"side": F.lit(1), "block": F.pmod(F.xxhash64("cls"), "blocks"), "oblock": F.explode(F.sequence(F.lit(0).cast("long"), F.col("outs") - 1))})
     cols = ["key", *cols, "side", "oblock", "block"]
-    return left.select(*cols).unionByName(right.select(*cols)).groupBy("key", "oblock", "block")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # blocks are small and take long, so they aren't put together by size
+    return left.select(*cols).unionByName(right.select(*cols)).repartition(parts, "key", "oblock", "block").groupBy("key", "oblock", "block")
 
 
 def near_rows(docs: DataFrame, width: int = 5, per_cent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
