@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: K-mers of all references up to which they are sent to every executor (some 60 bytes each).
-SEEDS = 2_000_000
+#: K-mers of all references up to which they are sent to every executor (some 16 bytes each).
+SEEDS = 500_000
+#: Bytes of sequences that a task looks at together.
+AT_ONCE = 1 << 20
 
 
 def kmers(seq: str, k: int) -> Column:
@@ -17,15 +23,74 @@ def kmers(seq: str, k: int) -> Column:
 def seed_assign(reads: DataFrame, refs: DataFrame, k: int = 13) -> DataFrame:
     """The reference that shares most distinct k-mers with each read (ties by name); ``*`` if none does.
 
-    References are counted first.  Up to ``SEEDS`` k-mers they are broadcast: a
-    read's k-mers are looked up where the read is, and only its counts are
-    shuffled.  Beyond that both sides are joined by a shuffle on the k-mer.
+    References are counted first.  Up to ``SEEDS`` k-mers they are broadcast as
+    numbers, and a read is assigned where it is, without a shuffle.  Beyond that
+    (or for alphabets too large for that) both sides are joined on the k-mer.
     """
     seeds = refs.select("name", F.explode(kmers("seq", k)).alias("kmer"))
-    if seeds.count() <= SEEDS:
-        seeds = F.broadcast(seeds)
+    found = seeds.limit(SEEDS + 1).collect()
+    letters = sorted({c for r in found for c in r["kmer"]})
+    bits = max(1, len(letters).bit_length())
+    if len(found) <= SEEDS and k * bits <= 63 and "".join(letters).isascii():
+        return _assign_here(reads, [(r["name"], r["kmer"]) for r in found], letters, bits, k)
     own = reads.select("read_id", F.explode(kmers("seq", k)).alias("kmer"))
     shared = own.join(seeds, "kmer").groupBy("read_id", "name").agg(F.count(F.lit(1)).alias("shared"))
     order = Window.partitionBy("read_id").orderBy(F.desc("shared"), "name")
     best = shared.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
     return reads.select("read_id").join(best, "read_id", "left").select("read_id", F.coalesce("name", F.lit("*")).alias("name"), F.coalesce("shared", F.lit(0).cast("long")).alias("shared"))
+
+
+def _assign_here(reads: DataFrame, seeds: list[tuple[str, str]], letters: list[str], bits: int, k: int) -> DataFrame:
+    """Look every read's k-mers up in sorted numbers; a letter that no reference has stands in no k-mer of theirs."""
+    code = np.zeros(256, np.int64)
+    code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+    names = sorted({n for n, _ in seeds})
+    place = {n: i for i, n in enumerate(names)}
+
+    def numbers(data: np.ndarray) -> np.ndarray:
+        """Number of the k-mer at each place; -1 where it holds a foreign letter."""
+        own = code[data]
+        out, odd = np.zeros(max(0, len(data) - k + 1), np.int64), np.zeros(max(0, len(data) - k + 1), bool)
+        for j in range(k):
+            part = own[j : j + len(out)]
+            out = out << bits | part
+            odd |= part == 0
+        out[odd] = -1
+        return out
+
+    all_kmers = numbers(np.frombuffer("".join(s for _, s in seeds).encode(), np.uint8))[::k] if seeds else np.zeros(0, np.int64)
+    owner = np.array([place[n] for n, _ in seeds], np.int64)
+    by = np.lexsort((owner, all_kmers))
+    table = reads.sparkSession.sparkContext.broadcast((all_kmers[by], owner[by]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, owners = table.value
+        starts = np.flatnonzero(np.diff(keys, prepend=-2)) if len(keys) else np.zeros(0, np.int64)
+        distinct, many = keys[starts], np.diff(np.append(starts, len(keys)))
+        for batch in batches:
+            texts = [t.encode() if t else b"" for t in batch.column(1).to_pylist()]
+            size = np.fromiter(map(len, texts), np.int64, len(texts))
+            groups = np.cumsum(size) // AT_ONCE
+            for g in np.unique(groups).tolist():
+                rows = np.flatnonzero(groups == g)
+                data = np.frombuffer(b"".join(texts[i] for i in rows.tolist()), np.uint8)
+                ends = np.cumsum(size[rows])
+                found = numbers(data)
+                row = np.searchsorted(ends, np.arange(len(found)), side="right")
+                at = np.searchsorted(distinct, found)
+                at[at == len(distinct)] = 0
+                inside = np.arange(len(found)) + k <= ends[row] if len(found) else np.zeros(0, bool)
+                hit = np.flatnonzero((distinct[at] == found) & inside) if len(distinct) else np.zeros(0, np.int64)
+                pair = np.unique(row[hit] * max(len(distinct), 1) + at[hit])  # each k-mer once for a read
+                own, seed = pair // max(len(distinct), 1), pair % max(len(distinct), 1)
+                n = many[seed]
+                spread = np.repeat(starts[seed] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                met, shared = np.unique(np.repeat(own, n) * max(len(names), 1) + owners[spread], return_counts=True)
+                best = np.lexsort((met % max(len(names), 1), -shared, met // max(len(names), 1)))
+                first, keep = np.unique((met // max(len(names), 1))[best], return_index=True)
+                name, count = np.full(len(rows), -1), np.zeros(len(rows), np.int64)
+                name[first], count[first] = (met % max(len(names), 1))[best][keep], shared[best][keep]
+                out = [batch.column(0).take(pa.array(rows)), pa.array([names[i] if i >= 0 else "*" for i in name.tolist()], pa.string()), pa.array(count)]
+                yield pa.RecordBatch.from_arrays(out, ["read_id", "name", "shared"])
+
+    return reads.select(F.col("read_id").cast("string").alias("read_id"), "seq").mapInArrow(run, "read_id string, name string, shared long")
