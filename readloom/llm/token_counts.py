@@ -16,7 +16,10 @@ No piece reaches over the start of a run of spaces or a character outside the
 vocabulary (checked when the model is loaded), so texts are cut there and the
 arrays of equal stretches are computed once per worker and added up.
 
-Null and empty texts have no tokens.  Only the id and text columns are read.
+Results: null and empty texts have no tokens.  Rows that repeat, or share an id
+(null too), are counted each.  An empty table gives an empty one.  Texts of any
+length are counted whole; very long stretches one character after the other.
+Only the id and text columns are read, whatever others are named.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from readloom.llm.bytesops import slices
+
 MARK = "▁"
 #: Stretches whose counts a worker remembers before it starts afresh.
 MEMO = 700_000
@@ -249,7 +254,7 @@ def count_tokens(docs: DataFrame, model_path: str, budget: int = 4096, id_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(model_path)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", 4 << 20)):
             ids, texts = batch.column(0).cast(pa.int64()), [t or "" for t in batch.column(1).to_pylist()]
             counts: list[int] = []
             for at in range(0, len(texts), 1000):

@@ -18,7 +18,8 @@ rounding, so ties are never lost; ties go to the smaller ``vec_id``.
 Vectors that are null or hold null or non-finite components take no part.
 Shorter vectors count as padded by zeros.  A query is not compared with rows of
 its own ``vec_id``; a null ``vec_id`` takes no part.  Rows that repeat an id
-are candidates each.
+are candidates each.  An empty table gives an empty one.  Further columns are not
+read, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,13 @@ map into memory.  Words outside it are merged exactly, many at a time.
 The encoder reproduces the ``tokenizers`` library for a BPE file with NFC,
 white-space and lower-case normalisers, a word pattern, byte-level symbols and
 ``</w>`` word ends; special strings inside texts become their ids, as is that
-library's default.  Null text counts as empty.
+library's default.
+
+Results: null and empty texts have no ids and decode to an empty text.  Rows
+that repeat, or share an id (null too), are encoded each.  An empty table gives
+an empty one.  Texts and words of any length are encoded whole; words above
+``WIDE`` bytes are merged one by one.  Further columns are not read, whatever
+their names; ``encode_columns`` keeps them.
 """
 
 from __future__ import annotations
