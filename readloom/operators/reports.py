@@ -7,19 +7,19 @@ from pyspark.sql import functions as F
 
 from readloom.functions import barcode_name
 
-#: Wording of each status (fixed values).
+#: What a report says for each status.
 STATUS_TEXT = {
-    "okay": "Successfully processed",
-    "scaler_signal_too_short": "Signal is too short for scaling",
-    "sequence_too_short": "Sequence is too short",
+    "okay": "Fine",
+    "scaler_signal_too_short": "Too few samples to fit a scale",
+    "sequence_too_short": "Fewer bases than asked for",
     "irregular_fast5": "Container can't be read",
-    "basecall_table_incomplete": "Basecall table is incomplete",
-    "adapter_not_detected": "No adapter was found",
-    "not_basecalled": "Read is not basecalled",
-    "scaling_qc_fail": "Scaling is out of range",
-    "disappeared": "File is gone",
-    "unknown_error": "Unknown error",
-    "unsplit_read": "Fused read",
+    "basecall_table_incomplete": "Events end before the sequence does",
+    "adapter_not_detected": "Nothing looks like an adapter",
+    "not_basecalled": "No basecall in the container",
+    "scaling_qc_fail": "Fitted scale is out of range",
+    "disappeared": "File has gone away",
+    "unknown_error": "Stopped by an error",
+    "unsplit_read": "Several molecules in one read",
 }
 LABELS = ("pass", "artifact", "fail")
 
