@@ -9,8 +9,9 @@ An exception phrase takes back the hits it contains.
 Entries and weights (log odds of appearing in toxic against clean documents),
 exception phrases and the calibration from hit weight and hit weight per length
 to a probability are learned from ``SAMPLE`` labelled documents at most, chosen
-by a hash of the id; of near copies among them (the classes of ``near_rows``)
-with the same label only the one with the smallest id counts.  The driver holds
+by a hash of the id; of near copies among them (five-word shingles, similarity
+of 0.8 or more as estimated from the sketches of operator 2) with the same label
+only the one with the smallest id counts.  The driver holds
 the lexicon, which is bounded by the sample's distinct words, none left out.
 
 Results: scores depend on nothing but the text.  Null and empty texts have no
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.llm.bytesops import slices
-from readloom.llm.near_dedup import near_rows
+from readloom.llm.near_dedup import sketch_rows
 from readloom.llm.shared import stored
 
 #: Labelled documents that the model is fitted on, at most.
@@ -169,7 +170,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, excep
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("sha"))
     texts = stored(plain.join(F.broadcast(chosen), "doc_id"), "toxic-texts")  # chosen is bounded by the sample
-    classes = near_rows(texts).select(F.col("id").alias("doc_id"), "sha", "low").distinct()
+    classes = sketch_rows(texts).select(F.col("id").alias("doc_id"), "sha", "low").distinct()
     once = texts.join(classes, ["doc_id", "sha"]).groupBy("low", "toxic").agg(F.min(F.struct("doc_id", "sha", "text")).alias("one")).select("one.text", "toxic")
     held = stored(once.mapInArrow(_fold_sample, "toxic int, folded string"), "toxic-sample")
     bad, good = held.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1)) - F.coalesce(F.sum("toxic"), F.lit(0))).first()
