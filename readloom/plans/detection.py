@@ -24,13 +24,12 @@ def evt_derived_columns(spark, sf):
     window l as (partition by read_id order by i rows between 3 preceding and 1 preceding), r as (partition by read_id order by i rows between current row and 2 following))
   select read_id, i, round(case when nl = 3 and nr = 3 then abs(sr / 3 - sl / 3) / sqrt(greatest(ql / 3 - sl / 3 * sl / 3 + qr / 3 - sr / 3 * sr / 3, 1.1754943508222875e-38) / 3) else 0 end, 4) as t from s""")
 def evt_window_tstat(spark, sf):
-    long = b.sampled_long(b.signals(spark, sf))
-    return events.window_tstat(long, 3).select("read_id", F.col("i").cast("long").alias("i"), F.round("t", 4).alias("t"))
+    out = events.window_tstat(b.signals(spark, sf), 3).select("read_id", F.posexplode("t").alias("i", "t"))
+    return out.select("read_id", F.col("i").cast("long").alias("i"), F.round("t", 4).alias("t"))
 
 
 def _stats(spark, sf):
-    long = b.sampled_long(b.signals(spark, sf))
-    return events.window_tstat(events.window_tstat(long, 3, "t_short"), 6, "t_long")
+    return events.window_tstat(events.window_tstat(b.signals(spark, sf), 3, "t_short"), 6, "t_long")
 
 
 @query()
@@ -41,14 +40,13 @@ def evt_peak_boundaries(spark, sf):
 @query("""with c as (select *, sum(case when i > 0 and i % 7 = 3 then 1 else 0 end) over (partition by read_id order by i) e from v_long)
   select read_id, min(i) as start, count(*) as length, round(avg(x), 6) as mean, round(stddev_pop(x), 6) as stdv from c group by read_id, e""")
 def evt_from_boundaries(spark, sf):
-    long = b.sampled_long(b.signals(spark, sf))
-    marks = long.filter("i % 7 = 3").select("read_id", F.col("i").alias("boundary"))
-    return events.events_from_boundaries(long, marks).withColumns({"mean": F.round("mean", 6), "stdv": F.round("stdv", 6)})
+    marked = b.signals(spark, sf).withColumn("boundaries", F.expr("filter(sequence(0, size(signal)), i -> i % 7 = 3)"))
+    return events.events_from_boundaries(marked).withColumns({"mean": F.round("mean", 6), "stdv": F.round("stdv", 6)})
 
 
 @query()
 def evt_detect(spark, sf):
-    found = events.detect_events(b.sampled_long(b.signals(spark, sf)), (3, 6), (1.0, 2.0), 0.5)
+    found = events.detect_events(b.signals(spark, sf), (3, 6), (1.0, 2.0), 0.5)
     return found.withColumns({"mean": F.round("mean", 6), "stdv": F.round("stdv", 6)})
 
 

@@ -8,14 +8,90 @@ from readloom.operators.intervals import interval_union
 def test_steps_give_their_boundaries(spark):
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.normal(m, 0.8, 60) for m in (80, 100, 85, 110)])
-    df = spark.createDataFrame([("r", i, float(v)) for i, v in enumerate(x)], "read_id string, i long, x double")
+    df = spark.createDataFrame([("r", x.tolist())], "read_id string, signal array<double>")
     found = sorted(r["start"] for r in events.detect_events(df).collect())
     assert len(found) == 4 and all(abs(a - b) <= 3 for a, b in zip(found, (0, 60, 120, 180), strict=True))
 
 
 def test_no_boundary_gives_no_event(spark):
-    df = spark.createDataFrame([("r", i, 1.0) for i in range(5)], "read_id string, i long, x double")
-    assert events.detect_events(df).count() == 0
+    df = spark.createDataFrame([("r", [1.0] * 5), ("s", []), ("t", None)], "read_id string, signal array<double>")
+    assert events.detect_events(df).collect() == []
+
+
+def written_tstat(x, width):
+    """The definition, sample by sample; a null in a window counts as a cut."""
+    out = []
+    for i in range(len(x)):
+        a, b = x[max(0, i - width) : i], x[i : i + width]
+        if len(a) < width or len(b) < width or None in a + b:
+            out.append(0.0)
+            continue
+        var = sum(v * v for v in a) / width - (sum(a) / width) ** 2 + sum(v * v for v in b) / width - (sum(b) / width) ** 2
+        out.append(abs(sum(b) - sum(a)) / width / np.sqrt(max(var, events.TINY) / width))
+    return out
+
+
+def written_peaks(short, long, windows, thresholds, height):
+    """One read, sample by sample, with the state of both detectors in plain lists."""
+    crest, level, sure, blind, out = [-1, -1], [np.inf, np.inf], [False, False], -1, set()
+    for i, values in enumerate(zip(short, long, strict=True)):
+        for d, v in enumerate(values):
+            if d == 1 and i <= blind:
+                continue
+            if crest[d] < 0:
+                if v < level[d]:
+                    level[d] = v
+                elif v - level[d] > height:
+                    crest[d], level[d] = i, v
+            else:
+                if v > level[d]:
+                    crest[d], level[d] = i, v
+                if level[d] > thresholds[d]:
+                    if d == 0:
+                        blind, crest[1], level[1], sure[1] = crest[0] + windows[0], -1, np.inf, False
+                    sure[d] = sure[d] or level[d] - v > height
+            if crest[d] >= 0 and sure[d] and i - crest[d] > windows[d] // 2:
+                out.add(crest[d])
+                crest[d], level[d], sure[d] = -1, v, False
+    return sorted(out)
+
+
+def written_events(x, marks):
+    cuts = sorted({m for m in marks if 0 < m < len(x)})
+    out = []
+    for a, z in zip([0, *cuts], [*cuts, len(x)], strict=True) if cuts else []:
+        own = [v for v in x[a:z] if v is not None]
+        out.append((a, len(own), np.mean(own) if own else None, np.std(own) if own else None))
+    return out
+
+
+def test_events_of_arrays_equal_the_sequential_versions(spark):
+    rng = np.random.default_rng(4)
+    reads = {"empty": [], "one": [5.0], "flat": [3.0] * 50}
+    for r in range(60):
+        steps = [rng.normal(rng.choice([80, 95, 110]), rng.choice([0.3, 2.0]), rng.integers(2, 40)) for _ in range(rng.integers(1, 12))]
+        x = np.concatenate(steps).tolist()
+        reads[f"r{r}"] = [None if r % 5 == 0 and rng.random() < 0.03 else v for v in x]
+    df = spark.createDataFrame([*reads.items(), ("null", None)], "read_id string, signal array<double>").repartition(3)
+    for windows, thresholds, height in (((3, 6), (1.0, 2.0), 0.5), ((7, 20), (3.0, 8.0), 4.0)):
+        stats = events.window_tstat(events.window_tstat(df, windows[0], "t_short"), windows[1], "t_long")
+        got = {r["read_id"]: r for r in stats.collect()}
+        marks = {}
+        for r in events.peak_boundaries(stats, windows, thresholds, height).collect():
+            marks.setdefault(r["read_id"], []).append(r["boundary"])
+        found = {}
+        for r in sorted(events.detect_events(df, windows, thresholds, height).collect(), key=lambda r: r["start"]):
+            found.setdefault(r["read_id"], []).append(r)
+        for k, x in reads.items():
+            for name, width in zip(("t_short", "t_long"), windows, strict=True):
+                assert np.allclose(got[k][name], written_tstat(x, width), rtol=1e-6, atol=1e-9) or k == "flat"
+            want = written_peaks(got[k]["t_short"], got[k]["t_long"], windows, thresholds, height)
+            assert marks.get(k, []) == want
+            cut = written_events(x, want)
+            assert [(r["start"], r["length"]) for r in found.get(k, [])] == [c[:2] for c in cut]
+            for r, c in zip(found.get(k, []), cut, strict=True):
+                assert (r["mean"] is None) == (c[2] is None) and (c[2] is None or np.allclose([r["mean"], r["stdv"]], c[2:], atol=1e-9))
+        assert sum(map(len, marks.values())) > 50
 
 
 def test_touching_intervals(spark):
