@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.sources.shared import ensure_checkpoints
+from readloom.operators.ranks import with_place
 
 #: Window size, least width and interval of each scale, coarse to fine.
 SCALES = ((10_000, 2_500, 3_300), (2_000, 1_000, 1_000), (1_000, 500, 500))
@@ -15,22 +15,9 @@ SUPPORTS = 1000
 
 
 def ranked_predictions(pred: DataFrame) -> DataFrame:
-    """Predictions without decoys, ranked from 0 by falling score; checkpointed, so that several scales share one ranking.
-
-    One distributed sort, which cuts ranges by quantiles of all order columns
-    (so crowded scores are dealt out too); a rank is the place in its sorted
-    partition plus the sizes of the partitions before, one number for each task.
-    """
-    ensure_checkpoints(pred.sparkSession)
+    """Predictions without decoys, ranked from 0 by falling score; several scales share one ranking."""
     real = pred.filter((F.col("prior_label") != 0) & (F.col("pred_label") != 0))
-    placed = real.orderBy(F.desc("pred_prob"), "read_id", "prior_label", "pred_label").withColumn("_at", F.monotonically_increasing_id()).checkpoint()
-    part = F.shiftright("_at", 33)
-    ahead, before = [], 0
-    for number, n in sorted(tuple(r) for r in placed.groupBy(part.alias("part")).count().collect()):
-        ahead += [F.lit(number), F.lit(before)]
-        before += n
-    start = F.element_at(F.create_map(*ahead), part) if ahead else F.lit(0)
-    return placed.withColumn("rank", (start + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).cast("long")).drop("_at")
+    return with_place(real, F.desc("pred_prob"), "read_id", "prior_label", "pred_label")
 
 
 def row_windows(pred: DataFrame, size: int, least: int, step: int) -> DataFrame:

@@ -35,14 +35,18 @@ def snk_fasta_readdb(spark, sf):
   select label, barcode, read_id, (row_number() over (partition by label, barcode order by read_id) - 1) // 400 as file_no from g""")
 def snk_regroup_reads(spark, sf):
     r = b.reads(spark, sf)
-    return sinks.regrouped(r.union(r.filter("cast(read_id as bigint) % 9 = 0")), 400).select("label", "barcode", "read_id", "file_no")
+    path = new_path(spark, "containers")
+    sinks.write_regrouped(r.union(r.filter("cast(read_id as bigint) % 9 = 0")), path, 400)
+    return spark.read.parquet(path).select("label", "barcode", "read_id", "file_no")
 
 
 @query("""select read_id, filename, channel, cast(start_time as varchar) as start_time, status, label, case when barcode is null then 'undetermined' else concat('BC', barcode + 1) end as barcode,
   case when barcode is null then '0.0000' else concat(12 + barcode, '.0000') end as barcode_score, case when label = 'pass' then printf('%.4f', sequence_length / 8.0) else '' end as polya_dwell from v_reads""")
 def snk_summary(spark, sf):
     r = b.reads(spark, sf).selectExpr("*", "coalesce(12 + barcode, 0) barcode_score", "case when label = 'pass' then sequence_length / 8.0D end polya_dwell")
-    return sinks.summary_rows(r).select("read_id", "filename", "channel", "start_time", "status", "label", "barcode", "barcode_score", "polya_dwell")
+    path = new_path(spark, "summary")
+    sinks.write_summary(sinks.summary_rows(r), path)
+    return spark.read.csv(path, sep="\t", header=True).na.fill("").select("read_id", "filename", "channel", "start_time", "status", "label", "barcode", "barcode_score", "polya_dwell")
 
 
 @query("""with h as (select *, row_number() over (partition by read_id order by mapq desc, ref, line, cigar) - 1 as rank from v_hits where flag = 0)

@@ -6,10 +6,11 @@ writes them partitioned by group; null barcodes go to ``undetermined``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom import functions as fn
+from readloom.operators.ranks import with_place
 from readloom.operators.reads import apply_trim
 
 SUMMARY = ["filename", "read_id", "run_id", "channel", "start_time", "duration", "num_events", "sequence_length", "mean_qscore", "sample_id", "status", "label"]
@@ -42,15 +43,20 @@ def write_text(rows: DataFrame, path: str) -> None:
 
 
 def regrouped(reads: DataFrame, per_file: int = 4000) -> DataFrame:
-    """Reads with their group and file number; of ids repeated in a group one stays."""
-    once = grouped(reads).dropDuplicates(["label", "barcode", "read_id"])
-    w = Window.partitionBy("label", "barcode").orderBy("read_id")
-    return once.withColumn("file_no", F.floor((F.row_number().over(w) - 1) / per_file))
+    """Reads with their group and file number in the order of ids; of ids repeated in a group one stays.
+
+    Places come from one distributed sort, so a large group is no one task's;
+    groups are few (labels by barcodes), and so are their first places.
+    """
+    once = with_place(grouped(reads).dropDuplicates(["label", "barcode", "read_id"]), "label", "barcode", "read_id", name="_place")
+    first = once.groupBy("label", "barcode").agg(F.min("_place").alias("_first"))
+    return once.join(first, ["label", "barcode"]).withColumn("file_no", F.floor((F.col("_place") - F.col("_first")) / per_file)).drop("_place", "_first")
 
 
 def write_regrouped(reads: DataFrame, path: str, per_file: int = 4000) -> None:
-    once = grouped(reads).dropDuplicates(["label", "barcode", "read_id"])
-    once.write.partitionBy("label", "barcode").option("maxRecordsPerFile", per_file).mode("overwrite").parquet(path)
+    """Containers by group, each with the reads of one file number; small groups make small files, others full ones."""
+    files = regrouped(reads, per_file).repartition("label", "barcode", "file_no").sortWithinPartitions("label", "barcode", "file_no")
+    files.write.partitionBy("label", "barcode").option("maxRecordsPerFile", per_file).mode("overwrite").parquet(path)
 
 
 def summary_rows(reads: DataFrame, barcodes: bool = True, polya: bool = True) -> DataFrame:
@@ -66,6 +72,7 @@ def summary_rows(reads: DataFrame, barcodes: bool = True, polya: bool = True) ->
 
 
 def write_summary(rows: DataFrame, path: str) -> None:
+    """Tab-separated files with a header; empty texts stay empty."""
     rows.write.option("sep", "\t").option("header", "true").option("emptyValue", "").mode("overwrite").csv(path)
 
 

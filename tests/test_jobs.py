@@ -224,3 +224,12 @@ def test_classifier_tells_plain_classes_apart(spark):
     model = training.fit_demux(df)
     pred = training.prediction_table(training.predict_demux(model, df)).collect()
     assert all(r["prior_label"] == r["pred_label"] and r["pred_prob"] > 0.5 for r in pred)
+
+
+def test_containers_are_full_files(spark, tmp_path):
+    df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 5, "0").alias("read_id"), F.when(F.col("id") % 10 < 9, "pass").alias("label"), F.lit(None).cast("long").alias("barcode"))
+    sinks.write_regrouped(df.union(df.limit(50)), f"{tmp_path}/containers", 200)
+    back = spark.read.parquet(f"{tmp_path}/containers").withColumn("file", F.input_file_name())
+    sizes = sorted((r["label"], r["n"], r["numbers"]) for r in back.groupBy("label", "file").agg(F.count("read_id").alias("n"), F.count_distinct("file_no").alias("numbers")).collect())
+    assert sum(n for _, n, _ in sizes) == back.select("read_id").distinct().count() == 1000 and all(n <= 200 for _, n, _ in sizes)
+    assert [x for x in sizes if x[0] == "fail"] == [("fail", 100, 1)]
