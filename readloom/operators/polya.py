@@ -61,9 +61,16 @@ def best_interval(events: DataFrame, gap: int = PRESET.polya_gap, penalty: float
 def recalibrated_range(events: DataFrame, adapter_end: DataFrame) -> DataFrame:
     """``read_id, low, high`` around the length-weighted mean of the quiet events just behind the adapter."""
     near = events.join(adapter_end, "read_id").filter((F.col("start") + F.col("length") > F.col("adapter_end")) & (F.col("start") <= F.col("adapter_end") + PRESET.polya_anchor_reach) & (F.col("stdv") < PRESET.polya_stdev))
-    sums = near.groupBy("read_id").agg(F.sum("length").alias("n"), (F.sum(F.col("mean") * F.col("length")) / F.sum("length")).alias("center"))
+    sums = near.groupBy("read_id").agg((F.sum(F.col("mean") * F.col("length")) / F.sum("length")).alias("center"))
     low, high = level_range(F.col("center"))
-    return sums.filter(F.col("n") >= PRESET.polya_anchor_samples).select("read_id", low.alias("low"), high.alias("high"))
+    return sums.select("read_id", low.alias("low"), high.alias("high"))
+
+
+def second_pass(events: DataFrame, adapter_end: DataFrame) -> DataFrame:
+    """Best intervals in each read's own range, for reads with enough samples of events in that range."""
+    again = classify(events.drop("is_a").join(recalibrated_range(events, adapter_end), "read_id"), F.col("low"), F.col("high"))
+    within = F.sum(F.when(F.col("is_a"), F.col("length")).otherwise(0)).over(Window.partitionBy("read_id"))
+    return best_interval(again.withColumn("_within", within).filter(F.col("_within") >= PRESET.polya_anchor_samples))
 
 
 def recalibrate(events: DataFrame, intervals: DataFrame, adapter_end: DataFrame, has_tail: DataFrame) -> DataFrame:
@@ -71,11 +78,10 @@ def recalibrate(events: DataFrame, intervals: DataFrame, adapter_end: DataFrame,
 
     ``has_tail`` lists the reads with a poly(A) run.  Returns ``read_id, score, first, last, recalibrated``.
     """
-    inside = events.join(intervals, "read_id").filter(F.col("is_a") & F.col("k").between(F.col("first"), F.col("last")))
+    inside = events.join(intervals, "read_id").filter(F.col("k").between(F.col("first"), F.col("last")))
     level = inside.groupBy("read_id").agg((F.sum(F.col("mean") * F.col("length")) / F.sum("length")).alias("level"))
     fine = level.filter(F.abs(F.col("level") - PRESET.polya_level) <= PRESET.polya_shift * PRESET.polya_sd).join(has_tail.select("read_id"), "read_id", "left_semi").select("read_id")
-    again = events.drop("is_a").join(fine, "read_id", "left_anti").join(recalibrated_range(events, adapter_end), "read_id")
-    second = best_interval(classify(again, F.col("low"), F.col("high")))
+    second = second_pass(events.join(fine, "read_id", "left_anti"), adapter_end)
     first = intervals.join(fine, "read_id", "left_semi")
     return first.withColumn("recalibrated", F.lit(False)).unionByName(second.withColumn("recalibrated", F.lit(True)))
 
@@ -84,30 +90,31 @@ def extend_open(events: DataFrame, windows: DataFrame, step: int, rounds: int =
     """Search again in a wider window while the interval reaches the window's last event and the read goes on.
 
     ``windows`` has ``read_id, upto`` (last sample searched) and ``samples``.
-    Only unfinished reads go into the next round; rounds are bounded.
+    Only unfinished reads go into the next round; after ``rounds`` wider windows
+    the interval counts as it is.
     """
     done, todo = None, windows
-    for _ in range(rounds):
+    for left in range(rounds, -1, -1):
         seen = events.join(todo, "read_id").filter(F.col("start") + F.col("length") <= F.col("upto"))
         found = best_interval(seen)
         last = seen.groupBy("read_id").agg(F.max("k").alias("last_k"))
         state = todo.join(found, "read_id", "left").join(last, "read_id", "left").checkpoint()
-        open_ = (F.col("last") == F.col("last_k")) & (F.col("upto") < F.col("samples"))
+        open_ = (F.col("last") == F.col("last_k")) & (F.col("upto") < F.col("samples")) & F.lit(left > 0)
         closed = state.filter(~F.coalesce(open_, F.lit(False))).select("read_id", "upto", "score", "first", "last")
         done = closed if done is None else done.unionByName(closed)
         todo = state.filter(F.coalesce(open_, F.lit(False))).select("read_id", F.least(F.col("upto") + step, F.col("samples")).alias("upto"), "samples")
         if todo.isEmpty():
             break
-    return done.unionByName(todo.select("read_id", "upto", *(F.lit(None).cast("long").alias(c) for c in ("score", "first", "last"))))
+    return done
 
 
 def stdev_check(events: DataFrame, intervals: DataFrame, samples: DataFrame) -> DataFrame:
-    """Deviation of the middle of each interval's longest poly(A) event: ``read_id, stdev, steady``.
+    """Deviation of the middle of each interval's longest event: ``read_id, stdev, steady``.
 
     Samples (``read_id, i, x``) meet their event by bucketed equi-join, so no
     range join is needed; events are disjoint within a read.
     """
-    inside = events.join(intervals, "read_id").filter(F.col("is_a") & F.col("k").between(F.col("first"), F.col("last")))
+    inside = events.join(intervals, "read_id").filter(F.col("k").between(F.col("first"), F.col("last")))
     longest = inside.groupBy("read_id").agg(F.max_by(F.struct("start", "length"), F.struct("length", -F.col("k"))).alias("e")).select("read_id", F.col("e.start").alias("start"), F.col("e.length").alias("length"))
     low = F.col("start") + F.floor(F.col("length") * 0.05)
     high = F.col("start") + F.floor(F.col("length") * 0.95)
@@ -116,6 +123,19 @@ def stdev_check(events: DataFrame, intervals: DataFrame, samples: DataFrame) ->
     return longest.select("read_id").join(found, "read_id", "left").select("read_id", F.when(F.col("n") > 2, F.col("stdev")).alias("stdev"), F.coalesce((F.col("n") > 2) & (F.col("stdev") < PRESET.polya_stdev), F.lit(False)).alias("steady"))
 
 
+def steady_intervals(events: DataFrame, found: DataFrame, samples: DataFrame, adapter_end: DataFrame) -> DataFrame:
+    """Intervals of ``recalibrate`` that pass the deviation check.
+
+    A read that fails it in the first pass gets one second pass in a shifted
+    range, whose interval has to pass as well.
+    """
+    steady = stdev_check(events, found, samples).filter("steady").select("read_id")
+    failed = found.filter("not recalibrated").join(steady, "read_id", "left_anti").select("read_id")
+    second = second_pass(events.join(failed, "read_id", "left_semi"), adapter_end).withColumn("recalibrated", F.lit(True))
+    fine = stdev_check(events, second, samples).filter("steady").select("read_id")
+    return found.join(steady, "read_id", "left_semi").unionByName(second.join(fine, "read_id", "left_semi"))
+
+
 def dwell_and_spikes(events: DataFrame, intervals: DataFrame, sampling_rate: float) -> DataFrame:
     """``read_id, begin, end, dwell, spikes``: tail in samples, poly(A) time in seconds, and the other events inside with their neighbours."""
     w = Window.partitionBy("read_id").orderBy("k")

@@ -142,11 +142,12 @@ def pa_extend_open(spark, sf):
     return polya.extend_open(e, windows, 990)
 
 
-@query(_A + _BEST + """, lv as (select e.read_id, sum(mean * length) / sum(length) lev from e join best using (read_id) where is_a and k between "first" and "last" group by 1),
+@query(_A + _BEST + """, lv as (select e.read_id, sum(mean * length) / sum(length) lev from e join best using (read_id) where k between "first" and "last" group by 1),
   fine as (select read_id from lv where abs(lev - 108.95) <= 1.7 * 2.55 and cast(read_id as bigint) % 3 <> 0),
   ad as (select read_id, max(start + length) adapter_end from v_evt where k <= 20 group by 1),
-  nr as (select e.read_id, sum(length) n, sum(mean * length) / sum(length) c from e join ad using (read_id) where start + length > adapter_end and start <= adapter_end + 100 and stdv < 5 group by 1),
-  e2 as (select e.* exclude (is_a), mean between c - 2 * cast(2.55 as double) and c + 2 * cast(2.55 as double) as is_a from e join nr using (read_id) where n >= 750 and read_id not in (select read_id from fine))"""
+  nr as (select e.read_id, sum(mean * length) / sum(length) c from e join ad using (read_id) where start + length > adapter_end and start <= adapter_end + 100 and stdv < 5 group by 1),
+  e1 as (select e.* exclude (is_a), mean between c - 2 * cast(2.55 as double) and c + 2 * cast(2.55 as double) as is_a from e join nr using (read_id) where read_id not in (select read_id from fine)),
+  e2 as (select * from e1 where read_id in (select read_id from e1 where is_a group by 1 having sum(length) >= 750))"""
   + _BEST.replace("from e)", "from e2)").replace("v as (", "v2 as (").replace("from v)", "from v2)").replace("g as (", "g2 as (").replace("from g where", "from g2 where").replace("t as (", "t2 as (").replace("t a join t b", "t2 a join t2 b").replace("p as (", "p2 as (").replace("from p)", "from p2)").replace("best as (", "best2 as (")
   + """ select read_id, cast(score as bigint) as score, "first", "last", false as recalibrated from best where read_id in (select read_id from fine)
   union all select read_id, cast(score as bigint), "first", "last", true from best2""")
@@ -157,7 +158,7 @@ def pa_recalibrate(spark, sf):
     return polya.recalibrate(e, best, ends, tails)
 
 
-@query(_A + _BEST + """, w as (select e.read_id, arg_max(struct_pack(s := start, n := length), struct_pack(l := length, z := -k)) m from e join best using (read_id) where is_a and k between "first" and "last" group by 1),
+@query(_A + _BEST + """, w as (select e.read_id, arg_max(struct_pack(s := start, n := length), struct_pack(l := length, z := -k)) m from e join best using (read_id) where k between "first" and "last" group by 1),
   x as (select read_id, unnest(range(m.s, m.s + m.n)) i, m.s s, m.n n from w),
   y as (select read_id, 100 + (i * 7919 % 1009) / 100.0 as x from x where i >= s + floor(n * 0.05) and i < s + floor(n * 0.95)),
   z as (select read_id, stddev_pop(x) sd, count(*) c from y group by 1)
@@ -168,6 +169,16 @@ def pa_stdev_qc(spark, sf):
     return polya.stdev_check(e, best, samples).withColumn("stdev", F.round("stdev", 6))
 
 
+@query()
+def pa_steady_tails(spark, sf):
+    """The whole chain from a first search to checked tails, over signals whose noise differs by event."""
+    e, best = _tail(spark, sf)
+    ends = e.filter("k <= 20").groupBy("read_id").agg(F.max(F.col("start") + F.col("length")).alias("adapter_end"))
+    noise = F.expr("if(k % 3 = 0, 2D, 1D) * (i * 7919 % 1009) / 100D")
+    samples = e.select("read_id", "k", F.explode(F.expr("sequence(start, start + length - 1)")).alias("i")).select("read_id", "i", noise.alias("x"))
+    return polya.steady_intervals(e, polya.recalibrate(e, best, ends, e.select("read_id").distinct()), samples, ends)
+
+
 @query(_A + _BEST + """, n as (select *, lag(mean) over (partition by read_id order by k) b, lead(mean) over (partition by read_id order by k) a from e)
   select read_id, min(start) as begin, max(start + length) as "end", round(sum(case when is_a then length else 0 end) / 100.0, 6) as dwell, count(case when not is_a then 1 end) as n_spikes,
     round(coalesce(sum(case when not is_a then length + b + mean + a end), 0), 6) as spike_sum from n join best using (read_id) where k between "first" and "last" group by 1""")

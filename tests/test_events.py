@@ -3,6 +3,7 @@ import pytest
 
 from readloom.operators import events, polya
 from readloom.operators.intervals import interval_union
+from readloom.sources.shared import ensure_checkpoints
 
 
 def test_steps_give_their_boundaries(spark):
@@ -141,3 +142,67 @@ def test_ties_go_to_the_earliest(spark):
     rows = [("r", 1, True, 50), ("r", 2, False, 200), ("r", 3, True, 50)]
     got = polya.best_interval(spark.createDataFrame(rows, "read_id string, k long, is_a boolean, length long")).first()
     assert (got["score"], got["first"], got["last"]) == (50, 1, 1)
+
+
+def written_tail(rows, adapter_end, has_tail, x):
+    """Both passes and the deviation check for one read's events ``(start, length, mean, stdv)``."""
+
+    def search(center):
+        return brute_interval([(abs(m - center) <= 2 * 2.55, n) for _, n, m, _ in rows])
+
+    def again():
+        near = [(n, m) for s, n, m, d in rows if s + n > adapter_end and s <= adapter_end + 100 and d < 5]
+        if not near:
+            return None
+        center = sum(n * m for n, m in near) / sum(n for n, _ in near)
+        return search(center) if sum(n for _, n, m, _ in rows if abs(m - center) <= 2 * 2.55) >= 750 else None
+
+    def steady(best):
+        start, n = max(rows[best[1] - 1 : best[2]], key=lambda r: (r[1], -r[0]))[:2]
+        part = x[int(start + n * 0.05) : int(start + n * 0.95)]
+        return len(part) > 2 and np.std(part) < 5
+
+    found, second = search(108.95) if has_tail else None, False
+    if found:
+        own = rows[found[1] - 1 : found[2]]
+        found = found if abs(sum(n * m for _, n, m, _ in own) / sum(n for _, n, _, _ in own) - 108.95) <= 1.7 * 2.55 else None
+    if not found:
+        found, second = again(), True
+    if found and not steady(found) and not second:
+        found, second = again(), True
+    return (*found, second) if found and steady(found) else None
+
+
+def test_tails_equal_the_written_chain(spark):
+    rng = np.random.default_rng(12)
+    data, samples, ends, tails, want = [], [], [], [], {}
+    for r in range(160):
+        offset, name, at, rows, x = rng.choice([0.0, 3.5, 6.0]), f"r{r}", 0, [], []
+        for k in range(int(rng.integers(3, 12))):
+            n, d = int(rng.choice([4, 60, 150, 500])), float(rng.choice([1.0, 3.0, 8.0]))
+            m = float(108.95 + offset + (rng.normal(0, 1) if rng.random() < 0.75 else rng.choice([-15, 4.8, 15])))
+            rows.append((at, n, m, d))
+            x += (m + rng.normal(0, 1, n) * d).tolist()
+            data.append((name, k + 1, at, n, m, d))
+            at += n
+        end, tail = rows[1][0], bool(rng.random() < 0.8)
+        samples += [(name, i, v) for i, v in enumerate(x)]
+        ends.append((name, end))
+        tails += [(name,)] if tail else []
+        want[name] = written_tail(rows, end, tail, x)
+    e = polya.classify(spark.createDataFrame(data, "read_id string, k long, start long, length long, mean double, stdv double"))
+    ends, tails = spark.createDataFrame(ends, "read_id string, adapter_end long"), spark.createDataFrame(tails, "read_id string")
+    found = polya.recalibrate(e, polya.best_interval(e), ends, tails)
+    out = polya.steady_intervals(e, found, spark.createDataFrame(samples, "read_id string, i long, x double"), ends)
+    got = {r["read_id"]: (r["score"], r["first"], r["last"], r["recalibrated"]) for r in out.collect()}
+    assert got == {k: v for k, v in want.items() if v}
+    assert {v[3] for v in got.values()} == {True, False} and len(got) < len(want)
+
+
+def test_windows_grow_up_to_their_bound(spark):
+    """Poly(A) to the end of every window: each round sees one event more, and the last one's interval counts."""
+    df = polya.classify(spark.createDataFrame([("r", k + 1, 10 * k, 10, 109.0) for k in range(9)], "read_id string, k long, start long, length long, mean double"))
+    windows = spark.createDataFrame([("r", 20, 90)], "read_id string, upto long, samples long")
+    ensure_checkpoints(spark)
+    for rounds, upto in ((0, 20), (3, 50), (20, 90)):
+        assert tuple(polya.extend_open(df, windows, 10, rounds).select("upto", "score", "first", "last").first()) == (upto, upto, 1, upto // 10)
