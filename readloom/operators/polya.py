@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.params import PRESET
+from readloom.sources.shared import ensure_checkpoints
 
 
 def inspect_window(segments: DataFrame, lengths: DataFrame, stride: int = PRESET.stride) -> DataFrame:
@@ -127,11 +128,14 @@ def steady_intervals(events: DataFrame, found: DataFrame, samples: DataFrame, ad
     """Intervals of ``recalibrate`` that pass the deviation check.
 
     A read that fails it in the first pass gets one second pass in a shifted
-    range, whose interval has to pass as well.
+    range, whose interval has to pass as well.  What is used several times is
+    checkpointed, so that the searches run once.
     """
-    steady = stdev_check(events, found, samples).filter("steady").select("read_id")
+    ensure_checkpoints(events.sparkSession)
+    found = found.checkpoint()
+    steady = stdev_check(events, found, samples).filter("steady").select("read_id").checkpoint()
     failed = found.filter("not recalibrated").join(steady, "read_id", "left_anti").select("read_id")
-    second = second_pass(events.join(failed, "read_id", "left_semi"), adapter_end).withColumn("recalibrated", F.lit(True))
+    second = second_pass(events.join(failed, "read_id", "left_semi"), adapter_end).withColumn("recalibrated", F.lit(True)).checkpoint()
     fine = stdev_check(events, second, samples).filter("steady").select("read_id")
     return found.join(steady, "read_id", "left_semi").unionByName(second.join(fine, "read_id", "left_semi"))
 

@@ -172,7 +172,9 @@ def pa_stdev_qc(spark, sf):
 @query()
 def pa_steady_tails(spark, sf):
     """The whole chain from a first search to checked tails, over signals whose noise differs by event."""
+    ensure_checkpoints(spark)
     e, best = _tail(spark, sf)
+    e, best = e.checkpoint(), best.checkpoint()
     ends = e.filter("k <= 20").groupBy("read_id").agg(F.max(F.col("start") + F.col("length")).alias("adapter_end"))
     noise = F.expr("if(k % 3 = 0, 2D, 1D) * (i * 7919 % 1009) / 100D")
     samples = e.select("read_id", "k", F.explode(F.expr("sequence(start, start + length - 1)")).alias("i")).select("read_id", "i", noise.alias("x"))
