@@ -16,6 +16,7 @@ from readloom.llm.token_counts import count_tokens
 from readloom.llm.token_shards import shard_round_trip
 from readloom.llm.topk import exact_top_k
 from readloom.llm.toxicity import fit_toxicity, score_toxicity, training_labels
+from readloom.llm.whitening import whiten
 from readloom.llm.word_bpe import compile_lexicon, encode_documents
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -66,7 +67,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_word_bpe, op4_top_k, op5_lattice_lm, op6_toxicity, op7_mixing, op8_token_shards, op9_pii, op10_exact_dedup)}
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_word_bpe, op4_top_k, op5_lattice_lm, op6_toxicity, op7_mixing, op8_token_shards, op9_pii, op10_exact_dedup, op13_whitening)}
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
