@@ -48,9 +48,9 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every maximal run of non-space bytes; rows never share a word."""
-    body = ~_IS_SPACE[data]
+def word_spans(data: np.ndarray, at: np.ndarray, outside: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every maximal run of bytes that aren't ``outside`` (spaces); rows never share a word."""
+    body = ~outside[data]
     first = body.copy()
     first[1:] &= ~body[:-1]
     edge = at[1:-1][at[1:-1] < len(data)]

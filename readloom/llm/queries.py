@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from readloom.llm.exact_dedup import exact_dedup
 from readloom.llm.lattice_lm import lm_scores
+from readloom.llm.lexical import ranked_search
 from readloom.llm.mixing import mix
 from readloom.llm.near_dedup import near_classes
 from readloom.llm.pii import pii_digest
@@ -67,14 +68,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op12_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(read_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_word_bpe, op4_top_k, op5_lattice_lm, op6_toxicity, op7_mixing, op8_token_shards, op9_pii, op10_exact_dedup, op13_whitening)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_word_bpe, op4_top_k, op5_lattice_lm, op6_toxicity, op7_mixing, op8_token_shards, op9_pii, op10_exact_dedup, op12_mask_search, op13_whitening)}
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
 ORACLES = {
     "op4_top_k": """
         with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v from embeddings
@@ -88,4 +96,14 @@ ORACLES = {
         g as (select t, min(doc_id) keep_id, count(*) group_size from d group by t)
         select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept, sha256(d.t) as text_sha256
         from d join g using (t)""",
+    "op12_mask_search": f"""
+        with e as (select r, doc_id, unnest(t) as term from (select row_number() over () as r, doc_id, {_TERMS} as t from documents)),
+        d as (select r, count(*) as n from e group by r), s as (select count(*) as c, cast(sum(n) as bigint) as l from d),
+        f as (select r, doc_id, term, count(*) as tf from e group by all),
+        w as (select term, cast(floor(1000 * ln((2 * any_value(c) + 2) / (2 * count(*) + 1))) as bigint) as w from f, s group by term),
+        q as (select distinct item_id, unnest({_TERMS}) as term from benchmark),
+        g as (select item_id, r, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * c) // l)))) as bigint) as score
+              from q join f using (term) join w using (term) join d using (r), s group by all),
+        k as (select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank from g where score > 0)
+        select item_id, rank, doc_id, score from k where rank <= 10""",
 }
