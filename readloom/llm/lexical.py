@@ -9,7 +9,8 @@ has a bitmap of its documents and a greatest gain.  For an item, the block's
 documents are split by the bitmaps, the term of greatest gain first, so that a
 group is a set of documents of one presence mask.  Groups wait in a queue by the
 greatest score that their mask still allows; the highest is split further, and
-once its mask is whole its documents are scored exactly.  The search of a block
+once its mask is whole (or one document is left, which has one mask) its
+documents are scored exactly.  The search of a block
 ends safely when the next group can't reach the item's k-th best score so far
 (a group that can equal it is still looked at, for the sake of ties).  The k best
 of a task go on to the next block, and those of all tasks to one ranking.
@@ -44,6 +45,8 @@ from readloom.llm.shared import stored
 ITEMS = 1024
 #: Documents in a block, and documents and pairs (document, term) that a task sorts by length at a time.
 BLOCK, HELD, PAIRS = 8192, 65_536, 6_000_000
+#: Documents of groups that can't be excluded are scored so many at a time.
+TOGETHER = 32
 
 _NOT_TERM = np.ones(256, bool)
 _NOT_TERM[0x80:] = False
@@ -137,6 +140,16 @@ class MaskBlock:
         at = np.repeat(first - ends + size, size) + np.arange(int(ends[-1]))
         return rows, np.add.reduceat(np.where(self.wanted[self.term[at]], self.gain[at], 0), ends - size)  # every document here holds a term
 
+    def _taken(self, group: int, floor: int, best: list[tuple[int, int]], k: int) -> list[tuple[int, int]]:
+        """``best`` with the documents of a bitmap that reach the floor."""
+        rows, scores = self.scores(group)
+        fine = scores >= floor
+        ids, scores = self.ids[rows[fine]], scores[fine]
+        if len(ids) > k:
+            pick = np.lexsort((ids, -scores))[:k]
+            ids, scores = ids[pick], scores[pick]
+        return sorted(best + list(zip((-scores).tolist(), ids.tolist(), strict=True)))[:k]
+
     def search(self, terms: np.ndarray, best: list[tuple[int, int]], k: int) -> list[tuple[int, int]]:
         """The ``k`` best ``(-score, id)`` of the block and of those found before."""
         most = self.most[terms]
@@ -149,40 +162,38 @@ class MaskBlock:
         self.wanted[terms] = True
         floor = -best[-1][0] if len(best) == k else 1
         queue = [(-rest[0], 0, 0, (1 << len(self.ids)) - 1)]  # greatest score left, terms decided, gains so far, documents
-        while queue and -queue[0][0] >= floor:
-            top, depth, got, group = heapq.heappop(queue)
-            if depth < 0:
-                depth = -depth
+        ready, waiting = 0, 0  # documents to be scored, together
+        while True:
+            if waiting >= TOGETHER or ready and (not queue or -queue[0][0] < floor):
+                best = self._taken(ready, floor, best, k)
+                floor = -best[-1][0] if len(best) == k else 1
+                ready, waiting = 0, 0
+            if not queue or -queue[0][0] < floor:
+                break
+            _, depth, got, group = heapq.heappop(queue)
+            depth = -depth
             while depth < len(own):
                 held = group & self.bitmap(own[depth])
                 gain = rest[depth] - rest[depth + 1]
                 depth += 1
                 if held == group:
                     got += gain
-                elif held:
-                    without = got + rest[depth]
+                    continue
+                without = got + rest[depth]
+                if held:
                     if without >= floor:
                         heapq.heappush(queue, (-without, -depth, got, group ^ held))
                     group, got = held, got + gain
-                elif got + rest[depth] < floor:
-                    group = 0
-                    break
-                elif queue and got + rest[depth] < -queue[0][0]:
-                    heapq.heappush(queue, (-(got + rest[depth]), -depth, got, group))
+                    if held & (held - 1) == 0:  # one document has one mask
+                        break
+                elif without < floor or queue and without < -queue[0][0]:
+                    if without >= floor:
+                        heapq.heappush(queue, (-without, -depth, got, group))
                     group = 0
                     break
-            if not group or not got:
-                continue
-            rows, scores = self.scores(group)
-            fine = scores >= floor
-            if fine.any():
-                ids, scores = self.ids[rows[fine]], scores[fine]
-                if len(ids) > k:
-                    pick = np.lexsort((ids, -scores))[:k]
-                    ids, scores = ids[pick], scores[pick]
-                best = sorted(best + list(zip((-scores).tolist(), ids.tolist(), strict=True)))[:k]
-                if len(best) == k:
-                    floor = max(floor, -best[-1][0])
+            if group and got:
+                ready |= group
+                waiting += group.bit_count()
         self.wanted[terms] = False
         return best
 
