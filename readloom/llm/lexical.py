@@ -192,8 +192,12 @@ class MaskBlock:
                     group = 0
                     break
             if group and got:
-                ready |= group
-                waiting += group.bit_count()
+                n = group.bit_count()
+                if ready and n > TOGETHER:  # those that wait may exclude it
+                    heapq.heappush(queue, (-(got + rest[depth]), -depth, got, group))
+                    waiting = TOGETHER
+                else:
+                    ready, waiting = ready | group, waiting + n
         self.wanted[terms] = False
         return best
 
