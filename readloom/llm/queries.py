@@ -12,6 +12,7 @@ from readloom.llm.lexical import ranked_search
 from readloom.llm.mixing import mix
 from readloom.llm.near_dedup import near_classes
 from readloom.llm.pii import pii_digest
+from readloom.llm.set_join import joined_classes
 from readloom.llm.shared import read_table
 from readloom.llm.token_counts import count_tokens
 from readloom.llm.token_shards import shard_round_trip
@@ -68,6 +69,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op11_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joined_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op12_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -76,7 +81,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(read_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_word_bpe, op4_top_k, op5_lattice_lm, op6_toxicity, op7_mixing, op8_token_shards, op9_pii, op10_exact_dedup, op12_mask_search, op13_whitening)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_word_bpe, op4_top_k, op5_lattice_lm, op6_toxicity, op7_mixing, op8_token_shards, op9_pii, op10_exact_dedup, op11_set_join, op12_mask_search, op13_whitening)}
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
@@ -96,6 +101,17 @@ ORACLES = {
         g as (select t, min(doc_id) keep_id, count(*) group_size from d group by t)
         select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept, sha256(d.t) as text_sha256
         from d join g using (t)""",
+    "op11_set_join": f"""
+        with recursive d as (select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
+        s as (select distinct doc_id, unnest(case when w is null or len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+                                             else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as sh from d),
+        n as (select doc_id, count(*) as n from s group by doc_id),
+        p as (select x.doc_id as a, y.doc_id as b, count(*) as c from s x join s y on x.sh = y.sh and x.doc_id <> y.doc_id group by all),
+        l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+        r(a, b) as (select a, b from l union select r.a, l.b from r join l on r.b = l.a),
+        m as (select a, min(b) as low from r group by a)
+        select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(m.low, d.doc_id)) as component_id
+        from d left join n using (doc_id) left join m on m.a = d.doc_id""",
     "op12_mask_search": f"""
         with e as (select r, doc_id, unnest(t) as term from (select row_number() over () as r, doc_id, {_TERMS} as t from documents)),
         d as (select r, count(*) as n from e group by r), s as (select count(*) as c, cast(sum(n) as bigint) as l from d),
