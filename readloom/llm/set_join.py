@@ -12,15 +12,18 @@ and the next one's, each with the ``k`` of the band's largest size.
    it.  The subsets of all parts but one of every partition are the signatures:
    similar sets share one for certain, and nothing is lost to chance.
 2. Documents with equal sets form a class; signatures are made for classes.
-3. A sorted pass over the signatures drops those of one class only and gives every
-   other bucket a pivot.  Members are compared with pivots, some buckets at a
-   time; classes already connected are not compared again.
-4. Buckets whose members are still in several components are searched whole, each
-   pair in the least signature that it shares, in blocks.  A subset that few
+3. A sorted pass over the signatures drops those of one class only.  A second one
+   cuts the other buckets into groups of members that may be linked (see 5); most
+   buckets have none.  Buckets of more than ``BLOCK`` members stay whole.
+4. In a part of the groups members are compared with a pivot, which connects most
+   copies; classes already connected are not compared again.  Then the pairs of
+   different components that may be linked are compared, once each, however many
+   groups they share.  Buckets that stayed whole are searched in blocks, each pair
+   in the least signature that it shares.  A subset that few
    shingles fall into (``WEAK`` or less) is shared by unrelated sets; where more
-   than ``SPLIT`` members of its bucket are outside the main component, the bucket
-   is first split by signatures of another partition of the domain, of which
-   similar sets share one as well.
+   than ``SPLIT`` members of a whole bucket of such a subset are outside the main
+   component, it is first split by signatures of another partition of the domain,
+   of which similar sets share one as well.
 5. A pair is dropped only if sizes, or the counts of shingles in ``CELLS`` parts of
    the domain, prove it to be too far apart (each differing shingle changes one
    count by one).  All others are compared on their full sets, made from texts.
@@ -49,15 +52,15 @@ from pyspark.sql import functions as F
 
 from readloom.llm.bytesops import mix64, slices
 from readloom.llm.components import components
-from readloom.llm.near_dedup import _NO_ID, _blocks, _checked, _sets_of, linked, shingle_sets
+from readloom.llm.near_dedup import _NO_ID, _blocks, _sets_of, linked, shingle_sets
 from readloom.llm.shared import stored
 
 #: Parts of a partition; a signature leaves one out.
 PARTS = 3
 #: Parts of the domain whose counts bound the distance of two sets.
-CELLS = 128
+CELLS = 64
 #: Thirty-seconds of the buckets whose pivots are compared in one round.
-ROUNDS = ((0, 1), (1, 8), (8, 32))
+ROUNDS = ((0, 2), (2, 8))
 #: Members outside a bucket's main component from which it is split, and how often.
 SPLIT, LEVELS = 1024, 3
 #: Shingles in a subset up to which its signature is weak.
@@ -162,37 +165,26 @@ def _paths(column: pa.Array, n: int) -> np.ndarray:
 
 
 def _with_mates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose key has others, from rows sorted by key, each with the first class of its key as pivot."""
-    held, pivot, alone = None, None, True  # the last row, its pivot, whether it is the first of its key
-
-    def kept(rows: pa.RecordBatch, pivots: np.ndarray, keep: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*rows.columns, pa.array(pivots)], [*rows.schema.names, "pivot"]).filter(pa.array(keep))
-
+    """Rows whose key has others, from rows sorted by key."""
+    held, alone = None, True  # the last row, and whether it is the first of its key
     for batch in batches:
         if not batch.num_rows:
             continue
         rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        key, cls = np.asarray(rows.column("key")), np.asarray(rows.column("cls"))
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        start = np.flatnonzero(new)
-        pivots = np.repeat(cls[start], np.diff(np.append(start, len(key))))
+        key = np.asarray(rows.column("key"))
+        same = key[1:] == key[:-1]
+        first = np.append(True, ~same)
         if held is not None:
-            pivots[: start[1] if len(start) > 1 else len(key)] = pivot
-            new[0] = alone
-        follows = np.append(key[1:] == key[:-1], False)
-        done = np.arange(len(key)) < len(key) - 1
-        yield kept(rows, pivots, (~new | follows) & done)
-        held, pivot, alone = rows.slice(len(key) - 1), pivots[-1], bool(new[-1])
+            first[0] = alone
+        yield rows.slice(0, len(key) - 1).filter(pa.array((~first[:-1]) | same))
+        held, alone = rows.slice(len(key) - 1), bool(first[-1])
     if held is not None and not alone:
-        yield kept(held, np.array([pivot]), np.array([True]))
+        yield held
 
 
 def mates(keys: DataFrame) -> DataFrame:
-    """The rows of keys that several classes share, with a pivot: ``key, cls, pivot`` and further columns."""
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in keys.schema.fields]
-    dealt = keys.repartition("key").sortWithinPartitions("key", F.xxhash64("cls", "key"))
-    return dealt.mapInArrow(_with_mates, ", ".join([*fields, "pivot long"]))
+    """The rows of keys that several classes share."""
+    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(_with_mates, keys.schema)
 
 
 def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, per_cent: int) -> np.ndarray:
@@ -217,6 +209,131 @@ def _possible(per_cent: int):
     return run
 
 
+def near_pairs(starts: np.ndarray, cells: np.ndarray, sizes: np.ndarray, per_cent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs that may be linked, in buckets that lie one after the other (some hundred thousand pairs are looked at together)."""
+    todo = np.repeat(starts[1:], np.diff(starts)) - np.arange(len(sizes)) - 1
+    done = np.concatenate(([0], np.cumsum(todo)))
+    at = 0
+    while at < len(sizes):  # members, each with all that follow it
+        to = max(at + 1, int(np.searchsorted(done, done[at] + 200_000, side="right")) - 1)
+        left = np.repeat(np.arange(at, to), todo[at:to])
+        right = left + 1 + np.arange(len(left)) - (done[left] - done[at])
+        fits = 100 * np.minimum(sizes[left], sizes[right]) >= per_cent * np.maximum(sizes[left], sizes[right])
+        left, right = left[fits], right[fits]
+        near = may_link(cells[left], cells[right], sizes[left], sizes[right], per_cent)
+        yield left[near], right[near]
+        at = to
+
+
+def near_groups(starts: np.ndarray, cells: np.ndarray, sizes: np.ndarray, per_cent: int) -> np.ndarray:
+    """For members of buckets that lie one after the other: the first one that each may be linked with, over others too."""
+    group = np.arange(len(sizes))
+    for left, right in near_pairs(starts, cells, sizes, per_cent):
+        while (group[left] != group[right]).any():
+            low = np.minimum(group[left], group[right])
+            for side in (left, right):
+                np.minimum.at(group, group[side], low)
+            group = group[group]
+    while (group[group] != group).any():
+        group = group[group]
+    return group
+
+
+def _paired(per_cent: int):
+    """Pairs ``a, b`` of different components that may be linked, from near groups sorted by key."""
+
+    def pairs(rows: pa.RecordBatch) -> pa.RecordBatch:
+        key, cls, comp = (np.asarray(rows.column(c)) for c in ("key", "cls", "comp"))
+        starts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+        found = []
+        for left, right in near_pairs(starts, _matrix(rows.column("cells")), np.asarray(rows.column("n")), per_cent):
+            apart = comp[left] != comp[right]
+            a, b = cls[left[apart]], cls[right[apart]]
+            found.append(np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1))
+        a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+                key = np.asarray(rows.column("key"))
+                last = int(np.flatnonzero(key != key[-1]).max(initial=-1)) + 1  # the last group may go on
+                held = rows.slice(last)
+                if last:
+                    yield pairs(rows.slice(0, last))
+        if held is not None:
+            yield pairs(held)
+
+    return run
+
+
+def _grouped(per_cent: int):
+    """Buckets (sorted by key) cut into near groups: (key, path, cls, pivot, whole); a group's key is made of the bucket's and its first class."""
+
+    def out(rows: pa.RecordBatch, key: np.ndarray, pivot: np.ndarray, whole: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(key), rows.column("path"), rows.column("cls"), pa.array(pivot), pa.array(np.full(len(key), whole))], ["key", "path", "cls", "pivot", "whole"])
+
+    def cut(rows: pa.RecordBatch) -> pa.RecordBatch:
+        key, cls = np.asarray(rows.column("key")), np.asarray(rows.column("cls"))
+        starts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+        group = near_groups(starts, _matrix(rows.column("cells")), np.asarray(rows.column("n")), per_cent)
+        several = np.bincount(group, minlength=len(group))[group] > 1
+        own = (mix64(key.view(np.uint64) + mix64(cls[group].view(np.uint64)) * _GOLD).view(np.int64) & ~1) | (key & 1)
+        pick = pa.array(np.flatnonzero(several))
+        return out(rows.take(pick), own[several], cls[group][several], False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, large = None, None  # rows of the last bucket so far, or its key and pivot if it is kept whole
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if large:
+                n = int((np.asarray(batch.column("key")) == large[0]).sum())  # the first ones, by the sort
+                if n:
+                    yield out(batch.slice(0, n), np.full(n, large[0]), np.full(n, large[1]), True)
+                batch = batch.slice(n)
+                if not batch.num_rows:
+                    continue
+                large = None
+            rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            key = np.asarray(rows.column("key"))
+            starts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+            few = np.diff(starts) <= BLOCK
+            small = np.repeat(few, np.diff(starts))
+            small[starts[-2] :] = False  # the last one may go on
+            yield cut(rows.filter(pa.array(small)))
+            for i in np.flatnonzero(~few).tolist():
+                part = rows.slice(starts[i], starts[i + 1] - starts[i])
+                pivot = part.column("cls")[0].as_py()
+                yield out(part, np.full(part.num_rows, key[starts[i]]), np.full(part.num_rows, pivot), True)
+                if i == len(few) - 1:
+                    large = (key[-1], pivot)
+            held = None if large else rows.slice(starts[-2])
+        if held is not None:
+            yield cut(held)
+
+    return run
+
+
+def _linked(width: int, per_cent: int):
+    """The pairs (a, b and their texts) that full sets confirm; a class's set is made once for a slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "tb"):
+                a, b = (np.asarray(batch.column(c)) for c in ("a", "b"))
+                n = len(a)
+                _, first, place = np.unique(np.concatenate((a, b)), return_index=True, return_inverse=True)
+                texts = pa.concat_arrays([batch.column("ta"), batch.column("tb")]).take(pa.array(first))
+                sets = [s for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text") for s in _sets_of(part, 0, width)]
+                ok = [linked(sets[x], sets[y], per_cent) for x, y in zip(place[:n].tolist(), place[n:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return run
+
+
 def _search(width: int, per_cent: int, texts: bool, every: bool = False):
     """A block of a bucket's outsiders against a block of its members.
 
@@ -291,39 +408,58 @@ class SetJoin:
         key = F.coalesce("id", F.lit(_NO_ID)).alias("k")
         self.texts = stored(plain.select(key, "sha", "text").join(of, ["k", "sha"]).dropDuplicates(["k", "sha"]).select("cls", "text"), "join-texts")
         self.sizes = self.classes.select("cls", "n", "cells")
-        self.buckets = stored(mates(self.texts.mapInArrow(_signed(width, per_cent, 0), "key long, cls long")), "join-buckets")
+        shared = mates(self.texts.mapInArrow(_signed(width, per_cent, 0), "key long, cls long"))
+        self.buckets = stored(self.grouped(shared.withColumn("path", F.array("key"))), "join-buckets")
+
+    def grouped(self, shared: DataFrame) -> DataFrame:
+        """Buckets (``key, path, cls``) as near groups."""
+        dealt = shared.join(self.sizes, "cls").repartition("key").sortWithinPartitions("key", F.xxhash64("cls", "key"))
+        return dealt.mapInArrow(_grouped(self.per_cent), "key long, path array<long>, cls long, pivot long, whole boolean")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs ``a, b`` that are links."""
         ca, cb = (self.sizes.withColumnsRenamed({"cls": x, "cells": "c" + x, "n": "n" + x}) for x in "ab")
         near = pairs.join(ca, "a").join(cb, "b").select("a", "b", "ca", "cb", "na", "nb").mapInArrow(_possible(self.per_cent), "a long, b long")
         ta, tb = (self.texts.select(F.col("cls").alias(x), F.col("text").alias("t" + x)) for x in "ab")
-        return near.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(_checked(self.width, self.per_cent), "a long, b long")
-
-    def searched(self, comp: DataFrame, every: bool = False) -> DataFrame:
-        """Links ``a, b`` between classes of different components, found in whole buckets."""
-        found, rows = None, self.buckets.select("key", "cls", F.array("key").alias("path"))
+        return near.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(_linked(self.width, self.per_cent), "a long, b long")
+
+    def apart(self, rows: DataFrame, comp: DataFrame) -> DataFrame:
+        """Rows of groups whose members are in several components, with their components, sizes and counts."""
+        members = rows.join(comp, "cls")
+        span = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+        return members.join(span, "key").join(self.sizes, "cls")
+
+    def grouped_links(self, rows: DataFrame, comp: DataFrame, tested: DataFrame | None = None) -> DataFrame:
+        """Links between members of different components of near groups, each pair looked at once."""
+        live = self.apart(rows.filter("not whole").select("key", "cls"), comp).repartition("key").sortWithinPartitions("key")
+        pairs = live.mapInArrow(_paired(self.per_cent), "a long, b long").distinct()
+        return self.confirmed(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+
+    def whole_links(self, comp: DataFrame, every: bool = False) -> DataFrame:
+        """Links between members of different components of the buckets that stay whole."""
+        found, rows = None, self.buckets.filter("whole").select("key", "path", "cls")
         for level in range(1, LEVELS + 1):
-            members = rows.join(comp, "cls")
-            span = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-            live = stored(members.join(span, "key").join(self.sizes, "cls"), "join-live")
+            live = stored(self.apart(rows, comp), "join-live")
+            if live.isEmpty():
+                break
             per = live.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg((F.sum("k") - F.max("k")).alias("outs"))
-            large = stored(per.filter((F.col("outs") > SPLIT) & (F.col("key").bitwiseAND(F.lit(1)) == 1)).select("key"), "join-large")
-            split = level < LEVELS and not large.isEmpty()
-            small = live.join(large, "key", "left_anti") if split else live
-            near = small.withColumn("bytes", F.lit(CELLS).cast("long"))
-            near = stored(_blocks(near, BLOCK, ["cls", "comp", "n", "cells"]).applyInPandas(_search(self.width, self.per_cent, False), "key long, cls long").distinct(), "join-near")
-            close = small.join(near, ["key", "cls"]).join(self.texts, "cls").withColumn("bytes", F.octet_length("text").cast("long"))
+            per = stored(per.withColumn("split", (F.col("outs") > SPLIT) & (F.col("key").bitwiseAND(F.lit(1)) == 1) & F.lit(level < LEVELS)), "join-large")
+            kept, split = (live.join(per.filter(c).select("key"), "key") for c in ("not split", "split"))
+            near = _blocks(kept.withColumn("bytes", F.lit(CELLS).cast("long")), BLOCK, ["cls", "comp", "n", "cells"])
+            near = stored(near.applyInPandas(_search(self.width, self.per_cent, False), "key long, cls long").distinct(), "join-near")
+            close = kept.join(near, ["key", "cls"]).join(self.texts, "cls").withColumn("bytes", F.octet_length("text").cast("long"))
             links = _blocks(close, TEXT_BLOCK, ["cls", "comp", "n", "cells", "path", "text"]).applyInPandas(_search(self.width, self.per_cent, True, every), "a long, b long")
-            found = links if found is None else found.unionByName(links)
-            if not split:
+            if per.filter("split").isEmpty():
+                found = links if found is None else found.unionByName(links)
                 break
-            parts = live.join(large, "key").select("key", "path", "cls").join(self.texts, "cls").select("key", "path", "cls", "text")
-            rows = stored(mates(parts.mapInArrow(_signed(self.width, self.per_cent, level), "key long, path array<long>, cls long")).drop("pivot"), "join-split")
-        return found
+            parts = split.select("key", "path", "cls").join(self.texts, "cls").select("key", "path", "cls", "text")
+            parts = stored(self.grouped(mates(parts.mapInArrow(_signed(self.width, self.per_cent, level), "key long, path array<long>, cls long"))), "join-split")
+            links = links.unionByName(self.grouped_links(parts, comp))
+            found, rows = links if found is None else found.unionByName(links), parts.filter("whole").select("key", "path", "cls")
+        return self.texts.limit(0).select(F.col("cls").alias("a"), F.col("cls").alias("b")) if found is None else found
 
     def connected(self) -> DataFrame:
-        """``cls, comp``: the component of every class that shares a bucket."""
+        """``cls, comp``: the component of every class that shares a group."""
         comp = stored(self.buckets.select("cls").distinct().withColumn("comp", F.col("cls")), "join-comp")
 
         def merged(comp: DataFrame, links: DataFrame) -> DataFrame:
@@ -334,13 +470,18 @@ class SetJoin:
             new = components(edges.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "join-components").withColumnRenamed("comp", "low")
             return stored(comp.join(new, comp["comp"] == new["node"], "left").select("cls", F.coalesce("low", "comp").alias("comp")), "join-comp")
 
-        for turn, (low, high) in enumerate(ROUNDS):
+        tested = None
+        for low, high in ROUNDS:
             share = F.shiftrightunsigned("key", 7).bitwiseAND(F.lit(31))
             pairs = self.buckets.filter((share >= low) & (share < high) & (F.col("cls") != F.col("pivot"))).select("cls", "pivot").distinct()
-            if turn:
+            if tested is not None:
                 pairs = pairs.join(comp, "cls").join(comp.withColumnsRenamed({"cls": "pivot", "comp": "pcomp"}), "pivot").filter("comp <> pcomp")
-            comp = merged(comp, self.confirmed(pairs.select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct()))
-        return merged(comp, self.searched(comp))
+            pairs = pairs.select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct()
+            pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "join-pairs")
+            comp = merged(comp, self.confirmed(pairs))
+            tested = pairs if tested is None else tested.unionByName(pairs)
+        comp = merged(comp, self.grouped_links(self.buckets, comp, tested))
+        return comp if self.buckets.filter("whole").isEmpty() else merged(comp, self.whole_links(comp))
 
 
 def joined_classes(docs: DataFrame, width: int = 5, per_cent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -361,4 +502,4 @@ def linked_classes(docs: DataFrame, width: int = 5, per_cent: int = 80, id_col:
     join = SetJoin(docs, width, per_cent, id_col, text_col)
     alone = stored(join.buckets.select("cls").distinct().withColumn("comp", F.col("cls")), "join-comp")
     rows = join.rows.filter("n > 0").join(join.classes.select("n", "f1", "f2", "cls", "size"), ["n", "f1", "f2"])
-    return join.searched(alone, every=True).distinct(), rows.select(F.col("id").alias("doc_id"), "cls", "size")
+    return join.grouped_links(join.buckets, alone).unionByName(join.whole_links(alone, every=True)).distinct(), rows.select(F.col("id").alias("doc_id"), "cls", "size")

@@ -51,9 +51,11 @@ def test_bands_hold_all_similar_sizes():
             assert far[band(n)] >= 2 * n * (100 - per_cent) // (100 + per_cent)
 
 
-@pytest.mark.parametrize(("width", "split"), [(5, 1024), (2, 2)])
+@pytest.mark.parametrize(("width", "split"), [(5, 1024), (2, 4)])
 def test_components_equal_brute_force(spark, monkeypatch, width, split):
-    monkeypatch.setattr(sj, "SPLIT", split)
+    if split < 1024:  # buckets stay whole, and weak ones are split
+        monkeypatch.setattr(sj, "BLOCK", split)
+        monkeypatch.setattr(sj, "SPLIT", 1)
     rows = _rows()
     got = sorted(map(tuple, sj.joined_classes(documents(spark, rows), width=width).collect()))
     assert got == [r[:3] for r in brute(rows, width)]
@@ -63,8 +65,9 @@ def test_components_equal_brute_force(spark, monkeypatch, width, split):
 
 
 def test_split_buckets_lose_no_link(spark, monkeypatch):
-    """Without pivots the whole join runs through buckets, weak ones split twice; every link is found."""
+    """Without pivots, with buckets that stay whole and weak ones that are split, every link is found."""
     monkeypatch.setattr(sj, "SPLIT", 1)
+    monkeypatch.setattr(sj, "BLOCK", 4)
     rows = _rows(3)
     links, members = sj.linked_classes(documents(spark, rows), width=2)
     of = {}
