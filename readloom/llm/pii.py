@@ -9,8 +9,8 @@ phone numbers without a plus sign.
 Each candidate has a few small integer features of its format (digits, groups,
 brackets, sign) and context (kinds of the characters around it).  There are no
 labelled spans to learn from, so labels are weak: a candidate counts as positive
-if it is a base span, or passes its check and a word of its kind (``WORDS``)
-stands shortly before it.  The words are no feature, so the trees learn which
+if by itself it is a base span, or passes its check and a word of its kind
+(``WORDS``) stands shortly before it.  The words are no feature, so the trees learn which
 formats such words announce and find them where no word does.  All candidates
 of all texts are counted by feature combination in Spark, so what reaches the
 driver is bounded by the number of combinations.  The boosted trees become
@@ -50,11 +50,12 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+# Groups of any length repeat possessively, which takes no stack; a number's digits are bounded by its check alone.
 WIDE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:@|\x20?[\[(]at[\])]\x20?|\x20at\x20)[A-Za-z0-9-]++(?:(?:\.|\x20?[\[(]dot[\])]\x20?|\x20dot\x20)[A-Za-z0-9-]++)+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:@|\x20?[\[(]at[\])]\x20?|\x20at\x20)[A-Za-z0-9-]++(?:(?:\.|\x20?[\[(]dot[\])]\x20?|\x20dot\x20)[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\x20?(?:\.|\[\.\])\x20?[0-9]{1,3}){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){12,18}(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z])\+?[0-9(][0-9()\x20./-]{6,20}[0-9](?![0-9])",
+    "phone": r"(?<![0-9A-Za-z])\+?\(?[0-9](?:[()\x20./-]{0,3}+[0-9]){7,}+",
 }
 #: Texts without these characters can't match, which is cheaper to see.
 NEEDS = {"email": r"@|\bat\b|[\[(]at[\])]", "ip": "[0-9]", "card": "[0-9]", "phone": "[0-9]"}
@@ -133,7 +134,12 @@ def _kind_of(c: Column) -> Column:
     return F.when(c.isNull() | (c == "") | c.rlike(r"^\s"), 0).when(c.rlike(r"^\p{L}"), 1).when(c.rlike("^[0-9]"), 2).when(c.rlike("^[\"'=]"), 3).otherwise(4)
 
 
-def _features(kind: int, m: Column, base: Column) -> Column:
+def _plain(kind: str, s: Column) -> Column:
+    """Whether a candidate by itself is a base span."""
+    return s.rlike(f"^(?:{BASE[kind]})$") & _valid(kind, s)
+
+
+def _features(kind: int, m: Column) -> Column:
     s = m["s"]
     return F.struct(
         F.lit(kind).alias("kind"),
@@ -147,8 +153,7 @@ def _features(kind: int, m: Column, base: Column) -> Column:
         _plausible(KINDS[kind], s).cast("int").alias("check"),
         m["at"].alias("at"),
         (m["at"] + F.length(s)).alias("to"),
-        F.exists(base, lambda b: (b["at"] == m["at"]) & (b["to"] == m["at"] + F.length(s))).cast("int").alias("known"),
-        (F.exists(base, lambda b: (b["at"] == m["at"]) & (b["to"] == m["at"] + F.length(s))) | (_plausible(KINDS[kind], s) & F.lower(m["b"]).rlike(WORDS[KINDS[kind]]))).cast("int").alias("y"),
+        (_plain(KINDS[kind], s) | (_plausible(KINDS[kind], s) & F.lower(m["b"]).rlike(WORDS[KINDS[kind]]))).cast("int").alias("y"),
     )
 
 
@@ -158,11 +163,11 @@ def _base_spans(i: int, kind: str, text: Column) -> Column:
 
 
 def _wide_spans(i: int, kind: str, text: Column) -> Column:
-    return F.transform(_matches(text, WIDE[kind], NEEDS[kind]), lambda m: _features(i, m, F.col(f"b_{kind}")))
+    return F.transform(_matches(text, WIDE[kind], NEEDS[kind]), lambda m: _features(i, m))
 
 
 def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """Per document: ``base`` (kind, at, to) and ``wide`` (features, at, to, whether it is a base span, its weak label)."""
+    """Per document: ``base`` (kind, at, to) and ``wide`` (features, at, to, its weak label)."""
     out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     text = F.col("text")
     for i, kind in enumerate(KINDS):
@@ -266,8 +271,15 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def span(m: Column) -> Column:
         return F.struct(m["kind"].alias("kind"), m["at"].alias("at"), m["to"].alias("to"))
 
-    more = F.transform(F.filter("wide", lambda m: (m["known"] == 0) & added(m)), span)
-    return found.select("doc_id", *(["text"] if with_text else []), F.array_sort("base").alias("base"), F.array_sort(F.array_distinct(F.concat("base", more))).alias("spans"))
+    def code(m: Column) -> Column:  # a span as one number of the same order: kind, start, length
+        return F.shiftleft(F.shiftleft(m["kind"].cast("long"), 30) + m["at"], 30) + (m["to"] - m["at"])
+
+    def decoded(c: Column) -> Column:
+        at = F.shiftright(c, 30).bitwiseAND(F.lit((1 << 30) - 1)).cast("int")
+        return F.struct(F.shiftright(c, 60).cast("int").alias("kind"), at.alias("at"), (at + c.bitwiseAND(F.lit((1 << 30) - 1)).cast("int")).alias("to"))
+
+    more = F.transform(F.filter("wide", added), span)
+    return found.select("doc_id", *(["text"] if with_text else []), F.array_sort("base").alias("base"), F.transform(F.array_sort(F.array_distinct(F.transform(F.concat("base", more), code))), decoded).alias("spans"))
 
 
 def joined(spans: Column) -> Column:

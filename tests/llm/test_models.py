@@ -367,3 +367,17 @@ def test_announced_notations_are_found_elsewhere(spark):
     got = {r["doc_id"]: r["spans"] for r in pii.pii_digest(documents(spark, rows)).collect()}
     assert got[500] == "email:3:32" and got[501] == "phone:3:16" and got[502] == "" and got[503] == "email:0:6"
     assert all(got[i].count("email:") == 1 and got[i].count("phone:") == 1 for i in range(80)) and not any(got[200 + i] for i in range(200))
+
+
+def test_long_runs_of_repeating_shapes(spark):
+    """Very long matches and runs that nearly match take neither stack nor quadratic time; spans are those of Python's patterns."""
+    shapes = ["a.", "a dot ", "1.", "-2", "1 ", "(", "(1", "+1", ". ", "a@", "a@b.c ", " at ", "1" * 30 + " ", "[.]1"]
+    rows = [(i, "x@" * (i % 2) + s * (120_000 // len(s)) + "com") for i, s in enumerate(shapes)]
+    rows += [(90, "x@" + "a." * 500_000 + "com"), (91, "bob at " + "a dot " * 170_000 + "com"), (92, "call 209-555-1594 or (209) 555 1594, " + "2" * 25 + " or " + "5-" * 12 + "1")]
+    got = {r["doc_id"]: r for r in pii.pii_digest(documents(spark, rows).repartition(4)).collect()}
+    assert len(got) == len(rows)
+    assert got[90]["n_email"] == 1 and got[90]["spans"].split(",")[0] == f"email:0:{len(rows[-3][1])}"
+    assert [got[i]["n_email"] for i in (10, 11)] == [120_000 // 6, 0] and got[2]["n_ip"] == 120_000 // 2 // 4
+    wide = {r["doc_id"]: [(w["kind"], w["at"], w["to"]) for w in r["wide"]] for r in pii.find_candidates(documents(spark, rows[-2:])).collect()}
+    assert (0, 0, len(rows[-2][1])) in wide[91]
+    assert [w[1:] for w in wide[92] if w[0] == 3] == [(5, 17), (21, 35), (37, 62), (66, 91)]

@@ -68,7 +68,7 @@ def test_split_buckets_lose_no_link(spark, monkeypatch):
     """Without pivots, with buckets that stay whole and weak ones that are split, every link is found."""
     monkeypatch.setattr(sj, "SPLIT", 1)
     monkeypatch.setattr(sj, "BLOCK", 4)
-    rows = _rows(3)
+    rows = _rows(2)
     links, members = sj.linked_classes(documents(spark, rows), width=2)
     of = {}
     for r in members.collect():
@@ -78,7 +78,7 @@ def test_split_buckets_lose_no_link(spark, monkeypatch):
     assert all(shingles(text[i]) == sets[c] for c, ids in of.items() for i in ids)
     classes = sorted(of)
     want = {(a, b) for k, b in enumerate(classes) for a in classes[:k] if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
-    assert {(r["a"], r["b"]) for r in links.collect()} == want and len(want) > 50
+    assert {(r["a"], r["b"]) for r in links.collect()} == want and len(want) > 20
 
 
 def test_hot_group_of_near_copies(spark):
