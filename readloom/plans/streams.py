@@ -42,15 +42,30 @@ def st_live_scan(spark, sf):
     return _collected(spark, streaming.live_scan(spark, path, schema), "live").drop("batch")
 
 
-@query("select read_id, status, true as waited from v_reads")
+def _aged(spark, path: str, parts: set[int], seconds: int) -> None:
+    """Set back the times of the files of some parts, as if they had arrived earlier."""
+    jvm = spark.sparkContext._jvm
+    for part in parts:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/part={part}")
+        fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for file in fs.listStatus(folder) if fs.exists(folder) else []:
+            fs.setTimes(file.getPath(), int((time.time() - seconds) * 1000), -1)
+
+
+@query("select read_id, status, cast(read_id as bigint) % 4 < 2 as old, true as waited, true as alone from v_reads")
 def st_start_delay(spark, sf):
-    """Batches of files that have just arrived are held until the files are old enough; each row tells whether it was."""
+    """Two files are an hour old, two have just arrived: the old ones come out while the young ones still wait, each of these once it is old enough."""
     path, schema = _arrivals(spark, sf)
-    out, delay = new_path(spark, "delayed"), 3.0
+    _aged(spark, path, {0, 1}, 3600)
+    out, delay = new_path(spark, "delayed"), 5.0
     stamped = lambda batch, i: batch.withColumn("at", F.lit(time.time())).write.mode("overwrite").parquet(f"{out}/batch={i}")
-    stream = streaming.with_file_time(streaming.live_scan(spark, path, schema))
-    streaming.run_available(stream, streaming.delayed(stamped, delay), new_path(spark, "delayed-checkpoint"))
-    return spark.read.parquet(out).select("read_id", "status", (F.col("at") - F.unix_micros("file_time") / 1e6 >= delay - 0.001).alias("waited"))
+    stream = _with_file(streaming.with_file_time(streaming.live_scan(spark, path, schema)))
+    streaming.run_until(streaming.hold_young(stream, delay), stamped, new_path(spark, "delayed-checkpoint"), spark.read.parquet(path).count())
+    old = F.col("read_id").cast("long") % 4 < 2
+    got = spark.read.parquet(out).withColumn("old", old)
+    first = got.filter("not old").agg(F.coalesce(F.min("batch"), F.lit(1 << 30)).alias("first"))  # one row
+    age = F.col("at") - F.unix_micros("file_time") / 1e6
+    return got.crossJoin(F.broadcast(first)).select("read_id", "status", "old", (age >= delay - 0.001).alias("waited"), (~F.col("old") | (F.col("batch") < F.col("first"))).alias("alone"))
 
 
 @query("""with t as (select read_id, status, case when cast(read_id as bigint) % 4 < 2 then 2 else 1 end c from v_reads)
@@ -61,29 +76,34 @@ def st_dedup(spark, sf):
     return _collected(spark, stream, "dedup").select("read_id", "status")
 
 
-@query("select cast(read_id as bigint) % 4 as part, count(*) as n, 1 as batches, 1 as files from v_reads group by 1")
+def _batches(spark, sf, size: int, name: str):
+    """Reads of six files, some of them twice, in batches of ``size`` rows."""
+    path, schema = _arrivals(spark, sf, repeats=True)
+    out = new_path(spark, name)
+    stream = streaming.in_batches(streaming.live_scan(spark, path, schema, files_per_trigger=1), size, idle=3.0)
+    rows = spark.read.parquet(path).count()
+    streaming.run_until(stream, lambda batch, i: batch.write.mode("overwrite").parquet(f"{out}/trigger={i}"), new_path(spark, f"{name}-checkpoint"), rows)
+    return spark.read.parquet(out)
+
+
+_ARRIVED = "a as (select read_id, status from v_reads union all select read_id, status from v_reads where cast(read_id as bigint) % 4 < 2), t as (select count(*) as n from a)"
+
+
+@query(f"""with {_ARRIVED} select b as batch, least(128, n - 128 * b) as n from t, (select unnest(range(0, (select n // 128 + 1 from t))) b) where n > 128 * b""")
 def st_microbatch(spark, sf):
-    """One file for each micro-batch: every part of the arrivals is a batch of its own."""
-    path, schema = _arrivals(spark, sf)
-    got = _collected(spark, _with_file(streaming.live_scan(spark, path, schema, files_per_trigger=1)), "micro")
-    files = got.groupBy("batch").agg(F.count_distinct("file").alias("files"))
-    part = (F.col("read_id").cast("long") % 4).alias("part")
-    per = got.join(files, "batch").groupBy(part).agg(F.count("read_id").alias("n"), F.count_distinct("batch").alias("batches"), F.max("files").alias("files"))
-    return per
+    """Batches of 128 reads, whatever files they come from; only the last one is smaller."""
+    return _batches(spark, sf, 128, "micro").groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""with p as (select cast(read_id as bigint) % 4 part from v_reads), f as (select count(distinct part) + count(distinct case when part < 2 then part end) d from p),
-  t as (select count(*) + count(case when part < 2 then 1 end) n from p)
-  select cast(b as bigint) as batch, least(4, d - 4 * b) as files, n as rows_in_all from f, t, (select unnest(range(0, 4)) b) where d > 4 * b""")
+@query(f"""with {_ARRIVED} select read_id, count(*) as n, (select n % 100 from t) as flushed_rows, (select n // 100 from t) as full_batches from a group by read_id""")
 def st_stall_flush(spark, sf):
-    """Batches of four files; a trigger takes what is there, so the last, partly filled batch is not held back."""
-    path, schema = _arrivals(spark, sf, repeats=True)
-    got = _collected(spark, _with_file(streaming.live_scan(spark, path, schema, files_per_trigger=4)), "flush")
-    per = got.groupBy(F.col("batch").cast("long").alias("batch")).agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("n"))
-    return per.select("batch", "files", F.sum("n").over(Window.partitionBy()).alias("rows_in_all"))
+    """Batches of 100 reads; the rest comes out once the stream has been idle.  No read is lost or doubled."""
+    got = _batches(spark, sf, 100, "flush")
+    ends = got.agg(F.coalesce(F.sum(F.col("flushed").cast("long")), F.lit(0)).alias("flushed_rows"), F.count_distinct(F.when(~F.col("flushed"), F.col("batch"))).alias("full_batches"))
+    return got.groupBy("read_id").agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(ends))  # one row
 
 
-@query("select coalesce(label, 'fail') as label, barcode, status, count(*) as n from v_reads group by 1, 2, 3")
+@query("""select coalesce(label, 'fail') as label, barcode, status, count(*) as n from v_reads group by 1, 2, 3""")
 def st_live_counts(spark, sf):
     path, schema = _arrivals(spark, sf)
     out = new_path(spark, "counts")

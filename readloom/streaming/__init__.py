@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from readloom.operators.reports import final_counts
 
@@ -26,16 +31,80 @@ def with_file_time(df: DataFrame, name: str = "file_time") -> DataFrame:
     return df.withColumn(name, F.col("_metadata.file_modification_time"))
 
 
-def delayed(sink: Callable[[DataFrame, int], None], seconds: float, file_time: str = "file_time") -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that holds a batch until its youngest file is ``seconds`` old."""
+def _packed(rows: pd.DataFrame) -> bytes:
+    """Rows as they are kept in a state."""
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        last = batch.agg(F.max(F.unix_micros(file_time))).first()[0]
-        if last is not None:
-            time.sleep(max(0.0, last / 1e6 + seconds - time.time()))
-        sink(batch, batch_id)
 
-    return run
+def _unpacked(held: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(held).read_all().to_pandas()
+
+
+def hold_young(df: DataFrame, seconds: float, file: str = "file", file_time: str = "file_time") -> DataFrame:
+    """Rows of files that are ``seconds`` old; those of a younger file wait in a state of their own.
+
+    Each file has its timer, so a fresh file holds no other one back, and no
+    task sleeps.  A timer is looked at by every trigger (also one without new
+    files), so a file comes out at the first trigger after it is old enough.
+    The state holds the rows of the young files alone.  Restarts lose nothing.
+    """
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            rows = _unpacked(state.get[0])
+            state.remove()
+            yield rows
+            return
+        held = [_unpacked(state.get[0])] if state.exists else []
+        rows = pd.concat([*held, *parts], ignore_index=True)
+        left = (rows[file_time].max().timestamp() + seconds) * 1000 - state.getCurrentProcessingTimeMs()
+        if left > 0:
+            state.update((_packed(rows),))
+            state.setTimeoutDuration(math.ceil(left))
+            return
+        if state.exists:
+            state.remove()
+        yield rows
+
+    return df.groupBy(file).applyInPandasWithState(run, df.schema, "held binary", "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def in_batches(df: DataFrame, size: int = 128, idle: float = 60.0, lanes: int = 1, keys: list[str] | None = None) -> DataFrame:
+    """Rows with ``lane, batch`` and ``flushed``: batches of ``size`` rows, across files and triggers.
+
+    A full batch comes out at once.  The rest of a lane waits in its state for
+    more rows; after ``idle`` seconds without any (two silent heartbeats) it
+    comes out as a smaller batch, ``flushed``.  Rows are dealt to lanes by a
+    hash of ``keys`` (all columns, if not given), so a state never holds ``size``
+    rows or more, and lanes are what runs in parallel.  Restarts lose nothing.
+    """
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held, number = state.get if state.exists else (None, 0)
+        if state.hasTimedOut:
+            state.update((None, number + 1))
+            if held is not None:
+                yield _unpacked(held).assign(batch=number, flushed=True)
+            return
+        for part in parts:
+            rows = part if held is None else pd.concat([_unpacked(held), part], ignore_index=True)
+            held, full = None, len(rows) // size
+            for i in range(full):
+                yield rows.iloc[i * size : (i + 1) * size].assign(batch=number + i, flushed=False)
+            number += full
+            if len(rows) > full * size:
+                held = _packed(rows.iloc[full * size :])
+        state.update((held, number))
+        if held is not None:
+            state.setTimeoutDuration(max(1, math.ceil(idle * 1000)))
+
+    dealt = df.withColumn("lane", F.pmod(F.xxhash64(*(keys or df.columns)), F.lit(lanes)).cast("int"))
+    schema = StructType([*dealt.schema.fields, StructField("batch", LongType()), StructField("flushed", BooleanType())])
+    return dealt.groupBy("lane").applyInPandasWithState(run, schema, "held binary, number long", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def dedup_stream(df: DataFrame, keys: list[str], arrival: str | None = None) -> DataFrame:
@@ -84,6 +153,83 @@ def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpo
     query.awaitTermination()
 
 
+def run_until(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, rows: int, every: str = "500 milliseconds", limit: float = 300.0, mode: str = "append", name: str | None = None) -> int:
+    """Run a stream until its sink has got so many rows, or ``limit`` seconds; returns how many it got.
+
+    Unlike ``run_available`` it goes on when nothing new arrives, so timers fire
+    (a stream with timers never ends by itself).
+    """
+    got = {}
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            sink(batch, batch_id)
+            got[batch_id] = batch.count()
+        finally:
+            batch.unpersist()
+
+    writer = df.writeStream.queryName(name) if name else df.writeStream
+    query = writer.foreachBatch(counted).outputMode(mode).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+    end = time.time() + limit
+    try:
+        while sum(got.values()) < rows and time.time() < end and not query.awaitTermination(0.2):
+            pass
+    finally:
+        query.stop()
+    return sum(got.values())
+
+
 def live_counts(df: DataFrame) -> DataFrame:
     """Running counts by label, barcode and status (complete mode)."""
     return final_counts(df)
+
+
+def contig_counts(df: DataFrame, group: str = "barcode", contig: str = "contig") -> DataFrame:
+    """Running counts of mapped reads by group and contig (complete mode); the state has a row for each pair met."""
+    return df.filter(F.col(contig).isNotNull() & (F.col(contig) != "*")).groupBy(group, contig).agg(F.count(F.lit(1)).alias("n"))
+
+
+def top_of(counts: DataFrame, k: int = 50, group: str = "barcode", contig: str = "contig") -> DataFrame:
+    """The ``k`` most frequent contigs of every group, ties by name, from a trigger's running counts: a ``foreachBatch`` step."""
+    order = Window.partitionBy(group).orderBy(F.desc("n"), contig)
+    return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+class LiveProgress(StreamingQueryListener):
+    """Rows found in files, processed by the sink, and queued between (held by timers and batches), by stream name.
+
+    Found comes from the sources' input rows, processed from the observation
+    that ``counted`` adds in front of the sink; both are summed over the triggers
+    as Spark reports them, and nothing is read for it.  ``history`` keeps the last
+    thousand triggers.
+    """
+
+    NAME = "processed"
+
+    def __init__(self) -> None:
+        self.found: dict[str, int] = {}
+        self.processed: dict[str, int] = {}
+        self.history: deque[tuple[str, int, int, int]] = deque(maxlen=1000)
+
+    @classmethod
+    def counted(cls, df: DataFrame) -> DataFrame:
+        return df.observe(cls.NAME, F.count(F.lit(1)).alias("n"))
+
+    def queued(self, name: str) -> int:
+        return self.found.get(name, 0) - self.processed.get(name, 0)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        name, seen = event.progress.name, event.progress.observedMetrics
+        self.found[name] = self.found.get(name, 0) + sum(max(0, s.numInputRows) for s in event.progress.sources)
+        self.processed[name] = self.processed.get(name, 0) + (seen[self.NAME]["n"] if self.NAME in seen else 0)
+        self.history.append((name, self.found[name], self.processed[name], self.queued(name)))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
