@@ -26,7 +26,9 @@ and the next one's, each with the ``k`` of the band's largest size.
    of which similar sets share one as well.
 5. A pair is dropped only if sizes, or the counts of shingles in ``CELLS`` parts of
    the domain, prove it to be too far apart (each differing shingle changes one
-   count by one).  All others are compared on their full sets, made from texts.
+   count by one).  Pairs then meet on 16 bits of each shingle's hash, whose common
+   ones are no fewer than the sets share.  What is left, which is hardly more than
+   the links, is compared on full sets, made from texts.
 
 A shingle stands as two 64-bit hashes under different seeds: among m shingles two
 different ones meet with a probability below m**2 / 2**129, 1e-14 for 1e12.
@@ -42,6 +44,7 @@ are not read.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -198,17 +201,52 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), CELLS)
 
 
+def _prints(width: int):
+    """Texts as ``cls, n, p``: the first 16 bits of each shingle's hash, sorted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 1):
+                rows, one, _ = shingle_sets(batch, 1, width)
+                edges = np.searchsorted(rows, np.arange(batch.num_rows + 1)).tolist()
+                short = (one >> np.uint64(48)).astype(np.uint16)  # sorted within rows, as the hashes are
+                prints = [short[x:y].tobytes() for x, y in itertools.pairwise(edges)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(edges), pa.int64()), pa.array(prints, pa.binary())], ["cls", "n", "p"])
+
+    return run
+
+
+def most_shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Common elements of two sorted lists of prints, repeats counted: no fewer than the sets share."""
+    both = []
+    for x in (a, b):
+        first = np.append(True, x[1:] != x[:-1])
+        start = np.maximum.accumulate(np.where(first, np.arange(len(x)), 0))
+        both.append(x.astype(np.int64) << 32 | np.arange(len(x)) - start)
+    merged = np.sort(np.concatenate(both), kind="stable")
+    return int((merged[1:] == merged[:-1]).sum())
+
+
 def _possible(per_cent: int):
+    """Pairs that prints leave room for."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b, ca, cb, na, nb = batch.columns
-                ok = may_link(_matrix(ca), _matrix(cb), np.asarray(na), np.asarray(nb), per_cent)
-                yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(ok))
+                a, b, na, nb = batch.column("pa"), batch.column("pb"), np.asarray(batch.column("na")), np.asarray(batch.column("nb"))
+                ok = 100 * np.minimum(na, nb) >= per_cent * np.maximum(na, nb)
+                for i in np.flatnonzero(ok).tolist():
+                    both = most_shared(*(np.frombuffer(c[i].as_buffer(), np.uint16) for c in (a, b)))
+                    ok[i] = 100 * both >= per_cent * (na[i] + nb[i] - both)
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok))
 
     return run
 
 
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), CELLS)
+
+
 def near_pairs(starts: np.ndarray, cells: np.ndarray, sizes: np.ndarray, per_cent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of the pairs that may be linked, in buckets that lie one after the other (some hundred thousand pairs are looked at together)."""
     todo = np.repeat(starts[1:], np.diff(starts)) - np.arange(len(sizes)) - 1
@@ -410,6 +448,8 @@ class SetJoin:
         self.sizes = self.classes.select("cls", "n", "cells")
         shared = mates(self.texts.mapInArrow(_signed(width, per_cent, 0), "key long, cls long"))
         self.buckets = stored(self.grouped(shared.withColumn("path", F.array("key"))), "join-buckets")
+        met = self.texts.join(self.buckets.select("cls").distinct(), "cls", "left_semi")
+        self.prints = stored(met.select("cls", "text").mapInArrow(_prints(width), "cls long, n long, p binary"), "join-prints")
 
     def grouped(self, shared: DataFrame) -> DataFrame:
         """Buckets (``key, path, cls``) as near groups."""
@@ -418,8 +458,8 @@ class SetJoin:
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs ``a, b`` that are links."""
-        ca, cb = (self.sizes.withColumnsRenamed({"cls": x, "cells": "c" + x, "n": "n" + x}) for x in "ab")
-        near = pairs.join(ca, "a").join(cb, "b").select("a", "b", "ca", "cb", "na", "nb").mapInArrow(_possible(self.per_cent), "a long, b long")
+        pa_, pb = (self.prints.withColumnsRenamed({"cls": x, "p": "p" + x, "n": "n" + x}) for x in "ab")
+        near = pairs.join(pa_, "a").join(pb, "b").mapInArrow(_possible(self.per_cent), "a long, b long")
         ta, tb = (self.texts.select(F.col("cls").alias(x), F.col("text").alias("t" + x)) for x in "ab")
         return near.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(_linked(self.width, self.per_cent), "a long, b long")
 

@@ -41,6 +41,14 @@ def test_similar_sets_share_a_signature(per_cent):
     assert tried > 100
 
 
+def test_prints_never_hide_a_shared_shingle():
+    rng = np.random.default_rng(2)
+    for n in (1, 50, 5000):
+        a, b = (np.sort(rng.integers(0, 1 << (4 if n == 50 else 16), n).astype(np.uint16)) for _ in range(2))
+        want = np.minimum(np.bincount(a, minlength=1 << 16), np.bincount(b, minlength=1 << 16)).sum()
+        assert sj.most_shared(a, b) == want and sj.most_shared(a, a) == n
+
+
 def test_bands_hold_all_similar_sizes():
     for per_cent in (80, 50, 95):
         first, far = sj.size_bands(per_cent, 5000)
