@@ -60,7 +60,7 @@ from readloom.llm.shared import stored
 
 #: Parts of a partition; a signature leaves one out.
 PARTS = 3
-#: Parts of the domain whose counts bound the distance of two sets.
+#: Parts of the domain whose counts bound the distance of two sets (an even number).
 CELLS = 64
 #: Thirty-seconds of the buckets whose pivots are compared in one round.
 ROUNDS = ((0, 2), (2, 8))
@@ -117,10 +117,10 @@ def signatures(rows: np.ndarray, hashes: np.ndarray, n: int, per_cent: int, seed
 
 
 def cell_counts(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
-    """Shingles of each set in ``CELLS`` parts of the domain, 255 at most."""
+    """Shingles of each set in ``CELLS`` parts of the domain, modulo 16, two in a byte."""
     cell = (mix64(hashes ^ np.uint64(0x5DEECE66D)) >> np.uint64(40)) % np.uint64(CELLS)
-    counts = np.bincount(rows * CELLS + cell.astype(np.int64), minlength=n * CELLS)
-    return np.minimum(counts, 255).astype(np.uint8).reshape(n, CELLS)
+    counts = (np.bincount(rows * CELLS + cell.astype(np.int64), minlength=n * CELLS) & 15).astype(np.uint8).reshape(n, CELLS)
+    return counts[:, ::2] | counts[:, 1::2] << 4
 
 
 def _described(width: int):
@@ -193,12 +193,18 @@ def mates(keys: DataFrame) -> DataFrame:
 def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, per_cent: int) -> np.ndarray:
     """Whether sizes and counts leave room for the similarity, pair by pair."""
     fits = 100 * np.minimum(na, nb) >= per_cent * np.maximum(na, nb)
-    apart = (np.maximum(a, b) - np.minimum(a, b)).sum(axis=1, dtype=np.int64)
+    off = a - b & 15  # on a circle of 16, never more than the counts differ
+    apart = np.minimum(off, 16 - off).sum(axis=1, dtype=np.int64)
     return fits & ((100 + per_cent) * apart <= (100 - per_cent) * (na + nb))
 
 
+def _unpacked(cells: bytes, n: int) -> np.ndarray:
+    packed = np.frombuffer(cells, np.uint8).reshape(n, CELLS // 2)
+    return np.concatenate((packed & 15, packed >> 4), axis=1)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), CELLS)
+    return _unpacked(b"".join(column.to_pylist()), len(column))
 
 
 def _prints(width: int):
@@ -244,7 +250,7 @@ def _possible(per_cent: int):
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), CELLS)
+    return _unpacked(b"".join(column.to_pylist()), len(column))
 
 
 def near_pairs(starts: np.ndarray, cells: np.ndarray, sizes: np.ndarray, per_cent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -308,19 +314,24 @@ def _paired(per_cent: int):
 
 
 def _grouped(per_cent: int):
-    """Buckets (sorted by key) cut into near groups: (key, path, cls, pivot, whole); a group's key is made of the bucket's and its first class."""
+    """Buckets (sorted by key) cut into near groups: (key, path, cls, pivot, whole, two); a group's key is made of the bucket's and its first class."""
 
-    def out(rows: pa.RecordBatch, key: np.ndarray, pivot: np.ndarray, whole: bool) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(key), rows.column("path"), rows.column("cls"), pa.array(pivot), pa.array(np.full(len(key), whole))], ["key", "path", "cls", "pivot", "whole"])
+    def out(rows: pa.RecordBatch, key: np.ndarray, pivot: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
+        if "path" in rows.schema.names:
+            path = rows.column("path")
+        else:
+            path = pa.ListArray.from_arrays(pa.array(np.arange(rows.num_rows + 1), pa.int32()), rows.column("key"))
+        return pa.RecordBatch.from_arrays([pa.array(key), path, rows.column("cls"), pa.array(pivot), pa.array(kind == 0), pa.array(kind == 2)], ["key", "path", "cls", "pivot", "whole", "two"])
 
     def cut(rows: pa.RecordBatch) -> pa.RecordBatch:
         key, cls = np.asarray(rows.column("key")), np.asarray(rows.column("cls"))
         starts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
         group = near_groups(starts, _matrix(rows.column("cells")), np.asarray(rows.column("n")), per_cent)
-        several = np.bincount(group, minlength=len(group))[group] > 1
+        size = np.bincount(group, minlength=len(group))[group]
+        several = size > 1
         own = (mix64(key.view(np.uint64) + mix64(cls[group].view(np.uint64)) * _GOLD).view(np.int64) & ~1) | (key & 1)
         pick = pa.array(np.flatnonzero(several))
-        return out(rows.take(pick), own[several], cls[group][several], False)
+        return out(rows.take(pick), own[several], cls[group][several], size[several])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, large = None, None  # rows of the last bucket so far, or its key and pivot if it is kept whole
@@ -330,7 +341,7 @@ def _grouped(per_cent: int):
             if large:
                 n = int((np.asarray(batch.column("key")) == large[0]).sum())  # the first ones, by the sort
                 if n:
-                    yield out(batch.slice(0, n), np.full(n, large[0]), np.full(n, large[1]), True)
+                    yield out(batch.slice(0, n), np.full(n, large[0]), np.full(n, large[1]), np.zeros(n))
                 batch = batch.slice(n)
                 if not batch.num_rows:
                     continue
@@ -345,7 +356,7 @@ def _grouped(per_cent: int):
             for i in np.flatnonzero(~few).tolist():
                 part = rows.slice(starts[i], starts[i + 1] - starts[i])
                 pivot = part.column("cls")[0].as_py()
-                yield out(part, np.full(part.num_rows, key[starts[i]]), np.full(part.num_rows, pivot), True)
+                yield out(part, np.full(part.num_rows, key[starts[i]]), np.full(part.num_rows, pivot), np.zeros(part.num_rows))
                 if i == len(few) - 1:
                     large = (key[-1], pivot)
             held = None if large else rows.slice(starts[-2])
@@ -383,7 +394,7 @@ def _search(width: int, per_cent: int, texts: bool, every: bool = False):
 
     def run(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
         out, rest = block[block["side"] == 0], block[block["side"] == 1]
-        a, b = (np.frombuffer(b"".join(x["cells"]), np.uint8).reshape(len(x), CELLS) for x in (out, rest))
+        a, b = (_unpacked(b"".join(x["cells"]), len(x)) for x in (out, rest))
         comp, ids, sizes = rest["comp"].to_numpy(), rest["cls"].to_numpy(), rest["n"].to_numpy()
         own_text, their_text = (x["text"].tolist() if texts else None for x in (out, rest))
         path = block["path"].iloc[0] if texts and len(block) else []
@@ -447,14 +458,14 @@ class SetJoin:
         self.texts = stored(plain.select(key, "sha", "text").join(of, ["k", "sha"]).dropDuplicates(["k", "sha"]).select("cls", "text"), "join-texts")
         self.sizes = self.classes.select("cls", "n", "cells")
         shared = mates(self.texts.mapInArrow(_signed(width, per_cent, 0), "key long, cls long"))
-        self.buckets = stored(self.grouped(shared.withColumn("path", F.array("key"))), "join-buckets")
+        self.buckets = stored(self.grouped(shared), "join-buckets")
         met = self.texts.join(self.buckets.select("cls").distinct(), "cls", "left_semi")
         self.prints = stored(met.select("cls", "text").mapInArrow(_prints(width), "cls long, n long, p binary"), "join-prints")
 
     def grouped(self, shared: DataFrame) -> DataFrame:
-        """Buckets (``key, path, cls``) as near groups."""
+        """Buckets (``key, cls``, and ``path`` if they were split) as near groups; ``two`` marks pairs."""
         dealt = shared.join(self.sizes, "cls").repartition("key").sortWithinPartitions("key", F.xxhash64("cls", "key"))
-        return dealt.mapInArrow(_grouped(self.per_cent), "key long, path array<long>, cls long, pivot long, whole boolean")
+        return dealt.mapInArrow(_grouped(self.per_cent), "key long, path array<long>, cls long, pivot long, whole boolean, two boolean")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs ``a, b`` that are links."""
@@ -471,8 +482,11 @@ class SetJoin:
 
     def grouped_links(self, rows: DataFrame, comp: DataFrame, tested: DataFrame | None = None) -> DataFrame:
         """Links between members of different components of near groups, each pair looked at once."""
-        live = self.apart(rows.filter("not whole").select("key", "cls"), comp).repartition("key").sortWithinPartitions("key")
-        pairs = live.mapInArrow(_paired(self.per_cent), "a long, b long").distinct()
+        live = self.apart(rows.filter("not whole and not two").select("key", "cls"), comp).repartition("key").sortWithinPartitions("key")
+        pairs = live.mapInArrow(_paired(self.per_cent), "a long, b long")
+        two = rows.filter("two and cls <> pivot").select("cls", "pivot").distinct()
+        two = two.join(comp, "cls").join(comp.withColumnsRenamed({"cls": "pivot", "comp": "pcomp"}), "pivot").filter("comp <> pcomp")
+        pairs = pairs.unionByName(two.select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b"))).distinct()
         return self.confirmed(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
 
     def whole_links(self, comp: DataFrame, every: bool = False) -> DataFrame:
