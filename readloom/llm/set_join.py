@@ -60,7 +60,7 @@ from readloom.llm.shared import stored
 
 #: Parts of a partition; a signature leaves one out.
 PARTS = 3
-#: Parts of the domain whose counts bound the distance of two sets (an even number).
+#: Parts of the domain whose counts bound the distance of two sets.
 CELLS = 64
 #: Thirty-seconds of the buckets whose pivots are compared in one round.
 ROUNDS = ((0, 2), (2, 8))
@@ -117,10 +117,10 @@ def signatures(rows: np.ndarray, hashes: np.ndarray, n: int, per_cent: int, seed
 
 
 def cell_counts(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
-    """Shingles of each set in ``CELLS`` parts of the domain, modulo 16, two in a byte."""
+    """Shingles of each set in ``CELLS`` parts of the domain, 255 at most."""
     cell = (mix64(hashes ^ np.uint64(0x5DEECE66D)) >> np.uint64(40)) % np.uint64(CELLS)
-    counts = (np.bincount(rows * CELLS + cell.astype(np.int64), minlength=n * CELLS) & 15).astype(np.uint8).reshape(n, CELLS)
-    return counts[:, ::2] | counts[:, 1::2] << 4
+    counts = np.bincount(rows * CELLS + cell.astype(np.int64), minlength=n * CELLS)
+    return np.minimum(counts, 255).astype(np.uint8).reshape(n, CELLS)
 
 
 def _described(width: int):
@@ -193,18 +193,12 @@ def mates(keys: DataFrame) -> DataFrame:
 def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, per_cent: int) -> np.ndarray:
     """Whether sizes and counts leave room for the similarity, pair by pair."""
     fits = 100 * np.minimum(na, nb) >= per_cent * np.maximum(na, nb)
-    off = a - b & 15  # on a circle of 16, never more than the counts differ
-    apart = np.minimum(off, 16 - off).sum(axis=1, dtype=np.int64)
+    apart = (np.maximum(a, b) - np.minimum(a, b)).sum(axis=1, dtype=np.int64)
     return fits & ((100 + per_cent) * apart <= (100 - per_cent) * (na + nb))
 
 
-def _unpacked(cells: bytes, n: int) -> np.ndarray:
-    packed = np.frombuffer(cells, np.uint8).reshape(n, CELLS // 2)
-    return np.concatenate((packed & 15, packed >> 4), axis=1)
-
-
 def _matrix(column: pa.Array) -> np.ndarray:
-    return _unpacked(b"".join(column.to_pylist()), len(column))
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), CELLS)
 
 
 def _prints(width: int):
@@ -250,7 +244,7 @@ def _possible(per_cent: int):
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return _unpacked(b"".join(column.to_pylist()), len(column))
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), CELLS)
 
 
 def near_pairs(starts: np.ndarray, cells: np.ndarray, sizes: np.ndarray, per_cent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -394,7 +388,7 @@ def _search(width: int, per_cent: int, texts: bool, every: bool = False):
 
     def run(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
         out, rest = block[block["side"] == 0], block[block["side"] == 1]
-        a, b = (_unpacked(b"".join(x["cells"]), len(x)) for x in (out, rest))
+        a, b = (np.frombuffer(b"".join(x["cells"]), np.uint8).reshape(len(x), CELLS) for x in (out, rest))
         comp, ids, sizes = rest["comp"].to_numpy(), rest["cls"].to_numpy(), rest["n"].to_numpy()
         own_text, their_text = (x["text"].tolist() if texts else None for x in (out, rest))
         path = block["path"].iloc[0] if texts and len(block) else []
@@ -459,8 +453,8 @@ class SetJoin:
         self.sizes = self.classes.select("cls", "n", "cells")
         shared = mates(self.texts.mapInArrow(_signed(width, per_cent, 0), "key long, cls long"))
         self.buckets = stored(self.grouped(shared), "join-buckets")
-        met = self.texts.join(self.buckets.select("cls").distinct(), "cls", "left_semi")
-        self.prints = stored(met.select("cls", "text").mapInArrow(_prints(width), "cls long, n long, p binary"), "join-prints")
+        self.texts = stored(self.texts.join(self.buckets.select("cls").distinct(), "cls", "left_semi").select("cls", "text"), "join-met")
+        self.prints = stored(self.texts.mapInArrow(_prints(width), "cls long, n long, p binary"), "join-prints")
 
     def grouped(self, shared: DataFrame) -> DataFrame:
         """Buckets (``key, cls``, and ``path`` if they were split) as near groups; ``two`` marks pairs."""
