@@ -60,6 +60,22 @@ def tstats(x: np.ndarray, known: np.ndarray, edges: np.ndarray, width: int) -> n
     return out
 
 
+def running_median(x: np.ndarray, edges: np.ndarray, width: int) -> np.ndarray:
+    """Median of the ``width`` (odd) samples around each one of arrays that lie end to end; zeros beyond the ends of an array."""
+    if width % 2 == 0:
+        raise ValueError("the width of a running median is odd")
+    half = width // 2
+    row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    first, last = edges[:-1][row], edges[1:][row]
+    out = np.zeros(len(x))
+    for low in range(0, len(x), 1 << 18):  # bounded memory, however long the batch
+        at = np.arange(low, min(len(x), low + (1 << 18)))
+        near = at[:, None] + np.arange(-half, half + 1)
+        inside = (near >= first[at, None]) & (near < last[at, None])
+        out[at] = np.partition(np.where(inside, x[np.clip(near, 0, len(x) - 1)], 0.0), half, axis=1)[:, half]
+    return out
+
+
 def window_tstat(signals: DataFrame, width: int, name: str = "t", signal: str = "signal") -> DataFrame:
     """Array of the change statistic between the ``width`` samples before each sample and those from it on; 0 where a window is cut off."""
 
@@ -179,12 +195,18 @@ def events_from_boundaries(signals: DataFrame, signal: str = "signal", boundarie
     return signals.select("read_id", F.inline(events))
 
 
-def detect_events(signals: DataFrame, windows: tuple[int, int] = (PRESET.window_short, PRESET.window_long), thresholds: tuple[float, float] = (PRESET.threshold_short, PRESET.threshold_long), height: float = PRESET.peak_height, signal: str = "signal") -> DataFrame:
-    """The whole chain from signals to events: ``read_id, start, length, mean, stdv``."""
+def detect_events(signals: DataFrame, windows: tuple[int, int] = (PRESET.window_short, PRESET.window_long), thresholds: tuple[float, float] = (PRESET.threshold_short, PRESET.threshold_long), height: float = PRESET.peak_height, signal: str = "signal", median: int | None = None) -> DataFrame:
+    """The whole chain from signals to events: ``read_id, start, length, mean, stdv``.
+
+    ``median`` is the width of a running median that smooths each signal first
+    (null samples count as zeros there, and stay unknown themselves).
+    """
 
     @F.arrow_udf(_EVENTS)
     def run(arrays: pa.Array) -> pa.Array:
         x, known, edges = _samples(arrays)
+        if median:
+            x = running_median(x, edges, median)
         short, long = (tstats(x, known, edges, w) for w in windows)
         return cut_arrays(x, known, edges, *peaks(short, long, edges, windows, thresholds, height))
 

@@ -206,3 +206,22 @@ def test_windows_grow_up_to_their_bound(spark):
     ensure_checkpoints(spark)
     for rounds, upto in ((0, 20), (3, 50), (20, 90)):
         assert tuple(polya.extend_open(df, windows, 10, rounds).select("upto", "score", "first", "last").first()) == (upto, upto, 1, upto // 10)
+
+
+def test_median_filter_ahead_of_detection(spark):
+    """Filtered events equal those of signals that were filtered one by one; neighbours in a batch don't meet, and nothing is shuffled."""
+    rng = np.random.default_rng(12)
+    rows = [(f"r{k}", [float(v) for v in np.repeat(rng.normal(90, 15, 1 + k % 6), 60) + rng.normal(0, 2, 60 * (1 + k % 6))]) for k in range(12)]
+    rows += [("short", [5.0, 1.0]), ("empty", []), ("null", None)]
+
+    def smoothed(x):
+        padded = [0.0] * 3 + list(x or []) + [0.0] * 3
+        return [sorted(padded[i : i + 7])[3] for i in range(len(x or []))]
+
+    schema = "read_id string, signal array<double>"
+    plain, done = spark.createDataFrame(rows, schema).coalesce(1), spark.createDataFrame([(i, smoothed(x)) for i, x in rows], schema)
+    got = events.detect_events(plain, median=7)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, events.detect_events(done).collect())) != []
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        events.running_median(np.zeros(3), np.array([0, 3]), 4)
