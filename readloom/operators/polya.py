@@ -87,28 +87,6 @@ def recalibrate(events: DataFrame, intervals: DataFrame, adapter_end: DataFrame,
     return first.withColumn("recalibrated", F.lit(False)).unionByName(second.withColumn("recalibrated", F.lit(True)))
 
 
-def extend_open(events: DataFrame, windows: DataFrame, step: int, rounds: int = PRESET.polya_rounds) -> DataFrame:
-    """Search again in a wider window while the interval reaches the window's last event and the read goes on.
-
-    ``windows`` has ``read_id, upto`` (last sample searched) and ``samples``.
-    Only unfinished reads go into the next round; after ``rounds`` wider windows
-    the interval counts as it is.
-    """
-    done, todo = None, windows
-    for left in range(rounds, -1, -1):
-        seen = events.join(todo, "read_id").filter(F.col("start") + F.col("length") <= F.col("upto"))
-        found = best_interval(seen)
-        last = seen.groupBy("read_id").agg(F.max("k").alias("last_k"))
-        state = todo.join(found, "read_id", "left").join(last, "read_id", "left").checkpoint()
-        open_ = (F.col("last") == F.col("last_k")) & (F.col("upto") < F.col("samples")) & F.lit(left > 0)
-        closed = state.filter(~F.coalesce(open_, F.lit(False))).select("read_id", "upto", "score", "first", "last")
-        done = closed if done is None else done.unionByName(closed)
-        todo = state.filter(F.coalesce(open_, F.lit(False))).select("read_id", F.least(F.col("upto") + step, F.col("samples")).alias("upto"), "samples")
-        if todo.isEmpty():
-            break
-    return done
-
-
 def stdev_check(events: DataFrame, intervals: DataFrame, samples: DataFrame) -> DataFrame:
     """Deviation of the middle of each interval's longest event: ``read_id, stdev, steady``.
 

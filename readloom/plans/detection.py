@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from readloom import bindings as b
-from readloom.operators import chimera, events, polya, reports, segmentation
+from readloom.operators import chimera, events, polya, reports, segmentation, tails
 from readloom.operators.intervals import interval_union as union_of
 from readloom.plans.registry import query
 from readloom.sources.shared import ensure_checkpoints
@@ -136,10 +136,11 @@ def _tail(spark, sf):
 
 @query()
 def pa_extend_open(spark, sf):
-    e = polya.classify(b.events(spark, sf))
-    windows = e.groupBy("read_id").agg(F.max(F.col("start") + F.col("length")).alias("samples")).selectExpr("read_id", "least(samples, 1000) upto", "samples")
-    ensure_checkpoints(spark)
-    return polya.extend_open(e, windows, 990)
+    """Signals that follow the event table, searched from the first 1,000 samples on."""
+    pieces = b.events(spark, sf).select("read_id", F.struct("k", F.expr("transform(sequence(start, start + length - 1), i -> mean + (i * 7919 % 1009) / 504.5D - 1)").alias("x")).alias("p"))
+    signals = pieces.groupBy("read_id").agg(F.array_sort(F.collect_list("p")).alias("p")).select("read_id", F.expr("flatten(transform(p, q -> q.x))").alias("signal"))
+    windows = signals.select("*", F.lit(0).alias("begin"), F.lit(1000).alias("upto"))
+    return tails.extend_open(windows, 990).select("read_id", "upto", "rounds", "score", "first", "last", F.size("events").cast("long").alias("n_events"))
 
 
 @query(_A + _BEST + """, lv as (select e.read_id, sum(mean * length) / sum(length) lev from e join best using (read_id) where k between "first" and "last" group by 1),

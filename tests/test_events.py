@@ -1,9 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from readloom.operators import events, polya
+from readloom.operators import events, polya, tails
 from readloom.operators.intervals import interval_union
-from readloom.sources.shared import ensure_checkpoints
 
 
 def test_steps_give_their_boundaries(spark):
@@ -199,13 +199,60 @@ def test_tails_equal_the_written_chain(spark):
     assert {v[3] for v in got.values()} == {True, False} and len(got) < len(want)
 
 
-def test_windows_grow_up_to_their_bound(spark):
-    """Poly(A) to the end of every window: each round sees one event more, and the last one's interval counts."""
-    df = polya.classify(spark.createDataFrame([("r", k + 1, 10 * k, 10, 109.0) for k in range(9)], "read_id string, k long, start long, length long, mean double"))
-    windows = spark.createDataFrame([("r", 20, 90)], "read_id string, upto long, samples long")
-    ensure_checkpoints(spark)
-    for rounds, upto in ((0, 20), (3, 50), (20, 90)):
-        assert tuple(polya.extend_open(df, windows, 10, rounds).select("upto", "score", "first", "last").first()) == (upto, upto, 1, upto // 10)
+def written_growth(x, begin, upto, step, rounds, median):
+    """The recursion, read by read: detect in the window, search, widen while the interval is open."""
+    part = x[begin:upto]
+    if median:
+        padded = [0.0] * (median // 2) + part + [0.0] * (median // 2)
+        part = [sorted(padded[i : i + median])[median // 2] for i in range(len(part))]
+    own = written_events(part, written_peaks(written_tstat(part, 7), written_tstat(part, 20), (7, 20), (3.0, 8.0), 4.0))
+    best = brute_interval([(abs(m - 108.95) <= 2 * 2.55, n) for _, n, m, _ in own])
+    if best and best[2] == len(own) and upto < len(x) and rounds:
+        return written_growth(x, begin, min(upto + step, len(x)), step, rounds - 1, median)
+    return upto, best, [(begin + s, n) for s, n, _, _ in own]
+
+
+@pytest.mark.parametrize("median,rounds", [(None, 6), (5, 6), (None, 1)])
+def test_events_are_detected_again_in_wider_windows(spark, median, rounds):
+    rng = np.random.default_rng(21)
+    rows = []
+    for r in range(40):
+        levels = [rng.choice([80, 95]), *([109] * int(rng.integers(0, 4))), rng.choice([85, 120]), 109, rng.choice([90, 109])]
+        x = np.concatenate([rng.normal(m + rng.normal(0, 1), rng.choice([0.5, 1.5]), rng.integers(20, 130)) for m in levels])
+        begin = int(rng.integers(0, 30))
+        rows.append((f"r{r}", x.tolist(), begin, begin + int(rng.integers(60, 200))))
+    odd = [("null", None, 0, 50), ("empty", [], 0, 50), ("flat", [109.0] * 300, None, 100), ("outside", rows[0][1], -5, 10**6), ("unset", rows[0][1], 10, None)]
+    df = spark.createDataFrame(rows + odd, "read_id string, signal array<double>, begin long, upto long").repartition(3)
+    out = tails.extend_open(df, 45, rounds, median=median)
+    got = {r["read_id"]: r for r in out.collect()}
+    moved = 0
+    for name, x, begin, upto in rows:
+        end, best, own = written_growth(x, begin, min(upto, len(x)), 45, rounds, median)
+        r = got[name]
+        assert (r["upto"], (r["score"], r["first"], r["last"])) == (end, best or (None,) * 3)
+        assert [(e["start"], e["length"]) for e in r["events"]] == own
+        narrow = written_growth(x, begin, min(upto, len(x)), 45, 0, median)[2]
+        moved += r["rounds"] > 0 and own[: len(narrow) - 1] != narrow[:-1]
+    assert moved and sum(r["rounds"] > 0 for r in got.values()) > 3 and max(r["rounds"] for r in got.values()) <= rounds
+    assert all(got[k]["events"] == [] and got[k]["score"] is None for k in ("null", "empty", "flat", "unset"))
+    assert (got["outside"]["upto"], got["outside"]["rounds"], got["flat"]["upto"]) == (len(rows[0][1]), 0, 100)
+    assert "Exchange" not in tails.extend_open(spark.createDataFrame(rows, df.schema), 45)._jdf.queryExecution().executedPlan().toString()
+    table = {(r["read_id"], r["k"]): r["start"] for r in tails.grown_events(out).collect()}
+    assert table == {(n, k + 1): e["start"] for n, r in got.items() for k, e in enumerate(r["events"])}
+
+
+def test_ranges_of_their_own(spark, monkeypatch):
+    """A read is searched in the range that its columns give; groups of any size give the same."""
+    x = np.repeat([80.0, 95.0, 120.0], 100) + np.random.default_rng(3).normal(0, 0.5, 300)
+    df = spark.createDataFrame([(str(c), x.tolist(), 0, 300, c) for c in (80.0, 95.0, 109.0, None)], "read_id string, signal array<double>, begin long, upto long, c double")
+    want = None
+    for size in (1 << 22, 1):
+        monkeypatch.setattr(tails, "AT_ONCE", size)
+        found = {r["read_id"]: (r["score"], r["first"], r["last"]) for r in tails.extend_open(df, 50, low=F.col("c") - 2, high=F.col("c") + 2).collect()}
+        want = want or found
+        assert found == want
+    assert found["109.0"] == found["None"] == (None, None, None)
+    assert found["80.0"][1] == 1 and found["95.0"][1] > 1 and all(90 <= found[k][0] <= 110 for k in ("80.0", "95.0"))
 
 
 def test_median_filter_ahead_of_detection(spark):
