@@ -6,11 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: K-mers of all references up to which they are sent to every executor (some 16 bytes each).
 SEEDS = 500_000
+#: Tasks that a crowded k-mer or sequence is dealt out to.
+SALTS = 16
 #: Bytes of sequences that a task looks at together.
 AT_ONCE = 1 << 20
 
@@ -33,11 +35,25 @@ def seed_assign(reads: DataFrame, refs: DataFrame, k: int = 13) -> DataFrame:
     bits = max(1, len(letters).bit_length())
     if len(found) <= SEEDS and k * bits <= 63 and "".join(letters).isascii():
         return _assign_here(reads, [(r["name"], r["kmer"]) for r in found], letters, bits, k)
-    own = reads.select("read_id", F.explode(kmers("seq", k)).alias("kmer"))
-    shared = own.join(seeds, "kmer").groupBy("read_id", "name").agg(F.count(F.lit(1)).alias("shared"))
-    order = Window.partitionBy("read_id").orderBy(F.desc("shared"), "name")
-    best = shared.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
-    return reads.select("read_id").join(best, "read_id", "left").select("read_id", F.coalesce("name", F.lit("*")).alias("name"), F.coalesce("shared", F.lit(0).cast("long")).alias("shared"))
+    return _assign_joined(reads, seeds, k)
+
+
+def _assign_joined(reads: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
+    """The same by joins, for references of any number.
+
+    The answer depends on the sequence alone, so each distinct one is looked up
+    once, under its digest, and every row finds its answer by that; so repeated
+    and null ids keep rows of their own.  A crowded k-mer or sequence is dealt
+    out over ``SALTS``, where the small side (seeds, answers) is repeated.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    keyed = reads.select(F.col("read_id").cast("string").alias("read_id"), F.coalesce("seq", F.lit("")).alias("_seq")).withColumn("_key", F.sha2("_seq", 256))
+    own = keyed.groupBy("_key").agg(F.min("_seq").alias("_seq")).select("_key", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int").alias("_salt"), F.explode(kmers("_seq", k)).alias("kmer"))
+    shared = own.join(seeds.distinct().select("name", "kmer", salts), ["kmer", "_salt"]).groupBy("_key", "name").agg(F.count(F.lit(1)).alias("shared"))
+    best = shared.groupBy("_key").agg(F.min(F.struct((-F.col("shared")).alias("less"), "name")).alias("_b"))
+    rows = keyed.select("read_id", "_key", F.pmod(F.xxhash64("read_id"), F.lit(SALTS)).cast("int").alias("_salt"))
+    found = rows.join(best.select("_key", "_b", salts), ["_key", "_salt"], "left")
+    return found.select("read_id", F.coalesce("_b.name", F.lit("*")).alias("name"), F.coalesce(-F.col("_b.less"), F.lit(0).cast("long")).alias("shared"))
 
 
 def _assign_here(reads: DataFrame, seeds: list[tuple[str, str]], letters: list[str], bits: int, k: int) -> DataFrame:

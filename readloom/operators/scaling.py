@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from readloom.operators.selection import exact_quantiles
 from readloom.operators.training import global_rank, hash_ranked
 
 
@@ -113,13 +114,21 @@ def balanced_subsample(df: DataFrame, run: str = "run_id", id_col: str = "read_i
 
 
 def outlier_filter(df: DataFrame, a: str, b: str, keep: float = 0.98) -> DataFrame:
-    """Leave out the pairs farthest (Mahalanobis) from the medians, beyond the ``keep`` quantile of distances."""
-    one = df.agg(F.median(a).alias("_ma"), F.median(b).alias("_mb"), F.var_pop(a).alias("_va"), F.var_pop(b).alias("_vb"), F.covar_pop(a, b).alias("_c"))
-    da, db = F.col(a) - F.col("_ma"), F.col(b) - F.col("_mb")
-    det = F.col("_va") * F.col("_vb") - F.col("_c") * F.col("_c")
-    scored = df.join(F.broadcast(one)).withColumn("distance", (da * da * F.col("_vb") - 2 * da * db * F.col("_c") + db * db * F.col("_va")) / det)
-    cut = scored.agg(F.percentile("distance", F.lit(keep)).alias("_cut"))
-    return scored.join(F.broadcast(cut)).filter(F.col("distance") <= F.col("_cut")).drop("_ma", "_mb", "_va", "_vb", "_c", "_cut")
+    """Leave out the pairs farthest (Mahalanobis) from the medians, beyond the ``keep`` quantile of distances.
+
+    Medians and the quantile are selected exactly by counting cells; rows with a
+    null or non-finite value have no distance and are left out.
+    """
+    usable = df
+    for c in (a, b):
+        usable = usable.filter(F.col(c).isNotNull() & (F.abs(F.col(c).cast("double")) < float("inf")))
+    va, vb, c = usable.agg(F.var_pop(a), F.var_pop(b), F.covar_pop(a, b)).first()
+    (ma,), (mb,) = exact_quantiles(usable, a, [0.5]), exact_quantiles(usable, b, [0.5])
+    va, vb, c, ma, mb = (F.lit(v).cast("double") for v in (va, vb, c, ma, mb))
+    da, db = F.col(a) - ma, F.col(b) - mb
+    scored = usable.withColumn("distance", (da * da * vb - 2 * da * db * c + db * db * va) / (va * vb - c * c))
+    (cut,) = exact_quantiles(scored, "distance", [keep])
+    return scored.filter(F.col("distance") <= F.lit(cut).cast("double"))
 
 
 def train_test_split(df: DataFrame, share: float, id_col: str = "read_id", seed: int = 7) -> DataFrame:

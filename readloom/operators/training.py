@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from readloom.functions import match_length
 
+#: Modulus of the draws of ``fragment_slices``: products of two remainders fit in a long.
+PRIME = 2_147_483_647
+
 
 def hash_ranked(df: DataFrame, keys: list[str], id_col: str, seed: int, name: str) -> DataFrame:
     """Rank within ``keys`` in the order of a hash of id and seed: a random order that reruns and partitioning don't change.
@@ -144,12 +147,25 @@ def apportion(counts: DataFrame, total: int, key: str = "bin", col: str = "n") -
 
 
 def fragment_slices(df: DataFrame, density: int, least: int, most: int, seed: int, signal: str = "signal") -> DataFrame:
-    """Cut signals at hash-chosen points (one in ``density`` on average) and keep fragments of fitting length: ``read_id, start, length, fragment``."""
-    points = df.select("read_id", F.explode(F.expr(f"sequence(0, size({signal}))")).alias("at"), F.size(signal).alias("_n"))
-    chosen = points.filter((F.pmod(F.xxhash64("read_id", "at", F.lit(seed)), F.lit(density)) == 0) | (F.col("at") == 0) | (F.col("at") == F.col("_n"))).drop("_n")
-    w = Window.partitionBy("read_id").orderBy("at")
-    cuts = chosen.withColumn("length", F.lead("at").over(w) - F.col("at")).filter(F.col("length").between(least, most))
-    return cuts.join(df.select("read_id", signal), "read_id").select("read_id", F.col("at").alias("start"), "length", F.slice(signal, F.col("at") + 1, F.col("length")).alias("fragment"))
+    """Cut signals at drawn points (one in ``density`` on average) and keep fragments of fitting length: ``read_id, start, length, fragment``.
+
+    Points are chosen inside the array, from a number of the read (28 bits of a
+    hash of id and seed) and the place; cubes modulo a prime scatter
+    neighbouring places.  Nothing is exploded but the fragments, and nothing is
+    shuffled.  Both ends of a signal are cut points; a null signal is empty.
+    """
+    own = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("read_id").cast("string"), F.lit(str(seed)))), 1, 7), 16, 10).cast("long")
+    whole = df.select("read_id", F.coalesce(F.col(signal), F.expr("array()")).alias("_x"), own.alias("_own"))
+    size = F.size("_x").cast("long")
+
+    def drawn(at: Column) -> Column:
+        place = (F.col("_own") + at) % PRIME
+        return ((place * place % PRIME) * place + at) % PRIME % density == 0
+
+    cuts = whole.withColumn("_cuts", F.filter(F.sequence(F.lit(0).cast("long"), size), lambda at: (at == 0) | (at == size) | drawn(at)))
+    spans = F.transform(F.slice("_cuts", 1, F.size("_cuts") - 1), lambda at, i: F.struct(at.alias("start"), (F.element_at("_cuts", i + 2) - at).alias("length")))
+    fitting = F.filter(spans, lambda s: s["length"].between(least, most))
+    return cuts.select("read_id", "_x", F.inline(fitting)).select("read_id", "start", "length", F.slice("_x", (F.col("start") + 1).cast("int"), F.col("length").cast("int")).alias("fragment"))
 
 
 def next_at_least(left: DataFrame, right: DataFrame, keys: list[str], lkey: str, rkey: str, payload: list[str]) -> DataFrame:

@@ -143,7 +143,10 @@ def trn_quota_apportion(spark, sf):
     return training.apportion(_histogram(spark, sf), 5000)
 
 
-@query()
+@query("""with o as (select read_id, signal, len(signal) n, cast('0x' || substr(md5(concat(read_id, '|', '5')), 1, 7) as bigint) own from v_sig),
+  p as (select read_id, n, signal, own, unnest(range(0, n + 1)) i from o), q as (select *, (own + i) % 2147483647 g from p),
+  c as (select read_id, signal, i as start, lead(i) over (partition by read_id order by i) - i as length from q where i = 0 or i = n or ((g * g % 2147483647) * g + i) % 2147483647 % 8 = 0)
+  select read_id, start, length, round(list_sum(signal[start + 1 : start + length]), 6) as total from c where length between 4 and 24""")
 def trn_fragment_slices(spark, sf):
     out = training.fragment_slices(b.signals(spark, sf), 8, 4, 24, 5)
     return out.select("read_id", F.col("start").cast("long").alias("start"), F.col("length").cast("long").alias("length"), F.round(F.aggregate("fragment", F.lit(0.0), lambda s, x: s + x), 6).alias("total"))

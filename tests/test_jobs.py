@@ -1,10 +1,11 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from readloom import streaming
-from readloom.operators import assign, calibration, chimera, demux, reads, scaling, training
+from readloom.operators import assign, calibration, chimera, demux, reads, scaling, selection, training
 from readloom.operators.segmentation import WINDOW_MODEL
 from readloom.plans import QUERIES
 from readloom.sources import sinks
@@ -116,9 +117,13 @@ def test_ranks_of_large_classes_are_whole(spark):
 def test_many_references_are_joined_by_a_shuffle(spark, monkeypatch):
     refs = spark.createDataFrame([("p", "ACGUACGUUACGGAUCCA"), ("q", "GGGGGGGGGGGGGGGGGGGG")], "name string, seq string")
     own = spark.createDataFrame([("1", "UUACGUACGUUACGGAUCCA"), ("2", "GGGGGGGGGGGGGG"), ("3", "AC")], "read_id string, seq string")
-    few = sorted(map(tuple, assign.seed_assign(own, refs).collect()))
+    own = own.unionByName(spark.createDataFrame([("1", "GGGGGGGGGGGGGG"), (None, "UUACGUACGUUACGGAUCCA"), (None, "GGGGGGGGGGGGGG"), ("2", "GGGGGGGGGGGGGG"), ("4", None), (None, None), ("5", "")], own.schema))
+    refs = refs.unionByName(spark.createDataFrame([("o", "GGGGGGGGGGGGG"), ("p", "GGGGGGGGGGGGG")], refs.schema))  # ties and a name that repeats
+    order = lambda rows: sorted(map(tuple, rows), key=repr)
+    few = order(assign.seed_assign(own, refs).collect())
     monkeypatch.setattr(assign, "SEEDS", 0)
-    assert sorted(map(tuple, assign.seed_assign(own, refs).collect())) == few == [("1", "p", 6), ("2", "q", 1), ("3", "*", 0)]
+    assert order(assign.seed_assign(own, refs).collect()) == few
+    assert few == order([("1", "p", 6), ("2", "o", 1), ("3", "*", 0), ("1", "o", 1), (None, "p", 6), (None, "o", 1), ("2", "o", 1), ("4", "*", 0), (None, "*", 0), ("5", "*", 0)])
 
 
 def test_middle_slopes_by_counting(monkeypatch):
@@ -197,13 +202,50 @@ def test_values_of_models_and_user_functions(spark, sf_dir):
 
 def test_fragments_are_stretches_of_their_signal(spark):
     signals = {"a": [float(i) for i in range(400)], "b": [1000.0 + i for i in range(90)], "c": []}
-    df = spark.createDataFrame(list(signals.items()), "read_id string, signal array<double>")
+    df = spark.createDataFrame([*signals.items(), ("d", None)], "read_id string, signal array<double>")
+    assert "Exchange" not in training.fragment_slices(df, 20, 5, 60, 7)._jdf.queryExecution().executedPlan().toString()
     got = training.fragment_slices(df, 20, 5, 60, 7).collect()
     assert got and all(r["fragment"] == signals[r["read_id"]][r["start"] : r["start"] + r["length"]] and 5 <= r["length"] <= 60 for r in got)
     spans = sorted((r["read_id"], r["start"], r["start"] + r["length"]) for r in got)
     assert all(a[0] != z[0] or a[2] <= z[1] for a, z in zip(spans, spans[1:], strict=False))
 
 
+def test_cut_points_are_as_dense_as_asked(spark):
+    """Of 200 reads of 5,000 samples one place in 25 is a cut, evenly over reads and places, and another seed cuts elsewhere."""
+    df = spark.range(200).select(F.col("id").cast("string").alias("read_id"), F.expr("transform(sequence(1, 5000), i -> 1D)").alias("signal"))
+    starts = {seed: {(r["read_id"], r["start"]) for r in training.fragment_slices(df, 25, 1, 5000, seed).select("read_id", "start").collect() if r["start"]} for seed in (1, 2)}
+    for own in starts.values():
+        assert abs(len(own) - 40_000) < 1_000
+        per_read = np.bincount([int(i) for i, _ in own], minlength=200)
+        assert per_read.min() > 120 and per_read.max() < 280
+        assert np.abs(np.bincount([at // 500 for _, at in own], minlength=10) - 4_000).max() < 400
+    assert abs(len(starts[1] & starts[2]) - 1_600) < 300
+
+
+@pytest.mark.parametrize("cells,kept", [(4096, 10_000), (3, 1), (16, 0)])
+def test_quantiles_by_counting_cells(spark, monkeypatch, cells, kept):
+    rng = np.random.default_rng(31)
+    monkeypatch.setattr(selection, "CELLS", cells)
+    monkeypatch.setattr(selection, "SORTED", kept)
+    shares = (0.0, 0.5, 0.98, 1.0)
+    sets = {"wide": [*rng.normal(0, 1, 40).tolist(), 1e300, -1e300], "ties": [2.0] * 30 + [1.0] * 9, "one": [7.0], "near": [1.0, 1.0 + 2**-52, 1.0 + 2**-51] * 5, "none": []}
+    for values in sets.values() if kept == 10_000 else [sets["ties"], sets["near"]]:
+        df = spark.createDataFrame([(v,) for v in [*values, None, math.nan, math.inf]], "v double")
+        got = selection.exact_quantiles(df.coalesce(1), "v", shares)
+        assert got == [None] * 4 if not values else np.allclose(got, np.quantile(values, shares), rtol=1e-15)
+
+
+def test_far_pairs_are_left_out_as_written(spark):
+    rng = np.random.default_rng(32)
+    x = rng.normal(0, 1, (301, 2)) @ np.array([[2.0, 1.0], [0.0, 0.5]])
+    df = spark.createDataFrame([*((str(i), *map(float, r)) for i, r in enumerate(x)), ("null", None, 1.0), ("nan", math.nan, 1.0)], "read_id string, a double, b double")
+    d, c = x - np.median(x, axis=0), np.linalg.inv(np.cov(x.T, bias=True))
+    distance = np.einsum("ij,jk,ik->i", d, c, d)
+    got = {r["read_id"] for r in scaling.outlier_filter(df, "a", "b", 0.9).collect()}
+    assert got == {str(i) for i in np.flatnonzero(distance <= np.quantile(distance, 0.9))}
+    assert scaling.outlier_filter(df.limit(0), "a", "b").collect() == []
+
+
 def test_redispersed_signals_keep_their_shape(spark):
     rng = np.random.default_rng(8)
     rows = [(str(i), 1 + 0.1 * float(z), 5 + float(z), rng.normal(0, 1, 20).tolist()) for i, z in enumerate(rng.normal(0, 1, 300))]
