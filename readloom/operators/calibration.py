@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.operators.ranks import with_place
+from readloom.operators.curves import local_lines
+from readloom.operators.ranks import steps_down, with_place
 
 #: Window size, least width and interval of each scale, coarse to fine.
 SCALES = ((10_000, 2_500, 3_300), (2_000, 1_000, 1_000), (1_000, 500, 500))
 STEADY = 0.02
-#: Points that carry the smoothed error curve, at most.
-SUPPORTS = 1000
 
 
 def ranked_predictions(pred: DataFrame) -> DataFrame:
@@ -61,41 +60,22 @@ def extrapolated_table(errors: DataFrame) -> DataFrame:
 
 
 def smoothed_errors(errors: DataFrame, span: float = 0.3) -> DataFrame:
-    """Local-linear smoothing with tricube weights over the nearest share ``span`` of supports: ``mean, smooth``.
-
-    Supports are the windows, or where there are more than ``SUPPORTS``, the
-    means of those in as many equal ranges of the score.  So every support can
-    carry the packed array of all, whose size is bounded by ``SUPPORTS``.
-    """
-    n, low, high = errors.agg(F.count(F.lit(1)), F.min("mean"), F.max("mean")).first()
-    if n > SUPPORTS and high > low:
-        cell = F.floor((F.col("mean") - low) / (high - low) * SUPPORTS)
-        errors = errors.groupBy(cell).agg(F.avg("mean").alias("mean"), F.avg("error_rate").alias("error_rate"))
-    packed = errors.agg(F.array_sort(F.collect_list(F.struct(F.col("mean").alias("x"), F.col("error_rate").alias("y")))).alias("_all"))
-    k = F.greatest(F.ceil(F.size("_all") * span).cast("int"), F.lit(2))
-    rows = errors.select("mean").join(F.broadcast(packed)).withColumn("_d", F.array_sort(F.transform("_all", lambda p: F.abs(p["x"] - F.col("mean")))))
-    rows = rows.withColumn("_h", F.greatest(F.element_at("_d", k), F.lit(1e-12)) * (1 + 1e-9))
-    near = F.filter("_all", lambda p: F.abs(p["x"] - F.col("mean")) < F.col("_h"))
-    rows = rows.select("mean", "_h", F.explode(near).alias("p")).withColumn("w", F.pow(1 - F.pow(F.abs(F.col("p.x") - F.col("mean")) / F.col("_h"), 3), 3))
-    rows = rows.withColumns({"x": F.col("p.x") - F.col("mean"), "y": F.col("p.y")})
-    s = rows.groupBy("mean").agg(F.sum("w").alias("sw"), F.sum(F.col("w") * F.col("x")).alias("sx"), F.sum(F.col("w") * F.col("y")).alias("sy"), F.sum(F.col("w") * F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("w") * F.col("x") * F.col("y")).alias("sxy"))
-    det = F.col("sw") * F.col("sxx") - F.col("sx") * F.col("sx")
-    return s.select("mean", F.when(det > 1e-18, (F.col("sxx") * F.col("sy") - F.col("sx") * F.col("sxy")) / det).otherwise(F.col("sy") / F.col("sw")).alias("smooth"))
+    """Local-linear smoothing with tricube weights over the nearest share ``span`` of all windows: ``mean, smooth``."""
+    return local_lines(errors, "mean", "error_rate", span)
 
 
 def interpolated_table(errors: DataFrame, low: DataFrame) -> DataFrame:
     """Scores of the phred values above ``low`` by inverting the smoothed error curve between neighbouring windows."""
-    curve = smoothed_errors(errors)
-    w = Window.orderBy(F.desc("mean"))
-    steps = curve.withColumns({"x1": F.lag("mean").over(w), "y1": F.min("smooth").over(w.rowsBetween(Window.unboundedPreceding, -1))}).filter("x1 is not null and smooth > y1")
+    curve = smoothed_errors(errors).checkpoint()
+    steps = steps_down(curve, "mean", "smooth").filter("x1 is not null and smooth > y1")
     best = errors.agg(F.max_by("error_rate", "mean").alias("_e"))
     top = best.select(F.when(F.col("_e") > 0, F.floor(-10 * F.log10("_e"))).otherwise(40).cast("int").alias("top"))
     start = low.agg((F.max("phred") + 1).cast("int").alias("from"))
     want = start.join(F.broadcast(top)).filter("from <= top").select(F.explode(F.sequence("from", "top")).alias("phred"))
     want = want.withColumn("error", F.pow(F.lit(10.0), -F.col("phred") / 10.0))
-    hit = want.join(F.broadcast(steps), (F.col("error") <= F.col("smooth")) & (F.col("error") >= F.col("y1")), "left")
+    hit = F.broadcast(want).join(steps, (F.col("error") <= F.col("smooth")) & (F.col("error") >= F.col("y1")))
     score = F.col("x1") + (F.col("mean") - F.col("x1")) * (F.col("error") - F.col("y1")) / (F.col("smooth") - F.col("y1"))
-    per = hit.groupBy("phred").agg(F.max(score).alias("s"))
+    per = want.select("phred").join(hit.groupBy("phred").agg(F.max(score).alias("s")), "phred", "left")
     ceiling = curve.agg(F.max("mean").alias("_top"))
     out = per.join(F.broadcast(ceiling)).select(F.col("phred").cast("long").alias("phred"), F.coalesce("s", "_top").alias("pred_score"))
     return out.withColumn("pred_score", F.max("pred_score").over(Window.orderBy("phred")))

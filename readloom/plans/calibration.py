@@ -57,12 +57,29 @@ def cal_extrapolate(spark, sf):
     return cal.extrapolated_table(_kept(spark, sf)).withColumn("pred_score", F.round("pred_score", 6))
 
 
-@query()
+_LOW = """l3 as (select mean, error_rate from ml order by mean limit 3), ln as (select regr_slope(error_rate, mean) b, regr_intercept(error_rate, mean) a, arg_min(error_rate, mean) worst from l3),
+  q as (select a, b, unnest(range(0, greatest(cast(floor(-10 * log10(worst)) as int), 0) + 1)) phred from ln),
+  low as (select phred, case when phred = 0 then 0 else least(greatest((pow(10.0, -phred / 10.0) - a) / b, 0), 1) end as pred_score from q)"""
+
+# The definition, over all pairs of windows: the query itself adds up moments of blocks.
+_CURVE = """kk as (select greatest(cast(ceil(count(*) * 0.3) as int), 2) k from ml),
+  dd as (select m.mean as m, p.mean as x, p.error_rate as y, abs(p.mean - m.mean) d, row_number() over (partition by m.mean order by abs(p.mean - m.mean)) rn from (select distinct mean from ml) m cross join ml p),
+  hh as (select m, greatest(coalesce(max(case when rn = k then d end), 0), 1e-12) * (1 + 1e-9) h from dd cross join kk group by 1),
+  ww as (select m, x - m as x, y, pow(1 - pow(d / h, 3), 3) w from dd join hh using (m) where d < h),
+  ss as (select m as mean, sum(w) sw, sum(w * x) sx, sum(w * y) sy, sum(w * x * x) sxx, sum(w * x * y) sxy from ww group by 1),
+  cv as (select mean, case when sw * sxx - sx * sx > 1e-18 then (sxx * sy - sx * sxy) / (sw * sxx - sx * sx) else sy / sw end as smooth from ss),
+  st as (select * from (select *, lag(mean) over (order by mean desc) x1, min(smooth) over (order by mean desc rows between unbounded preceding and 1 preceding) y1 from cv) where x1 is not null and smooth > y1),
+  wt as (select phred, pow(10.0, -phred / 10.0) err from (select unnest(range((select max(phred) + 1 from low), 1 + (select cast(case when e > 0 then floor(-10 * log10(e)) else 40 end as int) from (select arg_max(error_rate, mean) e from ml)))) phred)),
+  pp as (select phred, max(x1 + (mean - x1) * (err - y1) / (smooth - y1)) s from wt left join st on err <= smooth and err >= y1 group by 1),
+  hg as (select phred, max(coalesce(s, (select max(mean) from cv))) over (order by phred) as pred_score from pp)"""
+
+
+@query(f"with {_MULTI}, {_LOW}, {_CURVE} select phred, round(pred_score, 6) as pred_score from hg")
 def cal_interpolate(spark, sf):
     e = _kept(spark, sf)
     return cal.interpolated_table(e, cal.extrapolated_table(e)).withColumn("pred_score", F.round("pred_score", 6))
 
 
-@query()
+@query(f"with {_MULTI}, {_LOW}, {_CURVE} select phred, round(max(pred_score) over (order by phred), 6) as pred_score from (select * from low union all select * from hg)")
 def cal_table(spark, sf):
     return cal.calibration_table(_kept(spark, sf)).withColumn("pred_score", F.round("pred_score", 6))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from readloom import streaming
-from readloom.operators import assign, calibration, chimera, demux, reads, scaling, selection, training
+from readloom.operators import assign, calibration, chimera, curves, demux, ranks, reads, scaling, selection, training
 from readloom.operators.segmentation import WINDOW_MODEL
 from readloom.plans import QUERIES
 from readloom.sources import sinks
@@ -145,7 +145,7 @@ def written_curve(points, span=0.3):
     """Local lines with tricube weights over the nearest share of points."""
     k, out = max(2, math.ceil(len(points) * span)), []
     for m, _ in points:
-        h = max(sorted(abs(x - m) for x, _ in points)[k - 1], 1e-12) * (1 + 1e-9)
+        h = max(sorted(abs(x - m) for x, _ in points)[min(k, len(points)) - 1], 1e-12) * (1 + 1e-9)
         w = np.array([(1 - (abs(x - m) / h) ** 3) ** 3 if abs(x - m) < h else 0.0 for x, _ in points])
         x, y = np.array([x - m for x, _ in points]), np.array([y for _, y in points])
         sw, sx, sy, sxx, sxy = w.sum(), (w * x).sum(), (w * y).sum(), (w * x * x).sum(), (w * x * y).sum()
@@ -176,11 +176,37 @@ def test_interpolated_scores_invert_the_written_curve(spark):
     assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
 
 
-def test_the_curve_has_bounded_supports(spark, monkeypatch):
-    monkeypatch.setattr(calibration, "SUPPORTS", 50)
-    errors = spark.range(2000).select((F.col("id") / 2000).alias("mean"), (1 - F.col("id") / 2000).alias("error_rate"))
-    got = calibration.smoothed_errors(errors).collect()
-    assert 49 <= len(got) <= 51 and all(abs(r["mean"] + r["smooth"] - 1) < 1e-6 for r in got)
+@pytest.mark.parametrize("sent", [4096, 0])
+def test_curves_of_many_windows_equal_the_written_one(spark, monkeypatch, sent):
+    """3,000 windows, crowded towards 1 as scores are, with runs of equal means; joined by broadcast or by a shuffle."""
+    monkeypatch.setattr(curves, "SENT", sent)
+    rng = np.random.default_rng(6)
+    x = 1 - rng.random(3000 if sent else 1200) ** 4
+    x[:150], x[150:170] = 0.97, 1.0
+    points = [(float(m), float((1 - m) ** 2 + rng.normal(0, 0.01))) for m in x]
+    errors = spark.createDataFrame([*points, (None, 0.1)], "mean double, error_rate double").repartition(3)
+    got = dict(map(tuple, calibration.smoothed_errors(errors).collect()))
+    want = dict(written_curve(points))
+    assert got.keys() == want.keys()
+    assert max(abs(got[m] - want[m]) for m in want) < 1e-9
+
+
+@pytest.mark.parametrize("points", [[], [(0.5, 0.2)], [(0.5, 0.2), (0.5, 0.4)], [(0.1, 0.3), (0.9, 0.1)], [(0.5, float(i)) for i in range(200)]])
+def test_curves_of_few_or_equal_points(spark, points):
+    got = calibration.smoothed_errors(spark.createDataFrame(points, "mean double, error_rate double")).collect()
+    want = dict(written_curve(points))
+    assert {r["mean"] for r in got} == want.keys() and all(math.isclose(r["smooth"], want[r["mean"]], abs_tol=1e-9) for r in got)
+
+
+def test_counts_and_steps_cross_partitions(spark):
+    rng = np.random.default_rng(7)
+    x, q = rng.integers(0, 40, 500).astype(float), rng.integers(-5, 50, 300).astype(float)
+    points, queries = (spark.createDataFrame([(float(v), i) for i, v in enumerate(vs)], "v double, i long") for vs in (x, q))
+    got = {r["i"]: r["n"] for r in ranks.count_below(points, queries, "n").collect()}
+    assert got == {i: int((x < v).sum()) for i, v in enumerate(q)}
+    y = rng.normal(0, 1, 100)
+    rows = {r["x"]: (r["x1"], r["y1"]) for r in ranks.steps_down(spark.createDataFrame([(i, float(v)) for i, v in enumerate(y)], "x long, y double"), "x", "y", 7).collect()}
+    assert rows == {i: (i + 1, min(y[i + 1 :])) if i < 99 else (None, None) for i in range(100)}
 
 
 def test_values_of_models_and_user_functions(spark, sf_dir):
