@@ -34,7 +34,7 @@ def kmer_levels(events: DataFrame, model: DataFrame, least: int = 30) -> DataFra
     per = placed.groupBy("read_id", "pos").agg(F.min_by("kmer", "k").alias("kmer"), F.median("mean").alias("observed"))
     clean = per.filter(~F.col("kmer").contains("_")).join(jumps, ["read_id", "pos"], "left_anti")
     enough = clean.groupBy("read_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= least).select("read_id")
-    return clean.join(enough, "read_id", "left_semi").join(F.broadcast(model.select("kmer", "level_mean")), "kmer")
+    return clean.join(enough, "read_id", "left_semi").join(model.select("kmer", "level_mean"), "kmer")
 
 
 #: Points up to which all slopes are made at once.

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.functions import match_length
+from readloom.operators.ranks import with_place
+from readloom.sources.shared import ensure_checkpoints
 
 #: Modulus of the draws of ``fragment_slices``: products of two remainders fit in a long.
 PRIME = 2_147_483_647
@@ -171,21 +173,42 @@ def fragment_slices(df: DataFrame, density: int, least: int, most: int, seed: in
 def next_at_least(left: DataFrame, right: DataFrame, keys: list[str], lkey: str, rkey: str, payload: list[str]) -> DataFrame:
     """Forward as-of join: for each left row the first right row of its keys whose ``rkey`` is ``lkey`` or more.
 
-    Both sides are sorted together once, and the next right row is carried
-    back; nothing is paired that doesn't match.
+    Both sides are sorted together once, in ranges of keys and value, and the
+    next right row is carried back; over the edges of a range by a table with
+    the first right row of each key in each range.  So a key of a third of all
+    rows is no one task's, and nothing is paired that doesn't match.  Null keys
+    equal each other; a null value has no match.
     """
+    ensure_checkpoints(left.sparkSession)
     columns = [c for c in left.columns if c not in keys]
     a = left.select(*keys, F.col(lkey).alias("_k"), F.lit(0).alias("_side"), F.struct(*columns).alias("_l"))
-    b = right.select(*keys, F.col(rkey).alias("_k"), F.lit(1).alias("_side"), F.struct(F.col(rkey).alias("_rk"), *payload).alias("_r"))
-    w = Window.partitionBy(*keys).orderBy("_k", "_side", F.col("_r").asc_nulls_first()).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    both = a.unionByName(b, allowMissingColumns=True).withColumn("_next", F.first("_r", True).over(w)).filter("_side = 0")
-    return both.select(*keys, "_l.*", *(F.col(f"_next.{c}").alias(f"next_{c}") for c in payload))
+    b = right.filter(F.col(rkey).isNotNull()).select(*keys, F.col(rkey).alias("_k"), F.lit(1).alias("_side"), F.struct(F.col(rkey).alias("_rk"), *payload).alias("_r"))
+    scatter = [f"_l.{c}" for c in columns if "map<" not in left.schema[c].dataType.simpleString()]  # deals equal left rows out
+    order = [*keys, "_k", "_side", F.col("_r").asc_nulls_first(), *([F.xxhash64(*scatter)] if scatter else [])]
+    placed = a.unionByName(b, allowMissingColumns=True).orderBy(*order).withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    within = F.first("_r", True).over(Window.partitionBy("_part", *keys).orderBy("_at").rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    heads = placed.groupBy("_part", *keys).agg(F.min_by("_r", F.when(F.col("_side") == 1, F.col("_at"))).alias("_head"))
+    behind = F.first("_head", True).over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(1, Window.unboundedFollowing))
+    edges = heads.select(F.col("_part").alias("_p"), *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)), behind.alias("_behind"))
+    same = F.col("_part") == F.col("_p")
+    for i, c in enumerate(keys):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    both = placed.withColumn("_own", within).filter("_side = 0").join(edges, same, "left")
+    found = both.withColumn("_next", F.when(F.col("_k").isNotNull(), F.coalesce("_own", "_behind")))
+    return found.select(*keys, "_l.*", *(F.col(f"_next.{c}").alias(f"next_{c}") for c in payload))
 
 
 def quota_fill(candidates: DataFrame, quotas: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The first candidates of each bin, as many as its quota."""
-    ranked = candidates.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-    return ranked.join(F.broadcast(quotas.select(key, "quota")), key).filter(F.col("_r") <= F.col("quota")).drop("_r", "quota")
+    """The first candidates of each bin, as many as its quota.
+
+    A rank is the place in one distributed sort less the first place of the
+    bin, so a crowded bin is no one task's.
+    """
+    placed = with_place(candidates, key, *order, name="_r")
+    starts = placed.groupBy(key).agg(F.min("_r").alias("_start"))
+    bounds = starts.join(quotas.select(key, "quota"), key).select(key, (F.col("_start") + F.col("quota")).alias("_end"))
+    return placed.join(bounds, key).filter(F.col("_r") < F.col("_end")).drop("_r", "_end")
 
 
 def fit_demux(train: DataFrame, signal: str = "signal", label: str = "label", weight: str = "weight", max_iter: int = 20):

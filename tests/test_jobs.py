@@ -198,7 +198,40 @@ def test_curves_of_few_or_equal_points(spark, points):
     assert {r["mean"] for r in got} == want.keys() and all(math.isclose(r["smooth"], want[r["mean"]], abs_tol=1e-9) for r in got)
 
 
-def test_counts_and_steps_cross_partitions(spark):
+@pytest.fixture
+def apart(spark):
+    """Small partitions stay apart, as large ones do."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_next_rows_cross_partitions(apart):
+    """One key with most rows, a null key, ties, values beyond the last, null values; every column comes through."""
+    rng = np.random.default_rng(41)
+    key = lambda: [None if k == 3 else int(k) for k in rng.choice(4, 400, p=[0.7, 0.1, 0.1, 0.1])]
+    left = [(k, i, None if i % 50 == 0 else float(v), {"a": i}) for i, (k, v) in enumerate(zip(key(), rng.integers(0, 300, 400), strict=True))]
+    right = [(k, i, None if i % 60 == 0 else float(v)) for i, (k, v) in enumerate(zip(key(), rng.integers(0, 280, 400), strict=True)) if v < 100 or v > 200]
+    a, b = apart.createDataFrame(left, "g long, i long, v double, m map<string,long>"), apart.createDataFrame(right, "g long, j long, w double")
+    out = training.next_at_least(a, b, ["g"], "v", "w", ["j"]).collect()
+    assert len(out) == len(left) and all(r["m"] == {"a": r["i"]} for r in out)
+    for r in out:
+        fit = sorted((w, j) for g, j, w in right if g == r["g"] and w is not None and r["v"] is not None and w >= r["v"])
+        assert r["next_j"] == (fit[0][1] if fit else None)
+    assert {r["next_j"] for r in training.next_at_least(a, b.limit(0), ["g"], "v", "w", ["j"]).collect()} == {None}
+
+
+def test_quotas_are_filled_in_order(apart):
+    rng = np.random.default_rng(42)
+    rows = [(None if i % 97 == 0 else int(k), i, float(v)) for i, (k, v) in enumerate(zip(rng.choice(3, 900, p=[0.8, 0.1, 0.1]), rng.random(900), strict=True))]
+    quotas = {0: 500, 1: 0, 2: 10_000, 7: 5}
+    got = training.quota_fill(apart.createDataFrame(rows, "bin long, i long, v double"), apart.createDataFrame(list(quotas.items()), "bin long, quota long"), "bin", ["v", "i"]).collect()
+    want = {i for k in quotas for v, i in sorted((v, i) for b, i, v in rows if b == k)[: quotas[k]]}
+    assert sorted(r["i"] for r in got) == sorted(want) and got[0].asDict().keys() == {"bin", "i", "v"}
+
+
+def test_counts_and_steps_cross_partitions(apart):
+    spark = apart
     rng = np.random.default_rng(7)
     x, q = rng.integers(0, 40, 500).astype(float), rng.integers(-5, 50, 300).astype(float)
     points, queries = (spark.createDataFrame([(float(v), i) for i, v in enumerate(vs)], "v double, i long") for vs in (x, q))
