@@ -13,16 +13,18 @@ from readloom.sources.shared import ensure_checkpoints
 
 #: Modulus of the draws of ``fragment_slices``: products of two remainders fit in a long.
 PRIME = 2_147_483_647
+#: Leading hexadecimal digits of a hash that make a cell: 65,536 of them, of 1.5 million rows each in 100 billion.
+DIGITS = 4
 
 
 def hash_ranked(df: DataFrame, keys: list[str], id_col: str, seed: int, name: str) -> DataFrame:
     """Rank within ``keys`` in the order of a hash of id and seed: a random order that reruns and partitioning don't change.
 
-    The leading hash digits cut each class into 256 cells.  Ranks are those
+    The leading hash digits cut each class into 65,536 cells.  Ranks are those
     within a cell plus the sizes of the cells before, so a class of a third of
     all rows is no one task's.
     """
-    hashed = df.withColumn("_h", F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(str(seed))))).withColumn("_cell", F.substring("_h", 1, 2))
+    hashed = df.withColumn("_h", F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(str(seed))))).withColumn("_cell", F.substring("_h", 1, DIGITS))
     sizes = hashed.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     ahead = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_cell").alias("_c"), F.coalesce(ahead, F.lit(0)).alias("_before"))
@@ -38,9 +40,9 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataF
     """Position in a global order, without a single-partition sort: ranks within range partitions plus their offsets.
 
     The first order column must be a string of hexadecimal digits; its leading
-    two give 256 ranges.
+    four give 65,536 ranges, whose sizes are all that is sent to every task.
     """
-    ranged = df.withColumn("_range", F.substring(order[0], 1, 2))
+    ranged = df.withColumn("_range", F.substring(order[0], 1, DIGITS))
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))

@@ -9,17 +9,26 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """``spark.checkpoint.dir`` of the session, or the checkpoint folder set on its context.
+
+    Only where both are unset and Spark runs in one process (tests) a temporary
+    folder takes their place; a cluster has to name a folder that it shares.
+    """
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="readloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="readloom-"))
+        found = context.getCheckpointDir()
     return found.rstrip("/")
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+        folder = shared_dir(spark)
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(folder)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
