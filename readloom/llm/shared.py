@@ -7,25 +7,13 @@ loses them: the files belong to the shared store, not to the executor.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-WORD = r"[^\x20\x09-\x0D]+"
-
+from readloom.sources.shared import new_path, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="readloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+__all__ = ["WORD", "new_path", "read_table", "shared_dir", "stored"]
 
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/readloom/{name}-{uuid.uuid4().hex}"
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
