@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 from readloom.llm.bytesops import mix64, slices
 from readloom.llm.components import components
 from readloom.llm.near_dedup import _NO_ID, _blocks, _sets_of, linked, shingle_sets
-from readloom.llm.shared import stored
+from readloom.llm.shared import discard, new_path, stored
 
 #: Parts of a partition; a signature leaves one out.
 PARTS = 3
@@ -449,11 +449,14 @@ class SetJoin:
         self.classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "join-classes")
         of = self.classes.select("cls", F.coalesce("low.id", F.lit(_NO_ID)).alias("k"), "low.sha")
         key = F.coalesce("id", F.lit(_NO_ID)).alias("k")
-        self.texts = stored(plain.select(key, "sha", "text").join(of, ["k", "sha"]).dropDuplicates(["k", "sha"]).select("cls", "text"), "join-texts")
+        texts_at, shared_at = (new_path(docs.sparkSession, name) for name in ("join-texts", "join-shared"))
+        texts = stored(plain.select(key, "sha", "text").join(of, ["k", "sha"]).dropDuplicates(["k", "sha"]).select("cls", "text"), "join-texts", texts_at, compression="zstd")
         self.sizes = self.classes.select("cls", "n", "cells")
-        shared = mates(self.texts.mapInArrow(_signed(width, per_cent, 0), "key long, cls long"))
-        self.buckets = stored(self.grouped(shared), "join-buckets")
-        self.texts = stored(self.texts.join(self.buckets.select("cls").distinct(), "cls", "left_semi").select("cls", "text"), "join-met")
+        shared = stored(mates(texts.mapInArrow(_signed(width, per_cent, 0), "key long, cls long")), "join-shared", shared_at, compression="zstd")
+        self.buckets = stored(self.grouped(shared), "join-buckets", compression="zstd")
+        discard(docs.sparkSession, shared_at)
+        self.texts = stored(texts.join(self.buckets.select("cls").distinct(), "cls", "left_semi").select("cls", "text"), "join-met", compression="zstd")
+        discard(docs.sparkSession, texts_at)
         self.prints = stored(self.texts.mapInArrow(_prints(width), "cls long, n long, p binary"), "join-prints")
 
     def grouped(self, shared: DataFrame) -> DataFrame:
