@@ -26,9 +26,9 @@ and the next one's, each with the ``k`` of the band's largest size.
    of which similar sets share one as well.
 5. A pair is dropped only if sizes, or the counts of shingles in ``CELLS`` parts of
    the domain, prove it to be too far apart (each differing shingle changes one
-   count by one).  Pairs then meet on 16 bits of each shingle's hash, whose common
-   ones are no fewer than the sets share.  What is left, which is hardly more than
-   the links, is compared on full sets, made from texts.
+   count by one).  Pairs then meet on profiles, which are such counts in as many
+   parts as a set has shingles or half of that.  What is left is compared on full
+   sets, made from texts.
 
 A shingle stands as two 64-bit hashes under different seeds: among m shingles two
 different ones meet with a probability below m**2 / 2**129, 1e-14 for 1e12.
@@ -201,34 +201,50 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), CELLS)
 
 
-def _prints(width: int):
-    """Texts as ``cls, n, p``: the first 16 bits of each shingle's hash, sorted."""
+def profiles(rows: np.ndarray, hashes: np.ndarray, n: int) -> list[bytes]:
+    """Shingles of each set in parts of the domain by the hash's first bits, 15 at most, two counts to a byte.
+
+    The parts are a power of two, about one for each shingle or half of that, so two
+    profiles compare at the shorter one's parts (see ``profile_distance``).
+    """
+    size = np.bincount(rows, minlength=n)
+    bits = np.maximum(6, np.ceil(np.log2(np.maximum(size, 2) / 2)).astype(np.uint64))
+    begin = np.concatenate(([0], np.cumsum(1 << bits.astype(np.int64))))
+    part = begin[rows] + (hashes >> (np.uint64(64) - bits[rows])).astype(np.int64)
+    counts = np.minimum(np.bincount(part, minlength=begin[-1]), 15).astype(np.uint8)
+    packed = (counts[::2] | counts[1::2] << 4).tobytes()
+    return [packed[x // 2 : y // 2] for x, y in itertools.pairwise(begin.tolist())]
+
+
+def profile_distance(a: bytes, b: bytes) -> int:
+    """No more than the number of shingles that two sets differ in.
+
+    Counts of 15 stand for any larger ones, also after neighbours were added up.
+    """
+    both = []
+    for x in (a, b):
+        packed = np.frombuffer(x, np.uint8)
+        both.append(np.stack((packed & 15, packed >> 4), axis=1).reshape(-1))
+    to = min(len(x) for x in both)
+    x, y = (np.minimum(x.reshape(to, -1).sum(axis=1, dtype=np.int64), 15) for x in both)
+    return int(np.abs(x - y).sum())
+
+
+def _profiled(width: int):
+    """Texts as ``cls, n, p``: size and profile of their sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 1):
                 rows, one, _ = shingle_sets(batch, 1, width)
-                edges = np.searchsorted(rows, np.arange(batch.num_rows + 1)).tolist()
-                short = (one >> np.uint64(48)).astype(np.uint16)  # sorted within rows, as the hashes are
-                prints = [short[x:y].tobytes() for x, y in itertools.pairwise(edges)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(edges), pa.int64()), pa.array(prints, pa.binary())], ["cls", "n", "p"])
+                size = np.bincount(rows, minlength=batch.num_rows)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(profiles(rows, one, batch.num_rows), pa.binary())], ["cls", "n", "p"])
 
     return run
 
 
-def most_shared(a: np.ndarray, b: np.ndarray) -> int:
-    """Common elements of two sorted lists of prints, repeats counted: no fewer than the sets share."""
-    both = []
-    for x in (a, b):
-        first = np.append(True, x[1:] != x[:-1])
-        start = np.maximum.accumulate(np.where(first, np.arange(len(x)), 0))
-        both.append(x.astype(np.int64) << 32 | np.arange(len(x)) - start)
-    merged = np.sort(np.concatenate(both), kind="stable")
-    return int((merged[1:] == merged[:-1]).sum())
-
-
 def _possible(per_cent: int):
-    """Pairs that prints leave room for."""
+    """Pairs that sizes and profiles leave room for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,17 +252,12 @@ def _possible(per_cent: int):
                 a, b, na, nb = batch.column("pa"), batch.column("pb"), np.asarray(batch.column("na")), np.asarray(batch.column("nb"))
                 ok = 100 * np.minimum(na, nb) >= per_cent * np.maximum(na, nb)
                 for i in np.flatnonzero(ok).tolist():
-                    both = most_shared(*(np.frombuffer(c[i].as_buffer(), np.uint16) for c in (a, b)))
-                    ok[i] = 100 * both >= per_cent * (na[i] + nb[i] - both)
+                    ok[i] = (100 + per_cent) * profile_distance(a[i].as_py(), b[i].as_py()) <= (100 - per_cent) * (na[i] + nb[i])
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok))
 
     return run
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), CELLS)
-
-
 def near_pairs(starts: np.ndarray, cells: np.ndarray, sizes: np.ndarray, per_cent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of the pairs that may be linked, in buckets that lie one after the other (some hundred thousand pairs are looked at together)."""
     todo = np.repeat(starts[1:], np.diff(starts)) - np.arange(len(sizes)) - 1
@@ -457,7 +468,7 @@ class SetJoin:
         discard(docs.sparkSession, shared_at)
         self.texts = stored(texts.join(self.buckets.select("cls").distinct(), "cls", "left_semi").select("cls", "text"), "join-met", compression="zstd")
         discard(docs.sparkSession, texts_at)
-        self.prints = stored(self.texts.mapInArrow(_prints(width), "cls long, n long, p binary"), "join-prints")
+        self.profiles = stored(self.texts.mapInArrow(_profiled(width), "cls long, n long, p binary"), "join-profiles", compression="zstd")
 
     def grouped(self, shared: DataFrame) -> DataFrame:
         """Buckets (``key, cls``, and ``path`` if they were split) as near groups; ``two`` marks pairs."""
@@ -465,9 +476,10 @@ class SetJoin:
         return dealt.mapInArrow(_grouped(self.per_cent), "key long, path array<long>, cls long, pivot long, whole boolean, two boolean")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs ``a, b`` that are links."""
-        pa_, pb = (self.prints.withColumnsRenamed({"cls": x, "p": "p" + x, "n": "n" + x}) for x in "ab")
-        near = pairs.join(pa_, "a").join(pb, "b").mapInArrow(_possible(self.per_cent), "a long, b long")
+        """Those of the pairs ``a, b`` that are links; each step is written, so that one's shuffles go before the next."""
+        pa_, pb = (self.profiles.withColumnsRenamed({"cls": x, "p": "p" + x, "n": "n" + x}) for x in "ab")
+        pairs = stored(pairs, "join-pairs")
+        near = stored(pairs.join(pa_, "a").join(pb, "b").mapInArrow(_possible(self.per_cent), "a long, b long"), "join-possible")
         ta, tb = (self.texts.select(F.col("cls").alias(x), F.col("text").alias("t" + x)) for x in "ab")
         return near.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(_linked(self.width, self.per_cent), "a long, b long")
 

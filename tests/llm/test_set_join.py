@@ -41,12 +41,17 @@ def test_similar_sets_share_a_signature(per_cent):
     assert tried > 100
 
 
-def test_prints_never_hide_a_shared_shingle():
-    rng = np.random.default_rng(2)
-    for n in (1, 50, 5000):
-        a, b = (np.sort(rng.integers(0, 1 << (4 if n == 50 else 16), n).astype(np.uint16)) for _ in range(2))
-        want = np.minimum(np.bincount(a, minlength=1 << 16), np.bincount(b, minlength=1 << 16)).sum()
-        assert sj.most_shared(a, b) == want and sj.most_shared(a, a) == n
+def test_profiles_never_exceed_the_distance():
+    rng = np.random.default_rng(5)
+    crowd = np.arange(40, dtype=np.uint64)  # all in one part, more than a count holds
+    for n, m, both in [(1, 1, 0), (1, 1, 1), (40, 50, 40), (1000, 1030, 900), (1024, 1100, 1000), (5000, 6000, 10), (3, 4000, 3)]:
+        a = rng.integers(0, 2**64, n, np.uint64)
+        b = np.concatenate((a[:both], rng.integers(0, 2**64, m - both, np.uint64)))
+        for x, y in ((a, b), (np.append(a, crowd), b), (np.append(a, crowd), np.append(b, crowd[:20]))):
+            p, q = sj.profiles(np.repeat([0, 2], [len(x), len(y)]), np.concatenate((x, y)), 3)[::2]
+            assert sj.profile_distance(p, q) == sj.profile_distance(q, p) <= len(np.setxor1d(x, y))
+            assert sj.profile_distance(p, p) == 0
+    assert sj.profile_distance(*sj.profiles(np.repeat([0, 1], 2000), rng.integers(0, 2**64, 4000, np.uint64), 2)) > 1500  # strangers are told apart
 
 
 def test_bands_hold_all_similar_sizes():
