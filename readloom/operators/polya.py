@@ -87,23 +87,32 @@ def recalibrate(events: DataFrame, intervals: DataFrame, adapter_end: DataFrame,
     return first.withColumn("recalibrated", F.lit(False)).unionByName(second.withColumn("recalibrated", F.lit(True)))
 
 
-def stdev_check(events: DataFrame, intervals: DataFrame, samples: DataFrame) -> DataFrame:
+def stdev_check(events: DataFrame, intervals: DataFrame, samples: DataFrame, x: Column | None = None) -> DataFrame:
     """Deviation of the middle of each interval's longest event: ``read_id, stdev, steady``.
 
-    Samples (``read_id, i, x``) meet their event by bucketed equi-join, so no
-    range join is needed; events are disjoint within a read.
+    ``samples`` has a row for each sample (``read_id, i, x``) or, with ``x``,
+    one for each piece of a signal (``read_id, start, length``), disjoint within
+    a read; ``x`` is the array of a piece's samples.  Pieces meet the middles
+    first and are cut down to them, so ``x`` is evaluated for what is measured
+    alone and no sample is shuffled.  The join is a merge: sizes estimated for
+    rows of samples are too small to broadcast by.
     """
     inside = events.join(intervals, "read_id").filter(F.col("k").between(F.col("first"), F.col("last")))
-    longest = inside.groupBy("read_id").agg(F.max_by(F.struct("start", "length"), F.struct("length", -F.col("k"))).alias("e")).select("read_id", F.col("e.start").alias("start"), F.col("e.length").alias("length"))
-    low = F.col("start") + F.floor(F.col("length") * 0.05)
-    high = F.col("start") + F.floor(F.col("length") * 0.95)
-    part = samples.join(longest, "read_id", "inner").filter((F.col("i") >= low) & (F.col("i") < high))
+    longest = inside.groupBy("read_id").agg(F.max_by(F.struct("start", "length"), F.struct("length", -F.col("k"))).alias("e"))
+    middle = longest.select("read_id", (F.col("e.start") + F.floor(F.col("e.length") * 0.05)).alias("_low"), (F.col("e.start") + F.floor(F.col("e.length") * 0.95)).alias("_high"))
+    near = samples.join(middle.hint("merge"), "read_id")
+    if x is None:
+        part = near.filter((F.col("i") >= F.col("_low")) & (F.col("i") < F.col("_high")))
+    else:
+        begin, end = F.greatest("_low", "start"), F.least(F.col("_high"), F.col("start") + F.col("length"))
+        own = F.slice(x, (begin - F.col("start") + 1).cast("int"), (end - begin).cast("int"))
+        part = near.filter(begin < end).select("read_id", F.explode(own).alias("x"))
     found = part.groupBy("read_id").agg(F.stddev_pop("x").alias("stdev"), F.count("x").alias("n"))
-    return longest.select("read_id").join(found, "read_id", "left").select("read_id", F.when(F.col("n") > 2, F.col("stdev")).alias("stdev"), F.coalesce((F.col("n") > 2) & (F.col("stdev") < PRESET.polya_stdev), F.lit(False)).alias("steady"))
+    return middle.select("read_id").join(found, "read_id", "left").select("read_id", F.when(F.col("n") > 2, F.col("stdev")).alias("stdev"), F.coalesce((F.col("n") > 2) & (F.col("stdev") < PRESET.polya_stdev), F.lit(False)).alias("steady"))
 
 
-def steady_intervals(events: DataFrame, found: DataFrame, samples: DataFrame, adapter_end: DataFrame) -> DataFrame:
-    """Intervals of ``recalibrate`` that pass the deviation check.
+def steady_intervals(events: DataFrame, found: DataFrame, samples: DataFrame, adapter_end: DataFrame, x: Column | None = None) -> DataFrame:
+    """Intervals of ``recalibrate`` that pass the deviation check; ``samples`` and ``x`` as for ``stdev_check``.
 
     A read that fails it in the first pass gets one second pass in a shifted
     range, whose interval has to pass as well.  What is used several times is
@@ -111,10 +120,10 @@ def steady_intervals(events: DataFrame, found: DataFrame, samples: DataFrame, ad
     """
     ensure_checkpoints(events.sparkSession)
     found = found.checkpoint()
-    steady = stdev_check(events, found, samples).filter("steady").select("read_id").checkpoint()
+    steady = stdev_check(events, found, samples, x).filter("steady").select("read_id").checkpoint()
     failed = found.filter("not recalibrated").join(steady, "read_id", "left_anti").select("read_id")
     second = second_pass(events.join(failed, "read_id", "left_semi"), adapter_end).withColumn("recalibrated", F.lit(True)).checkpoint()
-    fine = stdev_check(events, second, samples).filter("steady").select("read_id")
+    fine = stdev_check(events, second, samples, x).filter("steady").select("read_id")
     return found.join(steady, "read_id", "left_semi").unionByName(second.join(fine, "read_id", "left_semi"))
 
 

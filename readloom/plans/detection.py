@@ -177,9 +177,8 @@ def pa_steady_tails(spark, sf):
     e, best = _tail(spark, sf)
     e, best = e.checkpoint(), best.checkpoint()
     ends = e.filter("k <= 20").groupBy("read_id").agg(F.max(F.col("start") + F.col("length")).alias("adapter_end"))
-    noise = F.expr("if(k % 3 = 0, 2D, 1D) * (i * 7919 % 1009) / 100D")
-    samples = e.select("read_id", "k", F.explode(F.expr("sequence(start, start + length - 1)")).alias("i")).select("read_id", "i", noise.alias("x"))
-    return polya.steady_intervals(e, polya.recalibrate(e, best, ends, e.select("read_id").distinct()), samples, ends)
+    noise = F.expr("transform(sequence(start, start + length - 1), i -> if(k % 3 = 0, 2D, 1D) * (i * 7919 % 1009) / 100D)")
+    return polya.steady_intervals(e, polya.recalibrate(e, best, ends, e.select("read_id").distinct()), e.select("read_id", "k", "start", "length"), ends, noise)
 
 
 @query(_A + _BEST + """, n as (select *, lag(mean) over (partition by read_id order by k) b, lead(mean) over (partition by read_id order by k) a from e)

@@ -1,3 +1,5 @@
+import itertools
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -272,3 +274,17 @@ def test_median_filter_ahead_of_detection(spark):
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError):
         events.running_median(np.zeros(3), np.array([0, 3]), 4)
+
+
+@pytest.mark.parametrize("cuts", [(0, 30), (0, 7, 12, 30)])
+def test_pieces_are_measured_like_single_samples(spark, cuts):
+    """Pieces of a signal that are cut down to the middle of the longest event give the deviation of its samples; the join is told to merge."""
+    events = spark.createDataFrame([("a", 1, 0, 10), ("a", 2, 10, 20)], "read_id string, k long, start long, length long")
+    interval = spark.createDataFrame([("a", 1, 2)], "read_id string, first long, last long")
+    x = [float(i * i % 7) for i in range(30)]
+    pieces = spark.createDataFrame([("a", p, q - p, x[p:q]) for p, q in itertools.pairwise(cuts)], "read_id string, start long, length long, x array<double>")
+    single = spark.createDataFrame([("a", i, v) for i, v in enumerate(x)], "read_id string, i long, x double")
+    out = polya.stdev_check(events, interval, pieces, F.col("x"))
+    assert out.collect()[0]["stdev"] == pytest.approx(np.std(x[11:29])) == polya.stdev_check(events, interval, single).collect()[0]["stdev"]
+    for df in (out, polya.stdev_check(events, interval, single)):
+        assert "strategy=merge" in df._jdf.queryExecution().analyzed().toString()
