@@ -166,8 +166,8 @@ def pa_recalibrate(spark, sf):
   select w.read_id, round(case when c > 2 then sd end, 6) as stdev, coalesce(c > 2 and sd < 5, false) as steady from w left join z using (read_id)""")
 def pa_stdev_qc(spark, sf):
     e, best = _tail(spark, sf)
-    samples = e.select("read_id", F.explode(F.expr("sequence(start, start + length - 1)")).alias("i")).withColumn("x", F.expr("100 + (i * 7919 % 1009) / 100.0D"))
-    return polya.stdev_check(e, best, samples).withColumn("stdev", F.round("stdev", 6))
+    x = F.expr("transform(sequence(start, start + length - 1), i -> 100 + (i * 7919 % 1009) / 100.0D)")
+    return polya.stdev_check(e, best, e.select("read_id", "start", "length"), x).withColumn("stdev", F.round("stdev", 6))
 
 
 @query()

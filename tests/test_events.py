@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from readloom.operators import events, polya, tails
 from readloom.operators.intervals import interval_union
+from readloom.plans import QUERIES
 
 
 def test_steps_give_their_boundaries(spark):
@@ -288,3 +289,10 @@ def test_pieces_are_measured_like_single_samples(spark, cuts):
     assert out.collect()[0]["stdev"] == pytest.approx(np.std(x[11:29])) == polya.stdev_check(events, interval, single).collect()[0]["stdev"]
     for df in (out, polya.stdev_check(events, interval, single)):
         assert "strategy=merge" in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_no_sample_of_the_deviation_check_is_shuffled(spark, sf_dir):
+    """No exchange of the query carries samples: they are made behind the join."""
+    plan = QUERIES["pa_stdev_qc"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    made = plan.index("Generate explode(slice(transform(sequence(")
+    assert "SortMergeJoin" in plan[made:] and "Exchange" not in plan[made : made + plan[made:].index("SortMergeJoin")]
