@@ -56,11 +56,13 @@ def _aged(spark, path: str, parts: set[int], seconds: int) -> None:
 def st_start_delay(spark, sf):
     """Two files are an hour old, two have just arrived: the old ones come out while the young ones still wait, each of these once it is old enough."""
     path, schema = _arrivals(spark, sf)
+    rows = spark.read.parquet(path).count()
     _aged(spark, path, {0, 1}, 3600)
+    _aged(spark, path, {2, 3}, 0)  # however long the files took to write
     out, delay = new_path(spark, "delayed"), 5.0
     stamped = lambda batch, i: batch.withColumn("at", F.lit(time.time())).write.mode("overwrite").parquet(f"{out}/batch={i}")
     stream = _with_file(streaming.with_file_time(streaming.live_scan(spark, path, schema)))
-    streaming.run_until(streaming.hold_young(stream, delay), stamped, new_path(spark, "delayed-checkpoint"), spark.read.parquet(path).count())
+    streaming.run_until(streaming.hold_young(stream, delay, pieces=streaming.size_pieces()), stamped, new_path(spark, "delayed-checkpoint"), rows)
     old = F.col("read_id").cast("long") % 4 < 2
     got = spark.read.parquet(out).withColumn("old", old)
     first = got.filter("not old").agg(F.coalesce(F.min("batch"), F.lit(1 << 30)).alias("first"))  # one row
