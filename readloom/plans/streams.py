@@ -79,13 +79,13 @@ def st_dedup(spark, sf):
 
 
 def _batches(spark, sf, size: int, name: str):
-    """Reads of six files, some of them twice, in batches of ``size`` rows."""
+    """Reads of six files, some of them twice, in batches of ``size`` rows, collected in lanes."""
     path, schema = _arrivals(spark, sf, repeats=True)
     out = new_path(spark, name)
-    stream = streaming.in_batches(streaming.live_scan(spark, path, schema, files_per_trigger=1), size, idle=3.0)
+    stream = streaming.in_batches(streaming.live_scan(spark, path, schema, files_per_trigger=1), size, idle=3.0, lanes=64, keys=["read_id"])
     rows = spark.read.parquet(path).count()
     streaming.run_until(stream, lambda batch, i: batch.write.mode("overwrite").parquet(f"{out}/trigger={i}"), new_path(spark, f"{name}-checkpoint"), rows)
-    return spark.read.parquet(out)
+    return streaming.merge_lanes(spark.read.parquet(out), size)
 
 
 _ARRIVED = "a as (select read_id, status from v_reads union all select read_id, status from v_reads where cast(read_id as bigint) % 4 < 2), t as (select count(*) as n from a)"
