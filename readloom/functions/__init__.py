@@ -1,7 +1,12 @@
-"""Column functions on sample arrays, sequences and CIGAR strings; all of them are Spark expressions."""
+"""Column functions on sample arrays, sequences and CIGAR strings; Spark expressions, but for the decoding of qualities (Arrow)."""
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,9 +68,32 @@ def mad_normalize(x: Column) -> Column:
     return F.element_at(F.transform(spread, lambda p: F.transform(p["x"], lambda v: (v - p["m"]) / p["d"])), 1)
 
 
-def quality_decode(qual: Column) -> Column:
-    """Probability that each base is right, from Phred+33 characters."""
-    return F.transform(F.filter(F.split(qual, ""), lambda c: c != ""), lambda c: 1 - F.pow(F.lit(10.0), -(F.ascii(c) - 33) / 10.0))
+def quality_decode(qual: Column, digits: int | None = None) -> Column:
+    """Probability that each base is right, from Phred+33 characters; rounded half up to ``digits``, if given.
+
+    A probability depends on its character alone, so it is computed (and
+    rounded) once for each of the 128 ASCII characters and looked up where the
+    texts are, an Arrow batch at a time; other characters are computed by value.
+    """
+
+    def chance(code: np.ndarray) -> np.ndarray:
+        p = 1 - 10.0 ** (-(code - 33.0) / 10.0)
+        return p if digits is None else np.array([float(Decimal(repr(v)).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP)) for v in p.tolist()])
+
+    table = chance(np.arange(128.0))
+
+    @F.arrow_udf("array<double>")
+    def decode(texts: pa.Array) -> pa.Array:
+        sizes = np.asarray(pc.fill_null(pc.utf8_length(texts), 0), np.int64)
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), pc.fill_null(texts, "")), "")[0].as_py()
+        code = np.frombuffer(whole.encode("utf-8" if whole.isascii() else "utf-32-le"), np.uint8 if whole.isascii() else np.uint32)
+        p = table[np.minimum(code, 127)]
+        beyond = np.flatnonzero(code > 127)
+        p[beyond] = chance(code[beyond].astype(float))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(p), mask=texts.is_null())
+
+    return decode(qual)
 
 
 def to_dna(seq: Column) -> Column:

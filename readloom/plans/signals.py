@@ -60,7 +60,8 @@ def sig_mad_normalize(spark, sf):
 @query("""with q as (select read_id, seq s from v_seq) select read_id, i - 1 as i, round(1 - pow(10.0, -(ascii(substr(s, cast(i as int), 1)) - 33) / 10.0), 6) as x
   from (select read_id, s, unnest(range(1, length(s) + 1)) i from q)""")
 def sig_quality_decode(spark, sf):
-    return _norm(b.sequences(spark, sf), fn.quality_decode(F.col("seq")))
+    p = b.sequences(spark, sf).select("read_id", F.posexplode(fn.quality_decode(F.col("seq"), 6)).alias("i", "x"))
+    return p.select("read_id", F.col("i").cast("long").alias("i"), "x")
 
 
 @query("select read_id, translate(seq, 'U', 'T') as dna, reverse(seq) as reversed, reverse(translate(seq, 'ACGTU', 'TGCAA')) as revcomp from v_seq")
