@@ -6,10 +6,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from readloom import functions as fn
+from readloom.operators.events import _samples
 from readloom.params import PRESET
 
 #: A model maps a matrix (one signal per row) to a matrix (one row of outputs each).
@@ -35,24 +38,58 @@ def predict(df: DataFrame, model: Model, signal: str = "signal", output: str = "
 
 
 def centroids(df: DataFrame, signal: str = "signal", label: str = "label") -> DataFrame:
-    """Mean signal of each class: ``label, center``."""
-    rows = df.select(label, F.posexplode(signal).alias("i", "x")).groupBy(label, "i").agg(F.avg("x").alias("x"))
-    return rows.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("center"))
+    """Mean signal of each class: ``label, center``.
+
+    Sums by class and position are made where the signals are, an Arrow batch
+    at a time; only those are shuffled.
+    """
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, known, edges = _samples(batch.column(1))
+            sizes = np.diff(edges)
+            coded = batch.column(0).dictionary_encode(null_encoding="encode")
+            width, classes = max(1, int(sizes.max(initial=0))), len(coded.dictionary)
+            at = np.repeat(np.asarray(coded.indices, np.int64) * width - edges[:-1], sizes) + np.arange(edges[-1])
+            total, n = np.bincount(at[known], x[known], classes * width), np.bincount(at[known], minlength=classes * width)
+            seen = np.flatnonzero(np.bincount(at, minlength=classes * width))
+            columns = [coded.dictionary.take(pa.array(seen // width)), pa.array(seen % width, pa.int32()), pa.array(total[seen], pa.float64()), pa.array(n[seen], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["label", "i", "s", "n"])
+
+    part = df.select(F.col(label).alias("label"), F.col(signal).cast("array<double>").alias("x"))
+    schema = StructType([part.schema["label"], StructField("i", IntegerType()), StructField("s", DoubleType()), StructField("n", LongType())])
+    rows = part.mapInArrow(sums, schema).groupBy("label", "i").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    means = rows.select(F.col("label").alias(label), "i", F.when(F.col("n") > 0, F.col("s") / F.col("n")).alias("x"))
+    return means.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("center"))
 
 
 def centroid_predict(df: DataFrame, classes: DataFrame, signal: str = "signal") -> DataFrame:
     """Default model: softmax over the negated root-mean-square distances to the class centres.
 
-    The centres (one row per class) become one array, ordered by label.
+    The centres (one row per class) are fetched and ordered by label; signals
+    meet them where they are, an Arrow batch at a time.  A signal that is null,
+    holds a null or has another length than a centre has null probabilities.
     """
-    packed = classes.agg(F.array_sort(F.collect_list(F.struct("label", "center"))).alias("_c"))
-    n = F.size(signal)
-    dist = F.transform("_c", lambda c: F.sqrt(F.aggregate(F.zip_with(F.col(signal), c["center"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v) / n))
-    out = df.join(F.broadcast(packed)).withColumn("_d", dist)
-    low = F.array_min("_d")
-    parts = F.transform("_d", lambda d: F.exp(low - d))
-    total = F.aggregate(parts, F.lit(0.0), lambda s, v: s + v)
-    return out.withColumn("probs", F.transform(parts, lambda p: p / total)).drop("_c", "_d")
+    centers = [r["center"] for r in sorted(classes.select("label", "center").collect(), key=lambda r: (r["label"] is not None, r["label"]))]
+    k, lengths = len(centers), {len(c) for c in centers}
+    width = lengths.pop() if len(lengths) == 1 and not any(v is None for c in centers for v in c) else -1
+
+    @F.arrow_udf("array<double>")
+    def run(arrays: pa.Array) -> pa.Array:
+        x, known, edges = _samples(arrays)
+        sizes, gaps = np.diff(edges), np.concatenate(([0], np.cumsum(~known)))
+        good = (sizes == width) & (gaps[edges[1:]] == gaps[edges[:-1]]) & (width > 0)
+        probs = np.zeros((len(sizes), k))
+        if good.any():
+            own = x[np.repeat(good, sizes)].reshape(-1, width)
+            with np.errstate(invalid="ignore", over="ignore"):
+                away = np.column_stack([np.sqrt(np.square(own - np.array(c)).sum(axis=1) / width) for c in centers])
+                near = np.exp(np.fmin.reduce(away, axis=1)[:, None] - away)
+                probs[good] = near / near.sum(axis=1, keepdims=True)
+        edges = np.arange(len(sizes) + 1) * k
+        return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(probs.reshape(-1), mask=np.repeat(~good, k)))
+
+    return df.withColumn("probs", run(F.col(signal).cast("array<double>")))
 
 
 def phred_lookup(score: Column, table: Column) -> Column:
