@@ -10,7 +10,10 @@ and the next one's, each with the ``k`` of the band's largest size.
    of ``PARTS`` parts.  With at most ``k`` differing shingles one partition has at
    most one, so two sets agree in that partition without the one part that holds
    it.  The subsets of all parts but one of every partition are the signatures:
-   similar sets share one for certain, and nothing is lost to chance.
+   similar sets share one for certain, and nothing is lost to chance.  Small
+   subsets, which unrelated sets share (of large sets some parts are empty), are
+   left out as far as one is still shared for certain (``left_out``); for that
+   there is one partition more for every ``SPARE``.
 2. Documents with equal sets form a class; signatures are made for classes.
 3. A sorted pass over the signatures drops those of one class only.  A second one
    cuts the other buckets into groups of members that may be linked (see 5); most
@@ -26,9 +29,10 @@ and the next one's, each with the ``k`` of the band's largest size.
    of which similar sets share one as well.
 5. A pair is dropped only if sizes, or the counts of shingles in ``CELLS`` parts of
    the domain, prove it to be too far apart (each differing shingle changes one
-   count by one).  Pairs then meet on profiles, which are such counts in as many
-   parts as a set has shingles or half of that.  What is left is compared on full
-   sets, made from texts.
+   count by one), or profiles do, which are such counts in as many parts as a set
+   has shingles or half of that; members of groups that still span components carry
+   theirs, so a pair is written only if it passes both.  What is left is compared on
+   full sets, made from texts.
 
 A shingle stands as two 64-bit hashes under different seeds: among m shingles two
 different ones meet with a probability below m**2 / 2**129, 1e-14 for 1e12.
@@ -60,6 +64,10 @@ from readloom.llm.shared import discard, new_path, stored
 
 #: Parts of a partition; a signature leaves one out.
 PARTS = 3
+#: One partition in so many is spare: sets leave small subsets out for it.
+SPARE = 5
+#: Shingles in the largest subsets that may be left out.
+SMALL = 6
 #: Parts of the domain whose counts bound the distance of two sets.
 CELLS = 64
 #: Thirty-seconds of the buckets whose pivots are compared in one round.
@@ -94,7 +102,9 @@ def signatures(rows: np.ndarray, hashes: np.ndarray, n: int, per_cent: int, seed
         band[some] = np.searchsorted(first, sizes[some], side="right") - 1 + step
         cuts = np.zeros(n, np.int64)
         cuts[some] = far[band[some]] // 2 + 1
-        exact = far[band] == 0  # such sets have to be equal
+        cuts += cuts // SPARE
+        last = 100 * np.minimum(first[band], sizes) // per_cent  # the largest partner
+        differ = (100 - per_cent) * (sizes + last) // (100 + per_cent)
         begin = np.concatenate(([0], np.cumsum(cuts * PARTS)))
         draw = mix64(value + (band[rows] + 1).astype(np.uint64) * _GOLD)
         low = draw & np.uint64(0xFFFFFFFF)
@@ -102,13 +112,14 @@ def signatures(rows: np.ndarray, hashes: np.ndarray, n: int, per_cent: int, seed
         cell = begin[rows] + part.astype(np.int64)
         sums = np.zeros(int(begin[-1]), np.uint64)
         np.add.at(sums, cell, mix64(draw ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
-        left, held = ((x.sum(axis=1, dtype=x.dtype)[:, None] - x).reshape(-1) for x in (sums.reshape(-1, PARTS), np.bincount(cell, minlength=len(sums)).reshape(-1, PARTS)))
+        left, held = (x.sum(axis=1, dtype=x.dtype)[:, None] - x for x in (sums.reshape(-1, PARTS), np.bincount(cell, minlength=len(sums)).reshape(-1, PARTS)))
+        keep = ~left_out(held, np.repeat(np.arange(n), cuts), 2 * cuts - differ - 1).reshape(-1)
+        left, held = left.reshape(-1), held.reshape(-1)
         row = np.repeat(np.arange(n), np.diff(begin))
         place = (np.arange(len(row)) - begin[row]).astype(np.uint64)
-        whole = exact[row]
         key = mix64(left + mix64(place + (band[row] + 1).astype(np.uint64) * _GOLD + np.uint64(seed * 0xC2B2AE3D27D4EB4F & _ALL)))
         key = key >> np.uint64(1) << np.uint64(1) | (held <= WEAK).astype(np.uint64)
-        keep = ~whole  # equal sets are one class already
+        keep &= (differ > 0)[row]  # equal sets are one class already
         found_rows.append(row[keep])
         found.append(key[keep])
     row, key = np.concatenate(found_rows), np.concatenate(found)
@@ -116,6 +127,35 @@ def signatures(rows: np.ndarray, hashes: np.ndarray, n: int, per_cent: int, seed
     return row[order], key[order].view(np.int64)
 
 
+def left_out(held: np.ndarray, rows: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """Which subsets (``PARTS`` for each partition, with ``held`` shingles) a set does without: its smallest ones, at equal size the first ones.
+
+    A set that differs in ``k`` shingles and shares none of the others has two of
+    them in a partition, or one where one subset or more are left out, or none
+    where all are.  So with ``2 * partitions - k - 1`` to spare, the first subset
+    left out of a partition takes one, and so does the last one.  Subsets that two
+    sets share have one size and place, and the set that leaves more out is right
+    by itself; the other one has what that one keeps.
+    """
+    takes = np.zeros(PARTS + 1, np.int64)
+    takes[[1, PARTS]] = 1
+    total = np.cumsum(takes)
+    level, used = np.full(len(spare), -1), np.zeros(len(spare), np.int64)  # subsets up to this size all go
+    for size in range(SMALL):
+        now = np.bincount(rows, total[(held <= size).sum(axis=1)], minlength=len(spare)).astype(np.int64)
+        fits = now <= spare
+        if not fits.any():
+            break
+        level[fits], used[fits] = size, now[fits]
+    limit = level[rows][:, None]
+    below, at = held <= limit, held == limit + 1
+    cost = np.where(at, takes[below.sum(axis=1)[:, None] + np.cumsum(at, axis=1)], 0).reshape(-1)
+    done = np.cumsum(cost).reshape(held.shape)
+    begin = np.searchsorted(rows, np.arange(len(spare)))
+    before = np.concatenate(([0], done[:, -1]))[begin]
+    return below | at & (done - before[rows][:, None] + used[rows][:, None] <= spare[rows][:, None])
+
+
 def cell_counts(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     """Shingles of each set in ``CELLS`` parts of the domain, 255 at most."""
     cell = (mix64(hashes ^ np.uint64(0x5DEECE66D)) >> np.uint64(40)) % np.uint64(CELLS)
@@ -221,13 +261,30 @@ def profile_distance(a: bytes, b: bytes) -> int:
 
     Counts of 15 stand for any larger ones, also after neighbours were added up.
     """
-    both = []
-    for x in (a, b):
-        packed = np.frombuffer(x, np.uint8)
-        both.append(np.stack((packed & 15, packed >> 4), axis=1).reshape(-1))
-    to = min(len(x) for x in both)
-    x, y = (np.minimum(x.reshape(to, -1).sum(axis=1, dtype=np.int64), 15) for x in both)
-    return int(np.abs(x - y).sum())
+    to = 2 * min(len(a), len(b))
+    return int(np.abs(_profile_counts(a, to) - _profile_counts(b, to)).sum())
+
+
+def _profile_counts(profile: bytes, parts: int) -> np.ndarray:
+    """The counts of a profile in so many parts, its own number or fewer."""
+    packed = np.frombuffer(profile, np.uint8)
+    return np.minimum(np.stack((packed & 15, packed >> 4), axis=1).reshape(parts, -1).sum(axis=1, dtype=np.int64), 15)
+
+
+def profiles_fit(found: list[bytes], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, per_cent: int) -> np.ndarray:
+    """Whether profiles leave room for the similarity of the pairs at these places, some million counts at a time."""
+    ok = np.zeros(len(left), bool)
+    parts = np.array([2 * len(x) for x in found], np.int64)
+    to = np.minimum(parts[left], parts[right])
+    for n in np.unique(to).tolist():
+        same = np.flatnonzero(to == n)
+        for pick in np.split(same, range(max(1, (1 << 22) // n), len(same), max(1, (1 << 22) // n))):
+            own, place = np.unique(np.concatenate((left[pick], right[pick])), return_inverse=True)
+            counts = np.stack([_profile_counts(found[i], n).astype(np.uint8) for i in own.tolist()])
+            x, y = counts[place[: len(pick)]], counts[place[len(pick) :]]
+            apart = (np.maximum(x, y) - np.minimum(x, y)).sum(axis=1, dtype=np.int64)
+            ok[pick] = (100 + per_cent) * apart <= (100 - per_cent) * (sizes[left[pick]] + sizes[right[pick]])
+    return ok
 
 
 def _profiled(width: int):
@@ -289,18 +346,20 @@ def near_groups(starts: np.ndarray, cells: np.ndarray, sizes: np.ndarray, per_ce
 
 
 def _paired(per_cent: int):
-    """Pairs ``a, b`` of different components that may be linked, from near groups sorted by key."""
+    """Pairs ``a, b`` of different components that counts and profiles leave room for, from near groups sorted by key."""
 
     def pairs(rows: pa.RecordBatch) -> pa.RecordBatch:
         key, cls, comp = (np.asarray(rows.column(c)) for c in ("key", "cls", "comp"))
         starts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
-        found = []
-        for left, right in near_pairs(starts, _matrix(rows.column("cells")), np.asarray(rows.column("n")), per_cent):
+        ids, first, place = np.unique(cls, return_index=True, return_inverse=True)
+        sizes, found = np.asarray(rows.column("n")), [np.zeros(0, np.int64)]
+        for left, right in near_pairs(starts, _matrix(rows.column("cells")), sizes, per_cent):
             apart = comp[left] != comp[right]
-            a, b = cls[left[apart]], cls[right[apart]]
-            found.append(np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1))
-        a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            a, b = place[left[apart]], place[right[apart]]
+            found.append(np.unique(np.minimum(a, b) * len(ids) + np.maximum(a, b)))
+        a, b = np.divmod(np.unique(np.concatenate(found)), len(ids))  # a pair that shares several groups is looked at once
+        ok = profiles_fit(rows.column("p").take(pa.array(first)).to_pylist(), sizes[first], a, b, per_cent)
+        return pa.RecordBatch.from_arrays([pa.array(ids[a[ok]]), pa.array(ids[b[ok]])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -491,7 +550,8 @@ class SetJoin:
 
     def grouped_links(self, rows: DataFrame, comp: DataFrame, tested: DataFrame | None = None) -> DataFrame:
         """Links between members of different components of near groups, each pair looked at once."""
-        live = self.apart(rows.filter("not whole and not two").select("key", "cls"), comp).repartition("key").sortWithinPartitions("key")
+        live = self.apart(rows.filter("not whole and not two").select("key", "cls"), comp).join(self.profiles.select("cls", "p"), "cls")
+        live = live.repartition("key").sortWithinPartitions("key")
         pairs = live.mapInArrow(_paired(self.per_cent), "a long, b long")
         two = rows.filter("two and cls <> pivot").select("cls", "pivot").distinct()
         two = two.join(comp, "cls").join(comp.withColumnsRenamed({"cls": "pivot", "comp": "pcomp"}), "pivot").filter("comp <> pcomp")

@@ -101,3 +101,60 @@ def test_hot_group_of_near_copies(spark):
     rows += [(3000 + i, edited(rng, [f"v{rng.integers(9000)}" for _ in range(60)], 1)) for i in range(300)]
     got = {r["doc_id"]: r["component_id"] for r in sj.joined_classes(documents(spark, rows)).collect()}
     assert got == {r[0]: r[2] for r in brute(rows, 5)} and len(got) == 900
+
+
+@pytest.mark.parametrize("per_cent", [80, 90, 65])
+def test_small_subsets_are_left_out_without_loss(per_cent):
+    """Shingles are taken away where that destroys most signatures; the rest still shares one."""
+    rng = np.random.default_rng(per_cent + 1)
+    for size in [5, 9, 14, 20, 33, 77, 150, 400, 1300, 2000]:
+        for _ in range(6):
+            whole = rng.integers(0, 1 << 63, size).astype(np.uint64)
+            first, far = sj.size_bands(per_cent, 4 * size)
+            band = int(np.searchsorted(first, size, side="right")) - 1
+            cuts = int(far[band]) // 2 + 1
+            cuts += cuts // sj.SPARE
+            draw = sj.mix64(sj.mix64(whole + np.uint64(0xD6E8FEB86659FD93)) + np.array([band + 1], np.uint64) * sj._GOLD)
+            part = ((draw & np.uint64(0xFFFFFFFF)) * np.uint64(cuts * sj.PARTS) >> np.uint64(32)).astype(np.int64)
+            count = np.bincount(part, minlength=cuts * sj.PARTS).reshape(-1, sj.PARTS)
+            room = size - -(-per_cent * size // 100)
+            gone = []
+            for cut in np.argsort(count.sum(axis=1) - count.max(axis=1), kind="stable").tolist():  # those with the smallest subsets first
+                for p in np.argsort(-count[cut], kind="stable")[:2].tolist():  # one shingle of each of two parts
+                    gone += np.flatnonzero(part == cut * sj.PARTS + p)[:1].tolist()
+            rest = np.delete(whole, gone[:room])
+            if len(rest) == size:
+                continue
+            assert 100 * len(rest) >= per_cent * size
+            row, key = sj.signatures(np.repeat([0, 1], [size, len(rest)]), np.concatenate((whole, rest)), 2, per_cent)
+            assert len(np.intersect1d(key[row == 0], key[row == 1]))
+
+
+def test_unrelated_large_sets_share_no_signature():
+    rng = np.random.default_rng(12)
+    row, key = sj.signatures(np.repeat(np.arange(120), 1500), rng.integers(0, 1 << 63, 120 * 1500).astype(np.uint64), 120, 80)
+    assert len(np.unique(key)) == len(key) > 120 * 600
+
+
+def test_profiles_fit_as_pair_by_pair():
+    rng = np.random.default_rng(6)
+    sizes = np.array([40, 50, 300, 310, 1000, 1100, 1100])
+    found = sj.profiles(np.repeat(np.arange(7), sizes), rng.integers(0, 2**40, sizes.sum()).astype(np.uint64) << np.uint64(24), 7)
+    found[6] = found[5]
+    left, right = np.triu_indices(7, 1)
+    for per_cent in (20, 80):
+        want = [(100 + per_cent) * sj.profile_distance(found[i], found[j]) <= (100 - per_cent) * (sizes[i] + sizes[j]) for i, j in zip(left, right, strict=True)]
+        assert sj.profiles_fit(found, sizes, left, right, per_cent).tolist() == want and any(want) and not all(want)
+    assert not len(sj.profiles_fit([], sizes[:0], left[:0], right[:0], 80))
+
+
+def test_like_sets_below_the_limit_make_no_pairs():
+    """Groups of sets of similarity 0.6 used to leave all their pairs, once for each group."""
+    rng = np.random.default_rng(7)
+    base, n = rng.integers(0, 2**63, 300).astype(np.uint64), 40
+    sets = [np.concatenate((base[rng.permutation(300)[:255]], rng.integers(0, 2**63, 45).astype(np.uint64))) for _ in range(n)]
+    sets[1] = np.append(sets[0][:290], sets[1][-10:])
+    rows, hashes = np.repeat(np.arange(n), [len(x) for x in sets]), np.concatenate(sets)
+    one = {"cls": np.arange(n), "comp": np.arange(n), "n": [len(x) for x in sets], "cells": [c.tobytes() for c in sj.cell_counts(rows, hashes, n)], "p": sj.profiles(rows, hashes, n)}
+    batch = sj.pa.RecordBatch.from_pydict({"key": np.repeat([3, 5], n)} | {k: [*v, *v] for k, v in one.items()})
+    assert [b.to_pydict() for b in sj._paired(80)(iter([batch.slice(0, 50), batch.slice(50)])) if b.num_rows] == [{"a": [0], "b": [1]}] * 2
