@@ -45,8 +45,8 @@ from pyspark.sql import functions as F
 
 from readloom.llm.shared import stored
 
-#: Rows in a block, leading dimensions of the partial sums, blocks in a range of lengths.
-BLOCK, LEAD, RANGE = 1024, 16, 64
+#: Rows in a block, queries whose scores are made at once (they stay in a core's cache), leading dimensions of the partial sums, blocks in a range of lengths.
+BLOCK, STRIP, LEAD, RANGE = 1024, 256, 16, 64
 #: Bytes of queries in a part; blocks in a lane, at least (else there are fewer lanes than cores want) and at most; of how many blocks the pass before takes one.
 QUERY_BYTES, LEAST, MEETS, THIN = 16 << 20, 8, 256, 16
 
@@ -196,9 +196,10 @@ def exact_kind(a: float, b: float) -> type:
 class Searcher(Rows):
     """Running top-k of one block of queries over blocks of vectors."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, turn: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, turn: np.ndarray, k: int, room: dict[type, np.ndarray] | None = None):
         super().__init__(ids, rows, turn)
         self.k, n = k, len(ids)
+        self.room = {} if room is None else room  # for scores, shared by the searchers of a task
         self.by_id = np.sort(ids)
         #: score and id of the k-th candidate so far; only what comes before it in order is a candidate
         self.floor, self.floor_id = np.full(n, _NONE), np.full(n, _LAST)
@@ -231,21 +232,28 @@ class Searcher(Rows):
             self.pause = self.wait
             v = cols if not self.wait else v
         kind = exact_kind(self.top, block.top)
-        scores = self.kind(kind)[q] @ block.kind(kind)[v].T
+        mine, others = self.kind(kind)[q], block.kind(kind)[v].T
         own, ids = np.arange(len(self.ids))[q], block.ids[v]
         least = np.iinfo(np.int64).min + 1 if kind is np.int64 else np.finfo(kind).min
         below = _NONE if kind is np.int64 else -np.inf
-        for c in np.flatnonzero(self.by_id[np.minimum(np.searchsorted(self.by_id, ids), len(self.by_id) - 1)] == ids).tolist():
-            scores[self.ids[own] == ids[c], c] = below  # a query and rows of its id
+        same = np.flatnonzero(self.by_id[np.minimum(np.searchsorted(self.by_id, ids), len(self.by_id) - 1)] == ids).tolist()
         limit = np.where(self.floor == _NONE, least, self.floor + (self.floor_id < ids.min())).astype(kind)[own]  # equal scores count only below the k-th's id
-        some = np.flatnonzero(scores.max(axis=1) >= limit)
-        if not len(some):
-            return
-        scores, limit, own = scores[some], limit[some], own[some]
+        size = min(STRIP, len(own)) * len(ids)
+        if len(self.room.get(kind, ())) < size:
+            self.room[kind] = np.empty(size, kind)
+        for at in range(0, len(own), STRIP):
+            r = own[at : at + STRIP]
+            scores = np.matmul(mine[at : at + STRIP], others, out=self.room[kind][: len(r) * len(ids)].reshape(len(r), -1))
+            for c in same:
+                scores[self.ids[r] == ids[c], c] = below  # a query and rows of its id
+            some = np.flatnonzero(scores.max(axis=1) >= limit[at : at + STRIP])
+            if len(some):
+                self.take(r[some], ids, scores[some], limit[at : at + STRIP][some])
+
+    def take(self, own: np.ndarray, ids: np.ndarray, scores: np.ndarray, limit: np.ndarray) -> None:
         mask = scores >= limit[:, None]
         if len(ids) > self.k and np.count_nonzero(mask) > 8 * self.k * len(own):
-            limit = np.maximum(limit, np.partition(scores, len(ids) - self.k, axis=1)[:, len(ids) - self.k])
-            mask = scores >= limit[:, None]
+            mask = scores >= np.maximum(limit, np.partition(scores, len(ids) - self.k, axis=1)[:, len(ids) - self.k])[:, None]
         r, c = np.divmod(np.flatnonzero(mask), len(ids))
         s, i, r = scores[r, c].astype(np.int64), ids[c], own[r]
         better = (s > self.floor[r]) | ((s == self.floor[r]) & (i < self.floor_id[r]))
@@ -278,7 +286,7 @@ def _search(turn: np.ndarray, k: int, lanes: int):
     d = len(turn)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, searchers = None, []
+        now, searchers, room = None, [], {}
         for batch in batches:
             for i in range(batch.num_rows):
                 cell, kind, width = (batch.column(c)[i].as_py() for c in ("cell", "kind", "width"))
@@ -287,7 +295,7 @@ def _search(turn: np.ndarray, k: int, lanes: int):
                     yield from (s.found(now // lanes) for s in searchers)
                     now, searchers = cell, []
                 if kind == 0:
-                    searchers.append(Searcher(ids.copy(), rows.reshape(-1, d).copy(), turn, k))  # they outlive the batch
+                    searchers.append(Searcher(ids.copy(), rows.reshape(-1, d).copy(), turn, k, room))  # they outlive the batch
                 elif kind == 1:
                     for s in searchers:
                         s.raise_floors(ids, rows[: len(ids)], rows[len(ids) :])
